@@ -245,3 +245,22 @@ def minmax_scale(train: DataFrame, test: DataFrame, cols: list[str]) -> DataFram
 
 def polynomial(df: DataFrame, col: str, degree: int) -> DataFrame:
     return df.withColumns({f"{col}_p{d}": F.pow(F.col(col).cast("double"), d) for d in range(1, degree + 1)})
+
+
+def onehot_fit_apply(train: DataFrame, test: DataFrame, col: str, out: str, drop_first: bool = True,
+                     order: str = "alphabetAsc") -> DataFrame:
+    """One-hot vector learned on ``train`` and applied to ``test``.
+
+    Levels unseen in training and (with ``drop_first``) the first level encode
+    as the all-zero vector, as dummy coding with an ignored unknown does.
+    """
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    idx = StringIndexer(inputCol=col, outputCol="__idx", handleInvalid="keep", stringOrderType=order).fit(train)
+    n_known = len(idx.labels)
+    enc = OneHotEncoder(inputCols=["__idx"], outputCols=["__vec"], dropLast=False,
+                        handleInvalid="keep").fit(idx.transform(train))
+    full = vector_to_array(F.col("__vec"))
+    start = 2 if drop_first else 1
+    kept = F.slice(full, start, n_known - start + 1)
+    return enc.transform(idx.transform(test)).withColumn(out, array_to_vector(kept)).drop("__idx", "__vec")
