@@ -65,11 +65,17 @@ def argmin_per_key(df: DataFrame, keys: list[str], score: str, tie: str, cols: l
 
 def argmax_per_key(df: DataFrame, keys: list[str], score: str, tie: str, cols: list[str]) -> DataFrame:
     """Highest score per key; ties to the lowest ``tie`` value."""
-    best = F.max(F.struct(F.col(score), (-F.col(tie)).alias("__neg_tie"), *[F.col(c) for c in cols
-                                                                           if c not in (score, tie)]))
+    best = F.max(F.struct(F.col(score), (-F.col(tie)).alias("__neg_tie"), F.col(tie),
+                          *[F.col(c) for c in cols if c not in (score, tie)]))
     return df.groupBy(*keys).agg(best.alias("__b")).select(*keys, "__b.*").drop("__neg_tie")
 
 
 def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int) -> DataFrame:
     w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
+
+
+def first_match(queries: DataFrame, dictionary: DataFrame, keys: list[str], word: str, value: str,
+                rank: str) -> DataFrame:
+    """Lowest-rank dictionary entry for each query word; words without entry are skipped."""
+    return queries.join(dictionary, word).groupBy(*keys).agg(F.min_by(value, rank).alias(value))

@@ -4,4 +4,6 @@ from tessera.plans.registry import ORACLES, QUERIES  # noqa: F401
 from tessera.plans import (  # noqa: F401
     flagship,
     cleaning,
+    relational,
+    profiling,
 )
