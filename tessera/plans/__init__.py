@@ -6,4 +6,5 @@ from tessera.plans import (  # noqa: F401
     cleaning,
     relational,
     profiling,
+    scalars,
 )
