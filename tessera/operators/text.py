@@ -59,13 +59,17 @@ def count_matrix(tok: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
     return tok.join(v, "token").groupBy(id_col, F.col("token").alias("term")).agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tfidf(counts: DataFrame, id_col: str, n_docs_df: DataFrame | None = None) -> DataFrame:
-    """tf * (ln((1+N)/(1+df)) + 1), L2-normalised per document (smoothed idf)."""
-    n = n_docs_df if n_docs_df is not None else counts.select(id_col).distinct().agg(F.count(F.lit(1)).alias("__N"))
-    df_t = counts.groupBy("term").agg(F.count(F.lit(1)).alias("__df"))
-    idf = df_t.crossJoin(F.broadcast(n)).select(
-        "term", (F.log((F.lit(1) + F.col("__N")) / (F.lit(1) + F.col("__df"))) + 1).alias("__idf"))
-    w = counts.join(idf, "term").withColumn("__w", F.col("tf") * F.col("__idf"))
+def idf_table(train_counts: DataFrame, id_col: str) -> DataFrame:
+    """Smoothed idf ``ln((1+N)/(1+df)) + 1`` learned on the training counts."""
+    n = train_counts.select(id_col).distinct().agg(F.count(F.lit(1)).alias("__N"))  # one row
+    df_t = train_counts.groupBy("term").agg(F.count_distinct(id_col).alias("__df"))
+    return df_t.crossJoin(F.broadcast(n)).select(
+        "term", (F.log((F.lit(1) + F.col("__N")) / (F.lit(1) + F.col("__df"))) + 1).alias("idf"))
+
+
+def tfidf(counts: DataFrame, idf: DataFrame, id_col: str) -> DataFrame:
+    """tf * idf, L2-normalised per document (long form)."""
+    w = counts.join(idf, "term").withColumn("__w", F.col("tf") * F.col("idf"))
     norm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("__w") * F.col("__w"))).alias("__norm"))
     return w.join(norm, id_col).select(id_col, "term", (F.col("__w") / F.col("__norm")).alias("tfidf"))
 
@@ -85,10 +89,12 @@ def char_ngrams(word: Column, n: int) -> Column:
 
 
 def char_wb_ngrams(word: Column, n: int) -> Column:
-    """n-grams of `` word `` (padded by one blank); a short padded word is one gram."""
+    """n-grams of `` word `` (padded by one blank); none when the padded word is
+    shorter than n (the padded word itself is the only gram when equal)."""
     p = F.concat(F.lit(" "), word, F.lit(" "))
-    return F.when(F.length(p) <= n, F.array(p)).otherwise(
-        F.transform(F.sequence(F.lit(1), F.length(p) - n + 1), lambda i: F.substring(p, i, n)))
+    return F.when(F.length(p) >= n, F.transform(F.sequence(F.lit(1), F.length(p) - n + 1),
+                                                lambda i: F.substring(p, i, n))
+                  ).otherwise(F.array().cast("array<string>"))
 
 
 def jaccard_distance(a: Column, b: Column) -> Column:

@@ -7,4 +7,5 @@ from tessera.plans import (  # noqa: F401
     relational,
     profiling,
     scalars,
+    text,
 )
