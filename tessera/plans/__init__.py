@@ -8,4 +8,5 @@ from tessera.plans import (  # noqa: F401
     profiling,
     scalars,
     text,
+    similarity,
 )
