@@ -9,4 +9,5 @@ from tessera.plans import (  # noqa: F401
     scalars,
     text,
     similarity,
+    sampling,
 )
