@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from tessera.functions.subquery import attach_row
 
 from tessera.operators.quantiles import quantiles
 
@@ -113,7 +114,7 @@ def drop_null_columns(df: DataFrame) -> DataFrame:
 def impute_mean(df: DataFrame, cols: list[str]) -> DataFrame:
     """Column mean imputation: one-row aggregate broadcast to every row."""
     means = df.agg(*[F.avg(c).alias(f"__mean_{c}") for c in cols])
-    out = df.crossJoin(F.broadcast(means))
+    out = attach_row(df, means)
     out = out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"__mean_{c}")) for c in cols})
     return out.drop(*[f"__mean_{c}" for c in cols])
 
@@ -142,7 +143,7 @@ def near_zero_variance(df: DataFrame, cols: list[str], freq_cut: float = 95 / 5,
         F.max(F.when(F.col("cnt") < F.col("top1"), F.col("cnt"))).alias("below"),
         F.first("top1").alias("top1"), F.first("n_unique").alias("n_unique"))
     top2 = F.when(F.col("n_top") > 1, F.col("top1")).otherwise(F.col("below"))
-    res = snd.crossJoin(F.broadcast(n_rows)).select(
+    res = attach_row(snd, n_rows).select(
         "column",
         F.when(F.col("n_unique") <= 1, F.lit(0.0)).otherwise(F.col("top1") / top2).alias("freq_ratio"),
         (F.lit(100.0) * F.col("n_unique") / F.col("n_rows")).alias("pct_unique"),
@@ -184,7 +185,7 @@ def iqr_fences(df: DataFrame, col: str, factor: float = 1.5, by: list[str] | tup
 
 def flag_outliers(df: DataFrame, col: str, factor: float = 1.5) -> DataFrame:
     f = iqr_fences(df, col, factor)
-    out = df.crossJoin(F.broadcast(f.select("lower", "upper")))  # one row
+    out = attach_row(df, f.select("lower", "upper"))
     x = F.col(col)
     return out.withColumn("is_outlier", (x < F.col("lower")) | (x > F.col("upper")))
 
@@ -195,7 +196,7 @@ def cap_iqr(df: DataFrame, cols: list[str], factor: float = 1.5) -> DataFrame:
     for c in cols:
         f = quantiles(out, c, [0.25, 0.75], (), [f"__q1_{c}", f"__q3_{c}"])
         up = (F.col(f"__q3_{c}") + factor * (F.col(f"__q3_{c}") - F.col(f"__q1_{c}"))).alias(f"__up_{c}")
-        out = (out.crossJoin(F.broadcast(f.select(up)))
+        out = (attach_row(out, f.select(up))
                .withColumn(c, F.least(F.col(c), F.col(f"__up_{c}"))).drop(f"__up_{c}"))
     return out
 
@@ -204,7 +205,7 @@ def cap_percentile(df: DataFrame, cols: list[str], p: float = 0.95) -> DataFrame
     out = df
     for c in cols:
         q = quantiles(df, c, [p], (), [f"__cap_{c}"])
-        out = out.crossJoin(F.broadcast(q))
+        out = attach_row(out, q)
     out = out.withColumns({c: F.least(F.col(c).cast("double"), F.col(f"__cap_{c}")) for c in cols})
     return out.drop(*[f"__cap_{c}" for c in cols])
 
@@ -229,14 +230,14 @@ def standard_scale(train: DataFrame, test: DataFrame, cols: list[str], ddof: int
     """Fit mean/std on ``train`` (population std by default), apply to ``test``."""
     sd = F.stddev_pop if ddof == 0 else F.stddev_samp
     stats = train.agg(*[F.avg(c).alias(f"__m_{c}") for c in cols], *[sd(c).alias(f"__s_{c}") for c in cols])
-    out = test.crossJoin(F.broadcast(stats))
+    out = attach_row(test, stats)
     out = out.withColumns({c: F.try_divide(F.col(c) - F.col(f"__m_{c}"), F.col(f"__s_{c}")) for c in cols})
     return out.drop(*[f"__m_{c}" for c in cols], *[f"__s_{c}" for c in cols])
 
 
 def minmax_scale(train: DataFrame, test: DataFrame, cols: list[str]) -> DataFrame:
     stats = train.agg(*[F.min(c).alias(f"__lo_{c}") for c in cols], *[F.max(c).alias(f"__hi_{c}") for c in cols])
-    out = test.crossJoin(F.broadcast(stats))
+    out = attach_row(test, stats)
     rng = {c: F.col(f"__hi_{c}") - F.col(f"__lo_{c}") for c in cols}
     out = out.withColumns({c: F.coalesce(F.try_divide(F.col(c) - F.col(f"__lo_{c}"), rng[c]), F.lit(0.0))
                            for c in cols})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tessera.functions.subquery import attach_row
 
 from tessera.operators.clean import unpivot_as_text
 from tessera.operators.quantiles import quantiles
@@ -13,7 +14,7 @@ def value_counts(df: DataFrame, cols: list[str], normalize: bool = False) -> Dat
     out = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
     if normalize:
         total = df.agg(F.count(F.lit(1)).alias("__total"))  # one row
-        out = out.crossJoin(F.broadcast(total)).withColumn("share", F.col("n") / F.col("__total")).drop("__total")
+        out = attach_row(out, total).withColumn("share", F.col("n") / F.col("__total")).drop("__total")
     return out
 
 
@@ -72,7 +73,7 @@ def collinear_pairs(corr_long: DataFrame, threshold: float) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int, by: list[str] | tuple = ()) -> DataFrame:
     """Equal-width bins over [min, max]; the max value falls in the last bin."""
     rng = df.agg(F.min(col).alias("__lo"), F.max(col).alias("__hi"))  # one row
-    x = df.select(*by, F.col(col).cast("double").alias("x")).crossJoin(F.broadcast(rng))
+    x = attach_row(df.select(*by, F.col(col).cast("double").alias("x")), rng)
     w = (F.col("__hi") - F.col("__lo")) / bins
     b = F.least(F.floor((F.col("x") - F.col("__lo")) / w), F.lit(bins - 1)).cast("int")
     b = F.when(w == 0, F.lit(0)).otherwise(b)
@@ -98,7 +99,7 @@ def box_stats(df: DataFrame, value: str, by: list[str], factor: float = 1.5) ->
 
 def std_coverage(df: DataFrame, col: str, ks=(1, 2, 3)) -> DataFrame:
     st = df.agg(F.avg(col).alias("__m"), F.stddev_samp(col).alias("__s"))  # one row
-    x = df.select(F.col(col).cast("double").alias("x")).crossJoin(F.broadcast(st))
+    x = attach_row(df.select(F.col(col).cast("double").alias("x")), st)
     aggs = [F.avg(((F.col("x") >= F.col("__m") - k * F.col("__s")) & (F.col("x") <= F.col("__m") + k * F.col("__s")))
                   .cast("double")).alias(f"within_{k}sd") for k in ks]
     return x.agg(*aggs)

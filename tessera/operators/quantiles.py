@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tessera.functions.subquery import attach_row
 
 from tessera.functions.ordering import prefix_sum
 
@@ -37,7 +38,7 @@ def quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | tup
     vc = base.groupBy(*by, value).agg(F.count(F.lit(1)).alias("__cnt"))
     vc = prefix_sum(vc, [*by, value], "__cnt", "__cum")
     g = vc.groupBy(*by).agg(F.sum("__cnt").alias("__tot"), F.min(F.col("__cum") - F.col("__cnt")).alias("__start"))
-    vc = vc.join(g, by) if by else vc.crossJoin(F.broadcast(g))  # no groups: one row
+    vc = vc.join(g, by) if by else attach_row(vc, g)  # no groups: one row
     vc = vc.withColumn("__ci", F.col("__cum") - F.col("__start"))
     aggs = []
     for p, n in zip(probs, names):

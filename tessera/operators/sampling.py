@@ -11,6 +11,7 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tessera.functions.subquery import attach_row
 
 from tessera.functions.hashing import portable_hash
 from tessera.functions.ordering import dense_index
@@ -106,4 +107,4 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     """``N / (n_classes * n_class)`` per class."""
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
     tot = c.agg(F.sum("__n").alias("__total"), F.count(F.lit(1)).alias("__k"))  # one row
-    return c.crossJoin(F.broadcast(tot)).select(label, (F.col("__total") / (F.col("__k") * F.col("__n"))).alias("weight"))
+    return attach_row(c, tot).select(label, (F.col("__total") / (F.col("__k") * F.col("__n"))).alias("weight"))

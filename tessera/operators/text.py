@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from tessera.functions.subquery import attach_row
 
 # Own tokeniser: a word (letter then letters/digits/underscore), a number, or
 # any other single non-blank character.
@@ -44,7 +45,7 @@ def vocabulary(tok: DataFrame, id_col: str, n_docs: int | None = None, min_df: i
     """
     stats = tok.groupBy("token").agg(F.count_distinct(id_col).alias("df"), F.count(F.lit(1)).alias("tf"))
     docs = tok.select(id_col).distinct().agg(F.count(F.lit(1)).alias("__n"))  # one row
-    v = stats.crossJoin(F.broadcast(docs)).where((F.col("df") >= min_df) & (F.col("df") <= F.col("__n") * max_df))
+    v = attach_row(stats, docs).where((F.col("df") >= min_df) & (F.col("df") <= F.col("__n") * max_df))
     if stop_words:
         v = v.where(~F.col("token").isin(*stop_words))
     v = v.drop("__n")
@@ -63,7 +64,7 @@ def idf_table(train_counts: DataFrame, id_col: str) -> DataFrame:
     """Smoothed idf ``ln((1+N)/(1+df)) + 1`` learned on the training counts."""
     n = train_counts.select(id_col).distinct().agg(F.count(F.lit(1)).alias("__N"))  # one row
     df_t = train_counts.groupBy("term").agg(F.count_distinct(id_col).alias("__df"))
-    return df_t.crossJoin(F.broadcast(n)).select(
+    return attach_row(df_t, n).select(
         "term", (F.log((F.lit(1) + F.col("__N")) / (F.lit(1) + F.col("__df"))) + 1).alias("idf"))
 
 

@@ -10,4 +10,6 @@ from tessera.plans import (  # noqa: F401
     text,
     similarity,
     sampling,
+    stats,
+    metrics,
 )

@@ -1,6 +1,7 @@
 """A rows: aggregates and profiles."""
 
 from pyspark.sql import functions as F
+from tessera.functions.subquery import attach_row
 
 from tessera.operators import profile as A
 from tessera.operators.quantiles import quantiles
@@ -99,7 +100,7 @@ def q_moments(spark, t):
     m = ev.agg(F.round(F.avg("value"), 6).alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"),
                F.round(F.stddev_samp("value"), 6).alias("std"))
     med = quantiles(ev, "value", [0.5], (), ["median"]).select(r6("median"))
-    return m.crossJoin(med)  # both one row
+    return attach_row(m, med)
 
 
 @query("agg_extreme_lookup", """

@@ -1,6 +1,7 @@
 """J, W and U rows: joins, rankings, top-k, set operations."""
 
 from pyspark.sql import functions as F
+from tessera.functions.subquery import attach_row
 
 from tessera.functions.ordering import dense_index
 from tessera.operators import relational as R
@@ -92,7 +93,7 @@ def q_zscore(spark, t):
     ev = t.events.select("event_id", "event_type", "value")
     st = ev.agg(F.avg("value").alias("m"), F.stddev_pop("value").alias("s"))  # one row
     g = ev.groupBy("event_type").agg(F.avg("value").alias("gm"), F.stddev_pop("value").alias("gs"))
-    out = ev.crossJoin(F.broadcast(st)).join(g, "event_type")
+    out = attach_row(ev, st).join(g, "event_type")
     z = (F.col("value") - F.col("m")) / F.col("s")
     return out.select("event_id", F.round(z, 6).alias("z"), (F.abs(z) > 3).alias("is_outlier"),
                       F.round((F.col("value") - F.col("gm")) / F.col("gs"), 6).alias("z_in_type"))
