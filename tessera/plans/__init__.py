@@ -12,4 +12,5 @@ from tessera.plans import (  # noqa: F401
     sampling,
     stats,
     metrics,
+    io,
 )
