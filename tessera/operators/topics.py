@@ -1,0 +1,30 @@
+"""Topic models (T20-T22): Spark ML ``CountVectorizer`` + ``LDA`` (online EM),
+distributed over documents; topic naming by a similarity join."""
+
+from __future__ import annotations
+
+from pyspark.ml.clustering import LDA
+from pyspark.ml.feature import CountVectorizer, StopWordsRemover
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def fit_lda(docs: DataFrame, tokens_col: str, k: int, max_iter: int = 10, seed: int = 1, min_df: float = 2,
+            max_df: float = 0.5, vocab_size: int = 2000, stop_words: list[str] | None = None):
+    clean = docs
+    if stop_words:
+        clean = StopWordsRemover(inputCol=tokens_col, outputCol="__tok", stopWords=stop_words).transform(docs)
+        tokens_col = "__tok"
+    cv = CountVectorizer(inputCol=tokens_col, outputCol="tf", minDF=min_df, maxDF=max_df, vocabSize=vocab_size).fit(clean)
+    counted = cv.transform(clean)
+    lda = LDA(k=k, maxIter=max_iter, seed=seed, featuresCol="tf", optimizer="online").fit(counted)
+    return cv, lda, counted
+
+
+def topic_words(spark, cv, lda, m: int) -> DataFrame:
+    """``(topic, rank, word, weight)`` for the m top words of every topic."""
+    vocab = cv.vocabulary
+    d = lda.describeTopics(m)
+    rows = [(int(r.topic), i, vocab[t], float(w)) for r in d.collect()  # k x m rows: parameter-sized
+            for i, (t, w) in enumerate(zip(r.termIndices, r.termWeights))]
+    return spark.createDataFrame(rows, "topic int, rank int, word string, weight double")

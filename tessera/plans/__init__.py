@@ -13,4 +13,5 @@ from tessera.plans import (  # noqa: F401
     stats,
     metrics,
     io,
+    models,
 )
