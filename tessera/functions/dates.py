@@ -1,6 +1,6 @@
 """Date extraction from free text (F1-F4): a cascade of patterns, first hit wins.
 
-The whole cascade is one projection (``coalesce`` of branches), evaluated in
+The whole cascade is one projection (a ``CASE WHEN`` chain), evaluated in
 whole-stage code generation; no Python worker is involved.
 """
 
@@ -47,16 +47,21 @@ def _make(y: Column, m: Column, d: Column) -> Column:
     return F.to_date(F.try_to_timestamp(txt, F.lit("yyyy-MM-dd")))
 
 
-def _branch(text: Column, pattern: str, parts: tuple) -> Column:
+def _parse(text: Column, pattern: str, parts: tuple) -> Column:
     g = {name: F.regexp_extract(text, pattern, i + 1) for i, name in enumerate(parts)}
-    hit = text.rlike(pattern)
     y = two_digit_year(g["yy"]) if "yy" in g else g["y"]
     m = month_number(g["mon"]) if "mon" in g else (g["m"] if "m" in g else F.lit("1"))
     d = g.get("d", F.lit("1"))
-    return F.when(hit, _make(y, m, d))
+    return _make(y, m, d)
 
 
 def extract_date(text) -> Column:
-    """First date found in ``text`` by the pattern cascade; missing day/month = 1."""
+    """Date of the first pattern (in priority order) that matches ``text``;
+    missing day/month = 1. An impossible date (9/31/2009) gives NULL: the
+    matching pattern decides, later patterns are not tried."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(*[_branch(c, p, parts) for _, p, parts in PATTERNS])
+    out = None
+    for _, p, parts in PATTERNS:
+        hit = c.rlike(p)
+        out = F.when(hit, _parse(c, p, parts)) if out is None else out.when(hit, _parse(c, p, parts))
+    return out

@@ -3,8 +3,9 @@
 A window ``row_number() OVER (ORDER BY k)`` without a partition spec moves
 every row into one task. Here the order is cut into ranges instead:
 
-1. a bounded sample of the order keys (sorted by Spark, so ordering rules are
-   Spark's) gives ``n - 1`` boundaries;
+1. a fixed-size sample of the order keys (the rows with the smallest hash of
+   their keys: a bounded top-k per task, no count needed), sorted by Spark so
+   ordering rules are Spark's, gives ``n - 1`` boundaries;
 2. each row gets its range id from a pure expression of its own keys (a
    balanced tree of comparisons), so re-execution after a lost executor
    assigns the same range, and the key columns include a unique tie-breaker
@@ -59,13 +60,13 @@ def with_range_id(df: DataFrame, keys: list[str], n_ranges: int | None = None,
     """Attach ``__range_id`` so that ranges follow the order of ``keys``."""
     spark = df.sparkSession
     n = n_ranges or _default_ranges(spark)
-    total = df.count()
-    if total == 0 or n == 1:
+    if n == 1:
         return df.withColumn(_RANGE, F.lit(0)), 1
+    # Uniform sample of fixed size without a count: the rows with the smallest
+    # hash of their keys (a bounded top-k per task), sorted by Spark.
     want = n * sample_per_range
-    frac = min(1.0, want / total)
-    sample = (df.select(*keys).sample(False, frac, seed).orderBy(*keys).collect()
-              if frac < 1.0 else df.select(*keys).orderBy(*keys).collect())
+    sample = (df.select(*keys).withColumn("__sh", F.xxhash64(*keys, F.lit(seed)))
+              .orderBy("__sh", *keys).limit(want).select(*keys).orderBy(*keys).collect())
     if not sample:
         return df.withColumn(_RANGE, F.lit(0)), 1
     step = max(1, len(sample) // n)
@@ -100,7 +101,7 @@ def dense_index(df: DataFrame, keys: list[str], out: str = "row_idx",
     ``keys`` must be non-null and together unique for a deterministic result.
     """
     ranged, n = with_range_id(df, keys, n_ranges)
-    counts = {r[0]: r[1] for r in ranged.groupBy(_RANGE).count().collect()}
+    counts = {r[0]: r[1] for r in ranged.groupBy(_RANGE).count().collect()}  # <= n rows
     offs = _offsets(counts, n)
     w = Window.partitionBy(_RANGE).orderBy(*keys)
     return (ranged.withColumn(out, (F.row_number().over(w) - 1 + _offset_col(offs, "bigint") + start))

@@ -36,6 +36,10 @@ def quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | tup
         out = base.groupBy(*by).agg(pa.alias("__qs"))
         return out.select(*by, *[F.col("__qs")[i].alias(n) for i, n in enumerate(names)])
     vc = base.groupBy(*by, value).agg(F.count(F.lit(1)).alias("__cnt"))
+    # The value-count table is read by several passes (count, sample, range
+    # sizes, numbering): write it once to the shared checkpoint folder instead
+    # of re-running the upstream plan for each pass.
+    vc = vc.checkpoint(eager=True)
     vc = prefix_sum(vc, [*by, value], "__cnt", "__cum")
     g = vc.groupBy(*by).agg(F.sum("__cnt").alias("__tot"), F.min(F.col("__cum") - F.col("__cnt")).alias("__start"))
     vc = vc.join(g, by) if by else attach_row(vc, g)  # no groups: one row

@@ -215,40 +215,40 @@ def q_dedup(spark, t):
 
 @query("outlier_fences", """
 WITH q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events)
-SELECT event_id, value, round(q1 - 1.5 * (q3 - q1), 4) AS lower, round(q3 + 1.5 * (q3 - q1), 4) AS upper
+SELECT event_id, value, round(q1 - 1.5 * (q3 - q1), 9) AS lower, round(q3 + 1.5 * (q3 - q1), 9) AS upper
 FROM events, q WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""")
 def q_fences(spark, t):
     f = C.flag_outliers(t.events.select("event_id", "value"), "value", 1.5)
     return f.where("is_outlier").select("event_id", "value",
-                                        F.round("lower", 4).alias("lower"), F.round("upper", 4).alias("upper"))
+                                        F.round("lower", 9).alias("lower"), F.round("upper", 9).alias("upper"))
 
 
 @query("outlier_cap_iqr", """
 WITH c0 AS (SELECT c_custkey, greatest(c_acctbal, 0.0) AS bal FROM customer),
 q AS (SELECT quantile_cont(bal, 0.25) AS q1, quantile_cont(bal, 0.75) AS q3 FROM c0)
-SELECT c_custkey, round(least(bal, q3 + 0.5 * (q3 - q1)), 4) AS c_acctbal FROM c0, q""")
+SELECT c_custkey, round(least(bal, q3 + 0.5 * (q3 - q1)), 9) AS c_acctbal FROM c0, q""")
 def q_cap_iqr(spark, t):
     out = C.cap_iqr(t.customer.select("c_custkey", "c_acctbal"), ["c_acctbal"], factor=0.5)
-    return out.select("c_custkey", F.round("c_acctbal", 4).alias("c_acctbal"))
+    return out.select("c_custkey", F.round("c_acctbal", 9).alias("c_acctbal"))
 
 
 @query("outlier_cap_pct", """
 WITH q AS (SELECT quantile_cont(l_extendedprice, 0.95) AS p, quantile_cont(l_quantity, 0.95) AS qq FROM lineitem)
-SELECT l_orderkey, l_linenumber, round(least(l_extendedprice, p), 4) AS l_extendedprice,
-       round(least(l_quantity, qq), 4) AS l_quantity FROM lineitem, q""")
+SELECT l_orderkey, l_linenumber, round(least(l_extendedprice, p), 9) AS l_extendedprice,
+       round(least(l_quantity, qq), 9) AS l_quantity FROM lineitem, q""")
 def q_cap_pct(spark, t):
     out = C.cap_percentile(t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"),
                            ["l_extendedprice", "l_quantity"], 0.95)
-    return out.select("l_orderkey", "l_linenumber", F.round("l_extendedprice", 4).alias("l_extendedprice"),
-                      F.round("l_quantity", 4).alias("l_quantity"))
+    return out.select("l_orderkey", "l_linenumber", F.round("l_extendedprice", 9).alias("l_extendedprice"),
+                      F.round("l_quantity", 9).alias("l_quantity"))
 
 
 @query("rule_override", """
-SELECT o_orderkey, round(CASE WHEN o_orderpriority = '1-URGENT' THEN 52.0 ELSE o_totalprice * 0.9 END, 4) AS pred
+SELECT o_orderkey, round(CASE WHEN o_orderpriority = '1-URGENT' THEN 52.0 ELSE o_totalprice * 0.9 END, 9) AS pred
 FROM orders""")
 def q_rule(spark, t):
     o = t.orders.withColumn("pred", F.col("o_totalprice") * 0.9)
-    return o.select("o_orderkey", F.round(C.rule_override("pred", F.col("o_orderpriority") == "1-URGENT", 52.0), 4)
+    return o.select("o_orderkey", F.round(C.rule_override("pred", F.col("o_orderpriority") == "1-URGENT", 52.0), 9)
                     .alias("pred"))
 
 
