@@ -14,4 +14,5 @@ from tessera.plans import (  # noqa: F401
     metrics,
     io,
     models,
+    neighbors,
 )
