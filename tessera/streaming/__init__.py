@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The surveyed workloads have no stream source, watermark, time window or
+stateful operator; timestamps are only parsed into features (see
+``tessera.functions.scalars``). Every operator in this package is a plain
+``DataFrame -> DataFrame`` function, so the stateless ones (projections,
+scalar functions, text tokenising, model scoring with a fitted
+``PipelineModel``) can be applied unchanged to a streaming DataFrame from
+``spark.readStream``; nothing stream-specific is built.
+"""
