@@ -2,8 +2,7 @@
 
 Everything is a column expression except where a statistic must be learned
 first (means, quartiles, min/max): then one aggregate produces a single row
-that is joined back with a broadcast hint, a size bound that holds by
-construction (one row, whatever the input size).
+whose values are attached as scalar subqueries (no join at all).
 """
 
 from __future__ import annotations
