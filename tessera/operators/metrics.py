@@ -92,8 +92,9 @@ def confusion(df: DataFrame, label: str, pred: str, classes: list) -> DataFrame:
 
 def _score_table(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
     y = (F.col(label) == F.lit(positive)).cast("long")
-    return df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
-        F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+    st = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+    # one row per distinct score, read by several passes of the running sums
+    return st.checkpoint(eager=True)
 
 
 def curve_points(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:

@@ -21,7 +21,6 @@ def closure(edges: DataFrame, root: str | None = None, max_depth: int = 64,
     e = edges.select(F.col("child"), F.col("parent"))
     nodes = e.select(F.col("child").alias("node")).union(e.select(F.col("parent").alias("node"))).distinct()
     acc = nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth"))
-    frontier = acc.where(F.col("node") != F.col("ancestor"))  # empty, same schema
     frontier = acc
     for d in range(1, max_depth + 1):
         frontier = (frontier.join(e, frontier.ancestor == e.child)
@@ -31,8 +30,9 @@ def closure(edges: DataFrame, root: str | None = None, max_depth: int = 64,
         if frontier.isEmpty():
             break
         acc = acc.unionByName(frontier)
-    # a DAG may reach one ancestor by several routes: keep the shortest
-    return acc.groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
+    # a DAG may reach one ancestor by several routes: keep the shortest. The
+    # closure is read by every similarity join: materialise it once.
+    return acc.groupBy("node", "ancestor").agg(F.min("depth").alias("depth")).checkpoint(eager=True)
 
 
 def pair_similarity(pairs: DataFrame, clo: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
 from tessera.functions.subquery import attach_row
 
 # Own tokeniser: a word (letter then letters/digits/underscore), a number, or
@@ -35,16 +36,26 @@ def token_freq(tok: DataFrame) -> DataFrame:
     return tok.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
-def vocabulary(tok: DataFrame, id_col: str, n_docs: int | None = None, min_df: int = 1,
-               max_df: float = 1.0, stop_words: list[str] | None = None,
-               max_features: int | None = None) -> DataFrame:
+def doc_term_counts(tok: DataFrame, id_col: str, materialize: bool = True) -> DataFrame:
+    """``(id, token, n)``: the token table reduced to one row per document and term.
+
+    Vocabulary statistics and count matrices are all derived from it, so the
+    regex pass over the raw text runs once; it is written to the shared
+    checkpoint folder when ``materialize``.
+    """
+    dt = tok.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("n"))
+    return dt.checkpoint(eager=True) if materialize else dt
+
+
+def vocabulary_from_counts(dt: DataFrame, id_col: str, min_df: int = 1, max_df: float = 1.0,
+                           stop_words: list[str] | None = None, max_features: int | None = None) -> DataFrame:
     """Terms kept by document-frequency limits, stop words and a top-k by corpus count.
 
     Only ``max_features`` (when given) is a limit, and that is the feature:
     the k most frequent terms, ties by term.
     """
-    stats = tok.groupBy("token").agg(F.count_distinct(id_col).alias("df"), F.count(F.lit(1)).alias("tf"))
-    docs = tok.select(id_col).distinct().agg(F.count(F.lit(1)).alias("__n"))  # one row
+    stats = dt.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf"))
+    docs = dt.select(id_col).distinct().agg(F.count(F.lit(1)).alias("__n"))  # one row
     v = attach_row(stats, docs).where((F.col("df") >= min_df) & (F.col("df") <= F.col("__n") * max_df))
     if stop_words:
         v = v.where(~F.col("token").isin(*stop_words))
@@ -54,6 +65,17 @@ def vocabulary(tok: DataFrame, id_col: str, n_docs: int | None = None, min_df: i
     return v.withColumnRenamed("token", "term")
 
 
+def vocabulary(tok: DataFrame, id_col: str, min_df: int = 1, max_df: float = 1.0,
+               stop_words: list[str] | None = None, max_features: int | None = None) -> DataFrame:
+    return vocabulary_from_counts(doc_term_counts(tok, id_col), id_col, min_df, max_df, stop_words, max_features)
+
+
+def counts_on_vocabulary(dt: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
+    """Long-form document-term counts restricted to a fitted vocabulary."""
+    v = vocab.select(F.col("term").alias("token"))
+    return dt.join(v, "token").select(id_col, F.col("token").alias("term"), F.col("n").alias("tf"))
+
+
 def count_matrix(tok: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
     """Long-form document-term counts on a fitted vocabulary (transform only)."""
     v = vocab.select(F.col("term").alias("token"))

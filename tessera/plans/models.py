@@ -34,7 +34,8 @@ def doc_frame(t):
                  (F.regexp_count("text", F.lit("[aeiou]")) / n).alias("vowel_share"),
                  (F.regexp_count("text", F.lit("[A-Z]")) / n).alias("upper_share"))
     u = portable_hash("doc_id", seed=42) % 1000000
-    return ML.assemble(f.withColumn("split", F.when(u < 750000, "train").otherwise("test")), DOC_FEATURES)
+    f = ML.assemble(f.withColumn("split", F.when(u < 750000, "train").otherwise("test")), DOC_FEATURES)
+    return f.checkpoint(eager=True)  # iterative fits re-read it: compute the text statistics once
 
 
 def lang_frame(t):
@@ -46,7 +47,7 @@ def lang_frame(t):
     idx = F.array_position(F.array(*[F.lit(c) for c in ["de", "en", "es", "fr"]]), F.col("lang")) - 1
     u = portable_hash("doc_id", seed=42) % 1000000
     f = f.withColumn("label", idx.cast("double")).withColumn("split", F.when(u < 750000, "train").otherwise("test"))
-    return ML.assemble(f, [f"share_{c}" for c in LANG_MARKS])
+    return ML.assemble(f, [f"share_{c}" for c in LANG_MARKS]).checkpoint(eager=True)
 
 
 def reg_frame(t):
@@ -54,7 +55,7 @@ def reg_frame(t):
                            "l_quantity", "l_discount", "l_tax", "l_returnflag")
     u = portable_hash(F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")),
                       seed=42) % 1000000
-    return li.withColumn("split", F.when(u < 800000, "train").otherwise("test"))
+    return li.withColumn("split", F.when(u < 800000, "train").otherwise("test")).checkpoint(eager=True)
 
 
 def _train_test(f):

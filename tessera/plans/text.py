@@ -107,13 +107,13 @@ def _vocab_sql(where=""):
     ORDER BY tf DESC, term LIMIT 1000)"""
 
 
-def _vocab(tok):
-    return X.vocabulary(tok, "doc_id", min_df=2, max_df=0.5, stop_words=STOP_WORDS, max_features=1000)
+def _vocab(dt):
+    return X.vocabulary_from_counts(dt, "doc_id", min_df=2, max_df=0.5, stop_words=STOP_WORDS, max_features=1000)
 
 
 @query("text_vocabulary", f"SELECT * FROM {_vocab_sql()}")
 def q_vocabulary(spark, t):
-    return _vocab(doc_tokens(t, True, X.VECTOR_TOKEN))
+    return _vocab(X.doc_term_counts(doc_tokens(t, True, X.VECTOR_TOKEN), "doc_id"))
 
 
 _TRAIN = "WHERE doc_id IN (SELECT doc_id FROM labels)"
@@ -123,10 +123,10 @@ _COUNTS_SQL = f"""(SELECT doc_id, token AS term, count(*) AS tf FROM
 
 
 def _train_vocab_counts(t):
-    tok = doc_tokens(t, True, X.VECTOR_TOKEN)
-    train_tok = tok.join(t.labels.select("doc_id"), "doc_id", "left_semi")
-    vocab = _vocab(train_tok)
-    return train_tok, vocab, X.count_matrix(tok, vocab, "doc_id")
+    dt = X.doc_term_counts(doc_tokens(t, True, X.VECTOR_TOKEN), "doc_id")
+    train_dt = dt.join(t.labels.select("doc_id"), "doc_id", "left_semi")
+    vocab = _vocab(train_dt)
+    return train_dt, vocab, X.counts_on_vocabulary(dt, vocab, "doc_id")
 
 
 @query("text_count_matrix", f"SELECT * FROM {_COUNTS_SQL}")
@@ -142,8 +142,8 @@ SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS tfidf FR
 
 
 def _tfidf(t):
-    train_tok, vocab, counts = _train_vocab_counts(t)
-    train_counts = counts.join(train_tok.select("doc_id").distinct(), "doc_id", "left_semi")
+    train_dt, vocab, counts = _train_vocab_counts(t)
+    train_counts = counts.join(t.labels.select("doc_id"), "doc_id", "left_semi")
     return X.tfidf(counts, X.idf_table(train_counts, "doc_id"), "doc_id")
 
 
