@@ -110,7 +110,26 @@ def q_smote(spark, t):
                     F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 6).alias("vec_sum"))
 
 
-@query("balance_smote_enn")
+_SMOTE_CTE = f"""cls AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),
+mm AS (SELECT arg_min(label, (n, label)) AS minority, min(n) AS n_min, max(n) AS n_max FROM cls),
+mi AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, row_number() OVER (ORDER BY vec_id) - 1 AS idx
+       FROM embeddings WHERE label = (SELECT minority FROM mm)),
+d AS (SELECT a.vec_id AS q, b.vec_id AS n, {_d2('a.v', 'b.v')} AS d2 FROM mi a, mi b WHERE a.vec_id <> b.vec_id),
+r AS (SELECT q, n, row_number() OVER (PARTITION BY q ORDER BY d2, n) AS rk FROM d),
+draws AS (SELECT range AS synthetic_id, {_h('range', '0:base')} % (SELECT n_min FROM mm) AS idx,
+                 {_h('range', '0:nbr')} % {K} + 1 AS rk, {_h('range', '0:u')} / 4294967296.0 AS u
+          FROM range((SELECT n_max - n_min FROM mm))),
+syn AS (SELECT -1 - synthetic_id AS vec_id, (SELECT minority FROM mm) AS label,
+          list_transform(range(1, len(base.v) + 1), lambda i: base.v[i] + u * (nb.v[i] - base.v[i])) AS v
+        FROM draws JOIN mi base USING (idx) JOIN r ON r.q = base.vec_id AND r.rk = draws.rk JOIN mi nb ON nb.vec_id = r.n)"""
+
+
+@query("balance_smote_enn", f"""
+WITH {_SMOTE_CTE},
+allr AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings UNION ALL SELECT vec_id, label, v FROM syn),
+dd AS (SELECT a.vec_id AS q, a.label AS ql, b.label AS nl, row_number() OVER (PARTITION BY a.vec_id ORDER BY {_d2('a.v', 'b.v')}, b.vec_id) AS rk
+       FROM allr a, allr b WHERE a.vec_id <> b.vec_id)
+SELECT q AS vec_id, any_value(ql) AS label FROM dd WHERE rk <= 3 GROUP BY q HAVING min(CAST(ql = nl AS INTEGER)) = 1""")
 def q_smote_enn(spark, t):
     mino, n_new, minority = _minority(t)
     s = N.smote(mino, n_new, K, "vec_id", "embedding", seed=0)
