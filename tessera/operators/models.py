@@ -8,6 +8,12 @@ model parameters reach the driver.
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,13 +33,6 @@ def majority_baseline(train: DataFrame, test: DataFrame, label: str, out: str =
 
 # ---- shared helpers ------------------------------------------------------------
 
-import math  # noqa: E402
-
-import numpy as np  # noqa: E402
-from pyspark.ml import Pipeline, PipelineModel  # noqa: E402
-from pyspark.ml.feature import VectorAssembler  # noqa: E402
-from pyspark.ml.functions import vector_to_array  # noqa: E402
-
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(df)

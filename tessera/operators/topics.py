@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer, StopWordsRemover
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def fit_lda(docs: DataFrame, tokens_col: str, k: int, max_iter: int = 10, seed: int = 1, min_df: float = 2,

@@ -198,7 +198,6 @@ def q_linear_svm(spark, t):
 @query("model_rbf_svm")
 def q_rbf_svm(spark, t):
     f = doc_frame(t).drop("features")
-    sc_cols = ["vowel_share", "upper_share"]
     stats = f.agg(*[F.avg(c).alias(f"m_{c}") for c in DOC_FEATURES], *[F.stddev_pop(c).alias(f"s_{c}") for c in DOC_FEATURES])
     z = attach_row(f, stats).withColumns({f"z_{c}": (F.col(c) - F.col(f"m_{c}")) / F.col(f"s_{c}") for c in DOC_FEATURES})
     z = ML.random_fourier_features(z, [f"z_{c}" for c in DOC_FEATURES], 50, gamma=0.2, seed=3)
@@ -206,7 +205,6 @@ def q_rbf_svm(spark, t):
     tr, te = _train_test(z)
     m = LinearSVC(featuresCol="features", labelCol="label", regParam=0.01, maxIter=50).fit(tr)
     p = m.transform(te)
-    del sc_cols
     return M.binary_metrics(p, "label", "prediction", 1.0).withColumn("model", F.lit("rbf_svm_rff50"))
 
 
