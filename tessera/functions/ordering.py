@@ -14,10 +14,17 @@ every row into one task. Here the order is cut into ranges instead:
    only data that reaches the driver;
 4. a window partitioned by range id numbers rows inside each range; the
    range offset is added from a literal array of ``n`` numbers.
+
+Keys are compared in an order-preserving numeric form (timestamps as
+microseconds). Up to 128 ranges the range id is a comparison tree (generated
+code); beyond that, a vectorised binary search over Arrow batches, because the
+tree would outgrow a generated method.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,6 +62,55 @@ def _default_ranges(spark) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+# Above this many boundaries the comparison tree is too large for generated
+# code; a vectorised binary search (numpy, Arrow batches) takes over.
+TREE_MAX_BOUNDS = 127
+
+
+def _encode(col: str, dtype: T.DataType) -> Column:
+    """Order-preserving numeric form of a key (timestamps and dates as integers)."""
+    c = F.col(col)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp"))
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c)
+    if isinstance(dtype, T.BooleanType):
+        return c.cast("int")
+    return c
+
+
+def _search_udf(bounds: list[tuple]):
+    """Vectorised ``#{b in bounds : b <= key}`` for lexicographic keys."""
+    cols = list(zip(*bounds))
+    barr = [np.array(c, dtype=object) if isinstance(c[0], str) else np.array(c) for c in cols]
+    m = len(bounds)
+
+    @F.pandas_udf("int")
+    def search(keys: pd.DataFrame) -> pd.Series:
+        vals = [keys[c].to_numpy(dtype=object) if barr[i].dtype == object else keys[c].to_numpy()
+                for i, c in enumerate(keys.columns)]
+        n = len(keys)
+        lo = np.zeros(n, dtype=np.int64)
+        hi = np.full(n, m, dtype=np.int64)
+        while True:
+            active = lo < hi
+            if not active.any():
+                break
+            mid = np.minimum((lo + hi) // 2, m - 1)
+            ge = np.ones(n, dtype=bool)
+            decided = np.zeros(n, dtype=bool)
+            for v, b in zip(vals, barr):
+                bm = b[mid]
+                gt, lt = v > bm, v < bm
+                ge = np.where(~decided & gt, True, np.where(~decided & lt, False, ge))
+                decided |= gt | lt
+            lo = np.where(active & ge, mid + 1, lo)
+            hi = np.where(active & ~ge, mid, hi)
+        return pd.Series(lo.astype(np.int32))
+
+    return search
+
+
 def with_range_id(df: DataFrame, keys: list[str], n_ranges: int | None = None,
                   sample_per_range: int = 64, seed: int = 17) -> tuple[DataFrame, int]:
     """Attach ``__range_id`` so that ranges follow the order of ``keys``."""
@@ -62,13 +118,14 @@ def with_range_id(df: DataFrame, keys: list[str], n_ranges: int | None = None,
     n = n_ranges or _default_ranges(spark)
     if n == 1:
         return df.withColumn(_RANGE, F.lit(0)), 1
+    enc = {f"__e{i}": _encode(k, df.schema[k].dataType) for i, k in enumerate(keys)}
+    ecols = list(enc)
+    keyed = df.withColumns(enc)
     # Uniform sample of fixed size without a count: the rows with the smallest
     # hash of their keys (a bounded top-k per task), sorted by Spark.
     want = n * sample_per_range
-    sample = (df.select(*keys).withColumn("__sh", F.xxhash64(*keys, F.lit(seed)))
-              .orderBy("__sh", *keys).limit(want).select(*keys).orderBy(*keys).collect())
-    if not sample:
-        return df.withColumn(_RANGE, F.lit(0)), 1
+    sample = (keyed.select(*ecols).withColumn("__sh", F.xxhash64(*ecols, F.lit(seed)))
+              .orderBy("__sh", *ecols).limit(want).select(*ecols).orderBy(*ecols).collect())
     step = max(1, len(sample) // n)
     bounds = []
     for i in range(step, len(sample), step):
@@ -76,9 +133,14 @@ def with_range_id(df: DataFrame, keys: list[str], n_ranges: int | None = None,
         if not bounds or b != bounds[-1]:
             bounds.append(b)
     bounds = bounds[: n - 1]
-    types = [df.schema[k].dataType for k in keys]
-    cols = [F.col(k) for k in keys]
-    return df.withColumn(_RANGE, _range_expr(cols, bounds, types)), len(bounds) + 1
+    if not bounds:
+        return df.withColumn(_RANGE, F.lit(0)), 1
+    if len(bounds) <= TREE_MAX_BOUNDS:
+        types = [keyed.schema[e].dataType for e in ecols]
+        rid = _range_expr([F.col(e) for e in ecols], bounds, types)
+    else:
+        rid = _search_udf(bounds)(F.struct(*[F.col(e) for e in ecols]))
+    return keyed.withColumn(_RANGE, rid).drop(*ecols), len(bounds) + 1
 
 
 def _offsets(per_range: dict, n: int) -> list:

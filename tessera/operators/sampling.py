@@ -19,10 +19,20 @@ from tessera.functions.ordering import dense_index
 SCALE = 1_000_000
 
 
+TOPK_LIMIT = 100_000  # above this a top-k would gather too many rows in one task
+
+
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """n rows without replacement: the n smallest hashes (the limit is the feature)."""
-    return (df.withColumn("__h", portable_hash(key, seed=seed))
-            .orderBy("__h", key).limit(n).drop("__h"))
+    """n rows without replacement: the n smallest hashes (the limit is the feature).
+
+    Small n: a top-k (k rows per task, then merged). Large n (data-sized, as in
+    undersampling): distributed numbering by ``(H, key)`` and a filter, so no
+    task ever holds more than its own range.
+    """
+    h = df.withColumn("__h", portable_hash(key, seed=seed))
+    if n <= TOPK_LIMIT:
+        return h.orderBy("__h", key).limit(n).drop("__h")
+    return dense_index(h, ["__h", key], "__i").where(F.col("__i") < n).drop("__h", "__i")
 
 
 def draws_with_replacement(df: DataFrame, key: str, n_draws: int, seed: int = 0,

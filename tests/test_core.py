@@ -68,3 +68,27 @@ def test_grouped_quantiles_match_numpy(spark):
 def test_quantiles_of_empty_and_single(spark):
     one = spark.createDataFrame([(5.0,)], "v double")
     assert quantiles(one, "v", [0.25, 0.75], names=["a", "b"]).first().asDict() == {"a": 5.0, "b": 5.0}
+
+
+def test_dense_index_vectorised_search_path(spark):
+    # more than 128 ranges: the range id comes from the vectorised binary search
+    import datetime
+    rows = [(i, f"k{(i * 7) % 13:02d}", datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=(i * 37) % 500))
+            for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, s string, ts timestamp")
+    got = dense_index(df, ["ts", "s", "id"], "idx", n_ranges=300)
+    ref = df.withColumn("ref", F.row_number().over(Window.orderBy("ts", "s", "id")) - 1)
+    assert got.join(ref, "id").where(F.col("idx") != F.col("ref")).count() == 0
+
+
+def test_sample_n_large_uses_numbering(spark):
+    from tessera.operators import sampling as S
+    df = spark.range(3000).withColumnRenamed("id", "k")
+    small = S.sample_n(df, "k", 1200, seed=3)
+    old = S.TOPK_LIMIT
+    try:
+        S.TOPK_LIMIT = 10
+        big = S.sample_n(df, "k", 1200, seed=3)
+    finally:
+        S.TOPK_LIMIT = old
+    assert big.count() == 1200 and small.exceptAll(big).count() == 0
