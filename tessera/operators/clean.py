@@ -215,11 +215,24 @@ def rule_override(pred, rule: Column, value) -> Column:
 
 # ---- P26-P31: encoding, scaling, features ------------------------------------
 
+MAX_LEVELS = 1000
+
+
+def distinct_levels(df: DataFrame, col: str, max_levels: int = MAX_LEVELS) -> list:
+    """Sorted distinct values of a categorical column, with a checked bound:
+    at most ``max_levels + 1`` values are fetched, and more is an error (pass
+    the levels explicitly for a wide column)."""
+    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_levels + 1).collect()
+    if len(rows) > max_levels:
+        raise ValueError(f"{col} has more than {max_levels} levels; pass them explicitly")
+    return sorted(r[0] for r in rows)
+
+
 def dummies(df: DataFrame, col: str, levels: list | None = None, drop_first: bool = False,
             prefix: str | None = None) -> DataFrame:
     """0/1 column per level (levels sorted; learned with one distinct if absent)."""
-    if levels is None:  # bounded: a categorical column has few levels
-        levels = sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
+    if levels is None:
+        levels = distinct_levels(df, col)
     use = levels[1:] if drop_first else levels
     pre = prefix or col
     return df.withColumns({f"{pre}_{v}": (F.col(col) == F.lit(v)).cast("int") for v in use})

@@ -14,6 +14,7 @@ from pyspark.sql import Window
 
 from tessera.functions.ordering import prefix_sums
 from tessera.functions.subquery import attach_row
+from tessera.operators.clean import distinct_levels
 
 
 def _div(a, b):
@@ -49,9 +50,9 @@ def per_class(df: DataFrame, label: str, pred: str, classes: list) -> DataFrame:
 
 
 def class_list(df: DataFrame, label: str, pred: str) -> list:
-    """Distinct classes (a categorical label has few; bounded by construction)."""
-    rows = df.select(F.col(label).alias("c")).union(df.select(F.col(pred).alias("c"))).distinct().collect()
-    return sorted(r[0] for r in rows if r[0] is not None)
+    """Distinct classes of label and prediction (checked bound, see ``distinct_levels``)."""
+    both = df.select(F.col(label).alias("c")).union(df.select(F.col(pred).alias("c")))
+    return distinct_levels(both, "c")
 
 
 def macro(df: DataFrame, label: str, pred: str, classes: list) -> DataFrame:
