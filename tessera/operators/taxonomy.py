@@ -15,21 +15,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def closure(edges: DataFrame, root: str | None = None, max_depth: int = 64,
-            checkpoint_every: int = 8) -> DataFrame:
-    """``(node, ancestor, depth)`` including ``(node, node, 0)``; edges are ``(child, parent)``."""
+def closure(edges: DataFrame, root: str | None = None, max_depth: int = 64) -> DataFrame:
+    """``(node, ancestor, depth)`` including ``(node, node, 0)``; edges are ``(child, parent)``.
+
+    One join per level. Each level's frontier is checkpointed to the shared
+    folder, so the emptiness test and the next level read materialised rows
+    (no re-run of earlier levels, flat lineage, survives a lost executor).
+    """
     e = edges.select(F.col("child"), F.col("parent"))
     nodes = e.select(F.col("child").alias("node")).union(e.select(F.col("parent").alias("node"))).distinct()
-    acc = nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth"))
-    frontier = acc
+    frontier = nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth")).checkpoint(eager=True)
+    levels = [frontier]
     for d in range(1, max_depth + 1):
         frontier = (frontier.join(e, frontier.ancestor == e.child)
-                    .select("node", F.col("parent").alias("ancestor"), F.lit(d).alias("depth")))
-        if d % checkpoint_every == 0:
-            frontier = frontier.checkpoint()  # shared folder: survives executor loss
+                    .select("node", F.col("parent").alias("ancestor"), F.lit(d).alias("depth"))).checkpoint(eager=True)
         if frontier.isEmpty():
             break
-        acc = acc.unionByName(frontier)
+        levels.append(frontier)
+    acc = levels[0]
+    for lv in levels[1:]:
+        acc = acc.unionByName(lv)
     # a DAG may reach one ancestor by several routes: keep the shortest. The
     # closure is read by every similarity join: materialise it once.
     return acc.groupBy("node", "ancestor").agg(F.min("depth").alias("depth")).checkpoint(eager=True)
