@@ -62,7 +62,8 @@ def vocabulary_from_counts(dt: DataFrame, id_col: str, min_df: int = 1, max_df:
     v = v.drop("__n")
     if max_features:
         v = v.orderBy(F.col("tf").desc(), F.col("token").asc()).limit(max_features)
-    return v.withColumnRenamed("token", "term")
+    # the fitted vocabulary is read by every transform: materialise it once
+    return v.withColumnRenamed("token", "term").checkpoint(eager=True)
 
 
 def vocabulary(tok: DataFrame, id_col: str, min_df: int = 1, max_df: float = 1.0,
@@ -86,8 +87,9 @@ def idf_table(train_counts: DataFrame, id_col: str) -> DataFrame:
     """Smoothed idf ``ln((1+N)/(1+df)) + 1`` learned on the training counts."""
     n = train_counts.select(id_col).distinct().agg(F.count(F.lit(1)).alias("__N"))  # one row
     df_t = train_counts.groupBy("term").agg(F.count_distinct(id_col).alias("__df"))
-    return attach_row(df_t, n).select(
+    idf = attach_row(df_t, n).select(
         "term", (F.log((F.lit(1) + F.col("__N")) / (F.lit(1) + F.col("__df"))) + 1).alias("idf"))
+    return idf.checkpoint(eager=True)  # fitted weights, one row per term
 
 
 def tfidf(counts: DataFrame, idf: DataFrame, id_col: str) -> DataFrame:
