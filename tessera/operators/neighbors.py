@@ -51,10 +51,12 @@ def knn(train: DataFrame, test: DataFrame, k: int, id_col: str, vec_col: str, n_
     tr = tr.withColumn("__pd", _pivot_dists(F.col("tv"), pivots))
     tr = tr.withColumn("cell", F.array_position(F.col("__pd"), F.array_min("__pd")) - 1)
     tr = tr.withColumn("dcell", F.element_at("__pd", (F.col("cell") + 1).cast("int"))).drop("__pd")
+    # both sides are read by several joins: write them once (cells included)
+    tr = tr.checkpoint(eager=True)
     radius = {r.cell: r.r for r in tr.groupBy("cell").agg(F.max("dcell").alias("r")).collect()}  # <= P rows
     rad = F.array(*[F.lit(float(radius.get(j, -math.inf))) for j in range(len(pivots))])
     te = te.withColumn("__pd", _pivot_dists(F.col("qv"), pivots))
-    te = te.withColumn("home", F.array_position(F.col("__pd"), F.array_min("__pd")) - 1)
+    te = te.withColumn("home", F.array_position(F.col("__pd"), F.array_min("__pd")) - 1).checkpoint(eager=True)
 
     def pairs(q: DataFrame, cell_col: str) -> DataFrame:
         j = q.join(tr, q[cell_col] == tr.cell)
