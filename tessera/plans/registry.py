@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.session import ensure_checkpoint_dir, pin_utc
+from tessera.session import ensure_checkpoint_dir, pin_utc, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +43,7 @@ def query(key: str, sql: str | None = None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             pin_utc(spark)
             ensure_checkpoint_dir(spark)
+            ship_package(spark)
             return fn(spark, Tables(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
