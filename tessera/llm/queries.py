@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, html, quality
+from tessera.llm import bpe, html, minhash, quality
 from tessera.llm.common import table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -29,7 +29,11 @@ def op7_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("n_lines")
 
 
-QUERIES = {f.__name__: f for f in (op4_bpe_automaton, op6_main_text, op7_host_quality)}
+def op8_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+QUERIES = {f.__name__: f for f in (op4_bpe_automaton, op6_main_text, op7_host_quality, op8_odd_sketches)}
 
 _FAIL = {
     "short": f"n_words < {quality.MIN_WORDS}",
