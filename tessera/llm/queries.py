@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, html, minhash, quality
+from tessera.llm import bpe, html, minhash, quality, suffix_dedup
 from tessera.llm.common import table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -16,6 +16,11 @@ def tokenizer_path(name: str = BPE_FILE) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_repeat_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path())
     return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
@@ -33,7 +38,7 @@ def op8_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op4_bpe_automaton, op6_main_text, op7_host_quality, op8_odd_sketches)}
+QUERIES = {f.__name__: f for f in (op3_repeat_intervals, op4_bpe_automaton, op6_main_text, op7_host_quality, op8_odd_sketches)}
 
 _FAIL = {
     "short": f"n_words < {quality.MIN_WORDS}",
