@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, html, minhash, quality, suffix_dedup
+from tessera.llm import bpe, fingerprints, html, minhash, pii, quality, suffix_dedup
 from tessera.llm.common import table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -16,6 +16,17 @@ def tokenizer_path(name: str = BPE_FILE) -> str:
     return public_tokenizers.path(name)
 
 
+def _count(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+
+def op1_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = pii.detect(table(spark, sf_dir, "documents"), ["doc_id"])
+    base = F.filter("spans", lambda x: x["base"])
+    return got.select("doc_id", *[_count(base, k) for k in pii.BASE],
+                      F.sha2(pii.spell(base).cast("binary"), 256).alias("base_sha256"), pii.spell(F.col("spans")).alias("spans"))
+
+
 def op3_repeat_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -38,7 +49,11 @@ def op8_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op3_repeat_intervals, op4_bpe_automaton, op6_main_text, op7_host_quality, op8_odd_sketches)}
+def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_weak_supervision, op3_repeat_intervals, op4_bpe_automaton, op6_main_text, op7_host_quality, op8_odd_sketches, op10_weighted_sampling)}
 
 _FAIL = {
     "short": f"n_words < {quality.MIN_WORDS}",
