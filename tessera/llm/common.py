@@ -33,6 +33,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A table of at most this many rows may be broadcast; a longer one is joined by shuffle.
+BROADCAST_ROWS = 20_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if it is counted to be short; for staged tables, whose count reads no data."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def schema_of(df: DataFrame, names: list[str], more: str) -> str:
+    """Schema text of some columns of a table and of further ones."""
+    return ", ".join([f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names] + [more])
+
+
 def barrier(df: DataFrame, **cols: Column) -> DataFrame:
     """Add columns through a one-row generator.
 

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import arrow_map, slices
+from tessera.llm.common import arrow_map, schema_of, slices
 
 # Element names of HTML by what they do to text.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
@@ -185,11 +185,10 @@ def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page
     """
     tree = grow(labelled)
     kept = [pages[k] for k in keep]
-    schema = ", ".join(f"`{k}` {pages.schema[k].dataType.simpleString()}" for k in keep) + ", text string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "__html"):
             text = [main_text(h, tree) if h else "" for h in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(text, pa.string())], [*keep, "text"])
 
-    return arrow_map(pages.select(*kept, pages[html].alias("__html")), run, schema)
+    return arrow_map(pages.select(*kept, pages[html].alias("__html")), run, schema_of(pages, list(keep), "text string"))

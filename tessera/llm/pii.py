@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, slices, staged
+from tessera.llm.common import arrow_map, schema_of, slices, staged
 
 #: Base kinds in their order, then the kinds that the method adds.
 BASE = ("email", "ip", "card", "phone")
@@ -224,8 +224,6 @@ _SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.stri
 
 def find(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` and ``found``: base spans (no pattern) and candidates (with their patterns) of every row."""
-    kept = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "__text"):
             out = []
@@ -236,7 +234,7 @@ def find(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.list_(_SPAN))], [*keep, "found"])
 
     return arrow_map(docs.select(*[docs[k] for k in keep], docs[text].alias("__text")), run,
-                     f"{kept}, found array<struct<start: bigint, stop: bigint, kind: string, pattern: string>>")
+                     schema_of(docs, keep, "found array<struct<start: bigint, stop: bigint, kind: string, pattern: string>>"))
 
 
 def detect(docs: DataFrame, keep: list[str], text: str = "text", limit: float = 0.5) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACE, barrier, staged, words
+from tessera.llm.common import SPACE, barrier, sized, staged, words
 
 WINDOW = 8
 # Limits of the rules.
@@ -98,9 +98,21 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str =
     """
     base = docs.select(docs[key].alias("__q_key"), F.coalesce(docs[host].cast("string"), F.lit("")).alias("__q_host"), docs[text].alias("__q_text"))
     seen = staged(measure(base, "__q_text").drop("__q_text"), "quality")  # small: no texts; used twice
-    joined = seen.join(host_verdicts(seen, "__q_host"), "__q_host")
+    joined = _decide(seen)
+    return joined.select(F.col("__q_key").alias(key), "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
+                         "base_failed", F.when(F.col("strict") != "", F.col("strict")).alias("host_strict"), "kept")
+
+
+def _decide(seen: DataFrame) -> DataFrame:
+    """Measured rows with ``__q_host`` plus ``base_failed``, ``strict`` (rules failed on a strict host) and ``kept``."""
+    hosts = staged(host_verdicts(seen, "__q_host"), "quality-hosts")
     fails = failures()
     strict = F.concat_ws(",", *[F.when(F.col(f"strict_{r}") & fails[r], F.lit(r)) for r in RULES])
-    failed = fails["short"] | fails["repeats"]
-    return joined.select(F.col("__q_key").alias(key), "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
-                         failed.alias("base_failed"), F.when(strict != "", strict).alias("host_strict"), (~failed & (strict == "")).alias("kept"))
+    out = seen.join(sized(hosts), "__q_host").withColumns({"base_failed": fails["short"] | fails["repeats"], "strict": strict})
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("strict") == ""))
+
+
+def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with their columns. The measured texts are written once and read twice."""
+    whole = docs.select(F.struct("*").alias("__q_row"), F.coalesce(docs[host].cast("string"), F.lit("")).alias("__q_host"), docs[text].alias("__q_text"))
+    return _decide(staged(measure(whole, "__q_text").drop("__q_text"), "quality")).where("kept").select("__q_row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, fingerprints, html, minhash, pii, quality, suffix_dedup
+from tessera.llm import bpe, chat, fingerprints, html, minhash, mixing, pii, quality, secrets, suffix_dedup
 from tessera.llm.common import table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -27,6 +27,12 @@ def op1_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(pii.spell(base).cast("binary"), 256).alias("base_sha256"), pii.spell(F.col("spans")).alias("spans"))
 
 
+def op2_raked_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = mixing.sample(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"),
+                      F.round("mix_p", 4).alias("probability"), F.col("mix_kept").alias("kept"))
+
+
 def op3_repeat_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -37,6 +43,10 @@ def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op5_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link(table(spark, sf_dir, "conversations"))
+
+
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
 
@@ -49,11 +59,20 @@ def op8_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op9_grammar_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = secrets.detect(table(spark, sf_dir, "documents"), ["doc_id"])
+    base = F.filter("spans", lambda x: x["kind"] != "format")
+    return got.select("doc_id", *[_count(base, k) for k in secrets.BASE],
+                      F.sha2(pii.spell(base).cast("binary"), 256).alias("base_sha256"), pii.spell(F.col("spans")).alias("spans"))
+
+
 def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_weak_supervision, op3_repeat_intervals, op4_bpe_automaton, op6_main_text, op7_host_quality, op8_odd_sketches, op10_weighted_sampling)}
+QUERIES = {f.__name__: f for f in (
+    op1_weak_supervision, op2_raked_mix, op3_repeat_intervals, op4_bpe_automaton, op5_quotation_links,
+    op6_main_text, op7_host_quality, op8_odd_sketches, op9_grammar_secrets, op10_weighted_sampling)}
 
 _FAIL = {
     "short": f"n_words < {quality.MIN_WORDS}",
@@ -92,4 +111,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        (NOT base_failed AND why = '') AS kept FROM j"""
 
 
-ORACLES = {"op7_host_quality": quality_sql()}
+def mixing_sql(source: str = "documents", seed: int = 7) -> str:
+    """Cells, raking, probabilities and draws of ``op2`` as SQL."""
+    topics = " ".join(f"WHEN contains(text, '{mark}') THEN '{name}'" for name, mark in mixing.TOPICS)
+    margin = ", ".join(f"pow(CAST(sum(n) OVER (PARTITION BY {m}) AS DOUBLE), {mixing.FLATTEN}) AS r_{m}, count(*) OVER (PARTITION BY {m}) AS c_{m}" for m in mixing.MARGINS)
+    scaled = ", ".join(f"r_{m} / sum(r_{m} / c_{m}) OVER () AS t_{m}" for m in mixing.MARGINS)
+    steps, last = [], "c3"
+    for i in range(mixing.ROUNDS):
+        for m in mixing.MARGINS:
+            steps.append(f"s{i}_{m} AS (SELECT * REPLACE (w * t_{m} / sum(w) OVER (PARTITION BY {m}) AS w) FROM {last})")
+            last = f"s{i}_{m}"
+    return f"""
+WITH d AS (SELECT doc_id, source, lang, coalesce(source, '') AS s, coalesce(lang, '') AS l, coalesce(CASE {topics} END, '{mixing.REST}') AS topic,
+                  CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS BIGINT) AS n FROM {source}),
+c1 AS (SELECT s AS source, l AS lang, topic, sum(n) AS n FROM d GROUP BY ALL HAVING sum(n) > 0),
+c2 AS (SELECT *, {margin} FROM c1),
+c3 AS (SELECT source, lang, topic, n, CAST(n AS DOUBLE) AS w, {scaled} FROM c2),
+{", ".join(steps)},
+p AS (SELECT source, lang, topic, w / n / max(w / n) OVER () AS p FROM {last}),
+j AS (SELECT d.*, CASE WHEN d.n > 0 THEN p.p ELSE 1.0 END AS p,
+             (CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':{seed}'), 1, 8) AS BIGINT) + 0.5) / 4294967296.0 AS u
+      FROM d LEFT JOIN p ON d.s = p.source AND d.l = p.lang AND d.topic = p.topic)
+SELECT doc_id, source, lang, topic, n AS n_tokens, round(p, 4) AS probability, u < p AS kept FROM j"""
+
+
+ORACLES = {"op7_host_quality": quality_sql(), "op2_raked_mix": mixing_sql()}
