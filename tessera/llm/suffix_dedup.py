@@ -7,9 +7,11 @@ at anchors are sorted, and only those whose anchor occurs more than once:
 1. The anchors of each text are found with a sliding minimum over rolling
    hashes. An anchor stands for a run of neighbouring strings; its segment is
    the text that they cover.
-2. Anchors are dealt by their hash; those that occur once are dropped.
-3. The segments of the rest are dealt by anchor and sorted by the bytes from the
-   anchor on: the suffix array of one anchor's group. A stack scan over its
+2. Anchors are dealt by their hash, with a 64-bit hash of their segment; those
+   that occur once are dropped. Of equal segments all but the earliest repeat it
+   whole and go at once; only different segments of one anchor need their bytes.
+3. Those segments are dealt by anchor and sorted by the bytes from the anchor
+   on: the suffix array of one anchor's group. A stack scan over its
    common-prefix lengths yields the common-prefix intervals. In each interval
    the bytes before the anchor are scanned in the same way, and where they
    branch (left-extension diversity) the interval is a maximal repeat: a group
@@ -17,9 +19,8 @@ at anchors are sorted, and only those whose anchor occurs more than once:
 4. In a group all occurrences but the earliest go. Their spans are gathered by
    document and cut out.
 
-Equal segments are neighbours in the array and collapse into the earliest while
-the rows stream by, so a group of any size needs memory for its different
-segments only.
+A passage of a million copies thus costs a million rows of four numbers, which
+are sorted and spilled by Spark, and one segment in the suffix array.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import arrow_map, slices
@@ -40,7 +41,7 @@ _BYTE = np.random.default_rng(77).integers(1, 2**64, 256, dtype=_U64)
 _BASE = 0x9E3779B97F4A7C15
 _SLOT = _U64((1 << 24) - 1)
 #: A buffer has fewer positions than the low bits of a sort key can count.
-BUFFER = 1 << 21
+BUFFER = 1 << 20
 
 
 def gram_hashes(raw: np.ndarray) -> np.ndarray:
@@ -52,6 +53,22 @@ def gram_hashes(raw: np.ndarray) -> np.ndarray:
     return mix(h[:-8] * _U64(pow(_BASE, 8, 2**64)) + eight[16:16 + len(h) - 8])
 
 
+class SpanHash:
+    """64-bit hashes of spans of a buffer, from running sums."""
+
+    def __init__(self):
+        self.up = self.down = np.zeros(0, dtype=_U64)
+
+    def __call__(self, raw: np.ndarray, start: np.ndarray, stop: np.ndarray, salt: np.ndarray) -> np.ndarray:
+        if len(self.up) < len(raw):
+            self.up, self.down = (np.full(len(raw), x, dtype=_U64) for x in (_BASE, pow(_BASE, -1, 2**64)))
+            for x in (self.up, self.down):
+                x[0] = 1
+                np.multiply.accumulate(x, out=x)
+        sums = np.concatenate((np.zeros(1, dtype=_U64), np.cumsum(_BYTE[raw] * self.up[:len(raw)], dtype=_U64)))
+        return mix(mix((sums[stop] - sums[start]) * self.down[start]) + salt.astype(_U64))
+
+
 def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
     n = 1
     while 2 * n <= width:
@@ -105,9 +122,10 @@ def _place(rep, start, left, right):
 
 
 def find_anchors(docs: DataFrame, length: int) -> DataFrame:
-    """``key``, ``doc_id`` and ``place`` of every anchor."""
+    """``key``, ``doc_id``, ``place`` and ``seg`` (hash of the segment) of every anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spans = SpanHash()
         for b in slices(batches, "text", BUFFER):
             ids, reps = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 1))
             for raw, ends, rows, offs in _pieces(b.column(2).cast(pa.binary()).to_pylist(), length):
@@ -116,30 +134,30 @@ def find_anchors(docs: DataFrame, length: int) -> DataFrame:
                     k = np.searchsorted(ends, a, side="right")
                     start = a - np.concatenate(([0], ends))[k] + offs[k]
                     place = _place(reps[rows[k]], start, a - first, a - last)
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[rows[k]]), pa.array(place)], ["key", "doc_id", "place"])
+                    seg = spans(raw, first, last + length, place & (1 << 14) - 1).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, ids[rows[k]], place, seg)], ["key", "doc_id", "place", "seg"])
 
-    return arrow_map(docs, run, "key bigint, doc_id bigint, place bigint")
+    return arrow_map(docs, run, "key bigint, doc_id bigint, place bigint, seg bigint")
 
 
 def _segments(docs: DataFrame, length: int) -> DataFrame:
-    """``key``, the bytes from the anchor on and (reversed) before it, ``doc_id`` and ``place``."""
+    """The bytes of a segment from its anchor on and (reversed) before it, ``doc_id`` and ``place``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 1 << 20):
-            key, right, left, ids, places = [], [], [], [], []
-            for doc, rep, t, found in zip(*(c.to_pylist() for c in b.columns)):
+            right, left, ids, places = [], [], [], []
+            for doc, rep, t, found in zip(*(c.to_pylist() for c in b.columns[:4])):
                 raw = t.encode()
-                for f in found:
-                    place = f["place"]
+                for place in found:
                     if place >> 50 == rep:
                         at, dl, dr = place >> 14 & (1 << 36) - 1, place >> 7 & 127, place & 127
-                        key.append(f["key"]), ids.append(doc), places.append(place)
+                        ids.append(doc), places.append(place)
                         right.append(raw[at:at - dr + length])
                         left.append(raw[at - dl:at][::-1])
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(right, pa.binary()), pa.array(left, pa.binary()),
-                                              pa.array(ids, pa.int64()), pa.array(places, pa.int64())], ["key", "right", "left", "doc_id", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(right, pa.binary()), pa.array(left, pa.binary()),
+                                              pa.array(ids, pa.int64()), pa.array(places, pa.int64())], ["right", "left", "doc_id", "place"])
 
-    return arrow_map(docs, run, "key bigint, right binary, left binary, doc_id bigint, place bigint")
+    return arrow_map(docs, run, "right binary, left binary, doc_id bigint, place bigint")
 
 
 def common(x: bytes, y: bytes) -> int:
@@ -208,36 +226,42 @@ def _removed(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, i
             yield s[2], s[3], left, right
 
 
+def _span(rep, start, stop):
+    """Number of a span: copy of the document, start, bytes."""
+    return (rep << 50) | (start << 14) | (stop - start)
+
+
 def repeated_spans(segments: DataFrame, length: int) -> DataFrame:
-    """``doc_id``, ``rep``, ``start``, ``stop`` of text that repeats an earlier place, from segments sorted by anchor and bytes."""
+    """``doc_id`` and ``span`` of text that repeats an earlier place, from different segments sorted by their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int, int, int]] = []
         group: list[tuple] = []
-        key = None
+        gram = None
 
         def rows() -> pa.RecordBatch:
             doc, place, before, after = (np.array(x, dtype=np.int64) for x in zip(*out))
             at = place >> 14 & (1 << 36) - 1
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc, place >> 50, at - before, at + after)], ["doc_id", "rep", "start", "stop"])
+            return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(_span(place >> 50, at - before, at + after))], ["doc_id", "span"])
 
         for b in batches:
-            for k, right, left, doc, place in zip(*(c.to_pylist() for c in b.columns)):
-                if k != key:
+            for s in zip(*(c.to_pylist() for c in b.columns)):
+                if s[0][:GRAM] != gram:
                     out.extend(_removed(group, length))
-                    group, key = [(right, left, doc, place)], k
-                elif right == group[-1][0] and left == group[-1][1]:
-                    out.append((doc, place, len(left), len(right)))  # the whole segment stands earlier
-                else:
-                    group.append((right, left, doc, place))
+                    group, gram = [], s[0][:GRAM]
+                group.append(s)
                 if len(out) >= 50_000:
                     yield rows()
         out.extend(_removed(group, length))
         if out:
             yield rows()
 
-    return arrow_map(segments, run, "doc_id bigint, rep bigint, start bigint, stop bigint")
+    return arrow_map(segments, run, "doc_id bigint, span bigint")
+
+
+def _shift(c: Column, bits: int) -> Column:
+    return F.shiftleft(c.cast("bigint"), bits)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -253,25 +277,35 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     if not 2 * GRAM < length <= 127:
         raise ValueError("length must be between 49 and 127")
     base = docs.select(docs[key].cast("bigint").alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    alone = base.where("doc_id IS NULL").select("doc_id", F.lit(0).cast("bigint").alias("rep"), "text", *[F.lit(None).cast("array<bigint>").alias(c) for c in ("gone", "more", "open")])
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    base = base.select("doc_id", (F.row_number().over(order) - 1).cast("bigint").alias("rep"), "text")
-    found = find_anchors(base.where("doc_id IS NOT NULL"), length)
-    again = found.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1")
-    places = again.groupBy("doc_id").agg(F.collect_list(F.struct("key", "place")).alias("found"))
-    cut = _segments(base.join(places, "doc_id").select("doc_id", "rep", "text", "found"), length)
-    ordered = cut.repartition("key").sortWithinPartitions("key", "right", "left", "doc_id", "place")
-    spans = repeated_spans(ordered, length).groupBy("doc_id").agg(F.collect_list(F.struct("rep", "start", "stop")).alias("gone"))
+    base = base.where("doc_id IS NOT NULL").select("doc_id", (F.row_number().over(order) - 1).cast("bigint").alias("rep"), "text")
+    # equal segments: the first stays in play, the others repeat it
+    same, alike = Window.partitionBy("key", "seg").orderBy("doc_id", "place"), Window.partitionBy("key")
+    found = (find_anchors(base, length).withColumn("nth", F.row_number().over(same))
+             .withColumns({"least": F.min("seg").over(alike), "most": F.max("seg").over(alike)}).where("nth > 1 OR least < most"))
+    at, dl, dr = (F.shiftright("place", 14).bitwiseAND((1 << 36) - 1), F.shiftright("place", 7).bitwiseAND(127), F.col("place").bitwiseAND(127))
+    whole = _shift(F.shiftright("place", 50), 50).bitwiseOR(_shift(at - dl, 14)).bitwiseOR(dl - dr + length)
+    marks = found.groupBy("doc_id").agg(F.collect_list(F.when(F.col("nth") == 1, F.col("place"))).alias("open"),
+                                        F.collect_list(F.when(F.col("nth") > 1, whole)).alias("gone"))
+    cut = _segments(base.join(marks.where(F.size("open") > 0), "doc_id").select("doc_id", "rep", "text", "open", "gone"), length)
+    ordered = cut.repartition(F.substring("right", 1, GRAM)).sortWithinPartitions("right", "left", "doc_id", "place")
+    # both joins name the same columns of ``marks``, so one shuffle serves them
+    spans = repeated_spans(ordered, length).groupBy("doc_id").agg(F.collect_list("span").alias("more"))
+    judged = base.join(marks, "doc_id", "left").join(spans, "doc_id", "left").select("doc_id", "rep", "text", "gone", "more", "open").unionByName(alone)
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             size, removed, kept, runs = [], [], [], []
-            for rep, t, gone in zip(*(b.column(c).to_pylist() for c in (1, 2, 3))):
+            for rep, t, gone, more in zip(*(b.column(c).to_pylist() for c in (1, 2, 3, 4))):
                 raw, mine = t.encode(), []
-                for g in sorted((g["start"], g["stop"]) for g in gone or () if g["rep"] == rep):
-                    if mine and g[0] <= mine[-1]["stop"]:
-                        mine[-1]["stop"] = max(mine[-1]["stop"], g[1])
+                for span in sorted([g for g in (gone or []) + (more or []) if g >> 50 == rep]):
+                    start = span >> 14 & (1 << 36) - 1
+                    stop = start + (span & (1 << 14) - 1)
+                    if mine and start <= mine[-1]["stop"]:
+                        mine[-1]["stop"] = max(mine[-1]["stop"], stop)
                     else:
-                        mine.append({"start": g[0], "stop": g[1]})
+                        mine.append({"start": start, "stop": stop})
                 edges = [0, *(e for m in mine for e in (m["start"], m["stop"])), len(raw)]
                 kept.append(b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2])))
                 size.append(len(raw)), removed.append(len(raw) - len(kept[-1])), runs.append(mine)
@@ -279,6 +313,6 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                                               pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
                                               pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
-    out = arrow_map(base.join(spans, "doc_id", "left").select("doc_id", "rep", "text", "gone"), cut_out,
+    out = arrow_map(judged, cut_out,
                     "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<struct<start: bigint, stop: bigint>>, kept binary")
     return out.select(F.col("doc_id").cast(docs.schema[key].dataType).alias(key), "n_bytes", "n_removed", "spans", "kept")
