@@ -122,7 +122,7 @@ def _place(rep, start, left, right):
 
 
 def find_anchors(docs: DataFrame, length: int) -> DataFrame:
-    """``key``, ``doc_id``, ``place`` and ``seg`` (hash of the segment) of every anchor."""
+    """``key``, ``doc``, ``place`` and ``seg`` (hash of the segment) of every anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = SpanHash()
@@ -135,13 +135,13 @@ def find_anchors(docs: DataFrame, length: int) -> DataFrame:
                     start = a - np.concatenate(([0], ends))[k] + offs[k]
                     place = _place(reps[rows[k]], start, a - first, a - last)
                     seg = spans(raw, first, last + length, place & (1 << 14) - 1).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, ids[rows[k]], place, seg)], ["key", "doc_id", "place", "seg"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, ids[rows[k]], place, seg)], ["key", "doc", "place", "seg"])
 
-    return arrow_map(docs, run, "key bigint, doc_id bigint, place bigint, seg bigint")
+    return arrow_map(docs, run, "key bigint, doc bigint, place bigint, seg bigint")
 
 
 def _segments(docs: DataFrame, length: int) -> DataFrame:
-    """The bytes of a segment from its anchor on and (reversed) before it, ``doc_id`` and ``place``."""
+    """The bytes of a segment from its anchor on and (reversed) before it, ``doc`` and ``place``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 1 << 20):
@@ -155,9 +155,9 @@ def _segments(docs: DataFrame, length: int) -> DataFrame:
                         right.append(raw[at:at - dr + length])
                         left.append(raw[at - dl:at][::-1])
             yield pa.RecordBatch.from_arrays([pa.array(right, pa.binary()), pa.array(left, pa.binary()),
-                                              pa.array(ids, pa.int64()), pa.array(places, pa.int64())], ["right", "left", "doc_id", "place"])
+                                              pa.array(ids, pa.int64()), pa.array(places, pa.int64())], ["right", "left", "doc", "place"])
 
-    return arrow_map(docs, run, "right binary, left binary, doc_id bigint, place bigint")
+    return arrow_map(docs, run, "right binary, left binary, doc bigint, place bigint")
 
 
 def common(x: bytes, y: bytes) -> int:
@@ -232,7 +232,7 @@ def _span(rep, start, stop):
 
 
 def repeated_spans(segments: DataFrame, length: int) -> DataFrame:
-    """``doc_id`` and ``span`` of text that repeats an earlier place, from different segments sorted by their bytes."""
+    """``doc`` and ``span`` of text that repeats an earlier place, from different segments sorted by their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int, int, int]] = []
@@ -243,7 +243,7 @@ def repeated_spans(segments: DataFrame, length: int) -> DataFrame:
             doc, place, before, after = (np.array(x, dtype=np.int64) for x in zip(*out))
             at = place >> 14 & (1 << 36) - 1
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(_span(place >> 50, at - before, at + after))], ["doc_id", "span"])
+            return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(_span(place >> 50, at - before, at + after))], ["doc", "span"])
 
         for b in batches:
             for s in zip(*(c.to_pylist() for c in b.columns)):
@@ -257,7 +257,7 @@ def repeated_spans(segments: DataFrame, length: int) -> DataFrame:
         if out:
             yield rows()
 
-    return arrow_map(segments, run, "doc_id bigint, span bigint")
+    return arrow_map(segments, run, "doc bigint, span bigint")
 
 
 def _shift(c: Column, bits: int) -> Column:
@@ -276,23 +276,24 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     """
     if not 2 * GRAM < length <= 127:
         raise ValueError("length must be between 49 and 127")
-    base = docs.select(docs[key].cast("bigint").alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    alone = base.where("doc_id IS NULL").select("doc_id", F.lit(0).cast("bigint").alias("rep"), "text", *[F.lit(None).cast("array<bigint>").alias(c) for c in ("gone", "more", "open")])
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    base = base.where("doc_id IS NOT NULL").select("doc_id", (F.row_number().over(order) - 1).cast("bigint").alias("rep"), "text")
+    base = docs.select(docs[key].cast("bigint").alias("doc"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    # a new name keeps the alias in every copy of this plan, and so one shuffle of the texts serves all three uses
+    alone = base.where("doc IS NULL").select("doc", F.lit(0).cast("bigint").alias("rep"), "text", *[F.lit(None).cast("array<bigint>").alias(c) for c in ("gone", "more", "open")])
+    order = Window.partitionBy("doc").orderBy(F.xxhash64("text"))
+    base = base.where("doc IS NOT NULL").select("doc", (F.row_number().over(order) - 1).cast("bigint").alias("rep"), "text")
     # equal segments: the first stays in play, the others repeat it
-    same, alike = Window.partitionBy("key", "seg").orderBy("doc_id", "place"), Window.partitionBy("key")
+    same, alike = Window.partitionBy("key", "seg").orderBy("doc", "place"), Window.partitionBy("key")
     found = (find_anchors(base, length).withColumn("nth", F.row_number().over(same))
              .withColumns({"least": F.min("seg").over(alike), "most": F.max("seg").over(alike)}).where("nth > 1 OR least < most"))
     at, dl, dr = (F.shiftright("place", 14).bitwiseAND((1 << 36) - 1), F.shiftright("place", 7).bitwiseAND(127), F.col("place").bitwiseAND(127))
     whole = _shift(F.shiftright("place", 50), 50).bitwiseOR(_shift(at - dl, 14)).bitwiseOR(dl - dr + length)
-    marks = found.groupBy("doc_id").agg(F.collect_list(F.when(F.col("nth") == 1, F.col("place"))).alias("open"),
+    marks = found.groupBy("doc").agg(F.collect_list(F.when(F.col("nth") == 1, F.col("place"))).alias("open"),
                                         F.collect_list(F.when(F.col("nth") > 1, whole)).alias("gone"))
-    cut = _segments(base.join(marks.where(F.size("open") > 0), "doc_id").select("doc_id", "rep", "text", "open", "gone"), length)
-    ordered = cut.repartition(F.substring("right", 1, GRAM)).sortWithinPartitions("right", "left", "doc_id", "place")
+    cut = _segments(base.join(marks.where(F.size("open") > 0), "doc").select("doc", "rep", "text", "open", "gone"), length)
+    ordered = cut.repartition(F.substring("right", 1, GRAM)).sortWithinPartitions("right", "left", "doc", "place")
     # both joins name the same columns of ``marks``, so one shuffle serves them
-    spans = repeated_spans(ordered, length).groupBy("doc_id").agg(F.collect_list("span").alias("more"))
-    judged = base.join(marks, "doc_id", "left").join(spans, "doc_id", "left").select("doc_id", "rep", "text", "gone", "more", "open").unionByName(alone)
+    spans = repeated_spans(ordered, length).groupBy("doc").agg(F.collect_list("span").alias("more"))
+    judged = base.join(marks, "doc", "left").join(spans, "doc", "left").select("doc", "rep", "text", "gone", "more", "open").unionByName(alone)
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -311,8 +312,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                 size.append(len(raw)), removed.append(len(raw) - len(kept[-1])), runs.append(mine)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
                                               pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-                                              pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+                                              pa.array(kept, pa.binary())], ["doc", "n_bytes", "n_removed", "spans", "kept"])
 
     out = arrow_map(judged, cut_out,
-                    "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<struct<start: bigint, stop: bigint>>, kept binary")
-    return out.select(F.col("doc_id").cast(docs.schema[key].dataType).alias(key), "n_bytes", "n_removed", "spans", "kept")
+                    "doc bigint, n_bytes bigint, n_removed bigint, spans array<struct<start: bigint, stop: bigint>>, kept binary")
+    return out.select(F.col("doc").cast(docs.schema[key].dataType).alias(key), "n_bytes", "n_removed", "spans", "kept")
