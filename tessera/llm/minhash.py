@@ -1,8 +1,8 @@
 """Near-duplicate documents: MinHash bands, odd sketches and full sets.
 
-1. Each text becomes the set of its word shingles (64-bit hashes) and 96 MinHash
-   samples. The samples give 24 band keys of 4 rows, and an odd sketch: every
-   (position, sample) pair flips one bit of a 512-bit map.
+1. Each text becomes the set of its word shingles (64-bit hashes) and 256 MinHash
+   samples. The first 96 give 24 band keys of 4 rows, and all of them an odd
+   sketch: every (position, sample) pair flips one bit of a 1024-bit map.
 2. Texts with equal sets are one class. Class members are never paired.
 3. Classes that share a band key are candidates. The population count of the XOR
    of two odd sketches estimates how many samples differ, much more sharply than
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import arrow_map, slices, staged
 
 BANDS, ROWS = 24, 4
-SAMPLES = BANDS * ROWS
-SKETCH_BITS = 512
+SAMPLES = 256
+SKETCH_BITS = 1024
 _U64 = np.uint64
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 2**64, 256, dtype=_U64)
@@ -102,7 +102,7 @@ def minhash(shingles: np.ndarray) -> np.ndarray:
 
 def band_keys(samples: np.ndarray) -> np.ndarray:
     keys = np.arange(BANDS, dtype=_U64)
-    for r in samples.reshape(BANDS, ROWS).T:
+    for r in samples[:BANDS * ROWS].reshape(BANDS, ROWS).T:
         keys = mix(keys * _BASE + r)
     return keys.astype(np.int64)
 
@@ -114,16 +114,18 @@ def odd_sketch(samples: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
-def odd_limit(jaccard: float, sigmas: float = 6.0) -> int:
+def odd_limit(jaccard: float, sigmas: float = 5.0) -> int:
     """Largest XOR population count that a pair of at least this similarity plausibly has.
 
     Of ``SAMPLES`` positions a binomial number differ; each flips two random
-    bits. The bound takes that number ``sigmas`` standard deviations high and
-    the count of odd bits it makes as much above its mean.
+    bits, and bits hit twice cancel. The bound is ``sigmas`` standard deviations,
+    of both sources of chance together, above the mean.
     """
-    differ = min(float(SAMPLES), SAMPLES * (1 - jaccard) + sigmas * math.sqrt(SAMPLES * jaccard * (1 - jaccard)))
+    differ = SAMPLES * (1 - jaccard)
     odd = (1 - (1 - 2 / SKETCH_BITS) ** (2 * differ)) / 2
-    return math.ceil(SKETCH_BITS * odd + sigmas / 2 * math.sqrt(SKETCH_BITS * odd * (1 - odd)))
+    slope = 2 * (1 - 2 * odd)  # odd bits for each differing position
+    spread = math.sqrt(slope**2 * SAMPLES * jaccard * (1 - jaccard) + SKETCH_BITS * odd * (1 - odd))
+    return math.ceil(SKETCH_BITS * odd + sigmas * spread)
 
 
 def sketches(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
