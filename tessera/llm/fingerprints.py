@@ -11,7 +11,7 @@ and the word with the least ``a`` is the sample, together with its grid step
 generalised Jaccard similarity, ``sum min(S, T) / sum max(S, T)``.
 
 The draws come from tables of 4096 quantiles, so a draw costs one hash and three
-look-ups. Words are counted and the least draws kept by ordinary aggregation.
+look-ups. The least draws are kept by ordinary aggregation.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import words
+from tessera.llm.common import barrier, words
 
 SAMPLES = 40
 LEVELS = 4096
@@ -59,21 +59,34 @@ def _sample(k: Column, r: Column, log_c: Column) -> Column:
     return F.shiftleft(rank, 32).bitwiseOR(F.xxhash64("term", t).bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
+def weighted_terms(bags: DataFrame, keys: list[str], bag: str = "ws") -> DataFrame:
+    """``keys``, ``term`` (hash of a word) and ``log_weight``, one row per distinct word of an array of words.
+
+    A bag is counted where it stands: its hashes are sorted and runs of equal
+    ones measured. No words give one row of nulls.
+    """
+    h, starts = F.col("__f_hashes"), F.col("__f_starts")
+    out = barrier(bags.select(*keys, bag), __f_hashes=F.sort_array(F.transform(bag, lambda w: F.xxhash64(w))))
+    first = F.filter(F.transform(h, lambda x, i: F.when(F.coalesce(F.get(h, i - 1) != x, F.lit(True)), i)), lambda i: i.isNotNull())
+    out = barrier(out.drop(bag), __f_starts=first)
+    runs = F.transform(starts, lambda i, j: F.struct(F.get(h, i).alias("term"), F.log((F.coalesce(F.get(starts, j + 1), F.size(h)) - i).cast("double")).alias("log_weight")))
+    return out.select(*keys, F.inline_outer(runs))
+
+
 def signatures(bags: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys``, ``part`` and ``samples`` of rows ``keys``, ``word`` (null: no word).
+    """``keys`` and ``signature`` (array of ``SAMPLES`` numbers; null without words) of rows ``keys``, ``ws`` (words).
 
-    Each text has ``PARTS`` rows with a share of its samples each (null without
-    words). Words are counted, each count is laid out once for each part, and
-    each sample is the least draw.
+    Each distinct word is laid out once for each part of the samples, and each
+    sample is the least draw.
     """
-    counted = bags.groupBy(*keys, F.xxhash64("word").alias("term"), F.col("word").isNull().alias("none")).agg(F.count("word").alias("weight"))
-    ready = counted.select(*keys, "term", F.when(~F.col("none"), F.log(F.greatest("weight", F.lit(1)).cast("double"))).alias("log_weight"),
-                           F.explode(F.array(*[F.lit(p) for p in range(PARTS)])).alias("part"))
+    ready = weighted_terms(bags, keys).select("*", F.explode(F.array(*[F.lit(p) for p in range(PARTS)])).alias("part"))
     r, log_c = _array(GAMMA), _array([math.log(g) for g in GAMMA])
     each = SAMPLES // PARTS
     least = ready.groupBy(*keys, "part").agg(*[F.min(_sample(F.col("part") * each + i, r, log_c)).alias(f"s{i}") for i in range(each)])
     low = F.array(*[F.col(f"s{i}").bitwiseAND(F.lit(0xFFFFFFFF)) for i in range(each)])
-    return least.select(*keys, "part", F.when(F.col("s0").isNotNull(), low).alias("samples"))
+    part = least.select(*keys, "part", F.when(F.col("s0").isNotNull(), low).alias("samples"))
+    whole = part.groupBy(*keys).agg(*[F.max(F.when(F.col("part") == p, F.col("samples"))).alias(f"p{p}") for p in range(PARTS)])
+    return whole.select(*keys, F.concat(*[F.col(f"p{p}") for p in range(PARTS)]).alias("signature"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -134,15 +147,12 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text")
     n = F.length("t")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("t"), F.lit(1), n - cut), F.substring(F.col("next"), F.lit(1), cut))
-    rows = ["range", "at", "ghost", "k", "n_chars", "sha"]
     both = laid.select("range", "at", "ghost", "k", n.cast("bigint").alias("n_chars"), "t", edited.alias("e"))
-    both = both.withColumn("sha", F.sha2(F.col("e").cast("binary"), 256))
-    bags = both.select(*rows, F.inline(F.array(*[F.struct(F.lit(i).alias("which"), words(F.col(c)).alias("ws")) for i, c in enumerate("te")])))
-    signed = signatures(bags.select(*rows, "which", F.explode_outer("ws").alias("word")), [*rows, "which"])
-    by_part = {f"{c}{p}": F.max(F.when((F.col("which") == i) & (F.col("part") == p), F.col("samples"))) for i, c in enumerate("oe") for p in range(PARTS)}
-    parts = signed.groupBy(*rows).agg(*[v.alias(c) for c, v in by_part.items()])
-    pairs = parts.select(*rows, *[F.concat(*[F.col(f"{c}{p}") for p in range(PARTS)]).alias(name) for c, name in (("o", "own"), ("e", "edited"))])
-    done = pairs.withColumn("after", F.lead("own").over(follow)).where("NOT ghost")
+    texts = F.array(*[F.struct(F.lit(i).alias("which"), words(F.col(c)).alias("ws")) for i, c in enumerate("te")])
+    signed = signatures(both.select("range", "at", F.inline(texts)), ["range", "at", "which"])
+    pairs = signed.groupBy("range", "at").agg(*[F.max(F.when(F.col("which") == i, F.col("signature"))).alias(c) for i, c in enumerate(("own", "edited"))])
+    facts = both.select("range", "at", "ghost", "k", "n_chars", F.sha2(F.col("e").cast("binary"), 256).alias("sha"))
+    done = facts.join(pairs, ["range", "at"]).withColumn("after", F.lead("own").over(follow)).where("NOT ghost")
     return done.select(F.col("k").cast(docs.schema[key].dataType).alias(key), "n_chars", F.col("sha").alias("edited_sha256"),
                        as_text(F.col("own")).alias("fingerprint"), as_text(F.col("edited")).alias("edited_fingerprint"),
                        likeness(F.col("own"), F.col("edited")).alias("near_edited"), likeness(F.col("own"), F.col("after")).alias("near_next"))
