@@ -12,18 +12,20 @@ from pyspark.sql import functions as F
 # Month abbreviations, in calendar order.
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 
-_MON = "(?i)(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\\.?"
-D = "[0-9]"
+# Month names as notes spell them, two common misspellings included.
+_MON = ("(?i)\\b(jan(?:uary|aury)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?"
+        "|oct(?:ober)?|nov(?:ember)?|dec(?:ember|emeber)?)")
+_SEP = "[\\s,.-]+"  # between the parts of a written date
 # Patterns in priority order (the first one that yields a date wins).
 PATTERNS = [
-    ("m/d/yyyy", f"({D}{{1,2}})[/-]({D}{{1,2}})[/-]({D}{{4}})", ("m", "d", "y")),
-    ("m/d/yy", f"({D}{{1,2}})[/-]({D}{{1,2}})[/-]({D}{{2}})(?:[^0-9]|$)", ("m", "d", "yy")),
-    ("mon d yyyy", f"{_MON},?\\s+({D}{{1,2}}),?\\s+({D}{{4}})", ("mon", "d", "y")),
-    ("d mon yyyy", f"({D}{{1,2}})\\s+{_MON},?\\s+({D}{{4}})", ("d", "mon", "y")),
-    ("mon dth yyyy", f"{_MON}\\s+({D}{{1,2}})(?:st|nd|rd|th),?\\s+({D}{{4}})", ("mon", "d", "y")),
-    ("mon yyyy", f"{_MON},?\\s+({D}{{4}})", ("mon", "y")),
-    ("m/yyyy", f"({D}{{1,2}})/({D}{{4}})", ("m", "y")),
-    ("yyyy", f"((?:19|20){D}{{2}})", ("y",)),
+    ("m/d/yyyy", "([0-9]{1,2})[/-]([0-9]{1,2})[/-]([0-9]{4})", ("m", "d", "y")),
+    ("m/d/yy", "([0-9]{1,2})[/-]([0-9]{1,2})[/-]([0-9]{2})(?:[^0-9]|$)", ("m", "d", "yy")),
+    ("mon d yyyy", f"{_MON}{_SEP}([0-9]{{1,2}}){_SEP}([0-9]{{4}})", ("mon", "d", "y")),
+    ("d mon yyyy", f"([0-9]{{1,2}}){_SEP}{_MON}{_SEP}([0-9]{{4}})", ("d", "mon", "y")),
+    ("mon dth yyyy", f"{_MON}{_SEP}([0-9]{{1,2}})(?:st|nd|rd|th){_SEP}([0-9]{{4}})", ("mon", "d", "y")),
+    ("mon yyyy", f"{_MON}{_SEP}([0-9]{{4}})", ("mon", "y")),
+    ("m/yyyy", "([0-9]{1,2})/([0-9]{4})", ("m", "y")),
+    ("yyyy", "((?:19|20)[0-9]{2})", ("y",)),
 ]
 
 

@@ -124,7 +124,7 @@ def roc_auc(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
     st = _score_table(df, label, score, positive)
     run = prefix_sums(st, ["threshold"], {"neg_below": "neg"}, inclusive=False)
     return run.agg((F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg")))
-                    / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+                    / (F.sum("pos").cast("double") * F.sum("neg"))).alias("auc"))
 
 
 def threshold_finder(df: DataFrame, label: str, score: str, target_recall: float, steps: int = 1000,

@@ -15,23 +15,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def closure(edges: DataFrame, root: str | None = None, max_depth: int = 64) -> DataFrame:
+def closure(edges: DataFrame, root: str | None = None) -> DataFrame:
     """``(node, ancestor, depth)`` including ``(node, node, 0)``; edges are ``(child, parent)``.
 
-    One join per level. Each level's frontier is checkpointed to the shared
-    folder, so the emptiness test and the next level read materialised rows
-    (no re-run of earlier levels, flat lineage, survives a lost executor).
+    One join per level until a level brings no pair that is not known yet, so
+    taxonomies of any depth are closed and cycles end. Each level is
+    checkpointed to the shared folder: the emptiness test and the next level
+    read written rows (flat lineage, survives a lost executor).
     """
-    e = edges.select(F.col("child"), F.col("parent"))
+    e = edges.select(F.col("child"), F.col("parent")).distinct()
     nodes = e.select(F.col("child").alias("node")).union(e.select(F.col("parent").alias("node"))).distinct()
-    frontier = nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth")).checkpoint(eager=True)
-    levels = [frontier]
-    for d in range(1, max_depth + 1):
-        frontier = (frontier.join(e, frontier.ancestor == e.child)
-                    .select("node", F.col("parent").alias("ancestor"), F.lit(d).alias("depth"))).checkpoint(eager=True)
+    known = nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth")).checkpoint(eager=True)
+    frontier, levels = known, [known]
+    while True:
+        step = (frontier.join(e, frontier.ancestor == e.child)
+                .select("node", F.col("parent").alias("ancestor"), F.lit(len(levels)).alias("depth")).distinct())
+        frontier = step.join(known.select("node", "ancestor"), ["node", "ancestor"], "left_anti").checkpoint(eager=True)
         if frontier.isEmpty():
             break
         levels.append(frontier)
+        known = known.unionByName(frontier)
     acc = levels[0]
     for lv in levels[1:]:
         acc = acc.unionByName(lv)

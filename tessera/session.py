@@ -50,7 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names it in its configuration and we only read it. Where it is
-    unset (tests, local runs) a fresh scratch folder is created and set.
+    unset in a local run (tests), a fresh scratch folder is created and set; on
+    a cluster that would give each machine a folder of its own, so it is an error.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -58,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(d)
         return d
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     d = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return d

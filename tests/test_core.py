@@ -92,3 +92,21 @@ def test_sample_n_large_uses_numbering(spark):
     finally:
         S.TOPK_LIMIT = old
     assert big.count() == 1200 and small.exceptAll(big).count() == 0
+
+
+def test_closure_of_a_deep_chain_and_a_cycle(spark):
+    from tessera.operators.taxonomy import closure
+    chain = spark.createDataFrame([(i, i + 1) for i in range(80)], "child int, parent int")
+    assert closure(chain).count() == 81 * 82 // 2
+    cycle = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "child int, parent int")
+    assert {tuple(r) for r in closure(cycle).collect()} == {(a, b, (b - a) % 3) for a in (1, 2, 3) for b in (1, 2, 3)}
+
+
+def test_dates_with_hyphens_and_decoys(spark):
+    from tessera.functions.dates import extract_date
+    want = {"Mar-20-2009": "2009-03-20", "Mar.20, 2009": "2009-03-20", "20-Mar-2009": "2009-03-20", "March 20th, 2009": "2009-03-20",
+            "summary 2009": "2009-01-01", "decided 1998": "1998-01-01", "Feb 2009": "2009-02-01", "4/20/09": "1909-04-20", "6/2008": "2008-06-01"}
+    df = spark.createDataFrame([(k,) for k in want], "t string")
+    from pyspark.sql import functions as F
+    got = {r["t"]: r["d"] for r in df.select("t", F.date_format(extract_date("t"), "yyyy-MM-dd").alias("d")).collect()}
+    assert got == want
