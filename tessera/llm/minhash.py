@@ -270,7 +270,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     Documents whose sets of ``size``-word shingles have a Jaccard similarity of
     at least ``percent`` hundredths are linked; ``component_id`` is the least
     key reachable and ``kept`` marks it. A pair at the limit escapes all bands
-    with probability ``(1 - (percent / 100) ** 4) ** 24`` (1e-6 at 0.8).
+    with probability ``(1 - (percent / 100) ** 4) ** 24`` (3e-6 at 0.8).
 
     A text that is null or has no word has no shingles and no links. Rows with
     one key are one document when their texts are equal, linked or not as their
