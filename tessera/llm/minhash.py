@@ -1,24 +1,27 @@
 """Near-duplicate documents: MinHash bands, odd sketches and full sets.
 
-1. Each text becomes the set of its word shingles (64-bit hashes) and 256 MinHash
-   samples. The first 96 give 24 band keys of 4 rows, and all of them an odd
-   sketch: every (position, sample) pair flips one bit of a 1024-bit map.
+1. Each text becomes the set of its word shingles (64-bit hashes). 96 MinHash
+   samples by as many permutations give 24 band keys of 4 rows. The least hashes
+   of 16384 bins, samples by one permutation, give an odd sketch: each flips one
+   bit of a 2048-bit map.
 2. Texts with equal sets are one class. Class members are never paired.
-3. Classes that share a band key are candidates. The population count of the XOR
-   of two odd sketches estimates how many samples differ, much more sharply than
-   the bands at high similarity; only pairs that may reach the limit go on.
+3. Classes that share a band key and are near enough in size are candidates. The
+   population count of the XOR of two odd sketches estimates how many samples
+   differ, much more sharply than the bands at high similarity; only pairs that
+   may reach the limit go on.
 4. The pairs that remain are confirmed on the full sets, and connected
    components are found with large-star and small-star steps.
 
-In a band bucket the members are first compared with one of them. Pairs of the
-others are compared only where they are still in different components, so a
-group of thousands of near copies costs a star, not a square.
+In a band bucket the members are first compared with its hub, the member that
+meets most others in all its buckets: the original of a group of edited copies
+is the hub of all of them. Pairs of the others are compared only where they are
+still in different components, so a group of thousands of near copies costs a
+star, not a square.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,14 +32,15 @@ from pyspark.sql import functions as F
 from tessera.llm.common import arrow_map, slices, staged
 
 BANDS, ROWS = 24, 4
-SAMPLES = 256
-SKETCH_BITS = 1024
+SAMPLES = BANDS * ROWS
+BIN_BITS = 14
+BINS = 1 << BIN_BITS
+SKETCH_BITS = 2048
 _U64 = np.uint64
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 2**64, 256, dtype=_U64)
 _MULT = (_rng.integers(0, 2**32, SAMPLES, dtype=np.uint32) | np.uint32(1))[:, None]
 _MASK = _rng.integers(0, 2**32, SAMPLES, dtype=np.uint32)[:, None]
-_BIT = _rng.integers(1, 2**64, SAMPLES, dtype=_U64) | _U64(1)
 _BASE = _U64(0x9E3779B97F4A7C15)
 _INV = _U64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -102,30 +106,53 @@ def minhash(shingles: np.ndarray) -> np.ndarray:
 
 def band_keys(samples: np.ndarray) -> np.ndarray:
     keys = np.arange(BANDS, dtype=_U64)
-    for r in samples[:BANDS * ROWS].reshape(BANDS, ROWS).T:
+    for r in samples.reshape(BANDS, ROWS).T:
         keys = mix(keys * _BASE + r)
     return keys.astype(np.int64)
 
 
-def odd_sketch(samples: np.ndarray) -> bytes:
-    """Parity bitmap of the (position, sample) pairs."""
-    bits = np.zeros(SKETCH_BITS, dtype=np.uint8)
-    np.bitwise_xor.at(bits, (mix(samples * _BIT) % _U64(SKETCH_BITS)).astype(np.int64), np.uint8(1))
-    return np.packbits(bits).tobytes()
+def odd_sketch(shingles: np.ndarray) -> bytes:
+    """Parity bitmap of the least hash of each bin; ``shingles`` are sorted, and their high bits name the bins."""
+    bins = shingles >> _U64(64 - BIN_BITS)
+    least = shingles[np.concatenate(([True], bins[1:] != bins[:-1]))]
+    flips = np.bincount((mix(least) % _U64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
+    return np.packbits((flips & 1).astype(np.uint8)).tobytes()
 
 
-def odd_limit(jaccard: float, sigmas: float = 5.0) -> int:
-    """Largest XOR population count that a pair of at least this similarity plausibly has.
+def _poisson_bound(mean: np.ndarray, sigmas: float, tail: float = 3e-7) -> np.ndarray:
+    """A number that a Poisson variable exceeds with a probability of about ``tail`` at most."""
+    out = mean + sigmas * np.sqrt(mean) + 4
+    for q, factorial in ((3, 24), (2, 6), (1, 2), (0, 1)):
+        out = np.where(mean ** (q + 1) / factorial < tail, q, out)
+    return out
+
+
+def odd_limit(m: np.ndarray, n: np.ndarray, jaccard: float, sigmas: float = 5.0) -> np.ndarray:
+    """Largest XOR population count that sets of ``m`` and ``n`` shingles of at least this similarity plausibly have.
 
-    Of ``SAMPLES`` positions a binomial number differ; each flips two random
-    bits, and bits hit twice cancel. The bound is ``sigmas`` standard deviations,
-    of both sources of chance together, above the mean.
+    The sizes give how many shingles differ. In thin bins each flips one bit,
+    and one more if it shares its bin (a Poisson number, bounded by its tail);
+    in full bins a binomial number of bins differ, by two flips each, and lies
+    within ``sigmas`` standard deviations. The lower bound counts. Flips of one
+    bit cancel: the count of odd bits is bounded by the flips and, with its
+    exact variance, above its mean.
     """
-    differ = SAMPLES * (1 - jaccard)
-    odd = (1 - (1 - 2 / SKETCH_BITS) ** (2 * differ)) / 2
-    slope = 2 * (1 - 2 * odd)  # odd bits for each differing position
-    spread = math.sqrt(slope**2 * SAMPLES * jaccard * (1 - jaccard) + SKETCH_BITS * odd * (1 - odd))
-    return math.ceil(SKETCH_BITS * odd + sigmas * spread)
+    union = (m + n) / (1 + jaccard)
+    differ = union * (1 - jaccard)
+    crowded = 1 - np.exp(-union / BINS)
+    thin = differ + _poisson_bound(differ * crowded, sigmas)
+    bins = np.minimum(union, BINS)
+    full = 2 * (bins * (1 - jaccard) + sigmas * np.sqrt(bins * jaccard * (1 - jaccard)))
+    flips = np.minimum(thin, full)
+    even = (1 - 2 / SKETCH_BITS) ** flips
+    variance = (SKETCH_BITS + SKETCH_BITS * (SKETCH_BITS - 1) * (1 - 4 / SKETCH_BITS) ** flips - (SKETCH_BITS * even) ** 2) / 4
+    return np.ceil(np.minimum(flips, SKETCH_BITS * (1 - even) / 2 + sigmas * np.sqrt(np.maximum(variance, 0))))
+
+
+def plausible(m: np.ndarray, x: np.ndarray, n: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of sizes ``m``, ``n`` and odd sketches ``x``, ``y`` may have the similarity."""
+    sized = 100 * np.minimum(m, n) >= percent * np.maximum(m, n)  # exact: no pair beyond it can reach the limit
+    return sized & (popcount(x, y) <= odd_limit(m, n, percent / 100))
 
 
 def sketches(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
@@ -145,7 +172,7 @@ def sketches(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
                 m = minhash(s)
                 # 128 bits over the whole set: equal sets, equal classes
                 cls.append(_digest(s))
-                bands.append(band_keys(m)), odd.append(odd_sketch(m))
+                bands.append(band_keys(m)), odd.append(odd_sketch(s))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ns, pa.int64()), pa.array(cls, pa.binary()),
                                               pa.array(bands, pa.list_(pa.int64())), pa.array(odd, pa.binary())], ["id", "n", "cls", "bands", "odd"])
 
@@ -181,10 +208,11 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]
         yield held
 
 
-def _cross(buckets: DataFrame, limit: int) -> DataFrame:
+def _cross(buckets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a < b`` of one bucket in different components whose odd sketches may be near.
 
-    ``buckets``: key, component, id and odd sketch. Sketches are compared in
+    ``buckets``: key, component, id, size, odd sketch and all keys of a member.
+    A pair is given out in the first bucket that it shares. Sketches are compared in
     blocks, each member with those of other components behind it.
     """
 
@@ -194,14 +222,19 @@ def _cross(buckets: DataFrame, limit: int) -> DataFrame:
             if len(comp) < 2 or (comp == comp[0]).all():
                 continue
             ids = np.concatenate([g.column(2).to_numpy(zero_copy_only=False) for g in group])
-            odd = np.frombuffer(b"".join(x for g in group for x in g.column(3).to_pylist()), dtype=np.uint64).reshape(len(ids), -1)
+            n = np.concatenate([g.column(3).to_numpy(zero_copy_only=False) for g in group])
+            odd = np.frombuffer(b"".join(x for g in group for x in g.column(4).to_pylist()), dtype=np.uint64).reshape(len(ids), -1)
+            bands = np.concatenate([g.column(5).flatten().to_numpy(zero_copy_only=False) for g in group]).reshape(len(ids), BANDS)
+            key = group[0].column(0)[0].as_py()
             order = np.argsort(comp, kind="stable")  # a component's members stand together
-            comp, ids, odd = comp[order], ids[order], odd[order]
+            comp, ids, n, odd, bands = comp[order], ids[order], n[order], odd[order], bands[order]
             after = np.searchsorted(comp, comp, side="right")
             left, right, held = [], [], 0
             for i in range(len(ids)):
                 for lo in range(after[i], len(ids), 65536):
-                    near = lo + np.flatnonzero(popcount(odd[i], odd[lo:lo + 65536]) <= limit)
+                    near = lo + np.flatnonzero(plausible(n[i], odd[i], n[lo:lo + 65536], odd[lo:lo + 65536], percent))
+                    first = (bands[near] == bands[i]).argmax(axis=1)
+                    near = near[bands[i][first] == key]
                     left.append(np.minimum(ids[i], ids[near])), right.append(np.maximum(ids[i], ids[near]))
                     held += len(near)
                 if held > 50_000 or i == len(ids) - 1:
@@ -281,31 +314,34 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     sketch = staged(sketches(base, "id", "text", size), "minhash-sketch")
     known = sketch.where("id IS NOT NULL AND cls IS NOT NULL")
     # one row per set: the class, named by its least id; partial sums absorb hot classes
-    first = known.groupBy("cls").agg(F.min(F.struct("id", "bands", "odd")).alias("r")).select("cls", "r.*")
+    first = known.groupBy("cls").agg(F.min(F.struct("id", "n", "bands", "odd")).alias("r")).select("cls", "r.*")
     classes = staged(first, "minhash-classes")
+    odd = classes.select("id", "n", "odd")
     buckets = classes.select(F.explode("bands").alias("band"), "id")
-    limit = odd_limit(percent / 100)
-    odd = classes.select("id", "odd")
-    # star: every member of a bucket with its least
-    heads = buckets.groupBy("band").agg(F.min("id").alias("a"), F.count("*").alias("m")).where("m > 1").select("band", "a")
-    star = buckets.join(heads, "band").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    star = (star.join(odd.select(F.col("id").alias("b"), F.col("odd").alias("ob")), "b")
-            .join(odd.select(F.col("id").alias("a"), F.col("odd").alias("oa")), "a").select("a", "b", "oa", "ob"))
+    met = buckets.groupBy("band").agg(F.count("*").alias("m")).where("m > 1")
+    shared = staged(buckets.join(met, "band"), "minhash-buckets")
+    # star: every member of a bucket with its hub
+    rank = shared.groupBy("id").agg(F.sum("m").alias("rank"))
+    hubs = shared.join(rank, "id").groupBy("band").agg(F.min(F.struct((-F.col("rank")).alias("rank"), "id")).alias("hub")).select("band", F.col("hub.id").alias("a"))
+    star = shared.join(hubs, "band").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    star = (star.join(odd.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("odd").alias("ob")), "b")
+            .join(odd.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("odd").alias("oa")), "a").select("a", "b", "na", "nb", "oa", "ob"))
 
     def sharp(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype=_U64).reshape(b.num_rows, -1) for c in (2, 3))
-            yield b.select(["a", "b"]).filter(pa.array(popcount(x, y) <= limit))
+            m, n = (b.column(c).to_numpy(zero_copy_only=False) for c in (2, 3))
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype=_U64).reshape(b.num_rows, SKETCH_BITS // 64) for c in (4, 5))
+            yield b.select(["a", "b"]).filter(pa.array(plausible(m, x, n, y, percent)))
 
     texts = base.where("id IS NOT NULL")
-    links = _confirm(arrow_map(star, sharp, "a bigint, b bigint"), texts, size, percent)
+    links = _confirm(arrow_map(star, sharp, "a bigint, b bigint").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), texts, size, percent)
     comp = components(links)
     # the rest: members of one bucket that are still apart
-    tagged = classes.join(comp, "id", "left").select("id", "bands", F.coalesce("comp", "id").alias("comp"))
-    rest = tagged.select(F.explode("bands").alias("band"), "comp", "id")
+    rest = shared.join(comp, "id", "left").select("band", F.coalesce("comp", "id").alias("comp"), "id")
     apart = rest.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band")
-    grouped = rest.join(apart, "band", "left_semi").join(odd, "id").repartition("band").sortWithinPartitions("band").select("band", "comp", "id", "odd")
-    more = _confirm(_cross(grouped, limit), texts, size, percent)
+    grouped = rest.join(apart, "band", "left_semi").join(classes.select("id", "n", "odd", "bands"), "id").repartition("band")
+    grouped = grouped.sortWithinPartitions("band").select("band", "comp", "id", "n", "odd", "bands")
+    more = _confirm(_cross(grouped, percent), texts, size, percent)
     final = components(comp.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(more.select("a", "b")))
     named = classes.select("cls", "id").join(final, "id", "left").select("cls", F.coalesce("comp", "id").alias("component_id"))
     out = sketch.drop("bands", "odd").join(named, "cls", "left")
