@@ -12,19 +12,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 HASH_SPACE = 2 ** 32
+WIDE_SPACE = 2 ** 60
 
 
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def portable_hash(*parts, seed: int | str | None = None) -> Column:
-    """H(part1 ':' part2 ... [':' seed]) as BIGINT in [0, 2^32)."""
+def _md5_prefix(parts, seed, digits: int) -> Column:
     cols = [_as_col(p).cast("string") for p in parts]
     if seed is not None:
         cols.append(F.lit(str(seed)))
     text = cols[0] if len(cols) == 1 else F.concat_ws(":", *cols)
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint")
+
+
+def portable_hash(*parts, seed: int | str | None = None) -> Column:
+    """H(part1 ':' part2 ... [':' seed]) as BIGINT in [0, 2^32)."""
+    return _md5_prefix(parts, seed, 8)
+
+
+def wide_hash(*parts, seed: int | str | None = None) -> Column:
+    """The same of 15 hex digits, in [0, 2^60): for draws of positions ``mod N``, even at any table size."""
+    return _md5_prefix(parts, seed, 15)
 
 
 def unit_uniform(*parts, seed: int | str | None = None) -> Column:

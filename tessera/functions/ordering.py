@@ -3,144 +3,47 @@
 A window ``row_number() OVER (ORDER BY k)`` without a partition spec moves
 every row into one task. Here the order is cut into ranges instead:
 
-1. a fixed-size sample of the order keys (the rows with the smallest hash of
-   their keys: a bounded top-k per task, no count needed), sorted by Spark so
-   ordering rules are Spark's, gives ``n - 1`` boundaries;
-2. each row gets its range id from a pure expression of its own keys (a
-   balanced tree of comparisons), so re-execution after a lost executor
-   assigns the same range, and the key columns include a unique tie-breaker
-   so a hot key value is spread over several ranges;
-3. one aggregate returns a count (or sum) per range: at most ``n`` rows, the
-   only data that reaches the driver;
-4. a window partitioned by range id numbers rows inside each range; the
-   range offset is added from a literal array of ``n`` numbers.
-
-Keys are compared in an order-preserving numeric form (timestamps as
-microseconds). Up to 128 ranges the range id is a comparison tree (generated
-code); beyond that, a vectorised binary search over Arrow batches, because the
-tree would outgrow a generated method.
+1. ``repartitionByRange`` cuts the rows into ranges of the keys, which are then
+   sorted inside their partitions. Sampling, comparison and the order of nulls
+   and NaN are Spark's own, at any number of ranges. The key columns include a
+   unique tie-breaker, so a hot key value is spread over several ranges;
+2. the range and the position inside it are written with the rows to the shared
+   checkpoint folder, so a lost executor re-reads them and every later use sees
+   the same ranges;
+3. one aggregate returns a count (or sum) per range: at most one row per range,
+   the only data that this module brings to the driver;
+4. the offset of a range is added from a literal array of as many numbers.
+
+The steps run while the query is being built (the checkpoint is eager).
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_RANGE = "__range_id"
-
-
-def _cols(keys) -> list[str]:
-    return [k if isinstance(k, str) else k for k in keys]
+from tessera.session import ensure_checkpoint_dir
 
-
-def _lex_ge(cols: list[Column], values: tuple, types: list[T.DataType]) -> Column:
-    """Lexicographic ``(cols) >= values`` for non-null keys."""
-    out = None
-    for i in reversed(range(len(cols))):
-        lit = F.lit(values[i]).cast(types[i])
-        if out is None:
-            out = cols[i] >= lit
-        else:
-            out = (cols[i] > lit) | ((cols[i] == lit) & out)
-    return out
-
-
-def _range_expr(cols, bounds, types) -> Column:
-    """Range id = number of boundaries <= key, by binary search."""
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(_lex_ge(cols, bounds[mid - 1], types), build(mid, hi)).otherwise(build(lo, mid - 1))
-    return build(0, len(bounds))
+_RANGE = "__range_id"
+_POS = "__range_pos"
+# monotonically_increasing_id() holds the partition above this bit and the row's position below it.
+_POS_BITS = 33
 
 
 def _default_ranges(spark) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-# Above this many boundaries the comparison tree is too large for generated
-# code; a vectorised binary search (numpy, Arrow batches) takes over.
-TREE_MAX_BOUNDS = 127
-
-
-def _encode(col: str, dtype: T.DataType) -> Column:
-    """Order-preserving numeric form of a key (timestamps and dates as integers)."""
-    c = F.col(col)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp"))
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c)
-    if isinstance(dtype, T.BooleanType):
-        return c.cast("int")
-    return c
-
-
-def _search_udf(bounds: list[tuple]):
-    """Vectorised ``#{b in bounds : b <= key}`` for lexicographic keys."""
-    cols = list(zip(*bounds))
-    barr = [np.array(c, dtype=object) if isinstance(c[0], str) else np.array(c) for c in cols]
-    m = len(bounds)
-
-    @F.pandas_udf("int")
-    def search(keys: pd.DataFrame) -> pd.Series:
-        vals = [keys[c].to_numpy(dtype=object) if barr[i].dtype == object else keys[c].to_numpy()
-                for i, c in enumerate(keys.columns)]
-        n = len(keys)
-        lo = np.zeros(n, dtype=np.int64)
-        hi = np.full(n, m, dtype=np.int64)
-        while True:
-            active = lo < hi
-            if not active.any():
-                break
-            mid = np.minimum((lo + hi) // 2, m - 1)
-            ge = np.ones(n, dtype=bool)
-            decided = np.zeros(n, dtype=bool)
-            for v, b in zip(vals, barr):
-                bm = b[mid]
-                gt, lt = v > bm, v < bm
-                ge = np.where(~decided & gt, True, np.where(~decided & lt, False, ge))
-                decided |= gt | lt
-            lo = np.where(active & ge, mid + 1, lo)
-            hi = np.where(active & ~ge, mid, hi)
-        return pd.Series(lo.astype(np.int32))
-
-    return search
-
-
-def with_range_id(df: DataFrame, keys: list[str], n_ranges: int | None = None,
-                  sample_per_range: int = 64, seed: int = 17) -> tuple[DataFrame, int]:
-    """Attach ``__range_id`` so that ranges follow the order of ``keys``."""
+def with_range_id(df: DataFrame, keys: list[str], n_ranges: int | None = None) -> tuple[DataFrame, int]:
+    """Attach ``__range_id`` and the position ``__range_pos`` inside it, both in the order of ``keys``."""
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = n_ranges or _default_ranges(spark)
-    if n == 1:
-        return df.withColumn(_RANGE, F.lit(0)), 1
-    enc = {f"__e{i}": _encode(k, df.schema[k].dataType) for i, k in enumerate(keys)}
-    ecols = list(enc)
-    keyed = df.withColumns(enc)
-    # Uniform sample of fixed size without a count: the rows with the smallest
-    # hash of their keys (a bounded top-k per task), sorted by Spark.
-    want = n * sample_per_range
-    sample = (keyed.select(*ecols).withColumn("__sh", F.xxhash64(*ecols, F.lit(seed)))
-              .orderBy("__sh", *ecols).limit(want).select(*ecols).orderBy(*ecols).collect())
-    step = max(1, len(sample) // n)
-    bounds = []
-    for i in range(step, len(sample), step):
-        b = tuple(sample[i])
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    bounds = bounds[: n - 1]
-    if not bounds:
-        return df.withColumn(_RANGE, F.lit(0)), 1
-    if len(bounds) <= TREE_MAX_BOUNDS:
-        types = [keyed.schema[e].dataType for e in ecols]
-        rid = _range_expr([F.col(e) for e in ecols], bounds, types)
-    else:
-        rid = _search_udf(bounds)(F.struct(*[F.col(e) for e in ecols]))
-    return keyed.withColumn(_RANGE, rid).drop(*ecols), len(bounds) + 1
+    at = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+          .withColumn(_POS, F.monotonically_increasing_id()).checkpoint(eager=True))
+    return at.withColumns({_RANGE: F.shiftright(_POS, _POS_BITS).cast("int"),
+                           _POS: F.col(_POS).bitwiseAND(F.lit((1 << _POS_BITS) - 1))}), n
 
 
 def _offsets(per_range: dict, n: int) -> list:
@@ -160,28 +63,19 @@ def dense_index(df: DataFrame, keys: list[str], out: str = "row_idx",
                 n_ranges: int | None = None, start: int = 0) -> DataFrame:
     """``row_number() over (order by keys) - 1 + start`` without a global window.
 
-    ``keys`` must be non-null and together unique for a deterministic result.
+    ``keys`` must be together unique for a deterministic result; nulls come
+    first and NaN last, as in any ascending Spark order.
     """
     ranged, n = with_range_id(df, keys, n_ranges)
     counts = {r[0]: r[1] for r in ranged.groupBy(_RANGE).count().collect()}  # <= n rows
-    offs = _offsets(counts, n)
-    w = Window.partitionBy(_RANGE).orderBy(*keys)
-    return (ranged.withColumn(out, (F.row_number().over(w) - 1 + _offset_col(offs, "bigint") + start))
-            .drop(_RANGE))
+    return (ranged.withColumn(out, F.col(_POS) + _offset_col(_offsets(counts, n), "bigint") + start)
+            .drop(_RANGE, _POS))
 
 
 def prefix_sum(df: DataFrame, keys: list[str], value: str, out: str,
                n_ranges: int | None = None, inclusive: bool = True) -> DataFrame:
     """Running ``sum(value) over (order by keys)`` (rows frame) without a global window."""
-    ranged, n = with_range_id(df, keys, n_ranges)
-    sums = {r[0]: r[1] for r in ranged.groupBy(_RANGE).agg(F.sum(value)).collect()}
-    dtype = df.schema[value].dataType
-    dtype_s = "double" if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)) else "bigint"
-    offs = _offsets(sums, n)
-    w = Window.partitionBy(_RANGE).orderBy(*keys)
-    frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    local = F.coalesce(F.sum(value).over(frame), F.lit(0).cast(dtype_s))
-    return ranged.withColumn(out, (local + _offset_col(offs, dtype_s)).cast(dtype_s)).drop(_RANGE)
+    return prefix_sums(df, keys, {out: value}, n_ranges, inclusive)
 
 
 def prefix_sums(df: DataFrame, keys: list[str], values: dict[str, str],
@@ -189,13 +83,12 @@ def prefix_sums(df: DataFrame, keys: list[str], values: dict[str, str],
     """Several running sums ``{out: value}`` sharing one range assignment."""
     ranged, n = with_range_id(df, keys, n_ranges)
     aggs = [F.sum(v).alias(o) for o, v in values.items()]
-    rows = ranged.groupBy(_RANGE).agg(*aggs).collect()
-    w = Window.partitionBy(_RANGE).orderBy(*keys)
-    frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    rows = ranged.groupBy(_RANGE).agg(*aggs).collect()  # <= n rows
+    frame = Window.partitionBy(_RANGE).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     for o, v in values.items():
         dtype = df.schema[v].dataType
         dtype_s = "double" if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)) else "bigint"
         offs = _offsets({r[_RANGE]: r[o] for r in rows}, n)
         local = F.coalesce(F.sum(v).over(frame), F.lit(0).cast(dtype_s))
         ranged = ranged.withColumn(o, (local + _offset_col(offs, dtype_s)).cast(dtype_s))
-    return ranged.drop(_RANGE)
+    return ranged.drop(_RANGE, _POS)

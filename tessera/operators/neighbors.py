@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import portable_hash
+from tessera.functions.hashing import WIDE_SPACE, portable_hash, wide_hash
 
 
 def as_double(vec: Column) -> Column:
@@ -116,9 +116,9 @@ def smote(minority: DataFrame, n_new: int, k: int, id_col: str, vec_col: str, se
     pop = dense_index(minority.select(id_col), [id_col], "__idx")
     n_min = minority.count()
     draws = spark.range(n_new).withColumnRenamed("id", "synthetic_id").select(
-        "synthetic_id", (portable_hash("synthetic_id", seed=f"{seed}:base") % F.lit(n_min)).alias("__idx"),
-        (portable_hash("synthetic_id", seed=f"{seed}:nbr") % F.lit(k) + 1).alias("rank"),
-        (portable_hash("synthetic_id", seed=f"{seed}:u") / F.lit(float(2 ** 32))).alias("u"))
+        "synthetic_id", (wide_hash("synthetic_id", seed=f"{seed}:base") % F.lit(n_min)).alias("__idx"),
+        (wide_hash("synthetic_id", seed=f"{seed}:nbr") % F.lit(k) + 1).alias("rank"),
+        (wide_hash("synthetic_id", seed=f"{seed}:u") / F.lit(float(WIDE_SPACE))).alias("u"))
     d = draws.join(pop, "__idx").withColumnRenamed(id_col, "base_id")
     d = d.join(nb.select(F.col("q_id").alias("base_id"), "rank", "nbr_id"), ["base_id", "rank"])
     vec = minority.select(F.col(id_col).alias("__i"), as_double(F.col(vec_col)).alias("__v"))

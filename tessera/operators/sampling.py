@@ -13,38 +13,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tessera.functions.subquery import attach_row
 
-from tessera.functions.hashing import portable_hash
+from tessera.functions.hashing import WIDE_SPACE, portable_hash, wide_hash
 from tessera.functions.ordering import dense_index
 
 SCALE = 1_000_000
 
 
-TOPK_LIMIT = 100_000  # above this a top-k would gather too many rows in one task
-
-
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """n rows without replacement: the n smallest hashes (the limit is the feature).
+    """n rows without replacement: the n smallest ``(H, key)`` (the limit is the feature).
 
-    Small n: a top-k (k rows per task, then merged). Large n (data-sized, as in
-    undersampling): distributed numbering by ``(H, key)`` and a filter, so no
-    task ever holds more than its own range.
+    A threshold on H, from the row count, leaves a few more rows than n; their
+    distributed numbering trims them exactly. If the threshold left too few, it
+    is doubled. Counting is eager; fewer rows than n are all returned.
     """
-    h = df.withColumn("__h", portable_hash(key, seed=seed))
-    if n <= TOPK_LIMIT:
-        return h.orderBy("__h", key).limit(n).drop("__h")
-    return dense_index(h, ["__h", key], "__i").where(F.col("__i") < n).drop("__h", "__i")
+    total = df.count()
+    if n >= total:
+        return df
+    h = df.withColumn("__h", wide_hash(key, seed=seed))
+    share = (n + 6 * math.sqrt(n) + 20) / total
+    near = h
+    while share < 1:
+        near = h.where(F.col("__h") < int(share * WIDE_SPACE))
+        if near.count() >= n:
+            break
+        near, share = h, 2 * share
+    return dense_index(near, ["__h", key], "__i").where(F.col("__i") < n).drop("__h", "__i")
 
 
 def draws_with_replacement(df: DataFrame, key: str, n_draws: int, seed: int = 0,
                            draw_ids: DataFrame | None = None) -> DataFrame:
     """``n_draws`` rows drawn with replacement: draw j takes the row at dense
-    position ``H(j:seed) mod N``. Joins on the position, so no row list is
+    position ``H(j:seed) mod N`` (60 bits of H). Joins on the position, so no row list is
     gathered anywhere."""
     spark = df.sparkSession
     pop = dense_index(df, [key], "__idx")
     n = df.count()
     draws = draw_ids if draw_ids is not None else spark.range(n_draws).withColumnRenamed("id", "draw")
-    draws = draws.withColumn("__idx", portable_hash("draw", seed=seed) % F.lit(n))
+    draws = draws.withColumn("__idx", wide_hash("draw", seed=seed) % F.lit(n))
     return draws.join(pop, "__idx").drop("__idx")
 
 

@@ -8,7 +8,7 @@ broadcast when it is small at run time), never collected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.subquery import attach_row
@@ -22,10 +22,11 @@ VECTOR_TOKEN = "[\\p{L}\\p{N}_]{2,}"
 SENTENCE_SPLIT = "(?<=[.!?])\\s+"
 
 
-def tokens(df: DataFrame, id_col: str, text: str, pattern: str = TOKEN_PATTERN,
+def tokens(df: DataFrame, id_col: str | list[str], text: str, pattern: str = TOKEN_PATTERN,
            lower: bool = False) -> DataFrame:
     t = F.lower(F.col(text)) if lower else F.col(text)
-    return df.select(id_col, F.posexplode(F.regexp_extract_all(t, F.lit(pattern), 0)).alias("pos", "token"))
+    ids = [id_col] if isinstance(id_col, str) else id_col
+    return df.select(*ids, F.posexplode(F.regexp_extract_all(t, F.lit(pattern), 0)).alias("pos", "token"))
 
 
 def sentences(df: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -86,17 +87,17 @@ def count_matrix(tok: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
 def idf_table(train_counts: DataFrame, id_col: str) -> DataFrame:
     """Smoothed idf ``ln((1+N)/(1+df)) + 1`` learned on the training counts."""
     n = train_counts.select(id_col).distinct().agg(F.count(F.lit(1)).alias("__N"))  # one row
-    df_t = train_counts.groupBy("term").agg(F.count_distinct(id_col).alias("__df"))
+    df_t = train_counts.groupBy("term").agg(F.count(F.lit(1)).alias("__df"))  # rows are unique per (id, term)
     idf = attach_row(df_t, n).select(
         "term", (F.log((F.lit(1) + F.col("__N")) / (F.lit(1) + F.col("__df"))) + 1).alias("idf"))
     return idf.checkpoint(eager=True)  # fitted weights, one row per term
 
 
 def tfidf(counts: DataFrame, idf: DataFrame, id_col: str) -> DataFrame:
-    """tf * idf, L2-normalised per document (long form)."""
+    """tf * idf, L2-normalised per document (long form); a window holds the terms of one document."""
     w = counts.join(idf, "term").withColumn("__w", F.col("tf") * F.col("idf"))
-    norm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("__w") * F.col("__w"))).alias("__norm"))
-    return w.join(norm, id_col).select(id_col, "term", (F.col("__w") / F.col("__norm")).alias("tfidf"))
+    norm = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(id_col)))
+    return w.select(id_col, "term", (F.col("__w") / norm).alias("tfidf"))
 
 
 def word_ngrams(words: Column, n: int) -> Column:

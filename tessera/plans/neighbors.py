@@ -86,7 +86,7 @@ def _minority(t):
 
 
 def _h(expr, seed):
-    return f"CAST(('0x' || substr(md5(CAST({expr} AS VARCHAR) || ':{seed}'), 1, 8)) AS BIGINT)"
+    return f"CAST(('0x' || substr(md5(CAST({expr} AS VARCHAR) || ':{seed}'), 1, 15)) AS BIGINT)"
 
 
 @query("balance_smote", f"""
@@ -97,7 +97,7 @@ mi AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, row_number() OVER (ORDER
 d AS (SELECT a.vec_id AS q, b.vec_id AS n, {_d2('a.v', 'b.v')} AS d2 FROM mi a, mi b WHERE a.vec_id <> b.vec_id),
 r AS (SELECT q, n, row_number() OVER (PARTITION BY q ORDER BY d2, n) AS rk FROM d),
 draws AS (SELECT range AS synthetic_id, {_h('range', '0:base')} % (SELECT n_min FROM mm) AS idx,
-                 {_h('range', '0:nbr')} % {K} + 1 AS rk, {_h('range', '0:u')} / 4294967296.0 AS u
+                 {_h('range', '0:nbr')} % {K} + 1 AS rk, {_h('range', '0:u')} / 1152921504606846976.0::DOUBLE AS u
           FROM range((SELECT n_max - n_min FROM mm)))
 SELECT synthetic_id, base.vec_id AS base_id, r.n AS nbr_id, round(u, 12) AS u,
        round(list_reduce(list_transform(range(1, len(base.v) + 1), lambda i: base.v[i] + u * (nb.v[i] - base.v[i])),
@@ -117,7 +117,7 @@ mi AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, row_number() OVER (ORDER
 d AS (SELECT a.vec_id AS q, b.vec_id AS n, {_d2('a.v', 'b.v')} AS d2 FROM mi a, mi b WHERE a.vec_id <> b.vec_id),
 r AS (SELECT q, n, row_number() OVER (PARTITION BY q ORDER BY d2, n) AS rk FROM d),
 draws AS (SELECT range AS synthetic_id, {_h('range', '0:base')} % (SELECT n_min FROM mm) AS idx,
-                 {_h('range', '0:nbr')} % {K} + 1 AS rk, {_h('range', '0:u')} / 4294967296.0 AS u
+                 {_h('range', '0:nbr')} % {K} + 1 AS rk, {_h('range', '0:u')} / 1152921504606846976.0::DOUBLE AS u
           FROM range((SELECT n_max - n_min FROM mm))),
 syn AS (SELECT -1 - synthetic_id AS vec_id, (SELECT minority FROM mm) AS label,
           list_transform(range(1, len(base.v) + 1), lambda i: base.v[i] + u * (nb.v[i] - base.v[i])) AS v

@@ -10,15 +10,19 @@ def H(expr, seed):
     return f"CAST(('0x' || substr(md5(CAST({expr} AS VARCHAR) || ':{seed}'), 1, 8)) AS BIGINT)"
 
 
+def W(expr, seed):
+    return H(expr, seed).replace("1, 8)", "1, 15)")
+
+
 @query("sample_without_replacement", f"""
-SELECT o_orderkey FROM orders ORDER BY {H('o_orderkey', 11)}, o_orderkey LIMIT 100""")
+SELECT o_orderkey FROM orders ORDER BY {W('o_orderkey', 11)}, o_orderkey LIMIT 100""")
 def q_sample_n(spark, t):
     return S.sample_n(t.orders.select("o_orderkey"), "o_orderkey", 100, seed=11)
 
 
 @query("sample_with_replacement", f"""
 WITH pop AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx FROM orders),
-d AS (SELECT range AS draw, {H('range', 7)} % (SELECT count(*) FROM orders) AS idx FROM range(500))
+d AS (SELECT range AS draw, {W('range', 7)} % (SELECT count(*) FROM orders) AS idx FROM range(500))
 SELECT draw, o_orderkey FROM d JOIN pop USING (idx)""")
 def q_sample_repl(spark, t):
     return S.draws_with_replacement(t.orders.select("o_orderkey"), "o_orderkey", 500, seed=7).select("draw", "o_orderkey")
@@ -26,7 +30,7 @@ def q_sample_repl(spark, t):
 
 @query("sample_bootstrap_means", f"""
 WITH pop AS (SELECT value, row_number() OVER (ORDER BY event_id) - 1 AS idx FROM events),
-d AS (SELECT range // 50 AS sample, {H("CAST(range // 50 AS VARCHAR) || ':' || CAST(range % 50 AS VARCHAR)", 3)}
+d AS (SELECT range // 50 AS sample, {W("CAST(range // 50 AS VARCHAR) || ':' || CAST(range % 50 AS VARCHAR)", 3)}
              % (SELECT count(*) FROM events) AS idx FROM range(200 * 50))
 SELECT sample, round(avg(value), 9) AS mean FROM d JOIN pop USING (idx) GROUP BY sample""")
 def q_bootstrap(spark, t):
@@ -76,7 +80,7 @@ def q_first_n(spark, t):
 
 
 @query("balance_undersample", f"""
-(SELECT doc_id, quality FROM labels WHERE quality = 1 ORDER BY {H('doc_id', 13)}, doc_id
+(SELECT doc_id, quality FROM labels WHERE quality = 1 ORDER BY {W('doc_id', 13)}, doc_id
  LIMIT (SELECT CAST(ceil(count(*) / 0.5) AS BIGINT) FROM labels WHERE quality <> 1))
 UNION ALL SELECT doc_id, quality FROM labels WHERE quality <> 1""")
 def q_undersample(spark, t):
@@ -85,7 +89,7 @@ def q_undersample(spark, t):
 
 @query("balance_oversample", f"""
 WITH mino AS (SELECT doc_id, quality, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM labels WHERE quality = 0),
-d AS (SELECT {H('range', 17)} % (SELECT count(*) FROM mino) AS idx FROM range((SELECT count(*) FROM labels WHERE quality <> 0)))
+d AS (SELECT {W('range', 17)} % (SELECT count(*) FROM mino) AS idx FROM range((SELECT count(*) FROM labels WHERE quality <> 0)))
 SELECT doc_id, quality FROM labels WHERE quality <> 0
 UNION ALL SELECT doc_id, quality FROM d JOIN mino USING (idx)""")
 def q_oversample(spark, t):

@@ -67,14 +67,13 @@ def _lemma_sql():
 
 
 @query("text_lemmatize", f"""
-WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents WHERE lang = 'en'),
+WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents),
 c AS ({_lemma_sql()}),
 b AS (SELECT c.word, arg_min(cand, (length(cand), i)) AS lemma FROM c JOIN w l ON c.cand = l.word GROUP BY c.word)
 SELECT w.word, coalesce(ex.lemma, b.lemma, w.word) AS lemma
 FROM w LEFT JOIN b ON w.word = b.word LEFT JOIN {SQL_EXC.replace(') v(', ') ex(')} ON w.word = ex.inflected""")
 def q_lemmatize(spark, t):
-    en = t.documents.where(F.col("lang") == "en")
-    words = X.tokens(en, "doc_id", "text", "[a-z]+", lower=True).select(F.col("token").alias("word"))
+    words = X.tokens(t.documents, "doc_id", "text", "[a-z]+", lower=True).select(F.col("token").alias("word"))
     exc = spark.createDataFrame(VERB_EXCEPTIONS, "inflected string, lemma string")
     return X.lemmatize(words, "word", words, "word", exc)
 
@@ -86,8 +85,7 @@ lex AS (SELECT token, arg_min(lang, (-cnt, lang)) AS tag FROM
 SELECT coalesce(tag, 'UNK') AS tag, count(*) AS n FROM tok LEFT JOIN lex USING (token)
 GROUP BY 1 ORDER BY n DESC, tag LIMIT 5""")
 def q_tag_freq(spark, t):
-    docs = t.documents.select("doc_id", "lang", "text")
-    tok = X.tokens(docs, "doc_id", "text", lower=True).join(docs.select("doc_id", "lang"), "doc_id")
+    tok = X.tokens(t.documents, ["doc_id", "lang"], "text", lower=True)
     train = tok.join(t.labels.select("doc_id"), "doc_id", "left_semi")
     cnt = train.groupBy("token", "lang").agg(F.count(F.lit(1)).alias("cnt"))
     lex = cnt.groupBy("token").agg(F.min_by("lang", F.struct((-F.col("cnt")).alias("a"), F.col("lang").alias("b")))
@@ -97,23 +95,23 @@ def q_tag_freq(spark, t):
     return freq.orderBy(F.col("n").desc(), F.col("tag")).limit(5)
 
 
-def _vocab_sql(where=""):
+def _vocab_sql(where="", top=""):
     return f"""(SELECT term, df, tf FROM (
       SELECT token AS term, count(DISTINCT doc_id) AS df, count(*) AS tf,
              (SELECT count(DISTINCT doc_id) FROM documents {where}) AS n_docs
       FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), {VTOK})) AS token FROM documents {where})
       GROUP BY token)
     WHERE df >= 2 AND df <= n_docs * 0.5 AND term NOT IN {SQL_STOP}
-    ORDER BY tf DESC, term LIMIT 1000)"""
+    {top})"""
 
 
-def _vocab(dt):
-    return X.vocabulary_from_counts(dt, "doc_id", min_df=2, max_df=0.5, stop_words=STOP_WORDS, max_features=1000)
+def _vocab(dt, max_features=None):
+    return X.vocabulary_from_counts(dt, "doc_id", min_df=2, max_df=0.5, stop_words=STOP_WORDS, max_features=max_features)
 
 
-@query("text_vocabulary", f"SELECT * FROM {_vocab_sql()}")
+@query("text_vocabulary", f"SELECT * FROM {_vocab_sql(top='ORDER BY tf DESC, term LIMIT 1000')}")
 def q_vocabulary(spark, t):
-    return _vocab(X.doc_term_counts(doc_tokens(t, True, X.VECTOR_TOKEN), "doc_id"))
+    return _vocab(X.doc_term_counts(doc_tokens(t, True, X.VECTOR_TOKEN), "doc_id"), max_features=1000)
 
 
 _TRAIN = "WHERE doc_id IN (SELECT doc_id FROM labels)"
@@ -191,16 +189,15 @@ def q_char_wb(spark, t):
 _SPELL_SQL = """
 WITH q AS (SELECT DISTINCT substr(w, 1, length(w) - 1) AS word FROM (SELECT unnest(string_split(p_name, ' ')) AS w FROM part)),
 d AS (SELECT DISTINCT w AS entry FROM (SELECT unnest(string_split(p_name, ' ')) AS w FROM part
-      UNION ALL SELECT unnest(regexp_extract_all(lower(text), '[a-z]{2,}')) FROM documents WHERE lang = 'en')),
+      UNION ALL SELECT unnest(regexp_extract_all(lower(text), '[a-z]{2,}')) FROM documents)),
 c AS (SELECT * FROM q JOIN d ON substr(word, 1, 1) = substr(entry, 1, 1))"""
 
 
 def _spell_inputs(t):
     p = t.part.select(F.explode(F.split("p_name", " ")).alias("w"))
     q = p.select(F.expr("substring(w, 1, length(w) - 1)").alias("word")).distinct()
-    en = t.documents.where(F.col("lang") == "en")
     d = p.select(F.col("w").alias("entry")).union(
-        X.tokens(en, "doc_id", "text", "[a-z]{2,}", lower=True).select(F.col("token").alias("entry"))).distinct()
+        X.tokens(t.documents, "doc_id", "text", "[a-z]{2,}", lower=True).select(F.col("token").alias("entry"))).distinct()
     return q, d
 
 
@@ -239,11 +236,10 @@ def q_edit(spark, t):
 
 
 @query("filter_sorted_list", """
-SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token FROM documents WHERE lang = 'en')
+SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token FROM documents)
 WHERE length(token) > 9 GROUP BY token HAVING count(*) > 3 ORDER BY token""")
 def q_sorted_list(spark, t):
-    en = t.documents.where(F.col("lang") == "en")
-    tok = X.tokens(en, "doc_id", "text", "[a-z]+", lower=True).where(F.length("token") > 9)
+    tok = X.tokens(t.documents, "doc_id", "text", "[a-z]+", lower=True).where(F.length("token") > 9)
     return X.token_freq(tok).where(F.col("n") > 3).orderBy("token")
 
 

@@ -4,10 +4,11 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import portable_hash
+from tessera.functions.hashing import portable_hash, wide_hash
 from tessera.functions.ordering import dense_index, prefix_sum
 from tessera.operators.quantiles import quantiles
 
@@ -70,28 +71,30 @@ def test_quantiles_of_empty_and_single(spark):
     assert quantiles(one, "v", [0.25, 0.75], names=["a", "b"]).first().asDict() == {"a": 5.0, "b": 5.0}
 
 
-def test_dense_index_vectorised_search_path(spark):
-    # more than 128 ranges: the range id comes from the vectorised binary search
+@pytest.mark.parametrize("n_ranges", [8, 200, 1000])
+def test_dense_index_orders_nan_null_and_mixed_keys_at_any_number_of_ranges(spark, n_ranges):
     import datetime
-    rows = [(i, f"k{(i * 7) % 13:02d}", datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=(i * 37) % 500))
-            for i in range(4000)]
-    df = spark.createDataFrame(rows, "id long, s string, ts timestamp")
-    got = dense_index(df, ["ts", "s", "id"], "idx", n_ranges=300)
-    ref = df.withColumn("ref", F.row_number().over(Window.orderBy("ts", "s", "id")) - 1)
-    assert got.join(ref, "id").where(F.col("idx") != F.col("ref")).count() == 0
+    rows = [(i, None if i % 11 == 0 else float("nan") if i % 5 == 0 else float((i * 7) % 900), f"k{(i * 7) % 13:02d}",
+             datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=(i * 37) % 500)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, v double, s string, ts timestamp")
+    for keys in (["v", "id"], ["ts", "s", "id"]):
+        got = {r.id: r.idx for r in dense_index(df, keys, "idx", n_ranges=n_ranges).collect()}
+        ref = {r.id: r.ref for r in df.withColumn("ref", F.row_number().over(Window.orderBy(*keys)) - 1).collect()}
+        assert got == ref
 
 
-def test_sample_n_large_uses_numbering(spark):
+def test_dense_index_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "id long, v double")
+    assert dense_index(df, ["v", "id"], "idx", n_ranges=8).columns == ["id", "v", "idx"]
+    assert dense_index(df, ["v", "id"], "idx", n_ranges=8).count() == 0
+
+
+def test_sample_n_takes_the_smallest_hashes(spark):
     from tessera.operators import sampling as S
     df = spark.range(3000).withColumnRenamed("id", "k")
-    small = S.sample_n(df, "k", 1200, seed=3)
-    old = S.TOPK_LIMIT
-    try:
-        S.TOPK_LIMIT = 10
-        big = S.sample_n(df, "k", 1200, seed=3)
-    finally:
-        S.TOPK_LIMIT = old
-    assert big.count() == 1200 and small.exceptAll(big).count() == 0
+    order = [r.k for r in df.orderBy(wide_hash("k", seed=3), "k").collect()]
+    for n in (0, 1, 1200, 2999, 3000, 5000):
+        assert {r.k for r in S.sample_n(df, "k", n, seed=3).collect()} == set(order[:n])
 
 
 def test_closure_of_a_deep_chain_and_a_cycle(spark):
