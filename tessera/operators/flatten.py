@@ -1,8 +1,12 @@
 """Document flattening (X rows).
 
-X1: an XML statute-like tree (part / chapter / article / paragraph, with
+X1: an XML statute-like tree (part / title / chapter / level / section, with
 optional block lists) becomes one row per article: ``(article, section path,
 paragraph count, merged text)``; articles without paragraphs are dropped.
+Namespaces are ignored and the tree may be wrapped (the first ``body`` counts).
+The number of a section or article is its ``num`` child, else its ``num``
+attribute, else its ``eId``. Every text is merged once, in document order. A
+document that is no XML yields one row that holds only ``error``.
 The tree walk is a small Python UDTF applied per document in a lateral join:
 each document is parsed on its own (bounded memory per row), the standard
 library parser resolves no external entities, and the rows it yields are
@@ -22,11 +26,37 @@ from pyspark.sql.functions import udtf
 SECTION_TAGS = ("part", "title", "chapter", "level", "section")
 
 
+# Elements whose text is merged as one piece; an item counts only where it holds none of the others.
+TEXT_TAGS = ("p", "listIntroduction", "item")
+
+
+def _tag(el) -> str:
+    return el.tag.rpartition("}")[2] if isinstance(el.tag, str) else ""
+
+
 def _text(el) -> str:
     return " ".join(" ".join(el.itertext()).split())
 
 
-@udtf(returnType="article string, path array<string>, n_paragraphs int, text string")
+def _number(el) -> str:
+    for child in el:
+        if _tag(child) == "num":
+            return _text(child)
+    return el.get("num") or el.get("eId") or ""
+
+
+def _pieces(paragraph) -> list[str]:
+    out, stack = [], list(reversed(list(paragraph)))
+    while stack:
+        el = stack.pop()
+        if _tag(el) in TEXT_TAGS and not (_tag(el) == "item" and any(x is not el and _tag(x) in TEXT_TAGS for x in el.iter())):
+            out.append(_text(el))
+        else:
+            stack.extend(reversed(list(el)))
+    return [t for t in out if t]
+
+
+@udtf(returnType="article string, path array<string>, n_paragraphs int, text string, error string")
 class FlattenArticles:
     """Walk the tree; every ``article`` under nested sections yields one row."""
 
@@ -35,27 +65,18 @@ class FlattenArticles:
             return
         try:
             root = ET.fromstring(xml)
-        except ET.ParseError:
+        except ET.ParseError as e:
+            yield None, None, None, None, str(e)
             return
-        stack = [(root, [])]
+        stack = [(next((x for x in root.iter() if _tag(x) == "body"), root), [])]
         while stack:
             el, path = stack.pop()
-            for child in reversed(list(el)):
-                tag = child.tag
-                if tag in SECTION_TAGS:
-                    stack.append((child, path + [child.get("num", "")]))
-                elif tag == "article":
-                    paras = child.findall("paragraph")
-                    if not paras:
-                        continue
-                    pieces = []
-                    for p in paras:
-                        for node in p.iter():
-                            if node.tag == "p" or node.tag == "listIntroduction" or node.tag == "item":
-                                t = _text(node)
-                                if t:
-                                    pieces.append(t)
-                    yield child.get("num", ""), path, len(paras), " ".join(pieces)
+            for child in el:
+                if _tag(child) == "article":
+                    paras = [x for x in child if _tag(x) == "paragraph"]
+                    if paras:
+                        yield _number(child), path, len(paras), " ".join(t for p in paras for t in _pieces(p)), None
+            stack.extend((x, [*path, _number(x)]) for x in reversed(list(el)) if _tag(x) in SECTION_TAGS)
 
 
 def flatten_xml(df: DataFrame, xml_col: str) -> DataFrame:

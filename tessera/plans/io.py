@@ -125,25 +125,39 @@ def q_sink_json(spark, t):
 
 def _statute_xml(t):
     """One statute-like document per customer: part = region, chapter = nation,
-    article = customer; customers with a negative balance have no paragraphs."""
+    article = customer; customers with a negative balance have no paragraphs.
+    Even keys come wrapped, with a namespace, numbers as elements and paragraphs
+    in the items; the others bare, with attributes. Each tenth key is cut off."""
     c = t.customer.join(t.nation, t.customer.c_nationkey == t.nation.n_nationkey).join(
         t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    paras = F.when(F.col("c_acctbal") >= 0, F.format_string(
-        "<paragraph><content><p>%s</p></content></paragraph><paragraph><content><blockList>"
-        "<listIntroduction>balance</listIntroduction><item>%d</item></blockList></content></paragraph>",
-        "c_mktsegment", F.floor("c_acctbal").cast("long"))).otherwise(F.lit(""))
-    xml = F.format_string("<body><part num=\"%s\"><chapter num=\"%s\"><article eId=\"art_%d\" num=\"%d\">%s</article>"
-                          "</chapter></part></body>", "r_name", "n_name", "c_custkey", "c_custkey", paras)
-    return c.select("c_custkey", xml.alias("xml"))
+    full = F.col("c_custkey") % 2 == 0
+
+    def paras(item):
+        return F.when(F.col("c_acctbal") >= 0, F.format_string(
+            "<paragraph><content><p>%s</p></content></paragraph><paragraph><content><blockList>"
+            f"<listIntroduction>balance</listIntroduction><item>{item}</item></blockList></content></paragraph>",
+            "c_mktsegment", F.floor("c_acctbal").cast("long"))).otherwise(F.lit(""))
+
+    wrapped = F.format_string(
+        "<a:akomaNtoso xmlns:a=\"urn:a\" xmlns=\"urn:a\"><act><meta/><body><part><num>%s</num><chapter><num>%s</num>"
+        "<article eId=\"art_%d\"><num><b>%d</b></num>%s</article></chapter></part></body></act></a:akomaNtoso>",
+        "r_name", "n_name", "c_custkey", "c_custkey", paras("<num>a)</num><p>%d</p>"))
+    bare = F.format_string("<body><part num=\"%s\"><chapter num=\"%s\"><article eId=\"art_%d\" num=\"%d\">%s</article>"
+                           "</chapter></part></body>", "r_name", "n_name", "c_custkey", "c_custkey", paras("%d"))
+    xml = F.when(F.col("c_custkey") % 10 == 0, F.expr("substring(xml, 1, length(xml) - 9)")).otherwise(F.col("xml"))
+    return c.withColumn("xml", F.when(full, wrapped).otherwise(bare)).select("c_custkey", xml.alias("xml"))
 
 
 @query("doc_flatten_xml", """
-SELECT CAST(c_custkey AS VARCHAR) AS article, r_name || '/' || n_name AS path, 2 AS n_paragraphs,
-       c_mktsegment || ' balance ' || CAST(floor(c_acctbal) AS BIGINT) AS text
-FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_acctbal >= 0""")
+SELECT c_custkey, CASE WHEN ok THEN CAST(c_custkey AS VARCHAR) END AS article, CASE WHEN ok THEN r_name || '/' || n_name END AS path,
+       CASE WHEN ok THEN 2 END AS n_paragraphs,
+       CASE WHEN ok THEN c_mktsegment || ' balance ' || CAST(floor(c_acctbal) AS BIGINT) END AS text, NOT ok AS malformed
+FROM (SELECT *, c_custkey % 10 <> 0 AS ok FROM customer) JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+WHERE c_acctbal >= 0 OR NOT ok""")
 def q_flatten_xml(spark, t):
-    f = flatten_xml(_statute_xml(t).select("xml"), "xml")
-    return f.select("article", F.array_join("path", "/").alias("path"), "n_paragraphs", "text")
+    f = flatten_xml(_statute_xml(t), "xml")
+    return f.select("c_custkey", "article", F.array_join("path", "/").alias("path"), "n_paragraphs", "text",
+                    F.col("error").isNotNull().alias("malformed"))
 
 
 @query("doc_flatten_json", """

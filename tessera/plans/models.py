@@ -198,7 +198,7 @@ def q_linear_svm(spark, t):
 @query("model_rbf_svm")
 def q_rbf_svm(spark, t):
     f = doc_frame(t).drop("features")
-    stats = f.agg(*[F.avg(c).alias(f"m_{c}") for c in DOC_FEATURES], *[F.stddev_pop(c).alias(f"s_{c}") for c in DOC_FEATURES])
+    stats = f.where(F.col("split") == "train").agg(*[F.avg(c).alias(f"m_{c}") for c in DOC_FEATURES], *[F.stddev_pop(c).alias(f"s_{c}") for c in DOC_FEATURES])
     z = attach_row(f, stats).withColumns({f"z_{c}": (F.col(c) - F.col(f"m_{c}")) / F.col(f"s_{c}") for c in DOC_FEATURES})
     z = ML.random_fourier_features(z, [f"z_{c}" for c in DOC_FEATURES], 50, gamma=0.2, seed=3)
     z = ML.assemble(z, [f"rff_{j}" for j in range(50)])

@@ -48,10 +48,22 @@ def test_flatten_nested_sections(spark):
            "<article eId='art_3' num='3'><paragraph><content><p>Top</p></content></paragraph></article>"
            "</part></body>")
     df = spark.createDataFrame([(xml,), ("<not xml",)], "x string")
-    rows = sorted(flatten_xml(df, "x").collect())
+    out = flatten_xml(df, "x").collect()
+    rows = sorted(r for r in out if r.error is None)
     assert [(r.article, r.path, r.n_paragraphs, r.text) for r in rows] == [
         ("1", ["1", "a", "x"], 2, "Alpha text Items: one two"),
         ("3", ["1"], 1, "Top")]
+    assert [(r.article, r.text) for r in out if r.error is not None] == [(None, None)]
+
+
+def test_flatten_wrapped_namespaced_document_merges_each_text_once(spark):
+    xml = ("<n:akomaNtoso xmlns:n='urn:x'><n:act><n:preface><n:p>not this</n:p></n:preface><n:body><n:title><n:num>I</n:num>"
+           "<n:article eId='art_4'><n:num><n:b>Art.</n:b><n:i>4</n:i></n:num><n:paragraph><n:content><n:blockList>"
+           "<n:listIntroduction>intro</n:listIntroduction><n:item><n:num>a)</n:num><n:p>x <n:i>abc</n:i></n:p></n:item>"
+           "<n:item><n:blockList><n:listIntroduction>inner</n:listIntroduction><n:item>y</n:item></n:blockList></n:item>"
+           "</n:blockList></n:content></n:paragraph></n:article></n:title></n:body></n:act></n:akomaNtoso>")
+    r = flatten_xml(spark.createDataFrame([(xml,), (None,), ("",)], "x string"), "x").collect()
+    assert [tuple(x) for x in r] == [("Art. 4", ["I"], 1, "intro x abc inner y", None)]
 
 
 def test_grid_and_arange(spark):
