@@ -36,6 +36,7 @@ SAMPLES = BANDS * ROWS
 BIN_BITS = 14
 BINS = 1 << BIN_BITS
 SKETCH_BITS = 2048
+BLOCK = 1 << 17
 _U64 = np.uint64
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 2**64, 256, dtype=_U64)
@@ -72,14 +73,28 @@ class Shingler:
         self.up = self.down = np.zeros(0, dtype=_U64)
 
     def words(self, raw: np.ndarray) -> np.ndarray:
-        """Hash of each word of a text (lower-cased A-Z), in order."""
+        """Hash of each word of a text (lower-cased A-Z), in order.
+
+        Whole words are hashed a block at a time, so that the working arrays,
+        of many bytes a character, grow with a block and not with the text.
+        """
         gap = _SPACE[raw]
         edge = np.flatnonzero(np.diff(np.concatenate(([True], gap, [True]))))
         starts, ends = edge[::2], edge[1::2]
-        if len(self.up) <= len(raw):
-            self.up, self.down = _powers(_BASE, 2 * len(raw) + 1), _powers(_INV, 2 * len(raw) + 1)
-        sums = np.concatenate((np.zeros(1, dtype=_U64), np.cumsum(_BYTE[_LOWER[raw]] * self.up[:len(raw)], dtype=_U64)))
-        return mix((sums[ends] - sums[starts]) * self.down[starts] + (ends - starts).astype(_U64))
+        out = np.empty(len(starts), dtype=_U64)
+        lo = 0
+        while lo < len(starts):
+            hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + BLOCK, side="right")))
+            s, e = starts[lo:hi] - starts[lo], ends[lo:hi] - starts[lo]
+            block = raw[starts[lo]:ends[hi - 1]]
+            if len(self.up) <= len(block):
+                n = max(BLOCK, len(block)) + 1
+                self.up, self.down = _powers(_BASE, n), _powers(_INV, n)
+            sums = np.zeros(len(block) + 1, dtype=_U64)
+            np.cumsum(_BYTE[_LOWER[block]] * self.up[:len(block)], out=sums[1:])
+            out[lo:hi] = mix((sums[e] - sums[s]) * self.down[s] + (e - s).astype(_U64))
+            lo = hi
+        return out
 
     def shingles(self, text: bytes) -> np.ndarray:
         """Sorted distinct shingle hashes; a shorter text is one shingle, a text without words none."""
