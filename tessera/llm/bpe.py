@@ -185,6 +185,13 @@ class Tokenizer:
         self.separators = regex.compile(r"[\x1c-\x1f]").search
         self.known: dict[str, tuple[bytes, str]] = {}
 
+    def forget(self) -> None:
+        """Empty the caches: a worker that waits for other work holds the tables alone."""
+        self.known.clear()
+        self.automaton.arcs.clear()
+        self.automaton.rows.clear()
+        self.automaton.rows[b""] = (0, ())
+
     def word(self, w: str) -> tuple[bytes, str]:
         ids = self.automaton.encode(w.encode())
         return pack(f"<{len(ids)}I", *ids), " ".join([self.labels[i] for i in ids])
@@ -244,19 +251,22 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     decodes to the empty text; a null key, a repeated key or a repeated row is
     kept as it is; other columns are dropped, whatever their names. ``path``
     names the tokenizer file on every worker. Memory is bounded by one slice of
-    a batch (or one text) and two bounded caches.
+    a batch (or one text) and bounded caches, which end with the task.
     """
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = load(path)
-        for b in slices(batches, "text", 2 << 20):
-            got = [tok.encode(t or "") for t in b.column(1).to_pylist()]
-            cols = [b.column(0), pa.array([len(i) // 4 for i, _ in got], pa.int64()), pa.array([i for i, _ in got], pa.binary())]
-            names = [key, "n_tokens", "ids"]
-            if decoded:
-                cols, names = [*cols, _strings([d for _, d in got])], [*names, "decoded"]
-            yield pa.RecordBatch.from_arrays(cols, names)
+        try:
+            for b in slices(batches, "text", 2 << 20):
+                got = [tok.encode(t or "") for t in b.column(1).to_pylist()]
+                cols = [b.column(0), pa.array([len(i) // 4 for i, _ in got], pa.int64()), pa.array([i for i, _ in got], pa.binary())]
+                names = [key, "n_tokens", "ids"]
+                if decoded:
+                    cols, names = [*cols, _strings([d for _, d in got])], [*names, "decoded"]
+                yield pa.RecordBatch.from_arrays(cols, names)
+        finally:
+            tok.forget()
 
     return arrow_map(docs.select(docs[key], docs[text].alias("text")), run,
                      f"`{key}` {kind}, n_tokens bigint, ids binary" + ", decoded string" * decoded)

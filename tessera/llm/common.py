@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -63,9 +64,21 @@ def words(text: Column) -> Column:
 
 
 def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with the package shipped to the workers."""
+    """``mapInArrow`` with the package shipped to the workers.
+
+    Workers outlive their tasks: at its end, a task gives back the memory that
+    the allocators of Python and Arrow would hold for the next one.
+    """
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
