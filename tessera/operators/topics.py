@@ -7,9 +7,11 @@ from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer, StopWordsRemover
 from pyspark.sql import DataFrame
 
+from tessera.operators.models import NO_CUT
+
 
 def fit_lda(docs: DataFrame, tokens_col: str, k: int, max_iter: int = 10, seed: int = 1, min_df: float = 2,
-            max_df: float = 0.5, vocab_size: int = 2000, stop_words: list[str] | None = None):
+            max_df: float = 0.5, vocab_size: int = NO_CUT, stop_words: list[str] | None = None):
     clean = docs
     if stop_words:
         clean = StopWordsRemover(inputCol=tokens_col, outputCol="__tok", stopWords=stop_words).transform(docs)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,15 +35,16 @@ def random_subset(points: list[dict], n: int, seed: int = 0) -> list[dict]:
 
 def cross_validate(estimator, grid: list[dict], data: DataFrame, fold_col: str, label: str,
                    parallelism: int = 2):
-    """``CrossValidator`` with user folds; returns (model, avg metrics per grid point)."""
-    pg = ParamGridBuilder()
-    for k in grid[0]:
-        pg = pg.addGrid(estimator.getParam(k), sorted({p[k] for p in grid}))
+    """``CrossValidator`` with user folds over just the given points; returns (model, [(point, mean AUC)]).
+
+    ``model.bestModel`` is refitted on all rows with the best point.
+    """
+    maps = [{estimator.getParam(k): v for k, v in p.items()} for p in grid]
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability", metricName="areaUnderROC")
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=pg.build(), evaluator=ev,
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=ev,
                         foldCol=fold_col, parallelism=parallelism)
     model = cv.fit(data)
-    return model, list(zip(pg.build(), model.avgMetrics))
+    return model, list(zip(grid, model.avgMetrics))
 
 
 def fold_scores(make_estimator, params: dict, data: DataFrame, fold_col: str, k: int, label: str,

@@ -178,7 +178,7 @@ def _text_frame(t):
 def q_naive_bayes(spark, t):
     d = _text_frame(t)
     tr, te = _train_test(d)
-    cv = CountVectorizer(inputCol="tokens", outputCol="tf", minDF=2.0, vocabSize=5000).fit(tr)
+    cv = CountVectorizer(inputCol="tokens", outputCol="tf", minDF=2.0, vocabSize=ML.NO_CUT).fit(tr)
     nb = NaiveBayes(featuresCol="tf", labelCol="label", modelType="multinomial", smoothing=0.1).fit(cv.transform(tr))
     multi = _binary_eval(nb.transform(cv.transform(te)), "naive_bayes_multinomial")
     dtr, dte = _train_test(doc_frame(t))
@@ -286,26 +286,28 @@ def q_cv_score(spark, t):
 
 @query("tune_grid_search")
 def q_grid_search(spark, t):
+    """Mean AUC of every grid point, the best one marked, and the held-out AUC of its model refitted on all folds."""
     f = _folded(t)
     grid = G.grid_points({"maxDepth": [2, 4], "numTrees": [5, 10]})
     est = RandomForestClassifier(featuresCol="features", labelCol="label", seed=7)
     model, scores = G.cross_validate(est, grid, f, "fold", "label")
-    rows = [(int(pm[est.getParam("maxDepth")]), int(pm[est.getParam("numTrees")]), float(s)) for pm, s in scores]
-    return spark.createDataFrame(rows, "maxDepth int, numTrees int, mean_auc double")
+    best = max(range(len(scores)), key=lambda i: scores[i][1])
+    _, test = _train_test(doc_frame(t))
+    held_out = M.roc_auc(ML.positive_probability(model.bestModel.transform(test)), "label", "p1", 1.0).select(F.col("auc").alias("refit_auc"))
+    rows = [(p["maxDepth"], p["numTrees"], float(s), i == best) for i, (p, s) in enumerate(scores)]
+    return attach_row(spark.createDataFrame(rows, "maxDepth int, numTrees int, mean_auc double, best boolean"), held_out)
 
 
 @query("tune_random_search")
 def q_random_search(spark, t):
+    """Three points drawn from a grid of two axes, the best one marked, as in the grid search."""
     f = _folded(t)
-    grid = G.random_subset(G.grid_points({"maxDepth": [2, 3, 4, 5], "regParam": [0.0, 0.1]}), 3, seed=5)
-    out = None
-    for p in grid:
-        s = G.fold_scores(lambda maxDepth, regParam: DecisionTreeClassifier(featuresCol="features", labelCol="label",
-                                                                           maxDepth=maxDepth, seed=7),
-                          p, f, "fold", 3, "label")
-        r = s.agg(F.avg("auc").alias("mean_auc")).select(F.lit(p["maxDepth"]).alias("maxDepth"), "mean_auc")
-        out = r if out is None else out.unionByName(r)
-    return out
+    grid = G.random_subset(G.grid_points({"maxDepth": [2, 3, 4, 5], "minInstancesPerNode": [1, 20]}), 3, seed=5)
+    est = DecisionTreeClassifier(featuresCol="features", labelCol="label", seed=7)
+    model, scores = G.cross_validate(est, grid, f, "fold", "label")
+    best = max(range(len(scores)), key=lambda i: scores[i][1])
+    rows = [(p["maxDepth"], p["minInstancesPerNode"], float(s), i == best) for i, (p, s) in enumerate(scores)]
+    return spark.createDataFrame(rows, "maxDepth int, minInstancesPerNode int, mean_auc double, best boolean")
 
 
 @query("tune_multi_metric_table")
@@ -411,7 +413,7 @@ def q_topic_naming(spark, t):
 def q_feature_assemble(spark, t):
     d = t.documents.select("doc_id", "text")
     tok = RegexTokenizer(inputCol="text", outputCol="tokens", pattern="[\\p{L}\\p{N}_]{2,}", gaps=False).transform(d)
-    cv = CountVectorizer(inputCol="tokens", outputCol="tf", minDF=2.0, vocabSize=2000).fit(tok)
+    cv = CountVectorizer(inputCol="tokens", outputCol="tf", minDF=2.0, vocabSize=ML.NO_CUT).fit(tok)
     tf = cv.transform(tok)
     tfidf = IDF(inputCol="tf", outputCol="tfidf").fit(tf).transform(tf)
     f = tfidf.withColumn("len", F.length("text").cast("double")).withColumn(
