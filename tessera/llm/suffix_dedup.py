@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,48 +117,50 @@ def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.nd
         yield out()
 
 
-def _place(rep, start, left, right):
-    """Number of a place: copy of the document, anchor, strings before and after it."""
-    return (rep << 50) | (start << 14) | (left << 7) | right
+def _place(start, left, right):
+    """Number of a place in its text: anchor, strings before and after it."""
+    return (start << 14) | (left << 7) | right
 
 
 def find_anchors(docs: DataFrame, length: int) -> DataFrame:
-    """``key``, ``doc``, ``place`` and ``seg`` (hash of the segment) of every anchor."""
+    """``key``, ``doc``, ``version``, ``place`` and ``seg`` (hash of the segment) of every anchor of the first copies."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = SpanHash()
         for b in slices(batches, "text", BUFFER):
-            ids, reps = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 1))
-            for raw, ends, rows, offs in _pieces(b.column(2).cast(pa.binary()).to_pylist(), length):
+            b = b.filter(pc.equal(b.column(2), 0))
+            ids, versions = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 1))
+            for raw, ends, rows, offs in _pieces(b.column(3).cast(pa.binary()).to_pylist(), length):
                 key, a, first, last = anchors(raw, ends, length)
                 if len(a):
                     k = np.searchsorted(ends, a, side="right")
                     start = a - np.concatenate(([0], ends))[k] + offs[k]
-                    place = _place(reps[rows[k]], start, a - first, a - last)
+                    place = _place(start, a - first, a - last)
                     seg = spans(raw, first, last + length, place & (1 << 14) - 1).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, ids[rows[k]], place, seg)], ["key", "doc", "place", "seg"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, ids[rows[k]], versions[rows[k]], place, seg)], ["key", "doc", "version", "place", "seg"])
 
-    return arrow_map(docs, run, "key bigint, doc bigint, place bigint, seg bigint")
+    return arrow_map(docs, run, "key bigint, doc bigint, version bigint, place bigint, seg bigint")
 
 
 def _segments(docs: DataFrame, length: int) -> DataFrame:
-    """The bytes of a segment from its anchor on and (reversed) before it, ``doc`` and ``place``."""
+    """The bytes of a segment from its anchor on and (reversed) before it, ``doc``, ``version`` and ``place``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 1 << 20):
-            right, left, ids, places = [], [], [], []
-            for doc, rep, t, found in zip(*(c.to_pylist() for c in b.columns[:4])):
+            right, left, ids, versions, places = [], [], [], [], []
+            for doc, version, copy, t, found in zip(*(c.to_pylist() for c in b.columns[:5])):
+                if copy:
+                    continue
                 raw = t.encode()
                 for place in found:
-                    if place >> 50 == rep:
-                        at, dl, dr = place >> 14 & (1 << 36) - 1, place >> 7 & 127, place & 127
-                        ids.append(doc), places.append(place)
-                        right.append(raw[at:at - dr + length])
-                        left.append(raw[at - dl:at][::-1])
-            yield pa.RecordBatch.from_arrays([pa.array(right, pa.binary()), pa.array(left, pa.binary()),
-                                              pa.array(ids, pa.int64()), pa.array(places, pa.int64())], ["right", "left", "doc", "place"])
+                    at, dl, dr = place >> 14, place >> 7 & 127, place & 127
+                    ids.append(doc), versions.append(version), places.append(place)
+                    right.append(raw[at:at - dr + length])
+                    left.append(raw[at - dl:at][::-1])
+            yield pa.RecordBatch.from_arrays([pa.array(right, pa.binary()), pa.array(left, pa.binary()), pa.array(ids, pa.int64()), pa.array(versions, pa.int64()),
+                                              pa.array(places, pa.int64())], ["right", "left", "doc", "version", "place"])
 
-    return arrow_map(docs, run, "right binary, left binary, doc bigint, place bigint")
+    return arrow_map(docs, run, "right binary, left binary, doc bigint, version bigint, place bigint")
 
 
 def common(x: bytes, y: bytes) -> int:
@@ -194,7 +197,7 @@ def intervals(lcp: list[int]) -> Iterator[tuple[int, int, int]]:
 def maximal_repeats(group: list[tuple], length: int = LENGTH) -> Iterator[tuple[int, int, list[int]]]:
     """Maximal repeats ``(before, after, members)`` of at least ``length`` bytes around one anchor.
 
-    ``group``: different segments ``(right, left, doc, place)`` in suffix-array
+    ``group``: different segments ``(right, left, doc, ...)`` in suffix-array
     order. ``members`` are all occurrences of the repeat.
     """
     reach = [len(s[1]) for s in group]
@@ -211,8 +214,8 @@ def maximal_repeats(group: list[tuple], length: int = LENGTH) -> Iterator[tuple[
                     yield before, after, inside[first:last + 1]
 
 
-def _removed(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, int]]:
-    """``(doc, place, before, after)``: how far around the anchor a segment repeats an earlier one."""
+def _removed(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """``(doc, version, place, before, after)``: how far around the anchor a segment repeats an earlier one."""
     if len(group) < 2:
         return
     before, after = [-1] * len(group), [0] * len(group)
@@ -223,27 +226,27 @@ def _removed(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, i
                 before[i], after[i] = max(before[i], left), max(after[i], right)
     for s, left, right in zip(group, before, after):
         if left >= 0:
-            yield s[2], s[3], left, right
+            yield *s[2:], left, right
 
 
-def _span(rep, start, stop):
-    """Number of a span: copy of the document, start, bytes."""
-    return (rep << 50) | (start << 14) | (stop - start)
+def _span(start, stop):
+    """Number of a span in its text: start, bytes."""
+    return (start << 14) | (stop - start)
 
 
 def repeated_spans(segments: DataFrame, length: int) -> DataFrame:
-    """``doc`` and ``span`` of text that repeats an earlier place, from different segments sorted by their bytes."""
+    """``doc``, ``version`` and ``span`` of text that repeats an earlier place, from different segments sorted by their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, int, int, int]] = []
+        out: list[tuple[int, int, int, int, int]] = []
         group: list[tuple] = []
         gram = None
 
         def rows() -> pa.RecordBatch:
-            doc, place, before, after = (np.array(x, dtype=np.int64) for x in zip(*out))
-            at = place >> 14 & (1 << 36) - 1
+            doc, version, place, before, after = (np.array(x, dtype=np.int64) for x in zip(*out))
+            at = place >> 14
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(_span(place >> 50, at - before, at + after))], ["doc", "span"])
+            return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(version), pa.array(_span(at - before, at + after))], ["doc", "version", "span"])
 
         for b in batches:
             for s in zip(*(c.to_pylist() for c in b.columns)):
@@ -257,7 +260,7 @@ def repeated_spans(segments: DataFrame, length: int) -> DataFrame:
         if out:
             yield rows()
 
-    return arrow_map(segments, run, "doc bigint, span bigint")
+    return arrow_map(segments, run, "doc bigint, version bigint, span bigint")
 
 
 def _shift(c: Column, bits: int) -> Column:
@@ -270,38 +273,42 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     A byte goes if a string of ``length`` bytes that covers it starts earlier
     too: in a smaller key, or before in the same text. Strings are judged on the
     input. A null text is empty. Rows that share a key count as documents behind
-    each other, in the order of their texts' hashes. A row with a null key has
+    each other, in the order of their texts' hashes (64 bits; rows with one key
+    and one hash are copies of the first of them). A row with a null key has
     no place in the order: it is returned whole, and nothing is judged by it.
     Other columns are dropped. A text may have up to 2**36 bytes.
     """
     if not 2 * GRAM < length <= 127:
         raise ValueError("length must be between 49 and 127")
     base = docs.select(docs[key].cast("bigint").alias("doc"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    # a new name keeps the alias in every copy of this plan, and so one shuffle of the texts serves all three uses
-    alone = base.where("doc IS NULL").select("doc", F.lit(0).cast("bigint").alias("rep"), "text", *[F.lit(None).cast("array<bigint>").alias(c) for c in ("gone", "more", "open")])
-    order = Window.partitionBy("doc").orderBy(F.xxhash64("text"))
-    base = base.where("doc IS NOT NULL").select("doc", (F.row_number().over(order) - 1).cast("bigint").alias("rep"), "text")
+    # a row is named by key and hash of its text: windows and joins by both deal a hot key over many tasks, and one shuffle of the texts serves all three uses
+    alone = base.where("doc IS NULL").select("doc", F.lit(0).cast("bigint").alias("copy"), "text", *[F.lit(None).cast("array<bigint>").alias(c) for c in ("gone", "more", "open")])
+    row = ["doc", "version"]
+    base = base.where("doc IS NOT NULL").select("doc", F.xxhash64("text").alias("version"), "text")
+    base = base.select(*row, (F.row_number().over(Window.partitionBy(*row).orderBy("version")) - 1).cast("bigint").alias("copy"), "text")
     # equal segments: the first stays in play, the others repeat it
-    same, alike = Window.partitionBy("key", "seg").orderBy("doc", "place"), Window.partitionBy("key")
+    same, alike = Window.partitionBy("key", "seg").orderBy(*row, "place"), Window.partitionBy("key")
     found = (find_anchors(base, length).withColumn("nth", F.row_number().over(same))
              .withColumns({"least": F.min("seg").over(alike), "most": F.max("seg").over(alike)}).where("nth > 1 OR least < most"))
-    at, dl, dr = (F.shiftright("place", 14).bitwiseAND((1 << 36) - 1), F.shiftright("place", 7).bitwiseAND(127), F.col("place").bitwiseAND(127))
-    whole = _shift(F.shiftright("place", 50), 50).bitwiseOR(_shift(at - dl, 14)).bitwiseOR(dl - dr + length)
-    marks = found.groupBy("doc").agg(F.collect_list(F.when(F.col("nth") == 1, F.col("place"))).alias("open"),
-                                        F.collect_list(F.when(F.col("nth") > 1, whole)).alias("gone"))
-    cut = _segments(base.join(marks.where(F.size("open") > 0), "doc").select("doc", "rep", "text", "open", "gone"), length)
-    ordered = cut.repartition(F.substring("right", 1, GRAM)).sortWithinPartitions("right", "left", "doc", "place")
+    at, dl, dr = (F.shiftright("place", 14), F.shiftright("place", 7).bitwiseAND(127), F.col("place").bitwiseAND(127))
+    whole = _shift(at - dl, 14).bitwiseOR(dl - dr + length)
+    marks = found.groupBy(*row).agg(F.collect_list(F.when(F.col("nth") == 1, F.col("place"))).alias("open"),
+                                    F.collect_list(F.when(F.col("nth") > 1, whole)).alias("gone"))
+    cut = _segments(base.join(marks.where(F.size("open") > 0), row).select(*row, "copy", "text", "open", "gone"), length)
+    ordered = cut.repartition(F.substring("right", 1, GRAM)).sortWithinPartitions("right", "left", *row, "place")
     # both joins name the same columns of ``marks``, so one shuffle serves them
-    spans = repeated_spans(ordered, length).groupBy("doc").agg(F.collect_list("span").alias("more"))
-    judged = base.join(marks, "doc", "left").join(spans, "doc", "left").select("doc", "rep", "text", "gone", "more", "open").unionByName(alone)
+    spans = repeated_spans(ordered, length).groupBy(*row).agg(F.collect_list("span").alias("more"))
+    judged = base.join(marks, row, "left").join(spans, row, "left").select("doc", "copy", "text", "gone", "more", "open").unionByName(alone)
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             size, removed, kept, runs = [], [], [], []
-            for rep, t, gone, more in zip(*(b.column(c).to_pylist() for c in (1, 2, 3, 4))):
+            for copy, t, gone, more in zip(*(b.column(c).to_pylist() for c in (1, 2, 3, 4))):
                 raw, mine = t.encode(), []
-                for span in sorted([g for g in (gone or []) + (more or []) if g >> 50 == rep]):
-                    start = span >> 14 & (1 << 36) - 1
+                if copy:  # all its strings are in the row before
+                    mine = [{"start": 0, "stop": len(raw)}] if len(raw) >= length else []
+                for span in sorted((gone or []) + (more or [])) if not copy else ():
+                    start = span >> 14
                     stop = start + (span & (1 << 14) - 1)
                     if mine and start <= mine[-1]["stop"]:
                         mine[-1]["stop"] = max(mine[-1]["stop"], stop)
