@@ -92,8 +92,10 @@ CANDIDATES = {
     "person": re.compile(r"(?<!\w)(?:" + "|".join(TITLES) + r")\.?\x20[A-ZÀ-Þ][\w'-]+(?:\x20[A-ZÀ-Þ][\w'-]+)?"),
     "address": re.compile(r"(?<!\w)[0-9]{1,5}\x20(?:[A-ZÀ-Þ][\w'-]+\x20){1,3}(?:" + "|".join(STREETS) + r")\b\.?", re.I),
 }
-#: A character without which no candidate of the kind can be, tested before the pattern.
-NEEDS = {"email_words": ("at]", "at)", "AT]", "AT)", "at ]", "at )"), "id_number": ("-",), "person": tuple(f"{t}{e}" for t in TITLES for e in (" ", ".")), "address": ()}
+#: Strings without which no candidate of the kind can be, tested before the pattern.
+NEEDS = {"id_number": ("-",), "person": tuple(f"{t}{e}" for t in TITLES for e in (" ", ".")), "address": ()}
+#: What every candidate of ``email_words`` holds, in any case and spacing: the middle of its pattern.
+_AT = re.compile(r"[\[(]\s?at\s?[\])]", re.I)
 LABELERS = ("strict", "gazetteer", "cue", "near_base", "repetitive")
 _TOKEN = re.compile(r"[\w-]+")
 _DIGIT = re.compile("[0-9]")
@@ -149,6 +151,8 @@ def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
     for kind, rule in CANDIDATES.items():
         if kind not in ("email_words", "person") and not has_digit or (need := NEEDS.get(kind)) and not any(x in text for x in need):
             continue
+        if kind == "email_words" and not _AT.search(text):
+            continue
         for m in rule.finditer(text):
             s, e = m.span()
             if not any(s < be and bs < e for bs, be, _ in base):
