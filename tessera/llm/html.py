@@ -21,10 +21,12 @@ from tessera.llm.common import arrow_map, schema_of, slices
 # Element names of HTML by what they do to text.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
-SILENT = frozenset("script style noscript template head title iframe object embed applet svg math canvas audio video select "
+SILENT = frozenset("script style noscript template title iframe object embed applet svg math canvas audio video select "
                    "textarea button datalist".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog fieldset".split())
+#: Their content is no markup: it ends at the literal end tag, or with the page.
+RAW = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I) for name in ("script", "style")}
 MAIN = frozenset("article main".split())
 # Parts of class and id names that mark what is not the article.
 HINT = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|banner|sponsor(?:ed)?|promo|menu|nav|navbar|navigation|sidebar|side|widget|"
@@ -47,11 +49,21 @@ PLACES = ((1, 0, 0), (1, 0, 1), (1, 1, 1), (0, 0, 1), (0, 1, 1), (0, 0, 0))
 
 
 def _label(words: int, links: float, before: tuple, after: tuple, place: tuple, heading: int) -> int:
-    """Whether such a block is article text: where a page has no main element, running text and what stands in it."""
+    """Whether such a block is article text.
+
+    Words and links of the block and its neighbours decide everywhere but in
+    boilerplate: inside a main element all but blocks of links that do not stand
+    in running text, outside one running text in a run of it, and on a page
+    without one also the headings and short blocks of running text.
+    """
     inside_boilerplate, inside_main, page_has_main = place
-    if inside_boilerplate or page_has_main:
-        return int(inside_main and not inside_boilerplate)
     text = [n >= 10 and share < 0.5 for n, share in (before, after)]
+    if inside_boilerplate:
+        return 0
+    if inside_main:
+        return int(links < 0.5 or any(text))
+    if page_has_main:
+        return int(links < 0.5 and words >= 10 and all(text))
     return int(links < 0.5 and (words >= 10 or all(text) or heading and text[1] or text[0] and after == NEIGHBOURS[2]))
 
 
@@ -108,8 +120,9 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
         buf.clear()
         linked = 0
 
-    for m in TOKEN.finditer(page):
-        name = m[2]
+    at = 0
+    while m := TOKEN.match(page, at):
+        at, name = m.end(), m[2]
         if silent:  # nothing inside counts until its own end tag
             if name and m[1] and name.lower() == silent:
                 silent = ""
@@ -132,9 +145,11 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
             continue
         if name in SILENT and not closing:
             if not attributes.endswith("/"):
-                if name not in VOID:
+                if name in RAW:
+                    at = end.end() if (end := RAW[name].search(page, at)) else len(page)
+                elif name not in VOID:
                     silent = name
-                if name in ("head", "title", "iframe", "object", "svg", "math", "noscript", "template", "audio", "video", "canvas"):
+                if name in ("title", "iframe", "object", "svg", "math", "noscript", "template", "audio", "video", "canvas"):
                     flush()
             continue
         flush()
@@ -153,7 +168,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
             head = heading
             if name not in VOID and name != "p":
                 hints = " ".join("".join(x) for x in ATTRIBUTE.findall(attributes)) if attributes else ""
-                b = int(name in BOILERPLATE or name == "header" and not main or bool(hints and HINT.search(hints)) and name not in ("html", "body", "article", "main"))
+                b = int(name in BOILERPLATE or name == "header" and not main or bool(hints and HINT.search(hints)) and name not in ("html", "body", "main"))
                 a = int(name in MAIN or "articleBody" in attributes)
                 boiler += b
                 main += a
@@ -164,7 +179,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
 
 def vectors(found: list[tuple]) -> list[tuple]:
     """Feature vectors of a page's blocks: their own figures and those of their neighbours."""
-    has_main = int(any(b[4] for b in found))
+    has_main = int(any(b[4] and not b[3] for b in found))
     near = [(0, 0.0), *((n, linked / n) for _, n, linked, *_ in found), (0, 0.0)]
     return [(*near[i], *near[i - 1], *near[i + 1], int(b[3]), int(b[4]), int(b[5]), has_main) for i, b in enumerate(found, 1)]
 
