@@ -4,16 +4,21 @@ Credentials that the base rules confirm are labelled examples. For each kind of
 credential a prefix tree of character classes is built from a bounded sample and
 its states are merged where their outgoing frequencies are statistically
 compatible (the ALERGIA test with a Hoeffding bound), which leaves a
-probabilistic automaton of the format. Every other credential-like string of the
-corpus is then scored by its log likelihood per character under each automaton,
-and counts as a secret if one of them finds it as likely as nearly all of its
-own examples and ordinary text does not.
+probabilistic automaton of the format. An automaton of the background is built
+alike from strings that no rule confirms. Every string of the characters of
+credentials that is as long as the shortest example of a kind is then scored,
+over all its characters, and counts as a secret if the automaton of the kind
+finds it as likely as nearly all of its own examples, and likelier than the
+background does, weighed by how many strings there are of either.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
+import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,14 +36,14 @@ _ASSIGN = re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\
 _CUES = re.compile("passw|secret|token|api_?key", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-#: Strings that may be secrets: long, unbroken, of the characters of credentials.
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: Strings that may be secrets: of the characters of ``assign`` values, but for dots at either end.
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-](?:[A-Za-z0-9+/_.=-]*[A-Za-z0-9+/_=-])?")
+#: No base rule confirms a shorter value.
+SHORTEST = 6
 
 #: Parameter: examples of each kind that an automaton is fitted to, by least hash.
 EXAMPLES = 2000
 CONFIDENCE = 0.05
-#: Characters of a string that are read; the format of a longer one repeats.
-MAX_SYMBOLS = 128
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, str]]:
@@ -52,15 +57,28 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
+_CLASSES = str.maketrans({chr(c): "d" if chr(c).isdigit() else "h" if chr(c) in "abcdef" else "l" if chr(c).islower() else "X" if chr(c) in "ABCDEF" else "U"
+                          for c in range(128) if chr(c).isalnum()})
+
+
 def symbols(value: str) -> str:
     """Character classes of a string: hexadecimal digits, other letters by case, digits, and marks as they are."""
-    return "".join(["d" if c.isdigit() else "h" if c in "abcdef" else "l" if c.islower() else "X" if c in "ABCDEF" else "U" if c.isupper() else c
-                    for c in value[:MAX_SYMBOLS]])
+    return value.translate(_CLASSES)
 
 
-def plain(value: str) -> bool:
-    """Whether a string reads like words: letters of one case but for initials, or words joined by marks."""
-    return all(w.isalpha() and (w[1:].islower() or w.isupper()) or w.isdigit() and len(w) < 9 or not w for w in re.split(r"[-_/+=]", value))
+def free(text: str, taken: list[tuple[int, int]], shortest: int) -> Iterator[tuple[int, int, str]]:
+    """``(start, stop, value)`` of the candidates of at least ``shortest`` characters that meet none of the sorted spans ``taken``."""
+    ends, top = [], 0
+    for _, e in taken:
+        top = max(top, e)
+        ends.append(top)
+    starts = [s for s, _ in taken]
+    for m in _CANDIDATE.finditer(text):
+        s, e = m.span()
+        if e - s >= shortest:
+            i = bisect_left(starts, e)
+            if not i or ends[i - 1] <= s:
+                yield s, e, m[0]
 
 
 class Automaton:
@@ -145,45 +163,66 @@ class Automaton:
         return total / (len(word) + 1)
 
 
-def fit(examples: list[tuple[str, str]]) -> list[tuple[Automaton, float]]:
-    """An automaton for each kind, with the score that 95 of 100 of its examples reach."""
-    out = []
-    for kind in BASE:
-        words = sorted(symbols(v) for k, v in examples if k == kind)
-        if len(words) >= 20:
-            found = Automaton(words)
-            scores = sorted(found.score(w) for w in words)
-            out.append((found, scores[len(scores) // 20]))
-    return out
-
-
-def accepts(models: list[tuple[Automaton, float]], value: str) -> bool:
-    if plain(value) or not any(c.isdigit() for c in value):
+class Models:
+    """An automaton of each kind with its least score, shortest example and weight, and one of the background."""
+
+    def __init__(self, examples: list[tuple[str, str]], background: list[str] = (), share: dict[str, float] | None = None):
+        """``share``: how many labelled strings of a kind there are for each string of the background."""
+        self.kinds = []
+        for kind in BASE:
+            words = sorted(symbols(v) for k, v in examples if k == kind)
+            if len(words) >= 20:
+                found = Automaton(words)
+                scores = sorted(found.score(w) for w in words)
+                # 95 of 100 of its examples reach the least score
+                self.kinds.append((found, scores[len(scores) // 20], min(map(len, words)), math.log((share or {}).get(kind, 1.0))))
+        self.background = Automaton(sorted(map(symbols, background))) if self.kinds and background else None
+        self.shortest = min((n for _, _, n, _ in self.kinds), default=0)
+        self.known: dict[str, bool] = {}
+
+    def accepts(self, value: str) -> bool:
+        word = symbols(value)
+        got = self.known.get(word)
+        if got is None:
+            got = self._decide(word)
+            if len(word) <= 64 and len(self.known) < 200_000:
+                self.known[word] = got
+        return got
+
+    def _decide(self, word: str) -> bool:
+        other = None
+        for model, least, shortest, weight in self.kinds:
+            if len(word) >= shortest and (own := model.score(word)) >= least:
+                if self.background is None:
+                    return True
+                other = self.background.score(word) if other is None else other
+                if (own - other) * (len(word) + 1) + weight > 0:
+                    return True
         return False
-    word = symbols(value)
-    return any(m.score(word) >= least for m, least in models)
 
 
-_SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string()), ("value", pa.string())])
+_SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string())])
+
 
+def labelled(docs: DataFrame, text: str = "text", examples: int = EXAMPLES) -> DataFrame:
+    """``kind``, ``value`` and ``n`` of all base spans and, of each batch, the ``examples`` background strings of least hash.
 
-def find(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` and ``found``: base spans and candidates (kind ``format``) with their values, of every row."""
+    A row without a value counts the background strings of a batch.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "__text"):
-            out = []
-            for t in b.column(b.num_columns - 1).to_pylist():
-                rows = base_spans(t) if t else []
-                taken = [(s, e) for s, e, _, _ in rows]
-                for m in _CANDIDATE.finditer(t) if t else ():
-                    v = m[0]
-                    if not v.isalpha() and not plain(v) and not any(s < m.end() and m.start() < e for s, e in taken):
-                        rows.append((m.start(), m.end(), "format", v))
-                out.append([{"start": s, "stop": e, "kind": k, "value": v[:2 * MAX_SYMBOLS]} for s, e, k, v in rows])
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.list_(_SPAN))], [*keep, "found"])
+            rows, others, n = Counter(), set(), 0
+            for t in b.column(0).to_pylist():
+                found = base_spans(t) if t else []
+                rows.update((k, v) for _, _, k, v in found)
+                for _, _, v in free(t, [(s, e) for s, e, _, _ in found], SHORTEST) if t else ():
+                    others.add(v)
+                    n += 1
+            least = heapq.nsmallest(examples, others, key=lambda v: (zlib.crc32(v.encode()), v))
+            out = [*((k, v, c) for (k, v), c in rows.items()), *(("other", v, 0) for v in least), ("other", None, n)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.string(), pa.string(), pa.int64()))], ["kind", "value", "n"])
 
-    return arrow_map(docs.select(*[docs[k] for k in keep], docs[text].alias("__text")), run,
-                     schema_of(docs, keep, "found array<struct<start: bigint, stop: bigint, kind: string, value: string>>"))
+    return arrow_map(docs.select(docs[text].alias("__text")), run, "kind string, value string, n bigint")
 
 
 def detect(docs: DataFrame, keep: list[str], text: str = "text", examples: int = EXAMPLES) -> DataFrame:
@@ -192,26 +231,30 @@ def detect(docs: DataFrame, keep: list[str], text: str = "text", examples: int =
     Offsets are code points, the end exclusive. A null or empty text has no
     spans; null keys, repeated keys and repeated rows are kept as they are;
     columns not in ``keep`` are dropped. Without at least 20 examples of a kind
-    no automaton of it is fitted. The driver sees ``examples`` distinct labelled
-    values of a kind at most, those of least hash; all candidates are scored.
+    no automaton of it is fitted. The driver sees ``examples`` distinct values of
+    a kind, and of the background, at most: those of least hash. All candidates
+    are scored, whole.
     """
-    found = staged(find(docs, keep, text), "secrets")
-    values = found.select(F.explode("found").alias("f")).select("f.kind", "f.value").where(F.col("kind") != "format").distinct()
+    found = staged(labelled(docs, text, examples), "secrets")
+    counts = {r["kind"]: r["n"] for r in found.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    values = found.where("value IS NOT NULL").select("kind", "value").distinct()
     rows = []
-    for kind in BASE:
-        least = values.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(examples)
+    for kind in (*BASE, "other"):
+        least = values.where(F.col("kind") == kind).orderBy(F.crc32(F.col("value").cast("binary")), "value").limit(examples)
         rows += [(r["kind"], r["value"]) for r in least.collect()]
-    models = fit(rows)
-    at = len(keep)
+    models = Models(rows, [v for k, v in rows if k == "other"], {k: max(1, counts.get(k, 0)) / max(1, counts.get("other", 0)) for k in BASE})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, "__text"):
             out = []
-            for spans in b.column(at).to_pylist():
-                kept = [s for s in spans if s["kind"] != "format" or accepts(models, s["value"])]
-                kept.sort(key=lambda s: (s["start"], KINDS.index(s["kind"])))
-                out.append([{k: s[k] for k in ("start", "stop", "kind")} for s in kept])
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string())]))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, kind)], [*keep, "spans"])
-
-    return arrow_map(found, run, schema_of(docs, keep, "spans array<struct<start: bigint, stop: bigint, kind: string>>"))
+            for t in b.column(b.num_columns - 1).to_pylist():
+                kept = [(s, e, k) for s, e, k, _ in base_spans(t)] if t else []
+                if t and models.kinds:
+                    taken = [(s, e) for s, e, _ in kept]
+                    kept += [(s, e, "format") for s, e, v in free(t, taken, models.shortest) if models.accepts(v)]
+                    kept.sort(key=lambda x: (x[0], KINDS.index(x[2])))
+                out.append([{"start": s, "stop": e, "kind": k} for s, e, k in kept])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.list_(_SPAN))], [*keep, "spans"])
+
+    return arrow_map(docs.select(*[docs[k] for k in keep], docs[text].alias("__text")), run,
+                     schema_of(docs, keep, "spans array<struct<start: bigint, stop: bigint, kind: string>>"))
