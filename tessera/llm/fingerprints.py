@@ -1,6 +1,6 @@
 """Weighted document fingerprints by consistent weighted sampling (DataFrame functions only).
 
-A text is a bag of words with their counts as weights. For each of 32 samples a
+A text is a bag of words with their counts as weights. For each of 64 samples a
 word ``w`` of weight ``S`` draws, from hashes of the word, two Gamma(2, 1)
 numbers ``r`` and ``c`` and a uniform ``b``, rounds its weight on a random grid::
 
@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import barrier, words
 
-SAMPLES = 32
+SAMPLES = 64
 LEVELS = 4096
 #: Samples are drawn in this many parts, which keeps the generated code of each small.
-PARTS = 4
+PARTS = 8
 #: Documents are laid out in this many ranges of keys for each shuffle partition.
 RANGES_PER_PARTITION = 2
 
