@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, fingerprints, html, minhash, mixing, pii, quality, secrets, suffix_dedup
+from tessera.llm import bpe, chat, fingerprints, html, merkle, minhash, mixing, pii, quality, secrets, suffix_dedup
 from tessera.llm.common import table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -70,9 +70,15 @@ def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op13_slot_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id",
+                           {"text": F.when(tampered, merkle.lower_ascii(F.col("text"))).otherwise(F.col("text"))})
+
+
 QUERIES = {f.__name__: f for f in (
     op1_weak_supervision, op2_raked_mix, op3_repeat_intervals, op4_bpe_automaton, op5_quotation_links,
-    op6_main_text, op7_host_quality, op8_odd_sketches, op9_grammar_secrets, op10_weighted_sampling)}
+    op6_main_text, op7_host_quality, op8_odd_sketches, op9_grammar_secrets, op10_weighted_sampling, op13_slot_pivot)}
 
 _FAIL = {
     "short": f"n_words < {quality.MIN_WORDS}",
@@ -135,4 +141,49 @@ j AS (SELECT d.*, CASE WHEN d.n > 0 THEN p.p ELSE 1.0 END AS p,
 SELECT doc_id, source, lang, topic, n AS n_tokens, round(p, 4) AS probability, u < p AS kept FROM j"""
 
 
-ORACLES = {"op7_host_quality": quality_sql(), "op2_raked_mix": mixing_sql()}
+def _field_sql(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE CAST(octet_length(encode({text})) AS VARCHAR) || ':' || {text} END"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree_sql(name: str, start: str, levels: int) -> str:
+    """CTEs ``{name}0`` to ``{name}{levels}``: the nodes (g, pos, n, d, l, r) of each level with their siblings' texts."""
+    around = ("CASE WHEN n = 1 THEN NULL ELSE coalesce(string_agg(d, '') OVER (PARTITION BY g, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') END AS l, "
+              "CASE WHEN n = 1 THEN NULL ELSE coalesce(string_agg(d, '') OVER (PARTITION BY g, pos // 8 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') END AS r")
+    steps = [f"{name}0 AS (SELECT *, {around} FROM ({start}))"]
+    for k in range(1, levels + 1):
+        steps.append(f"{name}{k} AS (SELECT *, {around} FROM (SELECT g, pos // 8 AS pos, CASE WHEN any_value(n) = 1 THEN 1 ELSE (any_value(n) + 7) // 8 END AS n, "
+                     f"CASE WHEN any_value(n) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY pos)) END AS d FROM {name}{k - 1} GROUP BY g, pos // 8))")
+    return ", ".join(steps)
+
+
+def merkle_sql(levels: int = 8, group_levels: int = 3) -> str:
+    """Tree, proofs and folded roots of ``op13``, for up to 8^levels rows in 8^group_levels languages."""
+    crc = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), "
+           "lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::BIGINT)")
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    at = [f"t{k}.g = t.g AND t{k}.pos = t.pos // {8 ** k}" for k in range(levels)]
+    up = [f"u{k}.pos = (t.g - 1) // {8 ** k}" for k in range(group_levels)]
+    proof = " || ".join([f"coalesce(t{k}.l || t{k}.r, '')" for k in range(levels)] + [f"coalesce(u{k}.l || u{k}.r, '')" for k in range(group_levels)])
+    folds, last = [], "f0 AS (SELECT *, claim AS f FROM p)"
+    for k, side in enumerate([f"t{i}" for i in range(levels)] + [f"u{i}" for i in range(group_levels)], 1):
+        folds.append(f"f{k} AS (SELECT * REPLACE (CASE WHEN {side}_l IS NULL THEN f ELSE sha256({side}_l || f || {side}_r) END AS f) FROM f{k - 1})")
+    sides = ", ".join([f"t{k}.l AS t{k}_l, t{k}.r AS t{k}_r" for k in range(levels)] + [f"u{k}.l AS u{k}_l, u{k}.r AS u{k}_r" for k in range(group_levels)])
+    return f"""
+WITH x AS (SELECT doc_id, lang, {_leaf_sql('text')} AS leaf, {_leaf_sql(f'CASE WHEN ({crc}) % 3 = 0 THEN {lower} ELSE text END')} AS claim FROM documents),
+y AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, claim) - 1 AS pos,
+             count(*) OVER (PARTITION BY lang) AS n FROM x),
+{_tree_sql('t', 'SELECT g, pos, n, leaf AS d FROM y', levels)},
+{_tree_sql('u', f'SELECT 0 AS g, g - 1 AS pos, count(*) OVER () AS n, d FROM t{levels}', group_levels)},
+p AS (SELECT t.doc_id, t.leaf, t.claim, s.d AS subroot, w.d AS root, sha256({proof}) AS proof_sha256, {sides}
+      FROM y t JOIN t{levels} s ON s.g = t.g JOIN u{group_levels} w ON true
+      {' '.join(f'JOIN t{k} ON {c}' for k, c in enumerate(at))} {' '.join(f'JOIN u{k} ON {c}' for k, c in enumerate(up))}),
+{last}, {", ".join(folds)}
+SELECT doc_id, leaf, subroot, root, proof_sha256, f AS folded_root, f = root AS verified FROM f{levels + group_levels}"""
+
+
+ORACLES = {"op7_host_quality": quality_sql(), "op2_raked_mix": mixing_sql(), "op13_slot_pivot": merkle_sql()}
