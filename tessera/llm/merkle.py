@@ -31,10 +31,6 @@ FANOUT = 8
 _PATH = "array<struct<l:binary,r:binary>>"
 
 
-def _none() -> Column:
-    return F.unhex(F.lit(""))
-
-
 def _hash(digests: Column) -> Column:
     """Digest of the hex text of digests set side by side."""
     return F.unhex(F.sha2(F.lower(F.hex(digests)).cast("binary"), 256))
@@ -59,15 +55,19 @@ def _above(n: int) -> int:
     return -(-n // FANOUT)
 
 
+def _side_by_side(first: int, end: int) -> str:
+    """SQL of the digests in some slots of a parent, empty slots left out."""
+    return "concat(" + ", ".join(["X''"] + [f"coalesce(c{i}.digest, X'')" for i in range(first, end)]) + ")"
+
+
 def grow(nodes: DataFrame, largest: int) -> list[DataFrame]:
     """Levels over ``(gid, at, n, child)``, lowest first: ``(gid, at, n, c0.., digest)``, ``n`` nodes in the group."""
     levels = []
     while largest > 1:
-        slots = [F.max(F.when(F.col("at") % FANOUT == i, F.col("child"))).alias(f"c{i}") for i in range(FANOUT)]
+        slots = [F.expr(f"max(CASE WHEN at % {FANOUT} = {i} THEN child END) AS c{i}") for i in range(FANOUT)]
         up = (nodes.where("n > 1").groupBy("gid", F.expr(f"at div {FANOUT}").alias("at"))
               .agg(F.max(F.expr(f"(n + {FANOUT - 1}) div {FANOUT}")).alias("n"), *slots))
-        side_by_side = F.concat(*[F.coalesce(F.col(f"c{i}.digest"), _none()) for i in range(FANOUT)])
-        levels.append(staged(up.withColumn("digest", _hash(side_by_side)), "merkle-level"))
+        levels.append(staged(up.withColumn("digest", _hash(F.expr(_side_by_side(0, FANOUT)))), "merkle-level"))
         nodes = levels[-1].select("gid", "at", "n", F.struct("digest").alias("child"))
         largest = _above(largest)
     return levels
@@ -83,23 +83,21 @@ def tops(nodes: DataFrame, levels: list[DataFrame]) -> DataFrame:
 
 def _children(level: DataFrame, carried: list[str]) -> DataFrame:
     """A row per child of a level: its path is its siblings at this level, then its parent's path."""
-    part = lambda i, j: F.concat(_none(), *[F.coalesce(F.col(f"c{k}.digest"), _none()) for k in range(i, j)])
-    rows = F.array(*[
-        F.struct((F.col("at") * FANOUT + i).alias("at"), F.col(f"c{i}").alias("child"),
-                 F.concat(F.array(F.struct(part(0, i).alias("l"), part(i + 1, FANOUT).alias("r"))), "path").alias("path"))
-        for i in range(FANOUT)])
-    return level.select("gid", *carried, F.inline(rows)).where("child IS NOT NULL")
+    rows = ", ".join(
+        f"struct(at * {FANOUT} + {i} AS at, c{i} AS child, "
+        f"concat(array(struct({_side_by_side(0, i)} AS l, {_side_by_side(i + 1, FANOUT)} AS r)), path) AS path)" for i in range(FANOUT))
+    return level.select("gid", *carried, F.expr(f"inline(array({rows}))")).where("child IS NOT NULL")
 
 
 def paths(nodes: DataFrame, levels: list[DataFrame], roots: DataFrame, carried: list[str]) -> DataFrame:
     """``(gid, at, child, path)`` of every node, and the ``carried`` columns of its group's row in ``roots``."""
     roots = sized(roots.select("gid", "path", *carried))
     known = None
-    for level in reversed(levels):
+    for k, level in reversed(list(enumerate(levels))):
         ends = level.where("n = 1").select("gid", "at").join(roots, "gid")
         known = ends if known is None else known.unionByName(ends)
         held = _children(level.drop("n", "digest").join(known, ["gid", "at"]), carried)
-        known = held.drop("child")
+        known = staged(held.drop("child"), "merkle-paths") if k else None
     alone = nodes.where("n = 1").select("gid", "at", "child").join(roots, "gid")
     return alone if not levels else held.unionByName(alone.select(held.columns))
 
