@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, fingerprints, html, merkle, minhash, mixing, pii, quality, secrets, suffix_dedup
+from tessera.llm import bpe, chat, fingerprints, html, merkle, minhash, mixing, pii, quality, secrets, suffix_dedup, warc, whitening
 from tessera.llm.common import table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -70,6 +70,21 @@ def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+#: Pages carry no capture time: a page is taken as captured its id (modulo a year) in seconds after this.
+CAPTURED_FROM, YEAR_SECONDS = 1_704_067_200, 31_536_000
+
+
+def op11_loser_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seconds = F.lit(CAPTURED_FROM) + F.coalesce(F.pmod("page_id", F.lit(YEAR_SECONDS)), F.lit(0))
+    archives = warc.write(table(spark, sf_dir, "pages"), "page_id", "url", "html", seconds)
+    return warc.history(warc.read(archives)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "position", "nth")
+
+
+def op12_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_slot_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 0
     return merkle.manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id",
@@ -78,7 +93,8 @@ def op13_slot_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_weak_supervision, op2_raked_mix, op3_repeat_intervals, op4_bpe_automaton, op5_quotation_links,
-    op6_main_text, op7_host_quality, op8_odd_sketches, op9_grammar_secrets, op10_weighted_sampling, op13_slot_pivot)}
+    op6_main_text, op7_host_quality, op8_odd_sketches, op9_grammar_secrets, op10_weighted_sampling, op11_loser_tree,
+    op12_lanczos_whitening, op13_slot_pivot)}
 
 _FAIL = {
     "short": f"n_words < {quality.MIN_WORDS}",
@@ -141,6 +157,22 @@ j AS (SELECT d.*, CASE WHEN d.n > 0 THEN p.p ELSE 1.0 END AS p,
 SELECT doc_id, source, lang, topic, n AS n_tokens, round(p, 4) AS probability, u < p AS kept FROM j"""
 
 
+def warc_sql() -> str:
+    """Record types and ordered histories of ``op11``; for URLs of a scheme and a host."""
+    host = "string_split(lower(regexp_replace(regexp_replace(regexp_extract(url, '://([^/?#]*)', 1), '^.*@', ''), ':.*$', '')), '.')"
+    tail = "regexp_replace(regexp_replace(url, '^[^:]+://[^/?#]*', ''), '#.*$', '')"
+    return f"""
+WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+             {host} AS host, {tail} AS tail,
+             strftime(to_timestamp({CAPTURED_FROM} + page_id % {YEAR_SECONDS}) AT TIME ZONE 'UTC', '%Y%m%d%H%M%S') AS captured FROM pages),
+k AS (SELECT *, array_to_string(list_reverse(CASE WHEN len(host) > 2 AND host[1] = 'www' THEN host[2:] ELSE host END), ',') || ')'
+             || lower(CASE WHEN tail LIKE '/%' THEN tail ELSE '/' || tail END) AS url_key,
+             min(page_id) OVER (PARTITION BY payload_digest) AS original FROM p),
+r AS (SELECT *, CASE WHEN payload_bytes >= {warc.SHORTEST} AND page_id <> original THEN original END AS refers_to FROM k)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to, url_key, captured,
+       row_number() OVER (ORDER BY url_key, captured, page_id) - 1 AS position, row_number() OVER (PARTITION BY url_key ORDER BY captured, page_id) AS nth FROM r"""
+
+
 def _field_sql(value: str) -> str:
     text = f"CAST({value} AS VARCHAR)"
     return f"CASE WHEN {value} IS NULL THEN '-' ELSE CAST(octet_length(encode({text})) AS VARCHAR) || ':' || {text} END"
@@ -186,4 +218,5 @@ p AS (SELECT t.doc_id, t.leaf, t.claim, s.d AS subroot, w.d AS root, sha256({pro
 SELECT doc_id, leaf, subroot, root, proof_sha256, f AS folded_root, f = root AS verified FROM f{levels + group_levels}"""
 
 
-ORACLES = {"op7_host_quality": quality_sql(), "op2_raked_mix": mixing_sql(), "op13_slot_pivot": merkle_sql()}
+ORACLES = {"op7_host_quality": quality_sql(), "op2_raked_mix": mixing_sql(), "op11_loser_tree": warc_sql(),
+           "op13_slot_pivot": merkle_sql()}
