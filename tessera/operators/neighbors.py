@@ -1,6 +1,7 @@
-"""Exact k nearest neighbours without a cross product.
+"""k nearest neighbours, their vote, SMOTE and ENN.
 
-Points are assigned to the Voronoi cell of the nearest of ``P`` pivots (P
+Vectors of many dimensions are searched by random-projection hash tables
+(``hashed_neighbors``), those of few exactly by pivot cells, as follows. Points are assigned to the Voronoi cell of the nearest of ``P`` pivots (P
 sampled training points; a parameter-sized list). Each cell's radius is the
 largest pivot distance of its training points. For a query q:
 
@@ -25,6 +26,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import WIDE_SPACE, portable_hash, wide_hash
+from tessera.functions.staging import stage
+from tessera.operators.hashed_neighbors import nearest
+
+#: From this many dimensions on, the triangle inequality hardly rules out a cell.
+HASH_WIDTH = 16
 
 
 def as_double(vec: Column) -> Column:
@@ -40,14 +46,16 @@ def _pivot_dists(vec: Column, pivots: list[list[float]]) -> Column:
     return F.array(*[F.sqrt(sq_dist(vec, F.array(*[F.lit(float(x)) for x in p]))) for p in pivots])
 
 
-def knn(train: DataFrame, test: DataFrame, k: int, id_col: str, vec_col: str, n_pivots: int = 16,
-        exclude_self: bool = False, seed: int = 0) -> DataFrame:
-    """``(q_id, nbr_id, dist2, rank)`` for the k nearest training points of each query."""
+def knn_exact(train: DataFrame, test: DataFrame, k: int, id_col: str, vec_col: str, n_pivots: int = 16,
+              exclude_self: bool = False, seed: int = 0) -> DataFrame:
+    """``(q_id, nbr_id, dist2, rank)`` for the k nearest training points of each query, by pivot cells."""
     tr = train.select(F.col(id_col).alias("nbr_id"), as_double(F.col(vec_col)).alias("tv"))
     te = test.select(F.col(id_col).alias("q_id"), as_double(F.col(vec_col)).alias("qv"))
-    piv_rows = (tr.withColumn("__h", portable_hash("nbr_id", seed=seed)).orderBy("__h", "nbr_id")
+    piv_rows = (tr.where("tv IS NOT NULL").withColumn("__h", portable_hash("nbr_id", seed=seed)).orderBy("__h", "nbr_id")
                 .limit(n_pivots).select("tv").collect())  # P vectors: parameter-sized
     pivots = [list(r.tv) for r in piv_rows]
+    if not pivots:  # no training points, no neighbours
+        return te.select("q_id").limit(0).withColumns({"nbr_id": F.lit(None).cast(tr.schema["nbr_id"].dataType), "dist2": F.lit(0.0), "rank": F.lit(0)})
     tr = tr.withColumn("__pd", _pivot_dists(F.col("tv"), pivots))
     tr = tr.withColumn("cell", F.array_position(F.col("__pd"), F.array_min("__pd")) - 1)
     tr = tr.withColumn("dcell", F.element_at("__pd", (F.col("cell") + 1).cast("int"))).drop("__pd")
@@ -78,6 +86,30 @@ def knn(train: DataFrame, test: DataFrame, k: int, id_col: str, vec_col: str, n_
     return (allc.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
 
 
+def knn(train: DataFrame, test: DataFrame, k: int, id_col: str, vec_col: str, n_pivots: int = 16,
+        exclude_self: bool = False, seed: int = 0, exact: bool | None = None) -> DataFrame:
+    """``(q_id, nbr_id, dist2, rank)`` for the k nearest training points of each query.
+
+    ``exact`` chooses the pivot cells, whose pruning works in few dimensions, or
+    (False) the hash tables of ``hashed_neighbors``; if it is not given, vectors
+    of at least ``HASH_WIDTH`` entries are hashed.
+    """
+    if exact is None:
+        head = train.where(F.col(vec_col).isNotNull()).select(F.size(vec_col)).first()
+        exact = head is None or head[0] < HASH_WIDTH
+    if exact:
+        return knn_exact(train, test, k, id_col, vec_col, n_pivots, exclude_self, seed)
+    return nearest(train, test, k, id_col, vec_col, exclude_self, sq_dist,
+                   lambda tr, te, n: knn_exact(tr, te, n, id_col, vec_col, n_pivots, seed=seed), seed=seed)
+
+
+def knn_of_point(train: DataFrame, point: list[float], k: int, id_col: str, vec_col: str) -> DataFrame:
+    """``(nbr_id, dist2)`` of the k training points nearest to one given vector: one scan, top k per task."""
+    at = F.array(*[F.lit(float(x)) for x in point])
+    return (train.select(F.col(id_col).alias("nbr_id"), sq_dist(at, as_double(F.col(vec_col))).alias("dist2"))
+            .orderBy("dist2", "nbr_id").limit(k))
+
+
 def knn_vote(nbrs: DataFrame, train: DataFrame, id_col: str, label: str) -> DataFrame:
     """Majority label of the neighbours; ties to the smallest label."""
     lab = train.select(F.col(id_col).alias("nbr_id"), F.col(label).alias("__l"))
@@ -109,23 +141,32 @@ def knn_sweep(train: DataFrame, test: DataFrame, ks: list[int], id_col: str, vec
 def smote(minority: DataFrame, n_new: int, k: int, id_col: str, vec_col: str, seed: int = 0,
           n_pivots: int = 8) -> DataFrame:
     """``n_new`` synthetic rows x + u (nbr - x): base row, one of its k nearest
-    minority neighbours and u in [0, 1) all chosen by the seeded hash."""
+    minority neighbours and u in [0, 1) all chosen by the seeded hash.
+
+    A base row of fewer than ``k`` neighbours draws among those it has; a single
+    minority row is its own neighbour, so every row asked for is made. Without
+    any minority row there is nothing to draw from and no row.
+    """
     from tessera.functions.ordering import dense_index
     spark = minority.sparkSession
-    nb = knn(minority, minority, k, id_col, vec_col, n_pivots, exclude_self=True, seed=seed)
-    pop = dense_index(minority.select(id_col), [id_col], "__idx")
-    n_min = minority.count()
+    nb = stage(knn(minority, minority, k, id_col, vec_col, n_pivots, exclude_self=True, seed=seed), "smote-neighbours")
+    have = nb.groupBy(F.col("q_id").alias(id_col)).agg(F.count(F.lit(1)).alias("__have"))
+    rows = minority.select(id_col, as_double(F.col(vec_col)).alias("__xb")).join(have, id_col, "left")
+    pop = stage(dense_index(rows, [id_col], "__idx"), "smote-base")
+    n_min = pop.count()
+    if not n_min:
+        n_new = 0
     draws = spark.range(n_new).withColumnRenamed("id", "synthetic_id").select(
-        "synthetic_id", (wide_hash("synthetic_id", seed=f"{seed}:base") % F.lit(n_min)).alias("__idx"),
-        (wide_hash("synthetic_id", seed=f"{seed}:nbr") % F.lit(k) + 1).alias("rank"),
+        "synthetic_id", (wide_hash("synthetic_id", seed=f"{seed}:base") % F.lit(max(1, n_min))).alias("__idx"),
+        wide_hash("synthetic_id", seed=f"{seed}:nbr").alias("__draw"),
         (wide_hash("synthetic_id", seed=f"{seed}:u") / F.lit(float(WIDE_SPACE))).alias("u"))
     d = draws.join(pop, "__idx").withColumnRenamed(id_col, "base_id")
-    d = d.join(nb.select(F.col("q_id").alias("base_id"), "rank", "nbr_id"), ["base_id", "rank"])
-    vec = minority.select(F.col(id_col).alias("__i"), as_double(F.col(vec_col)).alias("__v"))
-    d = (d.join(vec.withColumnRenamed("__i", "base_id").withColumnRenamed("__v", "xb"), "base_id")
-         .join(vec.withColumnRenamed("__i", "nbr_id").withColumnRenamed("__v", "xn"), "nbr_id"))
-    new = F.zip_with("xb", "xn", lambda a, b: a + F.col("u") * (b - a))
-    return d.select("synthetic_id", "base_id", "nbr_id", "u", new.alias(vec_col))
+    d = d.withColumn("rank", F.when(F.col("__have").isNotNull(), F.col("__draw") % F.col("__have") + 1))
+    d = d.join(nb.select(F.col("q_id").alias("base_id"), "rank", "nbr_id"), ["base_id", "rank"], "left")
+    d = d.withColumn("nbr_id", F.coalesce("nbr_id", "base_id"))
+    other = pop.select(F.col(id_col).alias("nbr_id"), F.col("__xb").alias("__xn"))
+    new = F.zip_with("__xb", "__xn", lambda a, b: a + F.col("u") * (b - a))
+    return d.join(other, "nbr_id").select("synthetic_id", "base_id", "nbr_id", "u", new.alias(vec_col))
 
 
 def enn_filter(df: DataFrame, id_col: str, vec_col: str, label: str, k: int = 3, n_pivots: int = 16) -> DataFrame:
