@@ -136,24 +136,6 @@ def blocked_candidates(queries: DataFrame, dictionary: DataFrame, qcol: str, dco
     return q.join(d, "__b").drop("__b")
 
 
-def best_by_jaccard(queries: DataFrame, dictionary: DataFrame, qcol: str, dcol: str, n: int) -> DataFrame:
-    """Nearest dictionary word by Jaccard distance of character n-gram sets (ties: smallest word)."""
-    q = queries.select(qcol).distinct().withColumn("__qg", char_ngrams(F.col(qcol), n))
-    d = dictionary.select(dcol).distinct().withColumn("__dg", char_ngrams(F.col(dcol), n))
-    c = blocked_candidates(q, d, qcol, dcol).withColumn("dist", jaccard_distance(F.col("__qg"), F.col("__dg")))
-    return c.groupBy(qcol).agg(F.min(F.struct("dist", F.col(dcol).alias("best"))).alias("__m")).select(
-        qcol, F.col("__m.best").alias("best"), F.col("__m.dist").alias("dist"))
-
-
-def best_by_edit_distance(queries: DataFrame, dictionary: DataFrame, qcol: str, dcol: str) -> DataFrame:
-    """Nearest dictionary word by Levenshtein distance (ties: smallest word)."""
-    q = queries.select(qcol).distinct()
-    d = dictionary.select(dcol).distinct()
-    c = blocked_candidates(q, d, qcol, dcol).withColumn("dist", F.levenshtein(F.col(qcol), F.col(dcol)))
-    return c.groupBy(qcol).agg(F.min(F.struct("dist", F.col(dcol).alias("best"))).alias("__m")).select(
-        qcol, F.col("__m.best").alias("best"), F.col("__m.dist").cast("bigint").alias("dist"))
-
-
 # Verb suffix rules (suffix, replacement), in the order tried.
 VERB_RULES = [("s", ""), ("ies", "y"), ("es", "e"), ("es", ""), ("ed", "e"), ("ed", ""), ("ing", "e"), ("ing", "")]
 

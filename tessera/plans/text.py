@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from tessera.functions.staging import stage
+from tessera.operators import spelling as S
 from tessera.operators import text as X
 from tessera.plans.registry import query
 
@@ -198,7 +200,7 @@ def _spell_inputs(t):
     q = p.select(F.expr("substring(w, 1, length(w) - 1)").alias("word")).distinct()
     d = p.select(F.col("w").alias("entry")).union(
         X.tokens(t.documents, "doc_id", "text", "[a-z]{2,}", lower=True).select(F.col("token").alias("entry"))).distinct()
-    return q, d
+    return q, stage(d, "spell-dictionary")
 
 
 def _ngram_sql(col, n):
@@ -209,7 +211,7 @@ def _ngram_sql(col, n):
 @query("join_blocked_candidates", _SPELL_SQL + " SELECT word, count(*) AS n_candidates FROM c GROUP BY word")
 def q_blocked(spark, t):
     q, d = _spell_inputs(t)
-    return X.blocked_candidates(q, d, "word", "entry").groupBy("word").agg(F.count(F.lit(1)).alias("n_candidates"))
+    return S.candidate_counts(q, d, "word", "entry")
 
 
 @query("text_ngram_jaccard", _SPELL_SQL + f""",
@@ -222,7 +224,7 @@ def q_jaccard(spark, t):
     q, d = _spell_inputs(t)
     out = None
     for n in (3, 4):
-        r = X.best_by_jaccard(q, d, "word", "entry", n).withColumn("n", F.lit(n))
+        r = S.best_by_jaccard(q, d, "word", "entry", n).withColumn("n", F.lit(n))
         out = r if out is None else out.unionByName(r)
     return out.withColumn("dist", F.round("dist", 9))
 
@@ -232,7 +234,7 @@ SELECT word, arg_min(entry, (levenshtein(word, entry), entry)) AS best, min(leve
 FROM c GROUP BY word""")
 def q_edit(spark, t):
     q, d = _spell_inputs(t)
-    return X.best_by_edit_distance(q, d, "word", "entry")
+    return S.best_by_edit_distance(q, d, "word", "entry")
 
 
 @query("filter_sorted_list", """
