@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions.subquery import scalar_row
 
-#: Vocabulary size of a vectoriser that cuts no term (its own default drops terms beyond 2^18).
-NO_CUT = 2**31 - 1
-
 
 def majority_class(train: DataFrame, label: str) -> DataFrame:
     """One row: the most frequent label (ties to the smallest label)."""

@@ -1,24 +1,26 @@
 """M, G, T20-T22, P31, K3 rows: Spark ML fits on feature frames built from the
-test tables. Fits are iterative or randomised, so these keys are rows-only
-(no oracle) except OLS, whose single-feature fit equals ``regr_slope``."""
+test tables. Most fits are iterative or randomised, so their keys are rows-only;
+OLS, naive Bayes, topics and assembled vectors are computed in SQL as well."""
 
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
-                                       NaiveBayes, OneVsRest, RandomForestClassifier)
-from pyspark.ml.feature import (IDF, CountVectorizer, Imputer, OneHotEncoder, RegexTokenizer, StandardScaler,
-                                StringIndexer, VectorAssembler)
+from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, OneVsRest,
+                                       RandomForestClassifier)
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import portable_hash
+from tessera.functions.staging import stage
 from tessera.functions.subquery import attach_row
 from tessera.operators import metrics as M
 from tessera.operators import models as ML
+from tessera.operators import term_models as TM
+from tessera.operators import text as X
 from tessera.operators import tuning as G
 from tessera.operators.relational import both_ends
 from tessera.operators.sampling import kfold
-from tessera.operators.topics import fit_lda, topic_words
 from tessera.plans.registry import query, scratch_dir
+from tessera.plans.text import VTOK, _vocab, _vocab_sql
 
 DOC_FEATURES = ["n_chars", "n_digits", "n_non_word", "vowel_share", "upper_share"]
 LANG_MARKS = {"fr": "[éèêàçù]", "de": "[äöüß]", "es": "[ñáíóú¿¡]", "en": "[wkyh]"}
@@ -166,24 +168,72 @@ def q_gbt_reg(spark, t):
     return M.regression_metrics(m.transform(te), "y", "prediction")
 
 
-def _text_frame(t):
-    d = t.documents.join(t.labels, "doc_id").select("doc_id", "text", F.col("quality").cast("double").alias("label"))
-    u = portable_hash("doc_id", seed=42) % 1000000
-    d = d.withColumn("split", F.when(u < 750000, "train").otherwise("test"))
-    tok = RegexTokenizer(inputCol="text", outputCol="tokens", pattern="[\\p{L}\\p{N}_]{2,}", gaps=False, toLowercase=True)
-    return tok.transform(d)
+# ---- naive Bayes on term counts and on numbers -----------------------------------------
+
+_SPLIT_SQL = "CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) % 1000000"
+_LABELLED_SQL = f"""lab AS (SELECT d.doc_id, text, CAST(quality AS DOUBLE) AS label, {_SPLIT_SQL.replace("doc_id", "d.doc_id")} < 750000 AS is_train FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM lab),
+voc AS (SELECT term FROM tok WHERE doc_id IN (SELECT doc_id FROM lab WHERE is_train) GROUP BY term HAVING count(DISTINCT doc_id) >= 2),
+cnt AS (SELECT doc_id, term, count(*) AS tf FROM tok WHERE term IN (SELECT term FROM voc) GROUP BY ALL)"""
+#: Scores as (doc_id, label, s0, s1) for two classes: margin, prediction and the usual figures.
+_FIGURES_SQL = """m_{0} AS (SELECT label, round(s1 - s0, 6) AS margin, CASE WHEN s1 > s0 THEN 1 ELSE 0 END AS prediction FROM {0}),
+c_{0} AS (SELECT count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp, count(*) FILTER (WHERE label <> 1 AND prediction = 1) AS fp,
+  count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn, count(*) FILTER (WHERE label <> 1 AND prediction = 0) AS tn FROM m_{0}),
+a_{0} AS (SELECT avg(CASE WHEN p.margin > n.margin THEN 1.0 WHEN p.margin = n.margin THEN 0.5 ELSE 0.0 END) AS auc FROM m_{0} p JOIN m_{0} n ON p.label = 1 AND n.label <> 1),
+f_{0} AS (SELECT '{1}' AS model, round((tp + tn) / (tp + fp + fn + tn), 9) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 9) AS precision,
+  round(coalesce(tp / nullif(tp + fn, 0), 0), 9) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 9) AS f1, round(auc, 9) AS auc FROM c_{0}, a_{0})"""
+_NUMBER_SQL = {"n_chars": "CAST(length(text) AS DOUBLE)", "n_digits": "CAST(length(regexp_replace(text, '[^0-9]', '', 'g')) AS DOUBLE)",
+               "n_non_word": "CAST(length(regexp_replace(text, '[a-zA-Z0-9_]', '', 'g')) AS DOUBLE)",
+               "vowel_share": "length(regexp_replace(text, '[^aeiou]', '', 'g')) / CAST(length(text) AS DOUBLE)",
+               "upper_share": "length(regexp_replace(text, '[^A-Z]', '', 'g')) / CAST(length(text) AS DOUBLE)"}
+
+
+def _density_sql(c):
+    return " - ".join([f"p{c}"] + [f"ln(2 * pi() * v{c}_{f}) / 2 - pow({f} - m{c}_{f}, 2) / (2 * v{c}_{f})" for f in DOC_FEATURES])
 
 
-@query("model_naive_bayes")
+def _labelled_counts(t):
+    """Labelled documents with their split, and their counts on the training vocabulary."""
+    u = portable_hash("doc_id", seed=42) % 1000000
+    docs = t.documents.join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+    docs = docs.select("doc_id", "text", "label", F.when(u < 750000, "train").otherwise("test").alias("split"))
+    tok = X.tokens(docs, ["doc_id", "split"], "text", X.VECTOR_TOKEN, lower=True)
+    dt = stage(tok.groupBy("doc_id", "split", "token").agg(F.count(F.lit(1)).alias("n")), "labelled-counts")
+    vocab = X.vocabulary_from_counts(dt.where("split = 'train'"), "doc_id", min_df=2)
+    return docs.drop("text"), vocab, X.counts_on_vocabulary(dt, vocab, "doc_id")
+
+
+def _margin_eval(scores, docs, name):
+    p = TM.margin(scores, "doc_id", "label", 1.0).join(docs.select("doc_id", "label"), "doc_id")
+    p = p.select("label", F.round("margin", 6).alias("p1"), (F.col("margin") > 0).cast("double").alias("prediction"))
+    m = attach_row(M.binary_metrics(p, "label", "prediction", 1.0), M.roc_auc(p, "label", "p1", 1.0))
+    return m.select(F.lit(name).alias("model"), *[F.round(c, 9).alias(c) for c in ("accuracy", "precision", "recall", "f1", "auc")])
+
+
+@query("model_naive_bayes", f"""WITH {_LABELLED_SQL},
+held AS (SELECT label, term, sum(tf) AS c FROM cnt JOIN lab USING (doc_id) WHERE is_train GROUP BY ALL),
+cls AS (SELECT label, ln(n / sum(n) OVER ()) AS prior, ln(0.1::DOUBLE / (coalesce(t, 0) + 0.1::DOUBLE * (SELECT count(*) FROM voc))) AS absent
+  FROM (SELECT label, count(*) AS n FROM lab WHERE is_train GROUP BY label) LEFT JOIN (SELECT label, sum(c) AS t FROM held GROUP BY label) USING (label)),
+gain AS (SELECT doc_id, h.label, sum(tf * ln((c + 0.1::DOUBLE) / 0.1::DOUBLE)) AS g, FROM cnt JOIN held h USING (term) GROUP BY ALL),
+len AS (SELECT doc_id, sum(tf) AS n FROM cnt GROUP BY doc_id),
+mul AS (SELECT lab.doc_id, any_value(lab.label) AS label, max(prior + coalesce(n, 0) * absent + coalesce(g, 0)) FILTER (WHERE cls.label <> 1) AS s0,
+    max(prior + coalesce(n, 0) * absent + coalesce(g, 0)) FILTER (WHERE cls.label = 1) AS s1
+  FROM lab JOIN cls ON NOT is_train LEFT JOIN gain ON gain.doc_id = lab.doc_id AND gain.label = cls.label LEFT JOIN len ON len.doc_id = lab.doc_id GROUP BY lab.doc_id),
+num AS (SELECT doc_id, label, is_train, {", ".join(f"{e} AS {c}" for c, e in _NUMBER_SQL.items())} FROM lab),
+wid AS (SELECT greatest({", ".join(f"var_pop({c})" for c in DOC_FEATURES)}) * 1e-9 AS e FROM num WHERE is_train),
+par AS (SELECT {", ".join(f"ln(count(*) FILTER (WHERE label = {c}) / count(*)) AS p{c}, " + ", ".join(f"avg({f}) FILTER (WHERE label = {c}) AS m{c}_{f}, var_pop({f}) FILTER (WHERE label = {c}) + (SELECT e FROM wid) AS v{c}_{f}" for f in DOC_FEATURES) for c in (0, 1))} FROM num WHERE is_train),
+gau AS (SELECT doc_id, label, {_density_sql(0)} AS s0, {_density_sql(1)} AS s1 FROM num, par WHERE NOT is_train),
+{_FIGURES_SQL.format("mul", "naive_bayes_multinomial")}, {_FIGURES_SQL.format("gau", "naive_bayes_gaussian")}
+SELECT * FROM f_mul UNION ALL SELECT * FROM f_gau""")
 def q_naive_bayes(spark, t):
-    d = _text_frame(t)
-    tr, te = _train_test(d)
-    cv = CountVectorizer(inputCol="tokens", outputCol="tf", minDF=2.0, vocabSize=ML.NO_CUT).fit(tr)
-    nb = NaiveBayes(featuresCol="tf", labelCol="label", modelType="multinomial", smoothing=0.1).fit(cv.transform(tr))
-    multi = _binary_eval(nb.transform(cv.transform(te)), "naive_bayes_multinomial")
+    docs, vocab, counts = _labelled_counts(t)
+    tr, te = _train_test(docs)
+    model = TM.multinomial_fit(counts, vocab, tr, "doc_id", "label", 0.1)
+    tested = counts.join(te.select("doc_id"), "doc_id", "left_semi")
+    multi = _margin_eval(TM.multinomial_scores(tested, te, model, "doc_id", "label"), te, "naive_bayes_multinomial")
     dtr, dte = _train_test(doc_frame(t))
-    g = NaiveBayes(featuresCol="features", labelCol="label", modelType="gaussian").fit(dtr)
-    return multi.unionByName(_binary_eval(g.transform(dte), "naive_bayes_gaussian"))
+    g = TM.gaussian_fit(dtr, DOC_FEATURES, "label")
+    return multi.unionByName(_margin_eval(TM.gaussian_scores(dte, g, DOC_FEATURES, "doc_id", "label"), dte, "naive_bayes_gaussian"))
 
 
 @query("model_linear_svm")
@@ -370,58 +420,104 @@ def q_leaderboard(spark, t):
 
 # ---- topics, assembled text features, model round trip -------------------------------
 
-def _lda(t, k=4):
-    d = t.documents.select("doc_id", "lang", "text")
-    tok = RegexTokenizer(inputCol="text", outputCol="tokens", pattern="[\\p{L}\\p{N}_]{2,}", gaps=False).transform(d)
-    from tessera.plans.text import STOP_WORDS
-    cv, lda, counted = fit_lda(tok, "tokens", k, max_iter=10, seed=1, stop_words=STOP_WORDS)
-    return cv, lda, counted
+TOPICS, LDA_ROUNDS, MIX_ROUNDS, ALPHA, ETA = 4, 10, 5, 0.1, 0.01
 
 
-@query("topic_lda_words")
-def q_lda_words(spark, t):
-    cv, lda, _ = _lda(t)
-    return topic_words(spark, cv, lda, 10)
+def _topic_sql(mix_too: bool = False) -> str:
+    """CTEs up to ``w`` (term, p0..), the word weights after all rounds, and, if asked for, ``x`` (doc_id, t0..)."""
+    ks = range(TOPICS)
+    shares = ", ".join(f"tf * p{i} * t{i} / ({' + '.join(f'p{j} * t{j}' for j in ks)}) AS r{i}" for i in ks)
+    mix = ", ".join(f"(sum(r{i}) + {ALPHA}::DOUBLE) / ({' + '.join(f'sum(r{j})' for j in ks)} + {TOPICS * ALPHA}::DOUBLE) AS t{i}" for i in ks)
+    words = ", ".join(f"(r{i} + {ETA}::DOUBLE) / (sum(r{i}) OVER () + {ETA}::DOUBLE * count(*) OVER ()) AS p{i}" for i in ks)
+    first = ", ".join(f"CAST('0x' || substr(md5(term || ':{i}:1'), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE + 0.5::DOUBLE AS p{i}" for i in ks)
+    even = ", ".join(f"{1 / TOPICS}::DOUBLE AS t{i}" for i in ks)
+    parts = [f"c AS MATERIALIZED (SELECT doc_id, token AS term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), {VTOK})) AS token FROM documents) WHERE token IN (SELECT term FROM {_vocab_sql()}) GROUP BY ALL)",
+             f"w0 AS (SELECT term, {first} FROM (SELECT DISTINCT term FROM c))", f"x0 AS (SELECT doc_id, {even} FROM (SELECT DISTINCT doc_id FROM c))"]
+    for n in range(1, LDA_ROUNDS + 1):
+        parts.append(f"r{n} AS MATERIALIZED (SELECT doc_id, term, {shares} FROM c JOIN w{n - 1} USING (term) JOIN x{n - 1} USING (doc_id))")
+        parts.append(f"w{n} AS MATERIALIZED (SELECT term, {words} FROM (SELECT term, {', '.join(f'sum(r{i}) AS r{i}' for i in ks)} FROM r{n} GROUP BY term))")
+        parts.append(f"x{n} AS MATERIALIZED (SELECT doc_id, {mix} FROM r{n} GROUP BY doc_id)")
+    parts.append(f"w AS (SELECT * FROM w{LDA_ROUNDS})")
+    if mix_too:
+        parts.append("m0 AS (SELECT * FROM x0)")
+        for n in range(1, MIX_ROUNDS + 1):
+            parts.append(f"m{n} AS MATERIALIZED (SELECT doc_id, {mix} FROM (SELECT doc_id, {shares} FROM c JOIN w USING (term) JOIN m{n - 1} USING (doc_id)) GROUP BY doc_id)")
+        parts.append(f"x AS (SELECT * FROM m{MIX_ROUNDS})")
+    return ", ".join(parts)
 
 
-@query("topic_distribution")
-def q_topic_dist(spark, t):
-    _, lda, counted = _lda(t)
-    p = lda.transform(counted).select("doc_id", vector_to_array("topicDistribution").alias("mix"))
-    return p.select("doc_id", F.posexplode("mix").alias("topic", "share"))
+_TOP_WORDS_SQL = f"""long AS (SELECT term AS word, generate_subscripts(p, 1) - 1 AS topic, unnest(p) AS weight FROM (SELECT term, [{', '.join(f'p{i}' for i in range(TOPICS))}] AS p FROM w)),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY round(weight, 9) DESC, word) - 1 AS rank FROM long) WHERE rank < 10)"""
+
 
+def _topic_counts(t):
+    dt = X.doc_term_counts(X.tokens(t.documents, "doc_id", "text", X.VECTOR_TOKEN, lower=True), "doc_id", materialize=False)
+    dt = stage(dt, "topic-counts")
+    return dt, X.counts_on_vocabulary(dt, _vocab(dt), "doc_id")
 
-@query("topic_naming")
+
+def _topics(t):
+    dt, counts = _topic_counts(t)
+    return dt, counts, TM.lda_fit(counts, "doc_id", TOPICS, LDA_ROUNDS, ALPHA, ETA, seed=1)
+
+
+@query("topic_lda_words", f"""WITH {_topic_sql()}, {_TOP_WORDS_SQL}
+SELECT CAST(topic AS INTEGER) AS topic, CAST(rank AS INTEGER) AS rank, word, round(weight, 7) AS weight FROM top""")
+def q_lda_words(spark, t):
+    return TM.top_words(_topics(t)[2], TOPICS, 10).withColumn("weight", F.round("weight", 7))
+
+
+@query("topic_distribution", f"""WITH {_topic_sql(True)}
+SELECT doc_id, CAST(generate_subscripts(m, 1) - 1 AS INTEGER) AS topic, round(unnest(m), 6) AS share, round(list_sum(m), 9) AS whole
+FROM (SELECT doc_id, [{', '.join(f't{i}' for i in range(TOPICS))}] AS m FROM x)""")
+def q_topic_dist(spark, t):
+    """Topic mix of every document that holds a word of the vocabulary; ``whole`` is the sum of its shares."""
+    _, counts, weights = _topics(t)
+    mix = TM.lda_mix(counts, weights, "doc_id", TOPICS, MIX_ROUNDS, ALPHA).withColumn("mix", F.array(*[f"t{i}" for i in range(TOPICS)]))
+    whole = F.round(F.aggregate("mix", F.lit(0.0), lambda a, x: a + x), 9).alias("whole")
+    return mix.select("doc_id", whole, F.posexplode("mix").alias("topic", "share")).select("doc_id", "topic", F.round("share", 6).alias("share"), "whole")
+
+
+@query("topic_naming", f"""WITH {_topic_sql()}, {_TOP_WORDS_SQL},
+tok AS (SELECT DISTINCT doc_id, lang AS candidate, unnest(regexp_extract_all(lower(text), {VTOK})) AS word FROM documents),
+df AS (SELECT candidate, word, count(*) AS df FROM tok GROUP BY ALL),
+n AS (SELECT lang AS candidate, count(*) AS n_docs FROM documents GROUP BY lang),
+s AS (SELECT topic, candidate, round(sum(df / n_docs) / 10, 9) AS score FROM top JOIN df USING (word) JOIN n USING (candidate) GROUP BY ALL)
+SELECT CAST(topic AS INTEGER) AS topic, arg_max(candidate, (score, candidate)) AS name, max(score) AS score FROM s GROUP BY topic""")
 def q_topic_naming(spark, t):
     """Name each topic by the candidate (a language) whose documents contain its
     top words most often: mean document frequency of the words per candidate."""
-    cv, lda, counted = _lda(t)
-    words = topic_words(spark, cv, lda, 10)
-    from tessera.operators.text import tokens
-    tok = tokens(t.documents, "doc_id", "text", "[\\p{L}\\p{N}_]{2,}", lower=True)
+    dt, _, weights = _topics(t)
+    words = TM.top_words(weights, TOPICS, 10)
     docs = t.documents.select("doc_id", F.col("lang").alias("candidate"))
     n_docs = docs.groupBy("candidate").agg(F.count(F.lit(1)).alias("n_docs"))
-    df_ = (tok.select("doc_id", F.col("token").alias("word")).distinct().join(docs, "doc_id")
-           .groupBy("candidate", "word").agg(F.count(F.lit(1)).alias("df")))
+    held = dt.withColumnRenamed("token", "word").join(words.select("word").distinct(), "word", "left_semi")
+    df_ = held.join(docs, "doc_id").groupBy("candidate", "word").agg(F.count(F.lit(1)).alias("df"))
     s = words.join(df_, "word").join(n_docs, "candidate").groupBy("topic", "candidate").agg(
-        (F.sum(F.col("df") / F.col("n_docs")) / 10).alias("score"))
+        F.round(F.sum(F.col("df") / F.col("n_docs")) / 10, 9).alias("score"))
     return s.groupBy("topic").agg(F.max_by("candidate", F.struct("score", F.col("candidate"))).alias("name"),
                                   F.max("score").alias("score"))
 
 
-@query("feature_assemble")
+@query("feature_assemble", f"""
+WITH tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), {VTOK})) AS term FROM documents),
+voc AS (SELECT term, df, row_number() OVER (ORDER BY term) - 1 AS idx FROM (SELECT term, count(DISTINCT doc_id) AS df FROM tok GROUP BY term) WHERE df >= 2),
+v AS (SELECT doc_id, idx, count(*) * ln(((SELECT count(*) FROM documents) + 1) / (any_value(df) + 1)) AS value FROM tok JOIN voc USING (term) GROUP BY doc_id, idx),
+x AS (SELECT doc_id, (SELECT count(*) FROM voc) AS idx, CAST(length(text) AS DOUBLE) AS value FROM documents
+      UNION ALL SELECT doc_id, (SELECT count(*) FROM voc) + 1, CAST(length(regexp_replace(text, '[^0-9]', '', 'g')) AS DOUBLE) FROM documents),
+a AS (SELECT * FROM v UNION ALL SELECT * FROM x)
+SELECT doc_id, CAST((SELECT count(*) FROM voc) + 2 AS INTEGER) AS n_features, CAST(count(*) FILTER (WHERE value <> 0) AS INTEGER) AS nnz,
+       CAST(coalesce(sum(idx) FILTER (WHERE value <> 0), 0) AS BIGINT) AS index_sum, round(sum(value), 6) AS value_sum FROM a GROUP BY doc_id""")
 def q_feature_assemble(spark, t):
-    d = t.documents.select("doc_id", "text")
-    tok = RegexTokenizer(inputCol="text", outputCol="tokens", pattern="[\\p{L}\\p{N}_]{2,}", gaps=False).transform(d)
-    cv = CountVectorizer(inputCol="tokens", outputCol="tf", minDF=2.0, vocabSize=ML.NO_CUT).fit(tok)
-    tf = cv.transform(tok)
-    tfidf = IDF(inputCol="tf", outputCol="tfidf").fit(tf).transform(tf)
-    f = tfidf.withColumn("len", F.length("text").cast("double")).withColumn(
-        "digits", F.regexp_count("text", F.lit("[0-9]")).cast("double"))
-    v = VectorAssembler(inputCols=["tfidf", "len", "digits"], outputCol="features").transform(f)
-    arr = vector_to_array("features")
-    return v.select("doc_id", F.size(arr).alias("n_features"),
-                    F.size(F.filter(arr, lambda x: x != 0)).alias("nnz"))
+    """tf-idf on the whole vocabulary with length and digit count appended, as sparse vectors."""
+    d = t.documents.select("doc_id", F.length("text").cast("double").alias("len"), F.regexp_count("text", F.lit("[0-9]")).cast("double").alias("digits"))
+    dt = stage(X.doc_term_counts(X.tokens(t.documents, "doc_id", "text", X.VECTOR_TOKEN, lower=True), "doc_id", materialize=False), "assemble-counts")
+    vocab = stage(TM.numbered_vocabulary(X.vocabulary_from_counts(dt, "doc_id", min_df=2)), "assemble-vocabulary")
+    cells = TM.weighted_terms(X.counts_on_vocabulary(dt, vocab, "doc_id"), vocab, d, "doc_id")
+    v = TM.assemble_sparse(cells, d, "doc_id", vocab.count(), ["len", "digits"])
+    return v.select("doc_id", F.col("size").alias("n_features"), F.size("indices").alias("nnz"),
+                    F.aggregate("indices", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("index_sum"),
+                    F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 6).alias("value_sum"))
 
 
 @query("model_roundtrip")
