@@ -92,3 +92,18 @@ def prefix_sums(df: DataFrame, keys: list[str], values: dict[str, str],
         local = F.coalesce(F.sum(v).over(frame), F.lit(0).cast(dtype_s))
         ranged = ranged.withColumn(o, (local + _offset_col(offs, dtype_s)).cast(dtype_s))
     return ranged.drop(_RANGE, _POS)
+
+
+def keyed_prefix_sums(df: DataFrame, by: list[str], keys: list[str], values: dict[str, str], n_ranges: int | None = None) -> DataFrame:
+    """Running sums of non-negative values within each group of ``by`` in the order of ``keys``.
+
+    One range assignment over (``by``, ``keys``) serves all groups, whatever
+    their number and sizes: a group's sums are those of the whole order less
+    what stands before its first row.
+    """
+    run = prefix_sums(df, [*by, *keys], values, n_ranges)
+    if not by:
+        return run
+    start = run.groupBy(*by).agg(*[F.min(F.col(o) - F.col(v)).alias(f"__before_{o}") for o, v in values.items()])
+    run = run.join(start, by)
+    return run.withColumns({o: F.col(o) - F.col(f"__before_{o}") for o in values}).drop(*[f"__before_{o}" for o in values])

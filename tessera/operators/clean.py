@@ -215,24 +215,12 @@ def rule_override(pred, rule: Column, value) -> Column:
 
 # ---- P26-P31: encoding, scaling, features ------------------------------------
 
-MAX_LEVELS = 1000
+def dummies(df: DataFrame, col: str, levels: list, drop_first: bool = False, prefix: str | None = None) -> DataFrame:
+    """0/1 column per given level, in the order given.
 
-
-def distinct_levels(df: DataFrame, col: str, max_levels: int = MAX_LEVELS) -> list:
-    """Sorted distinct values of a categorical column, with a checked bound:
-    at most ``max_levels + 1`` values are fetched, and more is an error (pass
-    the levels explicitly for a wide column)."""
-    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_levels + 1).collect()
-    if len(rows) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels; pass them explicitly")
-    return sorted(r[0] for r in rows)
-
-
-def dummies(df: DataFrame, col: str, levels: list | None = None, drop_first: bool = False,
-            prefix: str | None = None) -> DataFrame:
-    """0/1 column per level (levels sorted; learned with one distinct if absent)."""
-    if levels is None:
-        levels = distinct_levels(df, col)
+    A wide frame has its levels in its schema, so they are part of the request;
+    ``categories.dummies_long`` learns levels from the data, however many.
+    """
     use = levels[1:] if drop_first else levels
     pre = prefix or col
     return df.withColumns({f"{pre}_{v}": (F.col(col) == F.lit(v)).cast("int") for v in use})
@@ -258,22 +246,3 @@ def minmax_scale(train: DataFrame, test: DataFrame, cols: list[str]) -> DataFram
 
 def polynomial(df: DataFrame, col: str, degree: int) -> DataFrame:
     return df.withColumns({f"{col}_p{d}": F.pow(F.col(col).cast("double"), d) for d in range(1, degree + 1)})
-
-
-def onehot_fit_apply(train: DataFrame, test: DataFrame, col: str, out: str, drop_first: bool = True,
-                     order: str = "alphabetAsc") -> DataFrame:
-    """One-hot vector learned on ``train`` and applied to ``test``.
-
-    Levels unseen in training and (with ``drop_first``) the first level encode
-    as the all-zero vector, as dummy coding with an ignored unknown does.
-    """
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    idx = StringIndexer(inputCol=col, outputCol="__idx", handleInvalid="keep", stringOrderType=order).fit(train)
-    n_known = len(idx.labels)
-    enc = OneHotEncoder(inputCols=["__idx"], outputCols=["__vec"], dropLast=False,
-                        handleInvalid="keep").fit(idx.transform(train))
-    full = vector_to_array(F.col("__vec"))
-    start = 2 if drop_first else 1
-    kept = F.slice(full, start, n_known - start + 1)
-    return enc.transform(idx.transform(test)).withColumn(out, array_to_vector(kept)).drop("__idx", "__vec")

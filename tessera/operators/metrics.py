@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import Window
 
-from tessera.functions.ordering import prefix_sums
+from tessera.functions.ordering import keyed_prefix_sums
+from tessera.functions.staging import stage
 from tessera.functions.subquery import attach_row
-from tessera.operators.clean import distinct_levels
+from tessera.operators.categories import cell_counts, full_grid
 
 
 def _div(a, b):
@@ -36,36 +37,34 @@ def binary_metrics(df: DataFrame, label: str, pred: str, positive=1, name: str |
     return out.withColumn("model", F.lit(name)) if name else out
 
 
-def per_class(df: DataFrame, label: str, pred: str, classes: list) -> DataFrame:
-    """precision, recall, f1, support for each class (zero division -> 0)."""
-    aggs = []
-    for c in classes:
-        y, p = F.col(label) == F.lit(c), F.col(pred) == F.lit(c)
-        aggs.append(F.struct(F.lit(str(c)).alias("class"), F.count_if(y & p).alias("tp"),
-                             F.count_if(p).alias("n_pred"), F.count_if(y).alias("support")))
-    row = df.agg(F.array(*aggs).alias("__a")).select(F.inline("__a"))
+def per_class(df: DataFrame, label: str, pred: str) -> DataFrame:
+    """precision, recall, f1, support for each class of either column (zero division -> 0).
+
+    Every row is counted once under its label and once under its prediction, so
+    one grouped sum serves any number of classes. A null label or prediction is
+    no class.
+    """
+    y, p = F.col(label).cast("string"), F.col(pred).cast("string")
+    both = F.array(F.struct(y.alias("class"), F.lit(1).alias("s"), F.lit(0).alias("p"), F.coalesce((y == p).cast("int"), F.lit(0)).alias("t")),
+                   F.struct(p.alias("class"), F.lit(0).alias("s"), F.lit(1).alias("p"), F.lit(0).alias("t")))
+    row = df.select(F.inline(both)).where("class IS NOT NULL").groupBy("class").agg(
+        F.sum("t").alias("tp"), F.sum("p").alias("n_pred"), F.sum("s").alias("support"))
     prec, rec = _div(F.col("tp"), F.col("n_pred")), _div(F.col("tp"), F.col("support"))
     return row.select("class", prec.alias("precision"), rec.alias("recall"),
                       _div(2 * prec * rec, prec + rec).alias("f1"), "support")
 
 
-def class_list(df: DataFrame, label: str, pred: str) -> list:
-    """Distinct classes of label and prediction (checked bound, see ``distinct_levels``)."""
-    both = df.select(F.col(label).alias("c")).union(df.select(F.col(pred).alias("c")))
-    return distinct_levels(both, "c")
-
-
-def macro(df: DataFrame, label: str, pred: str, classes: list) -> DataFrame:
-    pc = per_class(df, label, pred, classes)
+def macro(df: DataFrame, label: str, pred: str) -> DataFrame:
+    pc = per_class(df, label, pred)
     acc = df.agg(F.avg((F.col(label) == F.col(pred)).cast("double")).alias("accuracy"))
     m = pc.agg(F.avg("precision").alias("macro_precision"), F.avg("recall").alias("macro_recall"),
                F.avg("f1").alias("macro_f1"))
     return attach_row(m, acc)
 
 
-def report(df: DataFrame, label: str, pred: str, classes: list) -> DataFrame:
+def report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Per-class rows + accuracy, macro avg and weighted avg rows."""
-    pc = per_class(df, label, pred, classes)
+    pc = per_class(df, label, pred)
     n = F.sum("support")
     mac = pc.agg(F.lit("macro avg").alias("class"), F.avg("precision").alias("precision"),
                  F.avg("recall").alias("recall"), F.avg("f1").alias("f1"), n.alias("support"))
@@ -80,51 +79,52 @@ def report(df: DataFrame, label: str, pred: str, classes: list) -> DataFrame:
     return pc.unionByName(mac).unionByName(wei).unionByName(acc)
 
 
-def confusion(df: DataFrame, label: str, pred: str, classes: list) -> DataFrame:
-    """Long form ``(label, prediction, n)`` with every class pair, zero cells kept.
+def confusion(df: DataFrame, label: str, pred: str, classes: list | None = None, zeros: bool = True) -> DataFrame:
+    """Long form ``(label, prediction, n)``: every pair of classes that occur (or are given as ``classes``), zero
+    cells kept, or (``zeros`` False) only the pairs that occur."""
+    return full_grid(df, label, pred, classes) if zeros else cell_counts(df, label, pred)
 
-    The class grid is a literal array (classes are few); counts are joined onto it.
-    """
-    grid = df.sparkSession.range(1).select(
-        F.inline(F.array(*[F.struct(F.lit(a).alias(label), F.lit(b).alias(pred)) for a in classes for b in classes])))
-    counts = df.groupBy(label, pred).agg(F.count(F.lit(1)).alias("n"))
-    return grid.join(counts, [label, pred], "left").select(label, pred, F.coalesce("n", F.lit(0)).alias("n"))
+
+def score_table(df: DataFrame, label: str, score: str, positive=1, by: list[str] | tuple = ()) -> DataFrame:
+    """``(by, threshold, pos, neg)``: a row per group and distinct score."""
+    y = F.coalesce((F.col(label) == F.lit(positive)).cast("long"), F.lit(0))
+    st = df.groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+    return stage(st, "scores")  # read by several passes of the running sums
 
 
-def _score_table(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
-    y = (F.col(label) == F.lit(positive)).cast("long")
-    st = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
-    # one row per distinct score, read by several passes of the running sums
-    return st.checkpoint(eager=True)
+def one_vs_rest(df: DataFrame, label: str, scores: dict[str, str]) -> DataFrame:
+    """``(class, y, score)``: a row per row and class, made in the one pass that reads ``df``; ``scores`` maps class to score column."""
+    rows = [F.struct(F.lit(c).alias("class"), (F.col(label) == F.lit(c)).cast("int").alias("y"), F.col(s).cast("double").alias("score")) for c, s in scores.items()]
+    return df.select(F.inline(F.array(*rows)))
 
 
-def curve_points(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
-    """tp/fp at every distinct threshold (score >= threshold), plus P and N."""
-    st = _score_table(df, label, score, positive).withColumn("__neg_t", -F.col("threshold"))
-    run = prefix_sums(st, ["__neg_t"], {"tp": "pos", "fp": "neg"})
-    tot = df.agg(F.count_if(F.col(label) == F.lit(positive)).alias("P"),
-                 F.count_if(F.col(label) != F.lit(positive)).alias("N"))
-    return attach_row(run.drop("__neg_t"), tot)
+def curve_points(df: DataFrame, label: str, score: str, positive=1, by: list[str] | tuple = ()) -> DataFrame:
+    """tp/fp at every distinct threshold (score >= threshold), plus P and N, for each group of ``by``."""
+    by = list(by)
+    st = score_table(df, label, score, positive, by).withColumn("__neg_t", -F.col("threshold"))
+    run = keyed_prefix_sums(st, by, ["__neg_t"], {"tp": "pos", "fp": "neg"}).drop("__neg_t")
+    tot = st.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return run.join(tot, by) if by else attach_row(run, tot)
 
 
-def roc_curve(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
-    c = curve_points(df, label, score, positive)
-    return c.select("threshold", _div(F.col("fp"), F.col("N")).alias("fpr"), _div(F.col("tp"), F.col("P")).alias("tpr"))
+def roc_curve(df: DataFrame, label: str, score: str, positive=1, by: list[str] | tuple = ()) -> DataFrame:
+    c = curve_points(df, label, score, positive, by)
+    return c.select(*by, "threshold", _div(F.col("fp"), F.col("N")).alias("fpr"), _div(F.col("tp"), F.col("P")).alias("tpr"))
 
 
-def pr_curve(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
-    c = curve_points(df, label, score, positive)
-    return c.select("threshold", _div(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
+def pr_curve(df: DataFrame, label: str, score: str, positive=1, by: list[str] | tuple = ()) -> DataFrame:
+    c = curve_points(df, label, score, positive, by)
+    return c.select(*by, "threshold", _div(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
                     _div(F.col("tp"), F.col("P")).alias("recall"))
 
 
-def roc_auc(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
-    """AUC = P(score_pos > score_neg) + 0.5 P(equal): per distinct score,
-    positives times negatives strictly below (running sum) plus half the ties."""
-    st = _score_table(df, label, score, positive)
-    run = prefix_sums(st, ["threshold"], {"neg_below": "neg"}, inclusive=False)
-    return run.agg((F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg")))
-                    / (F.sum("pos").cast("double") * F.sum("neg"))).alias("auc"))
+def roc_auc(df: DataFrame, label: str, score: str, positive=1, by: list[str] | tuple = ()) -> DataFrame:
+    """AUC = P(score_pos > score_neg) + 0.5 P(equal), for each group of ``by``: per distinct
+    score, positives times negatives strictly below (running sum) plus half the ties."""
+    by = list(by)
+    run = keyed_prefix_sums(score_table(df, label, score, positive, by), by, ["threshold"], {"neg_to": "neg"})
+    return run.groupBy(*by).agg((F.sum(F.col("pos") * (F.col("neg_to") - 0.5 * F.col("neg")))
+                                 / (F.sum("pos").cast("double") * F.sum("neg"))).alias("auc"))
 
 
 def threshold_finder(df: DataFrame, label: str, score: str, target_recall: float, steps: int = 1000,

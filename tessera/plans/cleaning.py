@@ -2,10 +2,10 @@
 
 from datetime import datetime
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import portable_hash
+from tessera.operators import categories as K
 from tessera.operators import clean as C
 from tessera.plans.registry import query
 
@@ -254,23 +254,28 @@ def q_rule(spark, t):
 
 @query("encode_dummies", """
 SELECT l_orderkey, l_linenumber, CAST(l_returnflag = 'N' AS INTEGER) AS l_returnflag_N,
-       CAST(l_returnflag = 'R' AS INTEGER) AS l_returnflag_R FROM lineitem""")
+       CAST(l_returnflag = 'R' AS INTEGER) AS l_returnflag_R, CASE WHEN k >= 0 THEN k END AS l_partkey_idx
+FROM (SELECT *, dense_rank() OVER (ORDER BY l_partkey) - 2 AS k FROM lineitem)""")
 def q_dummies(spark, t):
-    d = C.dummies(t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag"), "l_returnflag", drop_first=True)
-    return d.drop("l_returnflag")
+    """Dummy columns of a few known levels, and the dummy column of a key with as many levels as there are parts."""
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_partkey")
+    coded = K.level_index(li, "l_partkey", K.level_table(li, "l_partkey"), "__idx")
+    wide = C.dummies(coded, "l_returnflag", ["A", "N", "R"], drop_first=True)
+    return wide.withColumn("l_partkey_idx", F.when(F.col("__idx") > 0, F.col("__idx") - 1)).drop("l_returnflag", "l_partkey", "__idx")
 
 
 @query("encode_onehot_unknown", """
-SELECT c_custkey, c_mktsegment, CASE c_mktsegment WHEN 'BUILDING' THEN 0
-       WHEN 'FURNITURE' THEN 1 WHEN 'MACHINERY' THEN 2 ELSE -1 END AS hot_index
-FROM customer WHERE c_nationkey >= 20""")
+WITH lev AS (SELECT c_mktsegment, row_number() OVER (ORDER BY c_mktsegment) - 2 AS idx FROM
+  (SELECT DISTINCT c_mktsegment FROM customer WHERE c_nationkey < 20 AND c_mktsegment <> 'HOUSEHOLD'))
+SELECT c_custkey, c_mktsegment, CAST(CASE WHEN idx >= 0 THEN idx ELSE -1 END AS INTEGER) AS hot_index, CAST((SELECT count(*) - 1 FROM lev) AS INTEGER) AS width
+FROM customer LEFT JOIN lev USING (c_mktsegment) WHERE c_nationkey >= 20""")
 def q_onehot(spark, t):
     c = t.customer.select("c_custkey", "c_mktsegment", "c_nationkey")
     train = c.where((F.col("c_nationkey") < 20) & (F.col("c_mktsegment") != "HOUSEHOLD"))
     test = c.where(F.col("c_nationkey") >= 20)
-    out = C.onehot_fit_apply(train, test, "c_mktsegment", "seg_vec", drop_first=True)
-    hot = (F.array_position(vector_to_array("seg_vec"), F.lit(1.0)) - 1).cast("int")
-    return out.select("c_custkey", "c_mktsegment", hot.alias("hot_index"))
+    out = K.onehot(train, test, "c_mktsegment", "seg_vec", drop_first=True)
+    hot = F.coalesce(F.get("seg_vec.indices", F.lit(0)), F.lit(-1)).cast("int")
+    return out.select("c_custkey", "c_mktsegment", hot.alias("hot_index"), F.col("seg_vec.size").alias("width"))
 
 
 _H80 = "CAST(('0x' || substr(md5(CAST({k} AS VARCHAR) || ':42'), 1, 8)) AS BIGINT)"

@@ -77,7 +77,7 @@ WITH {_PC_SQL}
 SELECT round(avg(precision), 9) AS macro_precision, round(avg(recall), 9) AS macro_recall, round(avg(f1), 9) AS macro_f1,
   round((SELECT avg(CAST(label = pred AS DOUBLE)) FROM {MULTI_SQL}), 9) AS accuracy FROM pcf""")
 def q_macro(spark, t):
-    m = M.macro(multi_frame(t), "label", "pred", CLASSES)
+    m = M.macro(multi_frame(t), "label", "pred")
     return m.select(*[r9(c) for c in m.columns])
 
 
@@ -89,7 +89,7 @@ UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support),
   round(sum(f1 * support) / sum(support), 9), sum(support)::BIGINT FROM pcf
 UNION ALL SELECT 'accuracy', NULL, NULL, round(avg(CAST(label = pred AS DOUBLE)), 9), count(*) FROM {MULTI_SQL}""")
 def q_report(spark, t):
-    r = M.report(multi_frame(t), "label", "pred", CLASSES)
+    r = M.report(multi_frame(t), "label", "pred")
     return r.select("class", r9("precision"), r9("recall"), r9("f1"), "support")
 
 
@@ -98,8 +98,7 @@ SELECT a.c AS label, b.c AS pred, count(m.doc_id) AS n
 FROM (VALUES ('de'), ('en'), ('es'), ('fr')) a(c) CROSS JOIN (VALUES ('de'), ('en'), ('es'), ('fr')) b(c)
 LEFT JOIN {MULTI_SQL} m ON m.label = a.c AND m.pred = b.c GROUP BY a.c, b.c""")
 def q_confusion(spark, t):
-    f = multi_frame(t)
-    return M.confusion(f, "label", "pred", M.class_list(f, "label", "pred"))
+    return M.confusion(multi_frame(t), "label", "pred")
 
 
 @query("metric_class_accuracy", f"""
@@ -114,10 +113,8 @@ def q_class_accuracy(spark, t):
                                            .alias("accuracy"), F.count(F.lit(1)).alias("n"))
 
 
-def _ovr_frames(t):
-    f = multi_frame(t)
-    for c in CLASSES:
-        yield c, f.select((F.col("label") == c).cast("int").alias("y"), F.col(f"score_{c}").alias("score"))
+def _ovr(t):
+    return M.one_vs_rest(multi_frame(t), "label", {c: f"score_{c}" for c in CLASSES})
 
 
 @query("metric_roc_curve", " UNION ALL ".join(f"""
@@ -127,11 +124,7 @@ SELECT '{c}' AS class, threshold, round(fp / n_neg, 9) AS fpr, round(tp / n_pos,
     (SELECT score_{c} AS threshold, count(*) FILTER (WHERE label = '{c}') AS pos, count(*) FILTER (WHERE label <> '{c}') AS neg
      FROM {MULTI_SQL} GROUP BY 1))""" for c in CLASSES))
 def q_roc(spark, t):
-    out = None
-    for c, f in _ovr_frames(t):
-        r = M.roc_curve(f, "y", "score").select(F.lit(c).alias("class"), "threshold", r9("fpr"), r9("tpr"))
-        out = r if out is None else out.unionByName(r)
-    return out
+    return M.roc_curve(_ovr(t), "y", "score", by=["class"]).select("class", "threshold", r9("fpr"), r9("tpr"))
 
 
 @query("metric_roc_auc", f"""
@@ -146,11 +139,7 @@ SELECT '{c}' AS class, avg(CASE WHEN p.score_{c} > n.score_{c} THEN 1.0 WHEN p.s
 FROM m p JOIN m n ON p.label = '{c}' AND n.label <> '{c}'""" for c in CLASSES) + """)
 SELECT class, round(auc, 12) AS auc FROM per UNION ALL SELECT 'macro', round(avg(auc), 12) FROM per""")
 def q_auc_ovr(spark, t):
-    out = None
-    for c, f in _ovr_frames(t):
-        r = M.roc_auc(f, "y", "score").select(F.lit(c).alias("class"), "auc")
-        out = r if out is None else out.unionByName(r)
-    per = out
+    per = M.roc_auc(_ovr(t), "y", "score", by=["class"]).select("class", "auc")
     macro = per.agg(F.lit("macro").alias("class"), F.avg("auc").alias("auc"))
     return per.unionByName(macro).withColumn("auc", F.round("auc", 12))
 
@@ -162,9 +151,15 @@ _CURVE_SQL = f"""(SELECT threshold, sum(pos) OVER (ORDER BY threshold DESC) AS t
 
 
 @query("metric_pr_curve", f"""
-SELECT threshold, round(tp / (tp + fp), 9) AS precision, round(tp / n_pos, 9) AS recall FROM {_CURVE_SQL}""")
+SELECT 'quality' AS class, threshold, round(tp / (tp + fp), 9) AS precision, round(tp / n_pos, 9) AS recall FROM {_CURVE_SQL}
+""" + "".join(f"""UNION ALL SELECT '{c}', threshold, round(tp / (tp + fp), 9), round(tp / n_pos, 9) FROM (
+  SELECT threshold, sum(pos) OVER (ORDER BY threshold DESC) AS tp, sum(neg) OVER (ORDER BY threshold DESC) AS fp, sum(pos) OVER () AS n_pos FROM
+    (SELECT score_{c} AS threshold, count(*) FILTER (WHERE label = '{c}') AS pos, count(*) FILTER (WHERE label <> '{c}') AS neg
+     FROM {MULTI_SQL} GROUP BY 1)) """ for c in CLASSES))
 def q_pr(spark, t):
-    return M.pr_curve(binary_frame(t), "label", "score").select("threshold", r9("precision"), r9("recall"))
+    """Curves of the binary score and of every language against the rest."""
+    rows = binary_frame(t).select(F.lit("quality").alias("class"), F.col("label").alias("y"), "score").unionByName(_ovr(t))
+    return M.pr_curve(rows, "y", "score", by=["class"]).select("class", "threshold", r9("precision"), r9("recall"))
 
 
 @query("metric_curve_lookup", f"""
