@@ -2,9 +2,8 @@
 
 ``path_similarity(a, b) = 1 / (1 + min over common ancestors c of d(a,c) + d(b,c))``.
 
-The closure ``(node, ancestor, depth)`` is built by iterative joins (one
-per level, stopping when no new row appears), i.e. a recursive CTE written
-with DataFrames. List-to-list best matches never emit all item pairs of a
+The closure ``(node, ancestor, depth)`` is built by path doubling, in as many
+rounds as the depth has binary digits. List-to-list best matches never emit all item pairs of a
 record: the second list is first reduced to ``min depth per (record,
 ancestor)`` and the first list joins it on ``(record, ancestor)``.
 """
@@ -14,33 +13,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.staging import stage
 
-def closure(edges: DataFrame, root: str | None = None) -> DataFrame:
+
+def closure(edges: DataFrame) -> DataFrame:
     """``(node, ancestor, depth)`` including ``(node, node, 0)``; edges are ``(child, parent)``.
 
-    One join per level until a level brings no pair that is not known yet, so
-    taxonomies of any depth are closed and cycles end. Each level is
-    checkpointed to the shared folder: the emptiness test and the next level
-    read written rows (flat lineage, survives a lost executor).
+    Path doubling: once all pairs up to distance ``n`` are known, a pair of
+    distance ``n + d`` is a pair of exactly ``n`` and one of ``d`` up to ``n``
+    joined at the node between them. Rounds grow with the logarithm of the
+    depth, and in a tree no pair is made twice. In a graph with several routes
+    the shortest counts; cycles end, as no pair is new. Each round is written
+    once, so the next one reads files.
     """
-    e = edges.select(F.col("child"), F.col("parent")).distinct()
-    nodes = e.select(F.col("child").alias("node")).union(e.select(F.col("parent").alias("node"))).distinct()
-    known = nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth")).checkpoint(eager=True)
-    frontier, levels = known, [known]
+    e = edges.select("child", "parent").where("child <> parent").distinct()
+    nodes = edges.select(F.col("child").alias("node")).union(edges.select(F.col("parent").alias("node"))).where("node IS NOT NULL").distinct()
+    own = nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth"))
+    known = stage(e.where("child IS NOT NULL AND parent IS NOT NULL").select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth")), "closure")
+    parts, reach = [known], 1
     while True:
-        step = (frontier.join(e, frontier.ancestor == e.child)
-                .select("node", F.col("parent").alias("ancestor"), F.lit(len(levels)).alias("depth")).distinct())
-        frontier = step.join(known.select("node", "ancestor"), ["node", "ancestor"], "left_anti").checkpoint(eager=True)
-        if frontier.isEmpty():
+        far = parts[-1].where(F.col("depth") == reach)
+        if far.isEmpty():
             break
-        levels.append(frontier)
-        known = known.unionByName(frontier)
-    acc = levels[0]
-    for lv in levels[1:]:
-        acc = acc.unionByName(lv)
-    # a DAG may reach one ancestor by several routes: keep the shortest. The
-    # closure is read by every similarity join: materialise it once.
-    return acc.groupBy("node", "ancestor").agg(F.min("depth").alias("depth")).checkpoint(eager=True)
+        ahead = known.select(F.col("node").alias("__via"), F.col("ancestor").alias("__to"), F.col("depth").alias("__more"))
+        longer = (far.join(ahead, F.col("ancestor") == F.col("__via")).where("node <> __to")
+                  .groupBy("node", F.col("__to").alias("ancestor")).agg((F.min("__more") + reach).alias("depth")))
+        parts.append(stage(longer.join(known.select("node", "ancestor"), ["node", "ancestor"], "left_anti"), "closure"))
+        known = known.unionByName(parts[-1])
+        reach *= 2
+    return stage(known.unionByName(own), "closure")
 
 
 def pair_similarity(pairs: DataFrame, clo: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
