@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tessera.functions.subquery import attach_row
 
@@ -105,22 +105,48 @@ def std_coverage(df: DataFrame, col: str, ks=(1, 2, 3)) -> DataFrame:
     return x.agg(*aggs)
 
 
+def _fingerprint(cols: list[Column]) -> Column:
+    """128 bits of the texts of some columns, each with its length, so that no two rows run together."""
+    text = [F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cols]
+    return F.unhex(F.md5(F.concat(*text).cast("binary")))
+
+
+def _as_text(field) -> Column:
+    c = F.col(f"`{field.name}`")
+    if field.dataType.typeName() in ("double", "float"):
+        c = F.when(c == 0, F.lit(0.0)).otherwise(c)  # the two zeros are one value
+    return (F.to_json(c) if field.dataType.typeName() in ("array", "map", "struct") else c.cast("string"))
+
+
 def profile(df: DataFrame) -> DataFrame:
-    """Per column: rows, nulls, distinct, numeric min/max/mean (long form)."""
+    """Per column: rows, nulls, distinct, numeric min/max/mean (long form), and the duplicate rows of the table.
+
+    ``n_duplicates`` counts the rows that repeat an earlier one in all columns.
+    One pass turns a row into the 128-bit fingerprints of its values and of the
+    whole row; counting equal fingerprints, first within the tasks, answers all
+    columns at once.
+    """
     num = {f.name for f in df.schema if f.dataType.typeName() in ("integer", "long", "double", "float", "short")}
+    texts = {f.name: _as_text(f) for f in df.schema}
+    marks = [F.struct(F.lit(i).alias("i"), F.when(texts[c].isNotNull(), _fingerprint([texts[c]])).alias("h")) for i, c in enumerate(df.columns)]
+    marks.append(F.struct(F.lit(-1).alias("i"), _fingerprint(list(texts.values())).alias("h")))
+    counts = df.select(F.inline(F.array(*marks))).groupBy("i", "h").agg(F.count(F.lit(1)).alias("n"))
+    per = counts.groupBy("i").agg(F.sum("n").alias("rows"), F.count("h").alias("distinct"), F.sum(F.when(F.col("h").isNull(), F.col("n")).otherwise(0)).alias("nulls"))
+    seen = per.agg(F.map_from_entries(F.collect_list(F.struct("i", F.struct("rows", "distinct", "nulls")))).alias("m"))  # a row per column
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for c in df.columns:
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__null"), F.count_distinct(c).alias(f"{c}__distinct")]
         if c in num:
             aggs += [F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max"),
                      F.avg(c).alias(f"{c}__mean")]
-    row = df.agg(*aggs)
+    row = attach_row(df.agg(*aggs), seen)
     none = F.lit(None).cast("double")
+    of = lambda i, name: F.coalesce(F.try_element_at("m", F.lit(i))[name], F.lit(0))
     items = [F.struct(F.lit(c).alias("column"), F.col("__rows").alias("n_rows"),
-                      F.col(f"{c}__null").alias("n_null"), F.col(f"{c}__distinct").alias("n_distinct"),
+                      of(i, "nulls").alias("n_null"), of(i, "distinct").alias("n_distinct"),
                       (F.col(f"{c}__min") if c in num else none).alias("min"),
                       (F.col(f"{c}__max") if c in num else none).alias("max"),
-                      (F.col(f"{c}__mean") if c in num else none).alias("mean")) for c in df.columns]
+                      (F.col(f"{c}__mean") if c in num else none).alias("mean"),
+                      (F.col("__rows") - of(-1, "distinct")).alias("n_duplicates")) for i, c in enumerate(df.columns)]
     return row.select(F.inline(F.array(*items)))
 
 

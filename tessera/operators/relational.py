@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.ordering import dense_index
+from tessera.functions.staging import stage
 
 
 def group_mean_back(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
@@ -25,6 +26,31 @@ def group_mean_back(df: DataFrame, keys: list[str], value: str, out: str) -> Dat
     return df.join(means, keys, "left")
 
 
+#: Groups whose statistics may travel as one map.
+FEW_GROUPS = 1000
+
+
+def group_key(col: str) -> Column:
+    """Text of a key that a map can hold: null has one of its own."""
+    return F.coalesce(F.concat(F.lit("="), F.col(col).cast("string")), F.lit(""))
+
+
+def attach_group_row(df: DataFrame, key: str, aggs: dict[str, Column]) -> DataFrame:
+    """Statistics of each row's group as columns; null keys are a group.
+
+    Few groups (counted): their statistics are one map-valued scalar subquery,
+    so the rows are neither shuffled nor joined, however unequal the groups.
+    More groups: an equi join on the key, whose hot keys AQE splits.
+    """
+    stats = stage(df.groupBy(key).agg(*[c.alias(n) for n, c in aggs.items()]), "group-rows")
+    if stats.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS:
+        entry = F.struct(group_key(key).alias("k"), F.struct(*aggs).alias("v"))
+        every = stats.agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()  # FEW_GROUPS entries at most
+        return df.withColumn("__g", F.try_element_at(every, group_key(key))).withColumns({n: F.col(f"__g.{n}") for n in aggs}).drop("__g")
+    right = stats.withColumnRenamed(key, "__key")
+    return df.join(right, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
+
+
 def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str | None = None,
            cols: list[str] | None = None) -> DataFrame:
     """Dictionary map as a left join: misses give NULL."""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tessera.functions.subquery import attach_row
 
-from tessera.functions.hashing import WIDE_SPACE, portable_hash, wide_hash
+from tessera.functions.hashing import HASH_SPACE, WIDE_SPACE, portable_hash, wide_hash
 from tessera.functions.ordering import dense_index
 
 SCALE = 1_000_000
@@ -64,6 +64,38 @@ def bootstrap_means(df: DataFrame, key: str, value: str, n_samples: int, sample_
     return d.groupBy("sample").agg(F.avg(value).alias("mean"))
 
 
+def _poisson_steps(tail: float = 1e-12) -> list[float]:
+    """Cumulative probabilities of a Poisson(1) count: a uniform draw has as many as it reaches."""
+    steps, p, total, k = [], math.exp(-1.0), 0.0, 0
+    while 1.0 - total > tail:
+        total += p
+        steps.append(total)
+        k += 1
+        p /= k
+    return steps[:-1]
+
+
+def poisson_bootstrap_means(df: DataFrame, key: str, value: str, n_samples: int, seed: int = 0) -> DataFrame:
+    """``(sample, mean)`` of bootstrap samples as large as the table, in one scan.
+
+    A row is in a sample as often as a Poisson(1) draw by the hash of its key and
+    the sample says, which needs no join: each task sums its rows for every
+    sample. Null values do not count; a sample that drew no row has a null mean.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(key, F.col(value).cast("double").alias("__v"), F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))).alias("sample"))
+    u = portable_hash(key, "sample", seed=seed) / F.lit(float(HASH_SPACE))
+    weight = F.lit(0)
+    for step in _poisson_steps():
+        weight = weight + (u >= F.lit(step)).cast("int")
+    sums = rows.withColumn("__w", weight).groupBy("sample").agg(F.sum(F.col("__w") * F.col("__v")).alias("__s"), F.sum("__w").alias("__n"))
+    return sums.select("sample", F.try_divide("__s", "__n").alias("mean"))
+
+
+def mean_of_means(means: DataFrame) -> DataFrame:
+    """``means`` with ``mean_of_means``, the average over all its samples."""
+    return attach_row(means, means.agg(F.avg("mean").alias("mean_of_means")))
+
+
 def hash_split(df: DataFrame, key: str, shares: list[float], names: list[str], seed: int = 0,
                col: str = "split") -> DataFrame:
     """Assign ``names[i]`` by cumulative ``shares`` of ``H(key:seed) mod 10^6``."""

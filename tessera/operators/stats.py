@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions.subquery import attach_row
 
 from tessera.functions.distributions import t_pvalue, z_for_level
+from tessera.operators.profile import histogram
 
 
 def _pvalue_col(t_col: str, df_col: str, alternative: str):
@@ -82,3 +83,14 @@ def density_curve(df: DataFrame, value: str, points: int) -> DataFrame:
     g = g.withColumn("x", x)
     dens = F.exp(-0.5 * F.pow((F.col("x") - F.col("m")) / F.col("s"), 2)) / (F.col("s") * F.lit(math.sqrt(2 * math.pi)))
     return g.select("i", "x", dens.alias("density"))
+
+
+def density_with_histogram(df: DataFrame, value: str, points: int) -> DataFrame:
+    """The curve next to the data: ``n`` values from a grid point up to the next (the last bin holds the maximum)
+    and ``empirical``, their share per unit; both null at the last grid point."""
+    bins = histogram(df.where(F.col(value).isNotNull()), value, points - 1)
+    total = df.agg(F.count(value).alias("__all"))  # one row
+    h = attach_row(bins, total).select(F.col("bin").cast("bigint").alias("i"), "n", F.try_divide(F.col("n"), F.col("__all") * (F.col("bin_hi") - F.col("bin_lo"))).alias("empirical"))
+    out = density_curve(df, value, points).join(h, "i", "left")
+    inner = F.col("i") < points - 1
+    return out.withColumns({"n": F.when(inner, F.coalesce("n", F.lit(0))), "empirical": F.when(inner, F.coalesce("empirical", F.lit(0.0)))})

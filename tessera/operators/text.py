@@ -37,6 +37,27 @@ def token_freq(tok: DataFrame) -> DataFrame:
     return tok.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
+def token_share(tok: DataFrame, asked: list[str]) -> DataFrame:
+    """``(token, n, share)`` of given tokens among all tokens; zero for one that does not occur."""
+    rows = tok.sparkSession.range(1).select(F.explode(F.array(*[F.lit(a) for a in dict.fromkeys(asked)])).alias("token"))
+    sums = tok.agg(F.count(F.lit(1)).alias("__all"))
+    n = tok.where(F.col("token").isin(*asked)).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    out = attach_row(rows.join(n, "token", "left"), sums)
+    return out.select("token", F.coalesce("n", F.lit(0)).alias("n"), F.try_divide(F.coalesce("n", F.lit(0)), F.col("__all")).alias("share"))
+
+
+def ngram_rows(df: DataFrame, id_col: str, words: str, a: int, b: int) -> DataFrame:
+    """``(id, n, gram)``: every word n-gram of ``a`` to ``b`` words, a row for each place it stands."""
+    per = F.array(*[F.struct(F.lit(n).alias("n"), word_ngrams(F.col(words), n).alias("grams")) for n in range(a, b + 1)])
+    return df.select(id_col, F.inline(per)).select(id_col, "n", F.explode("grams").alias("gram"))
+
+
+def ngram_counts(rows: DataFrame, id_col: str) -> DataFrame:
+    """``(n, gram, tf, df)``: occurrences and documents of each n-gram, counted by document first."""
+    per = rows.groupBy("n", "gram", id_col).agg(F.count(F.lit(1)).alias("c"))
+    return per.groupBy("n", "gram").agg(F.sum("c").alias("tf"), F.count(F.lit(1)).alias("df"))
+
+
 def doc_term_counts(tok: DataFrame, id_col: str, materialize: bool = True) -> DataFrame:
     """``(id, token, n)``: the token table reduced to one row per document and term.
 

@@ -14,7 +14,16 @@ def q_src_csv(spark, t):
     path = scratch_dir(spark, "customer-csv")
     t.customer.write.option("header", True).option("escape", '"').csv(path)
     schema = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
-    return IO.read_csv(spark, path, schema, header=True, multiline=True)
+    return IO.read_csv(spark, path, schema, header=True)
+
+
+@query("src_csv_multiline", "SELECT doc_id, lang, n_chars, md5(text) AS text_md5 FROM documents")
+def q_src_csv_multiline(spark, t):
+    """Texts with line breaks, quotes and commas inside the fields: only such files are read whole, a task each."""
+    path = scratch_dir(spark, "documents-csv")
+    t.documents.select("doc_id", "lang", "n_chars", "text").write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    back = IO.read_csv(spark, path, "doc_id long, lang string, n_chars long, text string", header=True, multiline=True)
+    return back.select("doc_id", "lang", "n_chars", F.md5("text").alias("text_md5"))
 
 
 @query("src_csv_nulls", """
@@ -40,6 +49,20 @@ def q_src_text(spark, t):
     return IO.read_lines(spark, path)
 
 
+@query("src_text_whole", """
+SELECT item_id % 8 AS part, count(*) AS n_lines, CAST(length(string_agg(text, chr(10) ORDER BY item_id)) + 1 AS INTEGER) AS n_chars,
+       md5(string_agg(text, chr(10) ORDER BY item_id) || chr(10)) AS text_md5
+FROM (SELECT item_id, unnest(string_split(text, chr(10))) AS text FROM benchmark) GROUP BY 1""")
+def q_src_text_whole(spark, t):
+    """Files as one text each, with the number of their lines."""
+    path = scratch_dir(spark, "benchmark-files")
+    parts = t.benchmark.select("item_id", (F.col("item_id") % 8).alias("part"), "text")
+    parts.repartition("part").sortWithinPartitions("part", "item_id").select("part", "text").write.partitionBy("part").text(path)
+    whole = IO.read_whole(spark, path)
+    return whole.select(F.regexp_extract("file", "part=([0-9]+)/", 1).cast("bigint").alias("part"), F.regexp_count("text", F.lit("\n")).cast("bigint").alias("n_lines"),
+                        F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
 @query("src_json_nested", """
 SELECT conv_id, turn, role, len(string_split(text, ' ')) AS n_words, string_split(text, ' ')[1] AS first_word
 FROM conversations""")
@@ -127,7 +150,8 @@ def _statute_xml(t):
     """One statute-like document per customer: part = region, chapter = nation,
     article = customer; customers with a negative balance have no paragraphs.
     Even keys come wrapped, with a namespace, numbers as elements and paragraphs
-    in the items; the others bare, with attributes. Each tenth key is cut off."""
+    in the items; the others bare, with attributes. Each tenth key is cut off;
+    each fifth even key has its article in a second body."""
     c = t.customer.join(t.nation, t.customer.c_nationkey == t.nation.n_nationkey).join(
         t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     full = F.col("c_custkey") % 2 == 0
@@ -139,8 +163,9 @@ def _statute_xml(t):
             "c_mktsegment", F.floor("c_acctbal").cast("long"))).otherwise(F.lit(""))
 
     wrapped = F.format_string(
-        "<a:akomaNtoso xmlns:a=\"urn:a\" xmlns=\"urn:a\"><act><meta/><body><part><num>%s</num><chapter><num>%s</num>"
+        "<a:akomaNtoso xmlns:a=\"urn:a\" xmlns=\"urn:a\"><act><meta/>%s<body><part><num>%s</num><chapter><num>%s</num>"
         "<article eId=\"art_%d\"><num><b>%d</b></num>%s</article></chapter></part></body></act></a:akomaNtoso>",
+        F.when(F.col("c_custkey") % 5 == 1, "<body><part><num>empty</num></part></body>").otherwise(""),
         "r_name", "n_name", "c_custkey", "c_custkey", paras("<num>a)</num><p>%d</p>"))
     bare = F.format_string("<body><part num=\"%s\"><chapter num=\"%s\"><article eId=\"art_%d\" num=\"%d\">%s</article>"
                            "</chapter></part></body>", "r_name", "n_name", "c_custkey", "c_custkey", paras("%d"))
@@ -150,7 +175,7 @@ def _statute_xml(t):
 
 @query("doc_flatten_xml", """
 SELECT c_custkey, CASE WHEN ok THEN CAST(c_custkey AS VARCHAR) END AS article, CASE WHEN ok THEN r_name || '/' || n_name END AS path,
-       CASE WHEN ok THEN 2 END AS n_paragraphs,
+       CASE WHEN ok THEN CASE WHEN c_custkey % 2 = 0 THEN 3 ELSE 2 END END AS n_paragraphs,
        CASE WHEN ok THEN c_mktsegment || ' balance ' || CAST(floor(c_acctbal) AS BIGINT) END AS text, NOT ok AS malformed
 FROM (SELECT *, c_custkey % 10 <> 0 AS ok FROM customer) JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 WHERE c_acctbal >= 0 OR NOT ok""")

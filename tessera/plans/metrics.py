@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import portable_hash
 from tessera.functions.subquery import attach_row
 from tessera.operators import metrics as M
+from tessera.operators.profile import histogram
 from tessera.plans.registry import query
 
 CLASSES = ["de", "en", "es", "fr"]
@@ -225,6 +226,17 @@ def q_residuals(spark, t):
                     F.round(F.col("y") - F.col("p"), 9).alias("residual"))
 
 
+@query("metric_residual_histogram", f"""
+WITH r AS (SELECT round(y - p, 9) AS x FROM {_REG_SQL}), s AS (SELECT min(x) AS lo, max(x) AS hi, avg(x) AS m, (max(x) - min(x)) / 20 AS w FROM r),
+h AS (SELECT CAST(least(floor((x - lo) / w), 19) AS INTEGER) AS bin, count(*) AS n FROM r, s GROUP BY 1)
+SELECT bin, n, round(lo + bin * w, 9) AS bin_lo, round(lo + (bin + 1) * w, 9) AS bin_hi, round(m, 9) AS mean_residual FROM h, s""")
+def q_residual_histogram(spark, t):
+    """Histogram of the residuals, and their mean."""
+    r = reg_frame(t).select(F.round(F.col("y") - F.col("p"), 9).alias("x"))
+    h = attach_row(histogram(r, "x", 20), r.agg(F.avg("x").alias("mean_residual")))
+    return h.select("bin", "n", r9("bin_lo"), r9("bin_hi"), r9("mean_residual"))
+
+
 @query("metric_lift_baseline", f"""
 WITH f AS (SELECT *, CASE WHEN CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) % 1000000 < 800000
              THEN 'train' ELSE 'test' END AS split FROM {BIN_SQL}),

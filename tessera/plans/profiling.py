@@ -226,17 +226,24 @@ def q_regline(spark, t):
                           F.round(F.regr_intercept("l_extendedprice", "l_quantity"), 6).alias("intercept"))
 
 
-@query("agg_profile", """
-SELECT 'c_custkey' AS "column", count(*) AS n_rows, count(*) FILTER (WHERE c_custkey IS NULL) AS n_null, count(DISTINCT c_custkey) AS n_distinct,
-       CAST(min(c_custkey) AS DOUBLE) AS min, CAST(max(c_custkey) AS DOUBLE) AS max, round(avg(c_custkey), 6) AS mean FROM customer
-UNION ALL SELECT 'c_name', count(*), count(*) FILTER (WHERE c_name IS NULL), count(DISTINCT c_name), NULL, NULL, NULL FROM customer
-UNION ALL SELECT 'c_nationkey', count(*), count(*) FILTER (WHERE c_nationkey IS NULL), count(DISTINCT c_nationkey),
-       min(c_nationkey), max(c_nationkey), round(avg(c_nationkey), 6) FROM customer
-UNION ALL SELECT 'c_acctbal', count(*), count(*) FILTER (WHERE c_acctbal IS NULL), count(DISTINCT c_acctbal),
-       min(c_acctbal), max(c_acctbal), round(avg(c_acctbal), 6) FROM customer
-UNION ALL SELECT 'c_mktsegment', count(*), count(*) FILTER (WHERE c_mktsegment IS NULL), count(DISTINCT c_mktsegment), NULL, NULL, NULL FROM customer""")
+def _profile_sql(table: str, columns: dict[str, bool], source: str) -> str:
+    """``columns``: name and whether it is a number."""
+    rows = f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {source}))"
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS \"table\", '{c}' AS \"column\", count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS n_null, count(DISTINCT {c}) AS n_distinct, "
+        + (f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, round(avg({c}), 8) AS mean" if num else "NULL AS min, NULL AS max, NULL AS mean")
+        + f", {rows} AS n_duplicates FROM {source}" for c, num in columns.items())
+
+
+_LINES = ["l_returnflag", "l_linestatus", "l_quantity", "l_discount"]
+
+
+@query("agg_profile", _profile_sql("customer", {"c_custkey": True, "c_name": False, "c_nationkey": True, "c_acctbal": True, "c_mktsegment": False}, "customer")
+       + " UNION ALL " + _profile_sql("lineitem", {c: i > 1 for i, c in enumerate(_LINES)}, f"(SELECT {', '.join(_LINES)} FROM lineitem)"))
 def q_profile(spark, t):
-    return A.profile(t.customer).withColumn("mean", F.round("mean", 6))
+    """A table of unique rows, and columns in which most rows are duplicates."""
+    both = [A.profile(d).withColumn("table", F.lit(n)) for n, d in (("customer", t.customer), ("lineitem", t.lineitem.select(*_LINES)))]
+    return both[0].unionByName(both[1]).withColumn("mean", F.round("mean", 8))
 
 
 @query("agg_label_centroid", """

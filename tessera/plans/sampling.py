@@ -28,14 +28,25 @@ def q_sample_repl(spark, t):
     return S.draws_with_replacement(t.orders.select("o_orderkey"), "o_orderkey", 500, seed=7).select("draw", "o_orderkey")
 
 
+_POISSON_SQL = " + ".join(f"CAST(u >= {c!r}::DOUBLE AS INTEGER)" for c in S._poisson_steps())
+
+
 @query("sample_bootstrap_means", f"""
 WITH pop AS (SELECT value, row_number() OVER (ORDER BY event_id) - 1 AS idx FROM events),
 d AS (SELECT range // 50 AS sample, {W("CAST(range // 50 AS VARCHAR) || ':' || CAST(range % 50 AS VARCHAR)", 3)}
-             % (SELECT count(*) FROM events) AS idx FROM range(200 * 50))
-SELECT sample, round(avg(value), 9) AS mean FROM d JOIN pop USING (idx) GROUP BY sample""")
+             % (SELECT count(*) FROM events) AS idx FROM range(200 * 50)),
+p AS (SELECT sample, value, {_POISSON_SQL} AS w FROM
+  (SELECT range AS sample, value, {H("CAST(event_id AS VARCHAR) || ':' || CAST(range AS VARCHAR)", 3)} / 4294967296.0::DOUBLE AS u FROM events, range(20))),
+m AS (SELECT 'draws' AS variant, sample, avg(value) AS mean FROM d JOIN pop USING (idx) GROUP BY sample
+      UNION ALL SELECT 'poisson', sample, sum(w * value) / sum(w) FROM p GROUP BY sample)
+SELECT variant, sample, round(mean, 9) AS mean, round(avg(mean) OVER (PARTITION BY variant), 9) AS mean_of_means FROM m""")
 def q_bootstrap(spark, t):
-    b = S.bootstrap_means(t.events.select("event_id", "value"), "event_id", "value", 200, 50, seed=3)
-    return b.select("sample", F.round("mean", 9).alias("mean"))
+    """200 samples of 50 draws, and 20 samples as large as the table, each with the mean of its means."""
+    e = t.events.select("event_id", "value")
+    draws = S.mean_of_means(S.bootstrap_means(e, "event_id", "value", 200, 50, seed=3)).withColumn("variant", F.lit("draws"))
+    large = S.mean_of_means(S.poisson_bootstrap_means(e, "event_id", "value", 20, seed=3)).withColumn("variant", F.lit("poisson"))
+    return draws.unionByName(large).select("variant", F.col("sample").cast("bigint").alias("sample"), F.round("mean", 9).alias("mean"),
+                                           F.round("mean_of_means", 9).alias("mean_of_means"))
 
 
 @query("split_train_test", f"""

@@ -50,6 +50,18 @@ def q_token_freq(spark, t):
     return X.token_freq(doc_tokens(t))
 
 
+# Tokens whose relative frequency is asked for, one of them in no text.
+ASKED = ["the", "and", "der", "que", ".", "zyzzyva"]
+
+
+@query("text_token_share", f"""
+WITH tok AS (SELECT unnest(regexp_extract_all(text, {TOK})) AS token FROM documents)
+SELECT a.token, count(t.token) AS n, round(count(t.token) / (SELECT count(*) FROM tok), 12) AS share
+FROM (SELECT unnest({ASKED}) AS token) a LEFT JOIN tok t ON t.token = a.token GROUP BY a.token""")
+def q_token_share(spark, t):
+    return X.token_share(doc_tokens(t), ASKED).withColumn("share", F.round("share", 12))
+
+
 @query("text_lexical_diversity", """
 SELECT lang, count(*) AS n_tokens, count(DISTINCT token) AS n_unique, round(count(DISTINCT token) / count(*), 9) AS diversity
 FROM (SELECT lang, unnest(regexp_extract_all(text, """ + TOK + """)) AS token FROM documents) GROUP BY lang""")
@@ -173,6 +185,20 @@ def q_word_ngrams(spark, t):
                     F.size(F.array_distinct(bi)).cast("bigint").alias("n_distinct_bigrams"))
 
 
+def _ngram_rows_sql(n):
+    return (f"SELECT {n} AS n, doc_id, unnest(list_transform(range(1, len(l) - {n} + 2), lambda i: array_to_string(l[i:i + {n - 1}], ' '))) AS gram FROM w WHERE len(l) >= {n}")
+
+
+@query("text_ngram_range", f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), {VTOK}) AS l FROM documents),
+g AS ({" UNION ALL ".join(_ngram_rows_sql(n) for n in (1, 2, 3))})
+SELECT n, gram, count(*) AS tf, count(DISTINCT doc_id) AS df FROM g GROUP BY n, gram HAVING count(DISTINCT doc_id) >= 5""")
+def q_ngram_range(spark, t):
+    """Word n-grams of one to three words as rows, with their counts; those in five documents or more."""
+    d = t.documents.select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit(X.VECTOR_TOKEN), 0).alias("l"))
+    return X.ngram_counts(X.ngram_rows(d, "doc_id", "l", 1, 3), "doc_id").where(F.col("df") >= 5)
+
+
 def _wb_sql(n):
     return (f"CASE WHEN length(' ' || w || ' ') >= {n} THEN length(' ' || w || ' ') - {n} + 1 ELSE 0 END")
 

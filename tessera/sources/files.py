@@ -47,6 +47,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return dense_index(df, ["__f", "__b", "__m"], "line_no").select("line_no", "line")
 
 
+def read_whole(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, text)``: the whole text of each file; for files that fit a task's memory."""
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+
+
 def read_json(spark: SparkSession, path: str, schema: str, multiline: bool = False) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 

@@ -63,7 +63,7 @@ def test_flatten_wrapped_namespaced_document_merges_each_text_once(spark):
            "<n:item><n:blockList><n:listIntroduction>inner</n:listIntroduction><n:item>y</n:item></n:blockList></n:item>"
            "</n:blockList></n:content></n:paragraph></n:article></n:title></n:body></n:act></n:akomaNtoso>")
     r = flatten_xml(spark.createDataFrame([(xml,), (None,), ("",)], "x string"), "x").collect()
-    assert [tuple(x) for x in r] == [("Art. 4", ["I"], 1, "intro x abc inner y", None)]
+    assert [tuple(x) for x in r] == [("Art. 4", ["I"], 2, "intro x abc inner y", None)]  # a paragraph and the item with a p
 
 
 def test_grid_and_arange(spark):
@@ -73,3 +73,31 @@ def test_grid_and_arange(spark):
     assert lg == [0.1, 1.0, 10.0]
     a = [r.x for r in IO.arange(spark, 0.0, 10.0, 2.5).orderBy("i").collect()]
     assert a == [0.0, 2.5, 5.0, 7.5]
+
+
+def test_flatten_reads_all_bodies_and_counts_items(spark):
+    article = "<article eId='{0}'>{1}</article>"
+    para = "<paragraph><content><p>t{0}</p></content></paragraph>"
+    listed = ("<paragraph><content><blockList><listIntroduction>of</listIntroduction><item><num>a)</num><p>one</p><p>more</p></item>"
+              "<item><p>two</p></item><item>bare</item></blockList></content></paragraph>")
+    two = f"<act><body>{article.format('a', para.format(1))}</body><x><body><part><num>P</num>{article.format('b', listed)}</part></body></x>{article.format('out', para.format(9))}</act>"
+    late = f"<body><part>{article.format('c', para.format(2) + '<num>7</num>')}<num>late</num></part></body>"
+    none = f"<part num='1'>{article.format('d', para.format(3))}{article.format('e', '')}</part>"
+    inline = "<body><article num='f'><paragraph><content><p>a<b>b</b>c &amp; <i>d</i></p></content></paragraph></article></body>"
+    bad = ["<body><article>", "<body>&undefined;</body>", "plain", f"<body>{article.format('g', para.format(4))}</body><more/>"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate([two, late, none, inline, *bad])], "k int, x string")
+    out = flatten_xml(df, "x").collect()
+    assert sorted((r.k, r.article, r.path, r.n_paragraphs, r.text) for r in out if r.error is None) == [
+        (0, "a", [], 1, "t1"), (0, "b", ["P"], 3, "of one more two bare"), (1, "7", ["late"], 1, "t2"), (2, "d", [], 1, "t3"), (3, "f", [], 1, "a b c & d")]
+    assert sorted(r.k for r in out if r.error is not None) == [4, 5, 6, 7]
+
+
+def test_flatten_a_long_document(spark):
+    xml = "<body>" + "".join(f"<part><num>{i}</num><article num='{i}'><paragraph><content><p>{'w ' * 50}</p></content></paragraph></article></part>" for i in range(20_000)) + "</body>"
+    out = flatten_xml(spark.createDataFrame([(xml,)], "x string"), "x")
+    assert out.where("error IS NULL AND path[0] = article AND length(text) = 99").count() == 20_000
+
+
+def test_whole_files(spark):
+    p = _write("a\r\nb\n\n", "whole.txt")
+    assert [r.text for r in IO.read_whole(spark, p).collect()] == ["a\r\nb\n\n"]
