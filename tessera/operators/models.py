@@ -88,5 +88,31 @@ def random_fourier_features(df: DataFrame, cols: list[str], n_components: int, g
     return df.withColumns(exprs)
 
 
+def original_units(coefficients: list[float], intercept: float, means: list[float], deviations: list[float]) -> tuple[list[float], float]:
+    """Coefficients of ``(x - mean) / deviation`` as those of ``x``; a constant column has none."""
+    own = [c / s if s else 0.0 for c, s in zip(coefficients, deviations)]
+    return own, intercept - sum(c * m for c, m in zip(own, means))
+
+
+def logistic_optimality(df: DataFrame, features: list[str], label: str, weights: list[float], intercept: float, ridge: float = 0.0, lasso: float = 0.0) -> DataFrame:
+    """One row: how far a logistic fit is from its optimum, ``residual``.
+
+    The largest violation of the conditions that the minimum of mean log loss +
+    ridge / 2 * |w|^2 + lasso * |w|_1 (intercept free) must meet: the gradient is
+    zero, or for a weight at zero within the lasso. Computed from the rows, with
+    no regard to how the fit was made.
+    """
+    z = F.lit(float(intercept))
+    for c, w in zip(features, weights):
+        z = z + F.col(c) * F.lit(float(w))
+    off = F.lit(1.0) / (F.lit(1.0) + F.exp(-z)) - F.col(label)
+    grads = df.agg(F.avg(off).alias("g_"), *[F.avg(off * F.col(c)).alias(f"g_{c}") for c in features])
+    parts = [F.abs("g_")]
+    for c, w in zip(features, weights):
+        g = F.col(f"g_{c}") + F.lit(ridge * float(w))
+        parts.append(F.abs(g + F.lit(math.copysign(lasso, w))) if w else F.greatest(F.abs(g) - F.lit(lasso), F.lit(0.0)))
+    return grads.select(F.greatest(*parts).alias("residual"))
+
+
 def fit_pipeline(stages: list, train: DataFrame) -> PipelineModel:
     return Pipeline(stages=stages).fit(train)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import minutes_between
+from tessera.functions.staging import stage
 from tessera.operators.clean import cap_iqr
 from tessera.operators.relational import group_mean_back
 from tessera.plans.registry import query
@@ -13,7 +14,8 @@ def fare_profile(t):
                            "l_returnflag", "l_shipdate")
     o = t.orders.select("o_orderkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
-    j = j.withColumn("dur_min", minutes_between("o_orderdate", "l_shipdate"))
+    j = j.select("l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", minutes_between("o_orderdate", "l_shipdate").alias("dur_min"))
+    j = stage(j, "flagship-lines")  # read for the fences, the group means and the result
     j = cap_iqr(j, ["l_extendedprice"])
     j = group_mean_back(j, ["l_partkey", "l_suppkey"], "l_extendedprice", "mean_ps")
     return j.groupBy("l_returnflag").agg(

@@ -17,6 +17,7 @@ from tessera.operators import models as ML
 from tessera.operators import term_models as TM
 from tessera.operators import text as X
 from tessera.operators import tuning as G
+from tessera.operators.clean import standard_scale
 from tessera.operators.relational import both_ends
 from tessera.operators.sampling import kfold
 from tessera.plans.registry import query, scratch_dir
@@ -90,12 +91,34 @@ def q_lasso(spark, t):
     return ML.coefficient_table(spark, cols, m.coefficients, m.intercept)
 
 
+PENALTY = 0.01
+
+
+def _scaled_doc_frames(t):
+    """Training and test documents with features less the training mean over the training deviation, as ``z_*`` and vector ``z``."""
+    tr, te = _train_test(doc_frame(t).drop("features"))
+    names = [f"z_{c}" for c in DOC_FEATURES]
+    out = []
+    for part in (tr, te):
+        scaled = standard_scale(tr, part, DOC_FEATURES)
+        out.append(ML.assemble(scaled.withColumns({f"z_{c}": F.coalesce(F.col(c), F.lit(0.0)) for c in DOC_FEATURES}), names, "z"))
+    return out[0], out[1], names
+
+
 @query("model_logistic")
 def q_logistic(spark, t):
-    tr, te = _train_test(doc_frame(t))
-    scaled = StandardScaler(inputCol="features", outputCol="z").fit(tr)
-    m = LogisticRegression(featuresCol="z", labelCol="label", regParam=0.01, elasticNetParam=0.0).fit(scaled.transform(tr))
-    return _binary_eval(m.transform(scaled.transform(te)), "logistic_l2")
+    """No penalty, L1 and L2, with the distance of each fit from its optimum."""
+    tr, te, names = _scaled_doc_frames(t)
+    tr = tr.checkpoint(eager=True)
+    out = None
+    for name, ridge, lasso in (("logistic_none", 0.0, 0.0), ("logistic_l1", 0.0, PENALTY), ("logistic_l2", PENALTY, 0.0)):
+        m = LogisticRegression(featuresCol="z", labelCol="label", regParam=ridge + lasso, elasticNetParam=1.0 if lasso else 0.0, standardization=False,
+                               maxIter=300, tol=1e-10).fit(tr)
+        weights = [float(w) for w in m.coefficients]
+        row = attach_row(_binary_eval(m.transform(te), name), ML.logistic_optimality(tr, names, "label", weights, m.intercept, ridge, lasso))
+        row = row.withColumns({"optimal": F.col("residual") < 1e-4, "n_weights": F.lit(sum(w != 0 for w in weights))}).drop("residual")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @query("model_logistic_multinomial")
@@ -109,13 +132,45 @@ def q_multinomial(spark, t):
 
 @query("model_coefficients")
 def q_coefficients(spark, t):
-    tr, _ = _train_test(doc_frame(t))
-    m = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.01).fit(tr)
-    names = ML.feature_names(tr)
-    coef = ML.coefficient_table(spark, names, m.coefficients)
+    """The smallest and largest coefficients of scaled features, also in original units and as odds ratio of one unit."""
+    tr, _, _ = _scaled_doc_frames(t)
+    raw = _train_test(doc_frame(t))[0]
+    st = raw.agg(*[F.avg(c).alias(f"m_{c}") for c in DOC_FEATURES], *[F.stddev_pop(c).alias(f"s_{c}") for c in DOC_FEATURES]).first()  # one row
+    m = LogisticRegression(featuresCol="z", labelCol="label", regParam=0.01).fit(tr)
+    own, _ = ML.original_units([float(w) for w in m.coefficients], float(m.intercept), [st[f"m_{c}"] for c in DOC_FEATURES], [st[f"s_{c}"] for c in DOC_FEATURES])
+    rows = [(c, float(w), o) for c, w, o in zip(DOC_FEATURES, m.coefficients, own)]
+    coef = spark.createDataFrame(rows, "feature string, coefficient double, per_unit double").withColumn("odds_ratio", F.exp("per_unit"))
     return both_ends(coef, "coefficient", "feature", 2)
 
 
+_LINE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _cramer_sql(k: int) -> str:
+    """Coefficient ``k`` of three centred features by Cramer's rule on their covariances."""
+    cell = lambda r, c: f"b{r}" if c == k else f"a{min(r, c)}{max(r, c)}"
+    det = lambda f: " + ".join(f"{f(0, a)} * ({f(1, b)} * {f(2, c)} - {f(1, c)} * {f(2, b)})" for a, b, c in ((0, 1, 2), (1, 2, 0), (2, 0, 1)))
+    return f"({det(cell)}) / ({det(lambda r, c: f'a{min(r, c)}{max(r, c)}')})"
+
+
+@query("model_coefficients_linear", f"""
+WITH s AS (SELECT {", ".join(f"covar_pop({_LINE_FEATURES[a]}, {_LINE_FEATURES[b]}) AS a{a}{b}" for a in range(3) for b in range(a, 3))},
+  {", ".join(f"covar_pop({c}, l_extendedprice / 100000.0::DOUBLE) AS b{i}, avg({c}) AS m{i}" for i, c in enumerate(_LINE_FEATURES))},
+  avg(l_extendedprice / 100000.0::DOUBLE) AS my FROM lineitem),
+w AS (SELECT *, {", ".join(f"{_cramer_sql(i)} AS w{i}" for i in range(3))} FROM s)
+{" UNION ALL ".join(f"SELECT '{c}' AS feature, round(w{i} * sqrt(a{i}{i}), 6) AS scaled, round(w{i}, 6) AS per_unit FROM w" for i, c in enumerate(_LINE_FEATURES))}
+UNION ALL SELECT '(intercept)', round(my, 6), round(my - w0 * m0 - w1 * m1 - w2 * m2, 6) FROM w""")
+def q_coefficients_linear(spark, t):
+    """A linear fit on scaled features: coefficients per deviation, and back in original units."""
+    f = reg_frame(t).select("y", *[F.col(c).cast("double").alias(c) for c in _LINE_FEATURES])
+    st = f.agg(*[F.avg(c).alias(f"m_{c}") for c in _LINE_FEATURES], *[F.stddev_pop(c).alias(f"s_{c}") for c in _LINE_FEATURES]).first()  # one row
+    z = ML.assemble(standard_scale(f, f, _LINE_FEATURES), _LINE_FEATURES)
+    m = LinearRegression(featuresCol="features", labelCol="y", regParam=0.0, solver="normal").fit(z)
+    own, start = ML.original_units([float(w) for w in m.coefficients], float(m.intercept), [st[f"m_{c}"] for c in _LINE_FEATURES], [st[f"s_{c}"] for c in _LINE_FEATURES])
+    rows = [(c, float(w), o) for c, w, o in zip(_LINE_FEATURES, m.coefficients, own)] + [("(intercept)", float(m.intercept), start)]
+    return spark.createDataFrame(rows, "feature string, scaled double, per_unit double").select("feature", F.round("scaled", 6).alias("scaled"), F.round("per_unit", 6).alias("per_unit"))
+
+
 @query("model_tree_classifier")
 def q_tree_cls(spark, t):
     tr, te = _train_test(doc_frame(t))
@@ -520,7 +575,9 @@ def q_feature_assemble(spark, t):
                     F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 6).alias("value_sum"))
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", """
+SELECT o_orderkey, TRUE AS same_prediction, TRUE AS same_probability FROM orders
+WHERE CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) % 1000000 >= 750000""")
 def q_roundtrip(spark, t):
     from pyspark.ml import PipelineModel
     tr, te = _train_test(_pipeline_frame(t))
@@ -532,5 +589,5 @@ def q_roundtrip(spark, t):
                                 vector_to_array("probability")[1].alias("p_before"))
     b = loaded.transform(te).select("o_orderkey", F.col("prediction").alias("after"),
                                     vector_to_array("probability")[1].alias("p_after"))
-    return a.join(b, "o_orderkey").withColumn("same", (F.col("before") == F.col("after"))
-                                              & (F.abs(F.col("p_before") - F.col("p_after")) < 1e-12))
+    return a.join(b, "o_orderkey").select("o_orderkey", (F.col("before") == F.col("after")).alias("same_prediction"),
+                                          (F.abs(F.col("p_before") - F.col("p_after")) < 1e-12).alias("same_probability"))
