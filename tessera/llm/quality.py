@@ -2,7 +2,8 @@
 
 Every document is measured and held against five rules. Failures are summed by
 host, the failure rate of a host is shrunk towards all hosts by a beta prior
-fitted to their rates (method of moments), and a host whose shrunken rate
+fitted to their counts (beta-binomial moments, weighted by documents, so that the
+sampling noise of small hosts is not taken for a difference between hosts), and a host whose shrunken rate
 passes a limit is judged strictly on that rule: its documents that fail the
 rule go. On other hosts only the base rules reject.
 """
@@ -66,23 +67,34 @@ def failures() -> dict[str, Column]:
     }
 
 
+def beta_prior(hosts: int, n: float, n2: float, failed: float, squares: float) -> tuple[float, float]:
+    """``(mean, rho)`` from the numbers of hosts, documents, their squares and failures by host, and the sum of ``failures^2 / n``."""
+    mean = failed / n if n else 0.0
+    room = n - n2 / n - (hosts - 1) if n else 0.0
+    if mean * (1 - mean) <= 0 or room <= 1e-9:
+        return mean, 0.0
+    return mean, ((squares - failed * failed / n) / (mean * (1 - mean)) - (hosts - 1)) / room
+
+
 def host_verdicts(measured: DataFrame, host: str) -> DataFrame:
     """``host`` and, for each rule, ``strict_<rule>``: whether the shrunken failure rate passes the limit.
 
-    The prior of a rule has the mean and variance of the hosts' rates. Hosts
-    that all have one rate have an infinitely strong prior: each gets the mean.
+    The prior of a rule has the mean rate of all documents, and the correlation
+    within hosts that explains how far the rates of ``k`` hosts spread around it:
+    the weighted sum of squares is expected to be ``m (1 - m) (k - 1 + rho (N -
+    sum(n^2) / N - k + 1))``. A spread of no more than sampling noise, or hosts
+    of one document each, which cannot show one, give ``rho = 0``: every host
+    gets the mean. Otherwise the prior weighs ``1 / rho - 1`` documents.
     """
     sums = measured.groupBy(host).agg(F.count("*").alias("n"), *[F.sum(f.cast("bigint")).alias(r) for r, f in failures().items()])
-    rates = {r: F.col(r) / F.col("n") for r in RULES}
-    prior = sums.agg(*[F.avg(x).alias(f"m_{r}") for r, x in rates.items()], *[F.var_samp(x).alias(f"v_{r}") for r, x in rates.items()]).first()
+    n = F.col("n").cast("double")
+    prior = sums.agg(F.count("*").alias("hosts"), F.sum(n).alias("n"), F.sum(n * n).alias("n2"), *[F.sum(F.col(r).cast("double")).alias(r) for r in RULES],
+                     *[F.sum(F.col(r).cast("double") * F.col(r) / n).alias(f"s_{r}") for r in RULES]).first()
     out = sums
     for r in RULES:  # one row of moments reaches the driver
-        m, v = prior[f"m_{r}"] or 0.0, prior[f"v_{r}"] or 0.0
-        if v > 1e-12:
-            strength = max(m * (1 - m) / v - 1, 0.0)
-            shrunk = (F.col(r) + m * strength) / (F.col("n") + strength)
-        else:
-            shrunk = F.lit(m)
+        mean, rho = beta_prior(prior["hosts"], prior["n"] or 0.0, prior["n2"] or 0.0, prior[r] or 0.0, prior[f"s_{r}"] or 0.0)
+        strength = max(1 / rho - 1, 0.0) if rho > 0 else 0.0
+        shrunk = (F.col(r) + mean * strength) / (n + strength) if rho > 0 else F.lit(mean)
         out = out.withColumn(f"strict_{r}", shrunk > STRICT_RATE)
     return out.select(host, *[f"strict_{r}" for r in RULES])
 

@@ -107,11 +107,11 @@ _FAIL = {
 
 def quality_sql(source: str = "documents") -> str:
     """The measures, host verdicts and decisions of ``op7`` as SQL over a table of documents."""
-    sums = ", ".join(f"sum(CASE WHEN {c} THEN 1 ELSE 0 END) AS f_{r}" for r, c in _FAIL.items())
-    prior = ", ".join(f"avg(f_{r} / n) AS m_{r}, coalesce(var_samp(f_{r} / n), 0) AS v_{r}" for r in _FAIL)
-    strength = {r: f"greatest(m_{r} * (1 - m_{r}) / v_{r} - 1, 0)" for r in _FAIL}
+    sums = ", ".join(f"CAST(sum(CASE WHEN {c} THEN 1 ELSE 0 END) AS DOUBLE) AS f_{r}" for r, c in _FAIL.items())
+    prior = ", ".join(f"sum(f_{r}) / sum(n) AS m_{r}, sum(f_{r} * f_{r} / n) - sum(f_{r}) * sum(f_{r}) / sum(n) AS s_{r}" for r in _FAIL)
+    rho = ", ".join(f"CASE WHEN m_{r} * (1 - m_{r}) <= 0 OR room <= 1e-9 THEN 0 ELSE (s_{r} / (m_{r} * (1 - m_{r})) - (k - 1)) / room END AS rho_{r}" for r in _FAIL)
     strict = ", ".join(
-        f"(CASE WHEN v_{r} > 1e-12 THEN coalesce((f_{r} + m_{r} * {strength[r]}) / nullif(n + {strength[r]}, 0), m_{r}) ELSE m_{r} END > {quality.STRICT_RATE}) AS strict_{r}"
+        f"(CASE WHEN rho_{r} > 0 THEN (f_{r} + m_{r} * greatest(1 / rho_{r} - 1, 0)) / (n + greatest(1 / rho_{r} - 1, 0)) ELSE m_{r} END > {quality.STRICT_RATE}) AS strict_{r}"
         for r in _FAIL)
     why = "concat_ws(',', " + ", ".join(f"CASE WHEN strict_{r} AND {c} THEN '{r}' END" for r, c in _FAIL.items()) + ")"
     return f"""
@@ -126,7 +126,8 @@ m AS (SELECT w.rid, doc_id, host, CAST(len(ws) AS BIGINT) AS n_words, CAST(lengt
              CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
       FROM w LEFT JOIN rep ON w.rid = rep.rid),
 h AS (SELECT host, CAST(count(*) AS DOUBLE) AS n, {sums} FROM m GROUP BY host),
-p AS (SELECT {prior} FROM h),
+q AS (SELECT count(*) AS k, sum(n) - sum(n * n) / sum(n) - (count(*) - 1) AS room, {prior} FROM h),
+p AS (SELECT *, {rho} FROM q),
 v AS (SELECT host, {strict} FROM h, p),
 j AS (SELECT m.*, ({_FAIL['short']} OR {_FAIL['repeats']}) AS base_failed, {why} AS why FROM m JOIN v ON m.host = v.host)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, nullif(why, '') AS host_strict,
