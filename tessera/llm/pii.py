@@ -2,22 +2,27 @@
 
 Base kinds (e-mail, ip, card, phone) follow fixed rules and always count. The
 method adds spans of other kinds: candidate spans are cut from the text by loose
-patterns, and labelers vote for, against or not at all on each of them: regular
-expressions (checksums, strict formats), gazetteers (titles, given names, street
-words) and the words before a span. Vote patterns are counted over the whole
-corpus; expectation-maximisation estimates how reliable each labeler is; and a
-naive Bayes classifier over votes and shape, trained on the posterior labels of
-the counted patterns, decides on every candidate. Candidates that overlap a base
-span are left to the base rules.
+patterns, and labelers vote for, against or not at all on each of them: forms
+(checksums, number plans, titles), gazetteers (given names, street words), cue
+words and counter cues (part, order, invoice) beside a span, base spans nearby,
+repetition. Votes are counted over the whole corpus; expectation-maximisation
+estimates, for each kind by itself, how reliable each labeler is and how common
+personal data is. A naive Bayes span classifier is then trained on these soft
+labels with features that no labeler sees: the words before and after a span and
+its shape, learned from all candidates and, as certain examples of the kind they
+resemble, from base spans. It decides on every candidate. Candidates that overlap
+a base span are left to the base rules.
 """
 
 from __future__ import annotations
 
+import math
 import re
+import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import pairwise
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,8 +89,8 @@ CUES = {
     "person": frozenset("name named dear regards signed sincerely contact by from herr frau".split()),
     "address": frozenset("address lives at resident home live located wohnt adresse dirección".split()),
 }
+COUNTER_CUES = frozenset("part parts item items sku model serial order invoice product catalog version isbn lot batch article section figure table no nr".split())
 CANDIDATES = {
-    "email_words": re.compile(r"[A-Za-z0-9._-]{2,64}\s?[\[(]\s?at\s?[\])]\s?[A-Za-z0-9-]{2,63}(?:\s?[\[(]\s?dot\s?[\])]\s?[A-Za-z]{2,24}|\.[A-Za-z]{2,24})", re.I),
     "id_number": re.compile(r"(?<![\w.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"),
     "iban": re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,4})?(?!\w)"),
     "local_phone": re.compile(r"(?<![\w.+-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[-.\x20])[0-9]{3}[-.\x20][0-9]{4}(?![\w-])"),
@@ -94,12 +99,21 @@ CANDIDATES = {
 }
 #: Strings without which no candidate of the kind can be, tested before the pattern.
 NEEDS = {"id_number": ("-",), "person": tuple(f"{t}{e}" for t in TITLES for e in (" ", ".")), "address": ()}
-#: What every candidate of ``email_words`` holds, in any case and spacing: the middle of its pattern.
-_AT = re.compile(r"[\[(]\s?at\s?[\])]", re.I)
-LABELERS = ("strict", "gazetteer", "cue", "near_base", "repetitive")
+#: The middle of a spelled address, in any case and spacing, and the domain after it.
+_AT = re.compile(r"\s?[\[(]\s?at\s?[\])]\s?", re.I)
+_SPELLED = re.compile(r"[A-Za-z0-9-]++(?:(?:\s?[\[(]\s?dot\s?[\])]\s?|\.)[A-Za-z0-9-]++)+", re.I)
+LABELERS = ("form", "gazetteer", "cue", "counter", "near_base", "repetitive")
 _TOKEN = re.compile(r"[\w-]+")
 _DIGIT = re.compile("[0-9]")
-_AREA = re.compile(r"^\(?[2-9]")
+_PLAN = re.compile(r"^\(?[2-9][0-9]{2}\D{1,2}[2-9]")
+#: Context words fall into so many buckets a side; a kind has these and its shapes as features.
+BUCKETS = 4096
+SHAPES = 5 * 5 * 7
+_STRIDE = 2 * BUCKETS + SHAPES
+#: What a base kind is a certain example of.
+LIKE = {"email": "email_words", "phone": "local_phone"}
+#: Context counts for no more than this in the log odds, so that it cannot outvote all labelers.
+CONTEXT = 4.0
 
 
 def _iban_ok(span: str) -> bool:
@@ -107,73 +121,108 @@ def _iban_ok(span: str) -> bool:
     return 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
-def _strict(kind: str, span: str) -> int:
-    """The regular-expression and checksum labeler."""
+def _form(kind: str, span: str) -> int:
+    """The labeler of checksums, number plans and titles. A plain run of digits in groups proves nothing by itself."""
     if kind == "iban":
         return 1 if _iban_ok(span) else -1
     if kind == "id_number":
-        return -1 if span[:3] in ("000", "666") or span[0] == "9" or span[4:6] == "00" or span[7:] == "0000" else 1
+        return -1 if span[:3] in ("000", "666") or span[0] == "9" or span[4:6] == "00" or span[7:] == "0000" else 0
     if kind == "local_phone":
-        return 1 if _AREA.match(span) else -1
-    if kind == "email_words":
-        return 1
-    return 0
+        return 1 if _PLAN.match(span) else -1
+    return 0 if kind == "address" else 1
 
 
-def votes(text: str, start: int, end: int, kind: str, base: list[tuple[int, int, str]]) -> tuple[int, ...]:
+class Covered:
+    """Base spans of a text as disjoint intervals, searched by bisection."""
+
+    def __init__(self, base: list[tuple[int, int, str]]):
+        self.starts, self.ends = [], []
+        for s, e, _ in base:  # by start
+            if self.ends and s <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def within(self, start: int, end: int, reach: int = 0) -> bool:
+        """Whether a base span overlaps ``[start - reach, end + reach)``."""
+        k = bisect_right(self.ends, start - reach)
+        return k < len(self.starts) and self.starts[k] < end + reach
+
+
+def votes(text: str, start: int, end: int, kind: str, covered: Covered, before: list[str], after: list[str]) -> tuple[int, ...]:
     """Votes of ``LABELERS``: 1 for, -1 against, 0 none."""
     span = text[start:end]
     tokens = [t.lower() for t in _TOKEN.findall(span)]
-    before = [t.lower() for t in _TOKEN.findall(text[max(0, start - 48):start])[-5:]]
     gazetteer = 0
     if kind == "person":
         gazetteer = 1 if any(t in GIVEN for t in tokens) else 0
     elif kind == "address":
         gazetteer = 1 if tokens and tokens[-1] in STREETS and span[span.index(" ") + 1].isupper() else -1
-    cue = 1 if any(t in CUES[kind] for t in before) else 0
-    near = 1 if any(abs(start - e) <= 80 or abs(s - end) <= 80 for s, e, _ in base) else 0
-    characters = [c for c in span if c.isalnum()]
-    repetitive = -1 if len(set(characters)) <= 2 else 0
-    return _strict(kind, span), gazetteer, cue, near, repetitive
+    cue = 1 if any(t in CUES[kind] for t in before + after[:2]) else 0
+    counter = -1 if any(t in COUNTER_CUES for t in before[-2:]) else 0
+    near = 1 if covered.within(start, end, 80) else 0
+    repetitive = -1 if len({c for c in span if c.isalnum()}) <= 2 else 0
+    return _form(kind, span), gazetteer, cue, counter, near, repetitive
 
 
-def shape(span: str) -> str:
-    """Coarse form of a span: digit and letter shares in quarters, and the length class."""
-    n = max(1, len(span))
+def _beside(text: str, start: int, end: int) -> tuple[list[str], list[str]]:
+    before = [t.lower() for t in _TOKEN.findall(text[max(0, start - 48):start])[-5:]]
+    return before, [t.lower() for t in _TOKEN.findall(text[end:end + 32])[:3]]
+
+
+def features(kind: str, span: str, before: list[str], after: list[str]) -> list[int]:
+    """Numbers of the classifier's features: words before, words after, shape."""
+    first, n = ADDED.index(kind) * _STRIDE, max(1, len(span))
     digits, letters = sum(c.isdigit() for c in span), sum(c.isalpha() for c in span)
-    return f"{4 * digits // n}{4 * letters // n}{min(6, n.bit_length())}"
+    shape = (4 * digits // n * 5 + 4 * letters // n) * 7 + min(6, n.bit_length())
+    words = {zlib.crc32(w.encode()) % BUCKETS for w in before[-3:]} | {BUCKETS + zlib.crc32(w.encode()) % BUCKETS for w in after[:2]}
+    return [first + x for x in sorted(words)] + [first + 2 * BUCKETS + shape]
 
 
-def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str, str]]:
-    """``(start, end, kind, pattern)`` of the spans that the method may add; ``pattern`` has votes and shape."""
-    out = []
+def _spelled(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses with a spelled at sign, leftmost first, whole: found from the sign outwards, linear in the text."""
+    done = 0
+    for m in _AT.finditer(text):
+        start = m.start()
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        if m.start() >= done and start < m.start() and (rest := _SPELLED.match(text, m.end())):
+            done = rest.end()
+            yield start, done
+
+
+def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str, tuple[str, list[int]]]]:
+    """``(start, end, kind, (votes, features))`` of the spans that the method may add."""
+    out, covered = [], Covered(base)
     has_digit = _DIGIT.search(text) is not None
+    found = [(s, e, "email_words") for s, e in _spelled(text)]
     for kind, rule in CANDIDATES.items():
-        if kind not in ("email_words", "person") and not has_digit or (need := NEEDS.get(kind)) and not any(x in text for x in need):
+        if kind != "person" and not has_digit or (need := NEEDS.get(kind)) and not any(x in text for x in need):
             continue
-        if kind == "email_words" and not _AT.search(text):
-            continue
-        for m in rule.finditer(text):
-            s, e = m.span()
-            if not any(s < be and bs < e for bs, be, _ in base):
-                v = votes(text, s, e, kind, base)
-                out.append((s, e, kind, f"{kind}|{','.join(map(str, v))}|{shape(m[0])}"))
+        found += [(*m.span(), kind) for m in rule.finditer(text)]
+    for s, e, kind in found:
+        if not covered.within(s, e):
+            before, after = _beside(text, s, e)
+            v = votes(text, s, e, kind, covered, before, after)
+            out.append((s, e, kind, (",".join(map(str, v)), features(kind, text[s:e], before, after))))
     return out
 
 
-def expectation_maximisation(patterns: list[tuple[tuple[int, ...], float]], prior: float = 0.5, rounds: int = 50) -> tuple[list[float], list[list[dict]]]:
+def expectation_maximisation(patterns: list[tuple[tuple[int, ...], float]], rounds: int = 50) -> tuple[list[float], list[list[dict]]]:
     """Posterior of each vote pattern, and each labeler's vote shares ``[against truth 0, truth 1]``.
 
     ``patterns``: votes and how often they occur. Labelers are taken as
     independent given the truth; an abstention is a vote of its own. Starts from
-    the majority and smooths every share, so no labeler is ever certain.
+    the majority, less half a vote, as what nobody vouches for is more often
+    harmless; every share is smoothed, so no labeler is ever certain.
     """
     n = len(patterns[0][0]) if patterns else 0
-    post = [1 / (1 + 4.0 ** -sum(v)) for v, _ in patterns]
+    post = [1 / (1 + 4.0 ** (0.5 - sum(v))) for v, _ in patterns]
     shares: list[list[dict]] = []
     for _ in range(rounds):
         weight = sum(c for _, c in patterns)
-        prior = (1 + sum(p * c for p, (_, c) in zip(post, patterns))) / (2 + weight)
+        prior = (1 + sum(p * c for p, (_, c) in zip(post, patterns))) / (3 + weight)
         shares = []
         for j in range(n):
             share = []
@@ -198,66 +247,105 @@ def expectation_maximisation(patterns: list[tuple[tuple[int, ...], float]], prio
     return post, shares
 
 
-def train(counts: list[tuple[str, int]]) -> dict[str, float]:
-    """Probability of personal data for each counted pattern ``kind|votes|shape``.
-
-    EM gives each pattern a soft label; naive Bayes over the kind, each vote and
-    the shape is trained on them, and scores the patterns. A pattern in which no
-    labeler votes for it scores 0.
-    """
-    rows = [(k, tuple(map(int, v.split(","))), s, n) for k, v, s, n in ((*p.split("|"), n) for p, n in counts)]
-    post, _ = expectation_maximisation([(v, float(n)) for _, v, _, n in rows])
-    features = [(f"k{k}", f"s{k}{s}", *(f"v{j}{x}" for j, x in enumerate(v))) for k, v, s, _ in rows]
-    seen = sorted({f for fs in features for f in fs})
-    weight = {f: [1.0, 1.0] for f in seen}
-    total = [1.0, 1.0]
-    for fs, p, (_, _, _, n) in zip(features, post, rows):
-        for y, w in ((0, n * (1 - p)), (1, n * p)):
-            total[y] += w
-            for f in fs:
-                weight[f][y] += w
+def posteriors(counts: list[tuple[str, str, int]]) -> dict[tuple[str, str], float]:
+    """Probability of personal data by (kind, votes), estimated for each kind by itself."""
     out = {}
-    for (pattern, _), fs, (_, v, _, _) in zip(counts, features, rows):
-        score = np.log(total[1] / total[0]) + sum(np.log(weight[f][1] / (total[1] + 2)) - np.log(weight[f][0] / (total[0] + 2)) for f in fs)
-        out[pattern] = float(1 / (1 + np.exp(-score))) if max(v) > 0 else 0.0
+    for kind in ADDED:
+        own = [(v, n) for k, v, n in counts if k == kind]
+        post, _ = expectation_maximisation([(tuple(map(int, v.split(","))), float(n)) for v, n in own])
+        out |= {(kind, v): p for (v, _), p in zip(own, post)}
     return out
 
 
-_SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string()), ("pattern", pa.string())])
+class Classifier:
+    """Naive Bayes over the votes (as weighed by EM) and the context and shape of a span."""
+
+    def __init__(self, post: dict[tuple[str, str], float], weights: dict[int, float]):
+        self.odds = {k: math.log(min(max(p, 1e-6), 1 - 1e-6) / (1 - min(max(p, 1e-6), 1 - 1e-6))) for k, p in post.items()}
+        self.weights = weights
+
+    def probability(self, kind: str, vote: str, feature: list[int]) -> float:
+        context = sum(self.weights.get(f, 0.0) for f in feature)
+        return 1 / (1 + math.exp(-(self.odds.get((kind, vote), -CONTEXT) + max(-CONTEXT, min(CONTEXT, context)))))
+
+
+_SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string()), ("votes", pa.string()), ("features", pa.list_(pa.int32()))])
+_FOUND = "found array<struct<start: bigint, stop: bigint, kind: string, votes: string, features: array<int>>>"
+
+
+def _all(text: str | None) -> list[dict]:
+    """Base spans (no votes; features if they are like an added kind) and candidates of a text."""
+    base = base_spans(text) if text else []
+    out = []
+    for s, e, k in base:
+        like = LIKE.get(k)
+        out.append({"start": s, "stop": e, "kind": k, "votes": None, "features": features(like, "", *_beside(text, s, e))[:-1] if like else None})
+    return out + [{"start": s, "stop": e, "kind": k, "votes": v, "features": f} for s, e, k, (v, f) in (candidates(text, base) if text else ())]
 
 
 def find(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` and ``found``: base spans (no pattern) and candidates (with their patterns) of every row."""
+    """``keep`` and ``found``: base spans and candidates, with votes and features, of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "__text"):
-            out = []
-            for t in b.column(b.num_columns - 1).to_pylist():
-                base = base_spans(t) if t else []
-                out.append([{"start": s, "stop": e, "kind": k, "pattern": None} for s, e, k in base]
-                           + [{"start": s, "stop": e, "kind": k, "pattern": p} for s, e, k, p in (candidates(t, base) if t else ())])
+            out = [_all(t) for t in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.list_(_SPAN))], [*keep, "found"])
 
-    return arrow_map(docs.select(*[docs[k] for k in keep], docs[text].alias("__text")), run,
-                     schema_of(docs, keep, "found array<struct<start: bigint, stop: bigint, kind: string, pattern: string>>"))
+    return arrow_map(docs.select(*[docs[k] for k in keep], docs[text].alias("__text")), run, schema_of(docs, keep, _FOUND))
+
+
+def train(found: DataFrame) -> Classifier:
+    """Classifier from the spans in ``found``.
+
+    Only sums reach the driver: a row per kind and vote pattern, and one per
+    feature, both bounded by the kinds, labelers and buckets.
+    """
+    spans = found.select(F.explode("found").alias("x")).select("x.*")
+    counts = spans.where("votes IS NOT NULL").groupBy("kind", "votes").count().orderBy("kind", "votes")
+    post = posteriors([tuple(r) for r in counts.collect()])
+    if not post:
+        return Classifier({}, {})
+    table = F.broadcast(found.sparkSession.createDataFrame([(k, v, p) for (k, v), p in post.items()], "kind string, votes string, p double"))
+    sure = spans.where("votes IS NULL AND features IS NOT NULL").select("features", F.lit(1.0).alias("p"))
+    soft = spans.join(table, ["kind", "votes"]).select("features", "p").unionByName(sure)
+    sums = soft.select(F.explode("features").alias("f"), "p").groupBy("f").agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no")).collect()
+    whole: dict[tuple[int, int], list[float]] = {}
+    part = lambda f: (f // _STRIDE, min(2, f % _STRIDE // BUCKETS))  # noqa: E731  kind and family of a feature
+    for f, yes, no in sums:
+        total = whole.setdefault(part(f), [0.0, 0.0])
+        total[0] += yes
+        total[1] += no
+    weights = {}
+    for f, yes, no in sums:
+        a, b = whole[part(f)]
+        weights[f] = math.log((yes + 1) / (a + 2)) - math.log((no + 1) / (b + 2))
+    return Classifier(post, weights)
 
 
 def detect(docs: DataFrame, keep: list[str], text: str = "text", limit: float = 0.5) -> DataFrame:
     """``keep`` and ``spans`` (``start``, ``stop``, ``kind``, ``base``), by start and kind, of every row.
 
     Offsets are code points, the end exclusive. A null or empty text has no
-    spans; null keys, repeated keys and repeated rows are kept as they are;
-    columns not in ``keep`` are dropped. The texts are read once; what is found
-    in them is written to the shared folder. The counted patterns (a bounded
-    set: kind, five votes and shape) are the only data that reach the driver.
+    spans, an empty table no rows; null keys, repeated keys and repeated rows are
+    kept as they are; columns not in ``keep`` are dropped. Work and memory grow
+    with the length of a text. The texts are read once; what is found in them is
+    written to the shared folder.
     """
     found = staged(find(docs, keep, text), "pii")
-    counts = found.select(F.explode("found.pattern").alias("p")).where("p IS NOT NULL").groupBy("p").count().orderBy("p")
-    good = [p for p, x in train([tuple(r) for r in counts.collect()]).items() if x >= limit]
-    order = F.array(*[F.lit(k) for k in KINDS])
-    wanted = F.filter("found", lambda x: x["pattern"].isNull() | (x["pattern"].isin(good) if good else F.lit(False)))
-    ranked = F.array_sort(F.transform(wanted, lambda x: F.struct(x["start"].alias("start"), F.array_position(order, x["kind"]).alias("rank"),
-                                                                 x["stop"].alias("stop"), x["kind"].alias("kind"), x["pattern"].isNull().alias("base"))))
-    return found.select(*keep, F.transform(ranked, lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), x["kind"].alias("kind"), x["base"].alias("base"))).alias("spans"))
+    model = train(found)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for spans in b.column(b.num_columns - 1).to_pylist():
+                kept = [x for x in spans if x["votes"] is None or model.probability(x["kind"], x["votes"], x["features"]) >= limit]
+                out.append([{"start": x["start"], "stop": x["stop"], "kind": x["kind"], "base": x["votes"] is None}
+                            for x in sorted(kept, key=lambda x: (x["start"], KINDS.index(x["kind"]), x["stop"]))])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.list_(_KEPT))], [*keep, "spans"])
+
+    return arrow_map(found, run, schema_of(docs, keep, "spans array<struct<start: bigint, stop: bigint, kind: string, base: boolean>>"))
+
+
+_KEPT = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string()), ("base", pa.bool_())])
 
 
 def spell(spans: Column) -> Column:
@@ -269,11 +357,10 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: floa
     """``docs`` with every found span of ``text`` replaced by ``[KIND]``; where spans overlap, the earlier one is named.
 
     All rows and columns stay; a null text stays null. Texts are read a second
-    time, with the patterns that the classifier accepts.
+    time, when the classifier is trained, which spares writing them beside what
+    was found in them.
     """
-    found = find(docs, [], text)
-    counts = found.select(F.explode("found.pattern").alias("p")).where("p IS NOT NULL").groupBy("p").count().orderBy("p")
-    good = frozenset(p for p, x in train([tuple(r) for r in counts.collect()]).items() if x >= limit)
+    model = train(staged(find(docs, [], text), "pii"))
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,7 +369,7 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: floa
             for t in b.column(at).to_pylist():
                 if t:
                     base = base_spans(t)
-                    spans = sorted(base + [(s, e, k) for s, e, k, p in candidates(t, base) if p in good], key=lambda x: (x[0], KINDS.index(x[2])))
+                    spans = sorted(base + [(s, e, k) for s, e, k, (v, f) in candidates(t, base) if model.probability(k, v, f) >= limit], key=lambda x: (x[0], KINDS.index(x[2])))
                     cut = [(0, 0, "")]
                     for s, e, k in spans:
                         if s >= cut[-1][1]:
