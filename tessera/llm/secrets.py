@@ -5,7 +5,9 @@ credential a prefix tree of character classes is built from a bounded sample and
 its states are merged where their outgoing frequencies are statistically
 compatible (the ALERGIA test with a Hoeffding bound), which leaves a
 probabilistic automaton of the format. An automaton of the background is built
-alike from strings that no rule confirms. Every string of the characters of
+alike from strings that no rule confirms and that several texts share: a secret
+that nobody labelled stands in one text, and must not make its own format look
+ordinary. Every string of the characters of
 credentials that is as long as the shortest example of a kind is then scored,
 over all its characters, and counts as a secret if the automaton of the kind
 finds it as likely as nearly all of its own examples, and likelier than the
@@ -43,6 +45,12 @@ SHORTEST = 6
 
 #: Parameter: examples of each kind that an automaton is fitted to, by least hash.
 EXAMPLES = 2000
+#: Parameter: longer examples are not fitted to (strings of any length are scored).
+LONGEST = 512
+#: Strings of the background stand in so many texts at least: what is written once may be an unlabelled secret.
+COMMON = 2
+#: Parameter: an automaton of ``n`` examples is believed as if it had a prior weight of ``n / (n + DOUBT)``.
+DOUBT = 20
 CONFIDENCE = 0.05
 
 
@@ -99,6 +107,7 @@ class Automaton:
             self.count[q][""] += 1
         self.bound = math.sqrt(math.log(2 / confidence) / 2)
         self._merge()
+        self._prune()
 
     def _differ(self, a: int, b: int) -> bool:
         n, m = self.count[a].total(), self.count[b].total()
@@ -150,6 +159,17 @@ class Automaton:
                 red.append(b)
             blue = [(r, c) for r in red for c in sorted(self.next[r]) if self.next[r][c] not in red]
 
+    def _prune(self) -> None:
+        """Keep the states that can be reached, which merges have left few of, under new numbers."""
+        number, todo = {0: 0}, [0]
+        for q in todo:
+            for c in sorted(self.next[q]):
+                if self.next[q][c] not in number:
+                    number[self.next[q][c]] = len(todo)
+                    todo.append(self.next[q][c])
+        self.next = [{c: number[z] for c, z in self.next[q].items()} for q in todo]
+        self.count = [self.count[q] for q in todo]
+
     def score(self, word: str) -> float:
         """Log likelihood per symbol, the end included; each state keeps a little for symbols it has not seen."""
         q, total = 0, 0.0
@@ -171,11 +191,12 @@ class Models:
         self.kinds = []
         for kind in BASE:
             words = sorted(symbols(v) for k, v in examples if k == kind)
-            if len(words) >= 20:
+            if words:
                 found = Automaton(words)
                 scores = sorted(found.score(w) for w in words)
                 # 95 of 100 of its examples reach the least score
-                self.kinds.append((found, scores[len(scores) // 20], min(map(len, words)), math.log((share or {}).get(kind, 1.0))))
+                weight = math.log((share or {}).get(kind, 1.0)) + math.log(len(words) / (len(words) + DOUBT))
+                self.kinds.append((found, scores[len(scores) // 20], min(map(len, words)), weight))
         self.background = Automaton(sorted(map(symbols, background))) if self.kinds and background else None
         self.shortest = min((n for _, _, n, _ in self.kinds), default=0)
         self.known: dict[str, bool] = {}
@@ -205,21 +226,23 @@ _SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.stri
 
 
 def labelled(docs: DataFrame, text: str = "text", examples: int = EXAMPLES) -> DataFrame:
-    """``kind``, ``value`` and ``n`` of all base spans and, of each batch, the ``examples`` background strings of least hash.
+    """``kind``, ``value`` and ``n`` of all base spans and, of each batch, the ``examples`` other strings of least hash.
 
-    A row without a value counts the background strings of a batch.
+    ``n`` of another string counts the texts that hold it; as all batches choose
+    by the same hash, the sums of the strings of least hash are whole. A row
+    without a value counts all other strings of a batch.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "__text"):
-            rows, others, n = Counter(), set(), 0
+            rows, others, n = Counter(), Counter(), 0
             for t in b.column(0).to_pylist():
                 found = base_spans(t) if t else []
                 rows.update((k, v) for _, _, k, v in found)
-                for _, _, v in free(t, [(s, e) for s, e, _, _ in found], SHORTEST) if t else ():
-                    others.add(v)
-                    n += 1
+                strings = [v for _, _, v in free(t, [(s, e) for s, e, _, _ in found], SHORTEST)] if t else []
+                others.update(set(strings))
+                n += len(strings)
             least = heapq.nsmallest(examples, others, key=lambda v: (zlib.crc32(v.encode()), v))
-            out = [*((k, v, c) for (k, v), c in rows.items()), *(("other", v, 0) for v in least), ("other", None, n)]
+            out = [*((k, v, c) for (k, v), c in rows.items()), *(("other", v, others[v]) for v in least), ("other", None, n)]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.string(), pa.string(), pa.int64()))], ["kind", "value", "n"])
 
     return arrow_map(docs.select(docs[text].alias("__text")), run, "kind string, value string, n bigint")
@@ -230,14 +253,17 @@ def detect(docs: DataFrame, keep: list[str], text: str = "text", examples: int =
 
     Offsets are code points, the end exclusive. A null or empty text has no
     spans; null keys, repeated keys and repeated rows are kept as they are;
-    columns not in ``keep`` are dropped. Without at least 20 examples of a kind
-    no automaton of it is fitted. The driver sees ``examples`` distinct values of
-    a kind, and of the background, at most: those of least hash. All candidates
-    are scored, whole.
+    columns not in ``keep`` are dropped; an empty table gives no rows. A kind is
+    learned from its first example on; few examples weigh less against the
+    background (``DOUBT``), which is learned from strings of several texts. The driver sees ``examples`` distinct values of a
+    kind, and of the background, at most: those of least hash among those of
+    ``LONGEST`` characters at most. All candidates, of any length, are scored,
+    whole.
     """
     found = staged(labelled(docs, text, examples), "secrets")
-    counts = {r["kind"]: r["n"] for r in found.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    values = found.where("value IS NOT NULL").select("kind", "value").distinct()
+    whole = found.where("kind <> 'other' OR value IS NULL")
+    counts = {r["kind"]: r["n"] for r in whole.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    values = found.where(F.length("value") <= LONGEST).groupBy("kind", "value").agg(F.sum("n").alias("n")).where(f"kind <> 'other' OR n >= {COMMON}")
     rows = []
     for kind in (*BASE, "other"):
         least = values.where(F.col("kind") == kind).orderBy(F.crc32(F.col("value").cast("binary")), "value").limit(examples)
