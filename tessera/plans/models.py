@@ -2,11 +2,14 @@
 test tables. Most fits are iterative or randomised, so their keys are rows-only;
 OLS, naive Bayes, topics and assembled vectors are computed in SQL as well."""
 
+from functools import reduce
+
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import portable_hash
@@ -82,13 +85,33 @@ def q_ols(spark, t):
         .select(F.round("coefficient", 6).alias("coefficient"), F.round("intercept", 6).alias("intercept"))
 
 
-@query("model_lasso")
+_LINE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+LASSO = 0.001
+
+
+def _soft_sql(i: int) -> str:
+    """Coordinate step of the lasso: the soft-thresholded covariance with the rest of the target."""
+    rest = " - ".join([f"b{i}"] + [f"a{min(i, k)}{max(i, k)} * w{k}" for k in range(3) if k != i])
+    return f"sign({rest}) * greatest(abs({rest}) - {LASSO}, 0) / a{i}{i}"
+
+
+_MOMENTS_SQL = f"""s AS (SELECT {", ".join(f"covar_pop({_LINE_FEATURES[a]}, {_LINE_FEATURES[b]}) AS a{a}{b}" for a in range(3) for b in range(a, 3))},
+  {", ".join(f"covar_pop({c}, l_extendedprice / 100000.0::DOUBLE) AS b{i}, avg({c}) AS m{i}" for i, c in enumerate(_LINE_FEATURES))},
+  avg(l_extendedprice / 100000.0::DOUBLE) AS my FROM lineitem)"""
+
+
+@query("model_lasso", f"""
+WITH RECURSIVE {_MOMENTS_SQL},
+d AS (SELECT 0 AS step, 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2
+  UNION ALL SELECT step + 1, CASE WHEN step % 3 = 0 THEN {_soft_sql(0)} ELSE w0 END, CASE WHEN step % 3 = 1 THEN {_soft_sql(1)} ELSE w1 END,
+    CASE WHEN step % 3 = 2 THEN {_soft_sql(2)} ELSE w2 END FROM d, s WHERE step < 300),
+w AS (SELECT d.*, s.* FROM d, s WHERE step = 300)
+{" UNION ALL ".join(f"SELECT '{c}' AS feature, round(w{i}, 5) + 0.0 AS coefficient FROM w" for i, c in enumerate(_LINE_FEATURES))}
+UNION ALL SELECT '(intercept)', round(my - w0 * m0 - w1 * m1 - w2 * m2, 5) + 0.0 FROM w""")
 def q_lasso(spark, t):
-    cols = ["l_quantity", "l_discount", "l_tax"]
-    f = ML.assemble(reg_frame(t), cols)
-    m = LinearRegression(featuresCol="features", labelCol="y", elasticNetParam=1.0, regParam=0.001,
-                         standardization=False).fit(f)
-    return ML.coefficient_table(spark, cols, m.coefficients, m.intercept)
+    f = ML.assemble(reg_frame(t), _LINE_FEATURES)
+    m = LinearRegression(featuresCol="features", labelCol="y", elasticNetParam=1.0, regParam=LASSO, standardization=False, tol=1e-12, maxIter=500).fit(f)
+    return ML.coefficient_table(spark, _LINE_FEATURES, m.coefficients, m.intercept).withColumn("coefficient", F.round("coefficient", 5) + F.lit(0.0))
 
 
 PENALTY = 0.01
@@ -143,9 +166,6 @@ def q_coefficients(spark, t):
     return both_ends(coef, "coefficient", "feature", 2)
 
 
-_LINE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
-
-
 def _cramer_sql(k: int) -> str:
     """Coefficient ``k`` of three centred features by Cramer's rule on their covariances."""
     cell = lambda r, c: f"b{r}" if c == k else f"a{min(r, c)}{max(r, c)}"
@@ -154,9 +174,7 @@ def _cramer_sql(k: int) -> str:
 
 
 @query("model_coefficients_linear", f"""
-WITH s AS (SELECT {", ".join(f"covar_pop({_LINE_FEATURES[a]}, {_LINE_FEATURES[b]}) AS a{a}{b}" for a in range(3) for b in range(a, 3))},
-  {", ".join(f"covar_pop({c}, l_extendedprice / 100000.0::DOUBLE) AS b{i}, avg({c}) AS m{i}" for i, c in enumerate(_LINE_FEATURES))},
-  avg(l_extendedprice / 100000.0::DOUBLE) AS my FROM lineitem),
+WITH {_MOMENTS_SQL},
 w AS (SELECT *, {", ".join(f"{_cramer_sql(i)} AS w{i}" for i in range(3))} FROM s)
 {" UNION ALL ".join(f"SELECT '{c}' AS feature, round(w{i} * sqrt(a{i}{i}), 6) AS scaled, round(w{i}, 6) AS per_unit FROM w" for i, c in enumerate(_LINE_FEATURES))}
 UNION ALL SELECT '(intercept)', round(my, 6), round(my - w0 * m0 - w1 * m1 - w2 * m2, 6) FROM w""")
@@ -389,6 +407,40 @@ def q_cv_score(spark, t):
     return s.select("fold", "auc").unionByName(s.agg(F.lit(-1).alias("fold"), F.avg("auc").alias("auc")))
 
 
+def _fold_sql(f):
+    pars = ", ".join(f"ln(count(*) FILTER (WHERE label = {c}) / count(*)) AS p{c}, " + ", ".join(
+        f"avg({x}) FILTER (WHERE label = {c}) AS m{c}_{x}, var_pop({x}) FILTER (WHERE label = {c}) + 1e-9 * greatest({', '.join(f'var_pop({y})' for y in DOC_FEATURES)}) AS v{c}_{x}"
+        for x in DOC_FEATURES) for c in (0, 1))
+    return (f"SELECT {f} AS fold, label, round(s1 - s0, 6) AS margin FROM (SELECT label, {_density_sql(0)} AS s0, {_density_sql(1)} AS s1 "
+            f"FROM num, (SELECT {pars} FROM num WHERE fold <> {f}) WHERE fold = {f})")
+
+
+@query("tune_cross_val_bayes", f"""
+WITH num AS (SELECT d.doc_id, CAST(quality AS DOUBLE) AS label, {", ".join(f"{e} AS {c}" for c, e in _NUMBER_SQL.items())},
+  CAST(('0x' || substr(md5(CAST(d.doc_id AS VARCHAR) || ':11'), 1, 8)) AS BIGINT) % 3 AS fold
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE {_SPLIT_SQL.replace("doc_id", "d.doc_id")} < 750000),
+m AS ({" UNION ALL ".join(_fold_sql(f) for f in range(3))}),
+a AS (SELECT p.fold, avg(CASE WHEN p.margin > n.margin THEN 1.0 WHEN p.margin = n.margin THEN 0.5 ELSE 0.0 END) AS auc FROM m p JOIN m n ON p.fold = n.fold AND p.label = 1 AND n.label <> 1 GROUP BY p.fold),
+r AS (SELECT CAST(m.fold AS INTEGER) AS fold, count(*) AS n, avg(CAST((margin > 0) = (label = 1) AS DOUBLE)) AS accuracy, any_value(auc) AS auc FROM m JOIN a USING (fold) GROUP BY m.fold)
+SELECT fold, n, round(accuracy, 9) AS accuracy, round(auc, 9) AS auc FROM r
+UNION ALL SELECT -1, CAST(sum(n) AS BIGINT), round(avg(accuracy), 9), round(avg(auc), 9) FROM r""")
+def q_cv_bayes(spark, t):
+    """Gaussian naive Bayes scored on each of three folds by the fit of the other two, and the means: the whole loop, checked row by row."""
+    f = stage(_folded(t), "folds")
+    parts = []
+    for k in range(3):
+        test = f.where(F.col("fold") == k)
+        scores = TM.gaussian_scores(test, TM.gaussian_fit(f.where(F.col("fold") != k), DOC_FEATURES, "label"), DOC_FEATURES, "doc_id", "label")
+        p = TM.margin(scores, "doc_id", "label", 1.0).join(test.select("doc_id", "label"), "doc_id")
+        parts.append(p.select(F.lit(k).alias("fold"), "label", F.round("margin", 6).alias("margin")))
+    m = stage(reduce(DataFrame.unionByName, parts), "fold-margins")
+    right = ((F.col("margin") > 0) == (F.col("label") == 1)).cast("double")
+    r = m.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.avg(right).alias("accuracy")).join(M.roc_auc(m, "label", "margin", 1.0, by=["fold"]), "fold")
+    r = stage(r.select("fold", "n", "accuracy", "auc"), "fold-scores")
+    mean = r.agg(F.lit(-1).alias("fold"), F.sum("n").alias("n"), F.avg("accuracy").alias("accuracy"), F.avg("auc").alias("auc"))
+    return r.unionByName(mean).select("fold", "n", F.round("accuracy", 9).alias("accuracy"), F.round("auc", 9).alias("auc"))
+
+
 @query("tune_grid_search")
 def q_grid_search(spark, t):
     """Mean AUC of every grid point, the best one marked, and the held-out AUC of its model refitted on all folds."""
