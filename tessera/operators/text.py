@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.staging import stage
 from tessera.functions.subquery import attach_row
 
 # Own tokeniser: a word (letter then letters/digits/underscore), a number, or
@@ -63,10 +64,10 @@ def doc_term_counts(tok: DataFrame, id_col: str, materialize: bool = True) -> Da
 
     Vocabulary statistics and count matrices are all derived from it, so the
     regex pass over the raw text runs once; it is written to the shared
-    checkpoint folder when ``materialize``.
+    folder when ``materialize``.
     """
     dt = tok.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("n"))
-    return dt.checkpoint(eager=True) if materialize else dt
+    return stage(dt, "term-counts") if materialize else dt
 
 
 def vocabulary_from_counts(dt: DataFrame, id_col: str, min_df: int = 1, max_df: float = 1.0,
@@ -85,7 +86,7 @@ def vocabulary_from_counts(dt: DataFrame, id_col: str, min_df: int = 1, max_df:
     if max_features:
         v = v.orderBy(F.col("tf").desc(), F.col("token").asc()).limit(max_features)
     # the fitted vocabulary is read by every transform: materialise it once
-    return v.withColumnRenamed("token", "term").checkpoint(eager=True)
+    return stage(v.withColumnRenamed("token", "term"), "vocabulary")
 
 
 def vocabulary(tok: DataFrame, id_col: str, min_df: int = 1, max_df: float = 1.0,
@@ -111,7 +112,7 @@ def idf_table(train_counts: DataFrame, id_col: str) -> DataFrame:
     df_t = train_counts.groupBy("term").agg(F.count(F.lit(1)).alias("__df"))  # rows are unique per (id, term)
     idf = attach_row(df_t, n).select(
         "term", (F.log((F.lit(1) + F.col("__N")) / (F.lit(1) + F.col("__df"))) + 1).alias("idf"))
-    return idf.checkpoint(eager=True)  # fitted weights, one row per term
+    return stage(idf, "idf")  # fitted weights, one row per term
 
 
 def tfidf(counts: DataFrame, idf: DataFrame, id_col: str) -> DataFrame:
