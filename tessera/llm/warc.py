@@ -45,7 +45,7 @@ from tessera.session import ensure_checkpoint_dir
 SHORTEST = 100
 #: Bytes after which a task starts a new archive.
 ARCHIVE_BYTES = 1 << 30
-FAN_IN, RANGE_ROWS, FENCE = 256, 1 << 14, 64
+FAN_IN, RANGE_ROWS, FENCE = 256, 1 << 17, 64
 LEVEL = 3
 ROW_GROUP = 1 << 18
 # Names and identifiers of the WARC 1.1 format.
