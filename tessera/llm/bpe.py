@@ -249,7 +249,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
     One row per input row, in no order. A null or empty text has no tokens and
     decodes to the empty text; a null key, a repeated key or a repeated row is
-    kept as it is; other columns are dropped, whatever their names. ``path``
+    kept as it is; an empty table gives no rows; other columns are dropped, whatever their names. ``path``
     names the tokenizer file on every worker. Memory is bounded by one slice of
     a batch (or one text) and bounded caches, which end with the task.
     """

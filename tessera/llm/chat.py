@@ -92,7 +92,8 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     message of its conversation begins a thread (no parent, depth 0). A null or
     empty text has no lines; a null turn neither answers nor is answered; null
     and empty conversations are one; rows that share conversation and turn are
-    one message with several texts. Other columns are dropped.
+    one message with several texts. Other columns are dropped. An empty table
+    gives no rows; a very long text is split into lines within its row.
     """
     lined = read(messages.select(messages[conv], messages[turn], messages[role], messages[text]), conv, turn, text)
     links = staged(answers(lined), "answers")

@@ -137,6 +137,7 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text")
     A null text is empty. Null keys come last; repeated keys are ordered by
     their texts; a repeated row is a further document. Equal texts have equal
     fingerprints. A single document is its own next one. Other columns are dropped.
+    An empty table gives no rows; a very long text has all its words sampled.
 
     Texts are shuffled once, into ranges of keys; words are counted, sampled and
     compared inside the ranges without another shuffle.

@@ -196,7 +196,8 @@ def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page
     A null or empty page has an empty text. Null or repeated keys and repeated
     rows are kept as they are; other columns are dropped, whatever their names.
     The tree is grown on the driver from ``labelled``, a table of fixed size, and
-    every block of every page is classified.
+    every block of every page is classified. An empty table gives no rows; a very
+    long page is read whole, a block at a time.
     """
     tree = grow(labelled)
     kept = [pages[k] for k in keep]

@@ -323,7 +323,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     A text that is null or has no word has no shingles and no links. Rows with
     one key are one document when their texts are equal, linked or not as their
     texts say otherwise. A row with a null key takes part in no link, is its own
-    component (null) and is kept. Other columns are dropped.
+    component (null) and is kept. Other columns are dropped. An empty table gives
+    no rows; the words of a very long text are hashed in blocks.
     """
     base = docs.select(docs[key].cast("bigint").alias("id"), docs[text].alias("text"))
     sketch = staged(sketches(base, "id", "text", size), "minhash-sketch")

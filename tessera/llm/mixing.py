@@ -138,7 +138,9 @@ def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     A text without words (null, empty) has no weight: its probability is 1, so
     it is kept. The draw depends on the key alone, so rows with one key and one
     cell are kept or left together; null keys draw as one key. The cells are few
-    and joined by size; a hot cell is split by the adaptive skew join.
+    and joined by size; a hot cell is split by the adaptive skew join. An empty
+    table gives no rows; a very long text weighs its words like any other;
+    columns that are named like the new ones are replaced.
     """
     rates = sized(plan(docs, text, source, lang, targets)).select(*[F.col(m).alias(f"__m_{m}") for m in MARGINS], F.col("p").alias("__m_p"))
     own = docs.withColumns({"__m_s": F.coalesce(docs[source].cast("string"), F.lit("")), "__m_l": F.coalesce(docs[lang].cast("string"), F.lit("")),

@@ -276,7 +276,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     each other, in the order of their texts' hashes (64 bits; rows with one key
     and one hash are copies of the first of them). A row with a null key has
     no place in the order: it is returned whole, and nothing is judged by it.
-    Other columns are dropped. A text may have up to 2**36 bytes.
+    Other columns are dropped. A text may have up to 2**36 bytes. An empty table
+    gives no rows.
     """
     if not 2 * GRAM < length <= 127:
         raise ValueError("length must be between 49 and 127")
