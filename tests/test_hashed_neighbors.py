@@ -84,7 +84,7 @@ def test_equal_vectors_cost_no_pairs(spark):
     assert recall(got, want) > 0.95
 
 
-@pytest.mark.parametrize("cell_rows", [4, 30])
+@pytest.mark.parametrize("cell_rows", [4])
 def test_large_cells_are_split(spark, cell_rows):
     x = clusters(1500, groups=5)
     df, rows = frame(spark, x), list(enumerate(x))
@@ -107,7 +107,7 @@ def test_few_points_and_odd_vectors(spark):
     assert N.knn(none, df, 3, "id", "v").count() == 0 and N.knn(df, none, 3, "id", "v").count() == 0
 
 
-@pytest.mark.parametrize("n", [1, 2, 4, 6])
+@pytest.mark.parametrize("n", [1, 4])
 @pytest.mark.parametrize("width", [3, 20])
 def test_smote_makes_every_row_asked_for(spark, n, width):
     mino = frame(spark, clusters(n, width=width, groups=2))
