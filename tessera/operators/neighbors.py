@@ -1,8 +1,10 @@
 """k nearest neighbours, their vote, SMOTE and ENN.
 
-Vectors of many dimensions are searched by random-projection hash tables
-(``hashed_neighbors``), those of few exactly by pivot cells, as follows. Points are assigned to the Voronoi cell of the nearest of ``P`` pivots (P
-sampled training points; a parameter-sized list). Each cell's radius is the
+The search is exact. Vectors of many dimensions are compared block by block
+(``block_neighbors``), those of few by pivot cells, as follows; on request, hash
+tables search approximately (``hashed_neighbors``). Points are assigned to the
+Voronoi cell of the nearest of ``P`` pivots (P sampled training points; a
+parameter-sized list). Each cell's radius is the
 largest pivot distance of its training points. For a query q:
 
 1. the candidates of its home cell give the k-th distance ``U_q`` (an upper
@@ -27,10 +29,11 @@ from pyspark.sql import functions as F
 
 from tessera.functions.hashing import WIDE_SPACE, portable_hash, wide_hash
 from tessera.functions.staging import stage
+from tessera.operators.block_neighbors import nearest_exact
 from tessera.operators.hashed_neighbors import nearest
 
 #: From this many dimensions on, the triangle inequality hardly rules out a cell.
-HASH_WIDTH = 16
+BLOCK_WIDTH = 16
 
 
 def as_double(vec: Column) -> Column:
@@ -90,13 +93,16 @@ def knn(train: DataFrame, test: DataFrame, k: int, id_col: str, vec_col: str, n_
         exclude_self: bool = False, seed: int = 0, exact: bool | None = None) -> DataFrame:
     """``(q_id, nbr_id, dist2, rank)`` for the k nearest training points of each query.
 
-    ``exact`` chooses the pivot cells, whose pruning works in few dimensions, or
-    (False) the hash tables of ``hashed_neighbors``; if it is not given, vectors
-    of at least ``HASH_WIDTH`` entries are hashed.
+    The result is that of all pairs: vectors of at least ``BLOCK_WIDTH`` entries
+    go by blocks, shorter ones by pivot cells, whose pruning works in few
+    dimensions. ``exact`` chooses the pivot cells for any width, or (False) the
+    approximate hash tables of ``hashed_neighbors``.
     """
     if exact is None:
         head = train.where(F.col(vec_col).isNotNull()).select(F.size(vec_col)).first()
-        exact = head is None or head[0] < HASH_WIDTH
+        if head is not None and head[0] >= BLOCK_WIDTH:
+            return nearest_exact(train, test, k, id_col, vec_col, exclude_self)
+        exact = True
     if exact:
         return knn_exact(train, test, k, id_col, vec_col, n_pivots, exclude_self, seed)
     return nearest(train, test, k, id_col, vec_col, exclude_self, sq_dist,

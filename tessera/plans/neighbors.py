@@ -1,19 +1,16 @@
-"""K nearest neighbours on ``embeddings``.
+"""Exact k nearest neighbours on ``embeddings``.
 
-Train/test split by H(vec_id:42) (75 % train). The oracles deal the same hash
-tables in SQL, compare the vectors that meet in a cell, and all vectors for a
-query that meets too few; cells of the test tables are never large enough to be
-split. Recall against all pairs is checked in ``tests/test_hashed_neighbors.py``.
+Train/test split by H(vec_id:42) (75 % train). Oracles are brute force over all
+pairs in SQL.
 """
 
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import portable_hash
-from tessera.operators import hashed_neighbors as HN
 from tessera.operators import neighbors as N
 from tessera.plans.registry import query
 
-K, WIDTH = 5, 64
+K = 5
 
 
 def split(t):
@@ -26,36 +23,20 @@ _E_SQL = """e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label,
     CAST(('0x' || substr(md5(CAST(vec_id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) % 1000000 < 750000 AS is_train FROM embeddings),
 tr AS (SELECT * FROM e WHERE is_train), te AS (SELECT * FROM e WHERE NOT is_train)"""
 
-_SIGNS_SQL = f"""signs AS (SELECT t, list(s ORDER BY i) AS axes FROM (
-    SELECT t, i, list_transform(range({WIDTH}), lambda j: CASE WHEN ((instr('0123456789abcdef', h[j // 4 + 1]) - 1) >> (3 - j % 4)) & 1 = 1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) AS s
-    FROM (SELECT t, i, md5('0:' || t || ':' || i || ':0') AS h FROM range({HN.TABLES}) a(t), range({HN.PLANES}) b(i))) GROUP BY t)"""
-
-
 def _d2(a, b):
     return f"list_reduce(list_transform(range(1, len({a}) + 1), lambda i: ({a}[i] - {b}[i]) * ({a}[i] - {b}[i])), lambda x, y: x + y)"
 
 
-def _search_sql(train: str, test: str, k: int, out: str, self_too: bool = False) -> str:
-    """CTEs that end in ``out(q, n, d2, rk)``: the ranked candidates of each row of ``test`` in ``train``."""
-    keep, p = k + self_too, out
-    codes = lambda src, probes: f"""(SELECT vec_id, t, list_transform(list_zip(top, list_select(z, top)), lambda s: 2 * (s[1] - 1) + CAST(s[2] > 0 AS INTEGER)) AS codes
-  FROM (SELECT vec_id, t, z, list_grade_up(list_transform(z, lambda y: -abs(y)))[1:{probes}] AS top
-    FROM (SELECT vec_id, t, list_transform(axes, lambda s: list_inner_product(x, s)) AS z
-      FROM (SELECT vec_id, list_transform(range(1, {WIDTH} + 1), lambda i: v[i] - c[i]) AS x FROM {src}, {p}_mean), signs)))"""
-    return f"""{p}_mean AS (SELECT list(m ORDER BY d) AS c FROM (SELECT d, avg(x) AS m FROM (SELECT unnest(v) AS x, generate_subscripts(v, 1) AS d FROM {train}) GROUP BY d)),
-{p}_home AS (SELECT vec_id AS n, t, codes[1] AS c FROM {codes(train, 1)}),
-{p}_look AS (SELECT vec_id AS q, t, unnest(codes) AS c FROM {codes(test, HN.PROBES)}),
-{p}_met AS (SELECT DISTINCT q, n FROM {p}_home JOIN {p}_look USING (t, c)),
-{p}_few AS (SELECT vec_id AS q FROM {test} WHERE vec_id NOT IN (SELECT q FROM {p}_met GROUP BY q HAVING count(*) >= {keep})),
-{p}_pair AS (SELECT q, n FROM {p}_met WHERE q NOT IN (SELECT q FROM {p}_few) UNION ALL SELECT q, vec_id AS n FROM {p}_few, {train}),
-{out} AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY d2, n) AS rk FROM
-  (SELECT q, n, b.label AS l, {_d2('a.v', 'b.v')} AS d2 FROM {p}_pair JOIN {test} a ON a.vec_id = q JOIN {train} b ON b.vec_id = n{' WHERE q <> n' if self_too else ''}))"""
+def _search_sql(train: str, test: str, out: str, self_too: bool = False) -> str:
+    """A CTE ``out(q, n, l, d2, rk)``: all rows of ``train`` ranked for each row of ``test``."""
+    return f"""{out} AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY d2, n) AS rk FROM
+  (SELECT a.vec_id AS q, b.vec_id AS n, b.label AS l, {_d2('a.v', 'b.v')} AS d2 FROM {test} a, {train} b{' WHERE a.vec_id <> b.vec_id' if self_too else ''}))"""
 
 
-_KNN_SQL = f"WITH {_E_SQL}, {_SIGNS_SQL}, "
+_KNN_SQL = f"WITH {_E_SQL}, "
 
 
-@query("model_knn", _KNN_SQL + _search_sql("tr", "te", K, "r") + f""",
+@query("model_knn", _KNN_SQL + _search_sql("tr", "te", "r") + f""",
 top AS (SELECT * FROM r WHERE rk <= {K}),
 votes AS (SELECT q, l, count(*) AS c FROM top GROUP BY q, l),
 pred AS (SELECT q, arg_min(l, (-c, l)) AS prediction FROM votes GROUP BY q),
@@ -84,7 +65,7 @@ def q_centroid_predict(spark, t):
     return N.knn_vote(nb, tr, "vec_id", "label").select("prediction")
 
 
-@query("tune_sweep", _KNN_SQL + _search_sql("tr", "te", 10, "r") + """,
+@query("tune_sweep", _KNN_SQL + _search_sql("tr", "te", "r") + """,
 ks AS (SELECT range AS k FROM range(1, 11)),
 votes AS (SELECT k, q, l, count(*) AS c FROM r, ks WHERE rk <= k GROUP BY k, q, l),
 pred AS (SELECT k, q, arg_min(l, (-c, l)) AS prediction FROM votes GROUP BY k, q)
@@ -108,11 +89,11 @@ def _h(expr, seed):
     return f"CAST(('0x' || substr(md5(CAST({expr} AS VARCHAR) || ':{seed}'), 1, 15)) AS BIGINT)"
 
 
-_SMOTE_SQL = f"""WITH {_SIGNS_SQL}, cls AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),
+_SMOTE_SQL = f"""WITH cls AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),
 mm AS (SELECT arg_min(label, (n, label)) AS minority, min(n) AS n_min, max(n) AS n_max FROM cls),
 mi AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v, row_number() OVER (ORDER BY vec_id) - 1 AS idx
        FROM embeddings WHERE label = (SELECT minority FROM mm)),
-{_search_sql('mi', 'mi', K, 's', True)},
+{_search_sql('mi', 'mi', 's', True)},
 have AS (SELECT q, count(*) AS n FROM s WHERE rk <= {K} GROUP BY q),
 draws AS (SELECT synthetic_id, base.vec_id AS base_id, base.v AS bv, draw % have.n + 1 AS rk, u FROM
             (SELECT range AS synthetic_id, {_h('range', '0:base')} % (SELECT n_min FROM mm) AS idx, {_h('range', '0:nbr')} AS draw,
@@ -134,7 +115,7 @@ def q_smote(spark, t):
 @query("balance_smote_enn", _SMOTE_SQL + f""",
 allr AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
          UNION ALL SELECT -1 - synthetic_id, (SELECT minority FROM mm), v FROM syn),
-{_search_sql('allr', 'allr', 3, 'a', True)}
+{_search_sql('allr', 'allr', 'a', True)}
 SELECT q AS vec_id, any_value(o.label) AS label FROM a JOIN allr o ON o.vec_id = q WHERE rk <= 3
 GROUP BY q HAVING min(CAST(o.label = l AS INTEGER)) = 1""")
 def q_smote_enn(spark, t):
