@@ -103,5 +103,10 @@ def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int
 
 def first_match(queries: DataFrame, dictionary: DataFrame, keys: list[str], word: str, value: str,
                 rank: str) -> DataFrame:
-    """Lowest-rank dictionary entry for each query word; words without entry are skipped."""
-    return queries.join(dictionary, word).groupBy(*keys).agg(F.min_by(value, rank).alias(value))
+    """Lowest-rank dictionary entry for each query word; words without entry are skipped.
+
+    The dictionary is reduced to one row per word first, so a word with many
+    entries meets each query once.
+    """
+    first = dictionary.groupBy(word).agg(F.min_by(value, rank).alias(value), F.min(rank).alias(rank))
+    return queries.join(first, word).groupBy(*keys).agg(F.min_by(value, rank).alias(value))
