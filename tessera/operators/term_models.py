@@ -11,6 +11,10 @@ driver, so vocabularies are never cut for its sake.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pac
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,54 +122,143 @@ def margin(scores: DataFrame, id_col: str, label: str, positive) -> DataFrame:
 # ---- topics --------------------------------------------------------------------
 
 
-def _shares(prefix: str, k: int) -> list[str]:
-    return [f"{prefix}{i}" for i in range(k)]
-
+#: Rows of a block of documents, as counted; a task holds one block.
+LDA_BLOCK = 4_000_000
 
-def _responsible(rows: DataFrame, keep: list[str], k: int) -> DataFrame:
-    """Occurrences dealt to topics: tf * p_k * t_k / sum over topics."""
-    joint = [F.col(f"p{i}") * F.col(f"t{i}") for i in range(k)]
-    whole = sum(joint[1:], joint[0])
-    return rows.select(*keep, *[(F.col("tf") * j / whole).alias(f"r{i}") for i, j in enumerate(joint)])
-
-
-def _mix(r: DataFrame, id_col: str, k: int, alpha: float) -> DataFrame:
-    sums = r.groupBy(id_col).agg(*[F.sum(f"r{i}").alias(f"r{i}") for i in range(k)])
-    whole: Column = sum([F.col(f"r{i}") for i in range(1, k)], F.col("r0")) + F.lit(k * alpha)
-    return sums.select(id_col, *[((F.col(f"r{i}") + F.lit(alpha)) / whole).alias(f"t{i}") for i in range(k)])
 
+def _shares(prefix: str, k: int) -> list[str]:
+    return [f"{prefix}{i}" for i in range(k)]
 
-def _term_weights(r: DataFrame, k: int, eta: float) -> DataFrame:
-    sums = r.groupBy("term").agg(*[F.sum(f"r{i}").alias(f"r{i}") for i in range(k)])
-    total = sums.agg(*[F.sum(f"r{i}").alias(f"__s{i}") for i in range(k)], F.count(F.lit(1)).alias("__v"))
-    return attach_row(sums, total).select("term", *[((F.col(f"r{i}") + F.lit(eta)) / (F.col(f"__s{i}") + F.lit(eta) * F.col("__v"))).alias(f"p{i}") for i in range(k)])
 
+def document_blocks(counts: DataFrame, id_col: str, block_rows: int = LDA_BLOCK) -> tuple[DataFrame, int]:
+    """``(__block, id, term, tf)`` with whole documents in each block, kept on the executors' disks, and the number of blocks.
 
-def lda_fit(counts: DataFrame, id_col: str, k: int, rounds: int = 10, alpha: float = 0.1, eta: float = 0.01, seed: int = 1) -> DataFrame:
+    Rounds over the blocks read them where they are; only what a block knows of
+    its terms and documents is exchanged. Call ``unpersist`` after the last round.
+    """
+    rows = counts.select(id_col, "term", "tf").where(F.col(id_col).isNotNull() & F.col("term").isNotNull())
+    n = max(1, -(-rows.count() // block_rows), min(rows.select(id_col).distinct().count(), counts.sparkSession.sparkContext.defaultParallelism))
+    block = F.pmod(F.xxhash64(id_col, F.lit("block")), F.lit(n)).cast("int")
+    return rows.withColumn("__block", block).repartition(2 * n, "__block").persist(StorageLevel.DISK_ONLY), n
+
+
+def _column(table: pa.Table, name: str) -> pa.Array:
+    return table.column(name).combine_chunks()
+
+
+class _Block:
+    """Counts of one block as numbers: places of documents and terms, and what is known of each."""
+
+    def __init__(self, counts: pa.Table, state: pa.Table, id_col: str, k: int):
+        terms, ids = _column(counts, "term").dictionary_encode(), _column(counts, id_col).dictionary_encode()
+        self.terms, self.ids = terms.dictionary, ids.dictionary
+        self.t, self.d = terms.indices.to_numpy(), ids.indices.to_numpy()
+        self.tf, self.k = _column(counts, "tf").to_numpy().astype(np.float64), k
+        self.term_values, self.known = self._values(state.filter(pac.is_valid(state.column("__term"))), "__term", self.terms)
+        self.doc_values, _ = self._values(state.filter(pac.is_valid(state.column("__id"))), "__id", self.ids)
+
+    def _values(self, state: pa.Table, key: str, own: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        at = pac.index_in(_column(state, key), value_set=own).fill_null(-1).to_numpy()
+        out, known = np.zeros((len(own), self.k)), np.zeros(len(own), bool)
+        for i in range(self.k):
+            out[at[at >= 0], i] = state.column(f"v{i}").to_numpy()[at >= 0]
+        known[at[at >= 0]] = True
+        return out, known
+
+    def shares(self, mixes: np.ndarray, by_term: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Occurrences dealt to topics, tf * p_k * t_k / sum over topics, summed by term and by document."""
+        terms, docs = np.zeros(self.term_values.shape), np.zeros(mixes.shape)
+        for a in range(0, len(self.t), 1 << 18):
+            t, d, tf = self.t[a:a + (1 << 18)], self.d[a:a + (1 << 18)], self.tf[a:a + (1 << 18)]
+            on = self.known[t]
+            t, d, tf = t[on], d[on], tf[on]
+            joint = [self.term_values[t, i] * mixes[d, i] for i in range(self.k)]
+            whole = sum(joint[1:], joint[0])
+            for i, j in enumerate(joint):
+                r = tf * j / whole
+                docs[:, i] += np.bincount(d, r, len(docs))
+                if by_term:
+                    terms[:, i] += np.bincount(t, r, len(terms))
+        return terms, docs
+
+
+def _numbers(prefix: str, values: np.ndarray) -> dict:
+    return {f"{prefix}{i}": pa.array(values[:, i]) for i in range(values.shape[1])}
+
+
+def _over_blocks(blocks: DataFrame, n: int, state: DataFrame, step, schema: str) -> DataFrame:
+    """``step(counts, state)`` of every block; ``state`` is ``(__block, id, term, v0..)``, a row per document or term of a block."""
+    own = state.toDF("__at", "__id", "__term", *state.columns[3:])
+    return blocks.groupBy("__block").cogroup(own.repartition(2 * n, "__at").groupBy("__at")).applyInArrow(step, schema)
+
+
+def lda_fit(counts: DataFrame, id_col: str, k: int, rounds: int = 10, alpha: float = 0.1, eta: float = 0.01, seed: int = 1,
+            blocks: tuple[DataFrame, int] | None = None) -> DataFrame:
     """``(term, p0..)``: word weights of ``k`` topics, which sum to 1 in each topic.
 
     Expectation-maximisation with symmetric Dirichlet pseudo-counts ``alpha`` (mix
     of a document) and ``eta`` (words of a topic), from weights dealt by hash. A
-    round is one job over the counts: joined with the weights of their term and
-    the mix of their document, each occurrence is shared out among the topics;
-    the shares, written once, sum up to the next weights and mixes.
+    round is one job over blocks of documents (``document_blocks``): a block gets
+    the weights of its terms and the mixes of its documents, and gives back one
+    sum per term and document. Counts themselves are not moved or written again.
     """
-    counts = stage(counts.select(id_col, "term", "tf"), "lda-counts")
-    deal = [((portable_hash("term", F.lit(i), seed=seed) / F.lit(float(HASH_SPACE))) + F.lit(0.5)).alias(f"p{i}") for i in range(k)]
-    weights = counts.select("term").distinct().select("term", *deal)
-    mix = counts.select(id_col).distinct().select(id_col, *[F.lit(1.0 / k).alias(f"t{i}") for i in range(k)])
-    for _ in range(rounds):
-        r = stage(_responsible(counts.join(weights, "term").join(mix, id_col), [id_col, "term"], k), "lda-shares")
-        weights, mix = _term_weights(r, k, eta), _mix(r, id_col, k, alpha)
-    return stage(weights, "lda-weights")
-
-
-def lda_mix(counts: DataFrame, weights: DataFrame, id_col: str, k: int, rounds: int = 5, alpha: float = 0.1) -> DataFrame:
-    """``(id, t0..)``: topic mix of documents under fixed word weights; words the topics do not know are ignored."""
-    known = stage(counts.join(weights, "term").select(id_col, "tf", *_shares("p", k)), "lda-known")
-    mix = known.select(id_col).distinct().select(id_col, *[F.lit(1.0 / k).alias(f"t{i}") for i in range(k)])
+    own = blocks or document_blocks(counts, id_col)
+    rows, n = own
+    id_type = rows.schema[id_col].dataType.simpleString()
+    schema = f"__block int, {id_col} {id_type}, term string, " + ", ".join(f"r{i} double" for i in range(k))
+
+    def step(table: pa.Table, state: pa.Table) -> pa.Table:
+        b = _Block(table, state, id_col, k)
+        terms, docs = b.shares(b.doc_values)
+        block = pa.array(np.full(len(terms) + len(docs), table.column("__block")[0].as_py() if len(table) else 0, np.int32))
+        ids = pa.concat_arrays([pa.nulls(len(terms), b.ids.type), b.ids])
+        words = pa.concat_arrays([b.terms, pa.nulls(len(docs), b.terms.type)])
+        return pa.table({"__block": block, id_col: ids, "term": words, **_numbers("r", np.concatenate([terms, docs]))})
+
+    deal = [((portable_hash("term", F.lit(i), seed=seed) / F.lit(float(HASH_SPACE))) + F.lit(0.5)).alias(f"v{i}") for i in range(k)]
+    even = [F.lit(1.0 / k).alias(f"v{i}") for i in range(k)]
+    none = F.lit(None)
+    state = (rows.select("__block", "term").distinct().select("__block", none.cast(id_type).alias(id_col), "term", *deal)
+             .unionByName(rows.select("__block", id_col).distinct().select("__block", id_col, none.cast("string").alias("term"), *even)))
     for _ in range(rounds):
-        mix = stage(_mix(_responsible(known.join(mix, id_col), [id_col], k), id_col, k, alpha), "lda-mix")
+        out = _over_blocks(rows, n, state, step, schema)
+        sums = stage(out.groupBy(id_col, "term").agg(*[F.sum(f"r{i}").alias(f"r{i}") for i in range(k)], F.collect_list("__block").alias("__blocks")), "lda-sums")  # at most n blocks
+        total = sums.where("term IS NOT NULL").agg(*[F.sum(f"r{i}").alias(f"__s{i}") for i in range(k)], F.count(F.lit(1)).alias("__v"))
+        mixed: Column = sum([F.col(f"r{i}") for i in range(1, k)], F.col("r0")) + F.lit(k * alpha)
+        value = [F.when(F.col("term").isNotNull(), (F.col(f"r{i}") + F.lit(eta)) / (F.col(f"__s{i}") + F.lit(eta) * F.col("__v")))
+                 .otherwise((F.col(f"r{i}") + F.lit(alpha)) / mixed).alias(f"v{i}") for i in range(k)]
+        now = attach_row(sums, total).select(id_col, "term", "__blocks", *value)
+        state = now.select(F.explode("__blocks").alias("__block"), id_col, "term", *_shares("v", k))
+    weights = stage((now if rounds else state.distinct()).where("term IS NOT NULL").select("term", *[F.col(f"v{i}").alias(f"p{i}") for i in range(k)]).distinct(), "lda-weights")
+    if not blocks:
+        rows.unpersist()
+    return weights
+
+
+def lda_mix(counts: DataFrame, weights: DataFrame, id_col: str, k: int, rounds: int = 5, alpha: float = 0.1,
+            blocks: tuple[DataFrame, int] | None = None) -> DataFrame:
+    """``(id, t0..)``: topic mix of documents under fixed word weights; words the topics do not know are ignored.
+
+    Mixes of documents do not depend on each other, so all rounds of a block are one step.
+    """
+    own = blocks or document_blocks(counts, id_col)
+    rows, n = own
+    id_type = rows.schema[id_col].dataType.simpleString()
+
+    def step(table: pa.Table, state: pa.Table) -> pa.Table:
+        b = _Block(table, state, id_col, k)
+        mixes = np.full((len(b.ids), k), 1.0 / k)
+        for _ in range(rounds):
+            docs = b.shares(mixes, by_term=False)[1] + alpha
+            mixes = docs / docs.sum(axis=1, keepdims=True)
+        some = np.bincount(b.d, b.known[b.t], len(mixes)) > 0
+        return pa.table({id_col: b.ids.filter(pa.array(some)), **_numbers("t", mixes[some])})
+
+    ask = rows.select("__block", "term").distinct().join(weights, "term")
+    state = ask.select("__block", F.lit(None).cast(id_type).alias(id_col), "term", *[F.col(f"p{i}").alias(f"v{i}") for i in range(k)])
+    mix = stage(_over_blocks(rows, n, state, step, f"{id_col} {id_type}, " + ", ".join(f"t{i} double" for i in range(k))), "lda-mix")
+    if not blocks:
+        rows.unpersist()
     return mix
 
 

@@ -558,7 +558,8 @@ top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY
 
 
 def _topic_counts(t):
-    dt = X.doc_term_counts(X.tokens(t.documents, "doc_id", "text", X.VECTOR_TOKEN, lower=True), "doc_id", materialize=False)
+    docs = X.by_document(t.documents.select("doc_id", "text"), "doc_id")
+    dt = X.doc_term_counts(X.tokens(docs, "doc_id", "text", X.VECTOR_TOKEN, lower=True), "doc_id", materialize=False)
     dt = stage(dt, "topic-counts")
     return dt, X.counts_on_vocabulary(dt, _vocab(dt), "doc_id")
 
@@ -579,8 +580,12 @@ SELECT doc_id, CAST(generate_subscripts(m, 1) - 1 AS INTEGER) AS topic, round(un
 FROM (SELECT doc_id, [{', '.join(f't{i}' for i in range(TOPICS))}] AS m FROM x)""")
 def q_topic_dist(spark, t):
     """Topic mix of every document that holds a word of the vocabulary; ``whole`` is the sum of its shares."""
-    _, counts, weights = _topics(t)
-    mix = TM.lda_mix(counts, weights, "doc_id", TOPICS, MIX_ROUNDS, ALPHA).withColumn("mix", F.array(*[f"t{i}" for i in range(TOPICS)]))
+    _, counts = _topic_counts(t)
+    blocks = TM.document_blocks(counts, "doc_id")
+    weights = TM.lda_fit(counts, "doc_id", TOPICS, LDA_ROUNDS, ALPHA, ETA, seed=1, blocks=blocks)
+    mix = TM.lda_mix(counts, weights, "doc_id", TOPICS, MIX_ROUNDS, ALPHA, blocks=blocks)
+    blocks[0].unpersist()
+    mix = mix.withColumn("mix", F.array(*[f"t{i}" for i in range(TOPICS)]))
     whole = F.round(F.aggregate("mix", F.lit(0.0), lambda a, x: a + x), 9).alias("whole")
     return mix.select("doc_id", whole, F.posexplode("mix").alias("topic", "share")).select("doc_id", "topic", F.round("share", 6).alias("share"), "whole")
 
@@ -618,7 +623,8 @@ SELECT doc_id, CAST((SELECT count(*) FROM voc) + 2 AS INTEGER) AS n_features, CA
 def q_feature_assemble(spark, t):
     """tf-idf on the whole vocabulary with length and digit count appended, as sparse vectors."""
     d = t.documents.select("doc_id", F.length("text").cast("double").alias("len"), F.regexp_count("text", F.lit("[0-9]")).cast("double").alias("digits"))
-    dt = stage(X.doc_term_counts(X.tokens(t.documents, "doc_id", "text", X.VECTOR_TOKEN, lower=True), "doc_id", materialize=False), "assemble-counts")
+    own = X.by_document(t.documents.select("doc_id", "text"), "doc_id")
+    dt = stage(X.doc_term_counts(X.tokens(own, "doc_id", "text", X.VECTOR_TOKEN, lower=True), "doc_id", materialize=False), "assemble-counts")
     vocab = stage(TM.numbered_vocabulary(X.vocabulary_from_counts(dt, "doc_id", min_df=2)), "assemble-vocabulary")
     cells = TM.weighted_terms(X.counts_on_vocabulary(dt, vocab, "doc_id"), vocab, d, "doc_id")
     v = TM.assemble_sparse(cells, d, "doc_id", vocab.count(), ["len", "digits"])
