@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.staging import stage
+from tessera.functions.staging import hinted, stage
 
 
 def closure(edges: DataFrame) -> DataFrame:
@@ -44,12 +44,38 @@ def closure(edges: DataFrame) -> DataFrame:
     return stage(known.unionByName(own), "closure")
 
 
+def ancestor_classes(clo: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(node, class)`` and ``(class, ancestor, depth)``: nodes that nothing stands below share a class if they have the same ancestors.
+
+    A node with others below it is a class of its own and among its ancestors;
+    of the others only the proper ancestors are listed. A class is named by its
+    least node.
+    """
+    inner = clo.where("node <> ancestor").select(F.col("ancestor").alias("node")).distinct().withColumn("__inner", F.lit(True))
+    own = clo.join(inner, "node", "left").withColumn("__inner", F.coalesce("__inner", F.lit(False)))
+    listed = F.when(F.col("__inner") | (F.col("node") != F.col("ancestor")), F.struct("ancestor", "depth"))
+    ups = own.groupBy("node", "__inner").agg(F.sort_array(F.collect_list(listed)).alias("__up"))  # one node's ancestors
+    named = ups.groupBy("__up").agg(F.min("node").alias("class"))
+    classes = stage(ups.join(named, "__up").select("node", "class"), "taxonomy-classes")
+    return classes, stage(named.select("class", F.inline("__up")), "taxonomy-lists")
+
+
 def pair_similarity(pairs: DataFrame, clo: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
-    """Path similarity for given pairs ``(keys..., a, b)``; unconnected pairs are dropped."""
-    ca = clo.select(F.col("node").alias(a), F.col("ancestor"), F.col("depth").alias("__da"))
-    cb = clo.select(F.col("node").alias(b), F.col("ancestor"), F.col("depth").alias("__db"))
-    j = pairs.select(*keys, a, b).join(ca, a).join(cb, [b, "ancestor"])
-    return j.groupBy(*keys).agg((F.lit(1.0) / (F.lit(1) + F.min(F.col("__da") + F.col("__db")))).alias("sim"))
+    """Path similarity for given pairs ``(keys..., a, b)``; unconnected pairs are dropped.
+
+    A pair meets one class of each of its nodes; distances are computed once for
+    each two classes that meet.
+    """
+    classes, lists = ancestor_classes(clo)
+    of = lambda col, name: classes.select(F.col("node").alias(col), F.col("class").alias(name))
+    met = stage(pairs.select(*keys, a, b).join(of(a, "__ca"), a).join(of(b, "__cb"), b)
+                .select(*keys, F.when(F.col(a) == F.col(b), F.lit(0)).alias("__same"), "__ca", "__cb"), "taxonomy-pairs")
+    la = lists.select(F.col("class").alias("__ca"), "ancestor", F.col("depth").alias("__da"))
+    lb = lists.select(F.col("class").alias("__cb"), "ancestor", F.col("depth").alias("__db"))
+    far = met.select("__ca", "__cb").distinct().join(la, "__ca").join(lb, ["__cb", "ancestor"])
+    far = stage(far.groupBy("__ca", "__cb").agg(F.min(F.col("__da") + F.col("__db")).alias("__d")), "taxonomy-distances")
+    j = met.join(hinted(far), ["__ca", "__cb"], "left").withColumn("__d", F.coalesce("__same", "__d")).where(F.col("__d").isNotNull())
+    return j.groupBy(*keys).agg((F.lit(1.0) / (F.lit(1) + F.min("__d"))).alias("sim"))
 
 
 def best_match(list1: DataFrame, list2: DataFrame, clo: DataFrame, rec: str, item: str) -> DataFrame:
