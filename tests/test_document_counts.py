@@ -33,3 +33,12 @@ def test_char_ngrams_are_made_once_for_each_word_of_a_document(spark, tmp_path):
     assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
     got = {r.doc_id: (r.n_words, r.n_grams, r.n_distinct_words) for r in out.collect()}
     assert got == {1: (3, 3 + 2 + 1 + 3 + 2 + 1 + 2 + 1, 2), 4: (1, 8 + 7 + 6 + 5, 1)}
+
+
+def test_idf_takes_the_frequencies_of_a_vocabulary(spark):
+    counts = spark.createDataFrame([(1, "aa", 2), (2, "aa", 1), (2, "bb", 1)], "id long, term string, tf long")
+    vocab = spark.createDataFrame([("aa", 2), ("bb", 1)], "term string, df long")
+    own, given = X.idf_table(counts, "id"), X.idf_table(counts, "id", vocab)
+    assert {tuple(r) for r in own.collect()} == {tuple(r) for r in given.collect()}
+    w = X.tfidf(counts, given, "id")
+    assert {r.id: round(r.s, 12) for r in w.groupBy("id").agg(F.sum(F.col("tfidf") ** 2).alias("s")).collect()} == {1: 1.0, 2: 1.0}
