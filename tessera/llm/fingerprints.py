@@ -10,7 +10,7 @@ and the word with the least ``a`` is the sample, together with its grid step
 ``t``. Two texts have the same sample with a probability equal to their
 generalised Jaccard similarity, ``sum min(S, T) / sum max(S, T)``.
 
-The draws come from tables of 4096 quantiles, so a draw costs one hash and three
+The draws come from tables of 4096 quantiles, so a draw costs two hashes and two
 look-ups. The least draws are kept by ordinary aggregation.
 """
 
@@ -18,15 +18,17 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import barrier, words
+from tessera.llm.common import barrier, staged, words
 
 SAMPLES = 64
 LEVELS = 4096
 #: Samples are drawn in this many parts, which keeps the generated code of each small.
 PARTS = 8
+#: Where a word stands with its count: in the first bag, in the second, in both.
+A, B, BOTH = 0, 1, 2
 #: Documents are laid out in this many ranges of keys for each shuffle partition.
 RANGES_PER_PARTITION = 2
 
@@ -43,50 +45,69 @@ def _gamma2_quantile(p: float) -> float:
 GAMMA = [_gamma2_quantile((i + 0.5) / LEVELS) for i in range(LEVELS)]
 
 
-def _array(values: list[float]) -> Column:
-    """Constant array: one literal text that the optimizer folds, not thousands of literals."""
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+def _tables(spark: SparkSession) -> Column:
+    """Quantiles of ``r``, then those of ``ln c``, as one array: a scalar subquery on a staged row.
+
+    Plans name the file and tasks get the array as plain numbers. A literal
+    array would be spelled out in every draw of every plan that the driver
+    keeps as text, and be boxed number by number.
+    """
+    values = F.split(F.lit(",".join(map(repr, GAMMA + [math.log(g) for g in GAMMA]))), ",").cast("array<double>")
+    return staged(spark.range(1, numPartitions=1).select(values.alias("quantiles")), "op10-quantiles").scalar()
 
 
-def _sample(k: Column, r: Column, log_c: Column) -> Column:
+def _sample(k: Column, tables: Column) -> Column:
     """Draw ``k`` of a word: order of ``ln a`` in the high half, identity of (word, t) in the low half."""
     h = F.xxhash64("term", k)
-    rate = F.get(r, h.bitwiseAND(LEVELS - 1).cast("int"))
-    beta = F.shiftrightunsigned(h, 40) / F.lit(float(1 << 24))
+    rate = F.get(tables, h.bitwiseAND(LEVELS - 1).cast("int"))
+    beta = F.shiftrightunsigned(h, 40) * F.lit(1 / (1 << 24))
     t = F.floor(F.col("log_weight") / rate + beta)
-    log_a = F.get(log_c, F.shiftrightunsigned(h, 12).bitwiseAND(LEVELS - 1).cast("int")) - rate * (t - beta + 1)
+    log_a = F.get(tables, F.shiftrightunsigned(h, 12).bitwiseAND(LEVELS - 1).cast("int") + LEVELS) - rate * (t - beta + 1)
     rank = F.greatest(F.lit(0.0), F.least(F.lit(2.0**31 - 1), (log_a + 512) * (1 << 21))).cast("bigint")
     return F.shiftleft(rank, 32).bitwiseOR(F.xxhash64("term", t).bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
-def weighted_terms(bags: DataFrame, keys: list[str], bag: str = "ws") -> DataFrame:
-    """``keys``, ``term`` (hash of a word) and ``log_weight``, one row per distinct word of an array of words.
+def weighted_terms(bags: DataFrame, keys: list[str], a: str = "ws", b: str = "edited") -> DataFrame:
+    """``keys``, ``term`` (hash of a word), ``log_weight`` and ``bag``, one row per distinct word and count of two arrays of words.
 
-    A bag is counted where it stands: its hashes are sorted and runs of equal
-    ones measured. No words give one row of nulls.
+    ``bag`` is ``A`` or ``B``, or ``BOTH`` for a word that stands equally often
+    in each. Bags are counted where they stand: the hashes of both are sorted
+    together, once as they are and once with the bag in the lowest bit, which
+    leaves their order, and runs of the latter are measured. No words give one
+    row of nulls.
     """
-    h, starts = F.col("__f_hashes"), F.col("__f_starts")
-    out = barrier(bags.select(*keys, bag), __f_hashes=F.sort_array(F.transform(bag, lambda w: F.xxhash64(w))))
-    first = F.filter(F.transform(h, lambda x, i: F.when(F.coalesce(F.get(h, i - 1) != x, F.lit(True)), i)), lambda i: i.isNotNull())
-    out = barrier(out.drop(bag), __f_starts=first)
-    runs = F.transform(starts, lambda i, j: F.struct(F.get(h, i).alias("term"), F.log((F.coalesce(F.get(starts, j + 1), F.size(h)) - i).cast("double")).alias("log_weight")))
-    return out.select(*keys, F.inline_outer(runs))
+    h, sides, starts, runs = (F.col(f"__f_{c}") for c in ("hashes", "sides", "starts", "runs"))
+    own, other = F.col("__f_a"), F.col("__f_b")
+    out = barrier(bags.select(*keys, a, b), __f_a=F.transform(a, lambda w: F.xxhash64(w)), __f_b=F.transform(b, lambda w: F.xxhash64(w))).drop(a, b)
+    marked = F.concat(F.transform(own, lambda x: x.bitwiseAND(F.lit(-2))), F.transform(other, lambda x: x.bitwiseOR(F.lit(1))))
+    out = barrier(out, __f_hashes=F.sort_array(F.concat(own, other)), __f_sides=F.sort_array(marked)).drop("__f_a", "__f_b")
+    first = F.filter(F.transform(sides, lambda x, i: F.when(F.coalesce(F.get(sides, i - 1) != x, F.lit(True)), i)), lambda i: i.isNotNull())
+    out = barrier(out, __f_starts=first)
+    end = lambda j: F.coalesce(F.get(starts, j + 1), F.size(h))
+    measured = F.transform(starts, lambda i, j: F.struct(F.get(h, i).alias("term"), (end(j) - i).alias("n"), F.get(sides, i).bitwiseAND(F.lit(1)).cast("int").alias("bag")))
+    out = barrier(out, __f_runs=measured).select(*keys, "__f_runs")
+    equal = lambda r, q: F.coalesce((q["term"] == r["term"]) & (q["n"] == r["n"]), F.lit(False))
+    named = F.transform(runs, lambda r, j: F.struct(r["term"].alias("term"), F.log(r["n"].cast("double")).alias("log_weight"), F.when(
+        r["bag"] == A, F.when(equal(r, F.get(runs, j + 1)), BOTH).otherwise(A)).when(~equal(r, F.get(runs, j - 1)), B).alias("bag")))
+    return out.select(*keys, F.inline_outer(F.filter(named, lambda r: r["bag"].isNotNull())))
 
 
 def signatures(bags: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys`` and ``signature`` (array of ``SAMPLES`` numbers; null without words) of rows ``keys``, ``ws`` (words).
+    """``keys`` and the signatures ``own`` and ``edited`` (arrays of ``SAMPLES`` numbers; null without words) of rows ``keys``, ``ws``, ``edited`` (words).
 
     Each distinct word is laid out once for each part of the samples, and each
-    sample is the least draw.
+    sample is the least draw. What stands equally often in both bags is drawn
+    once: the least draw of a bag is that of its own words or of the shared ones.
     """
     ready = weighted_terms(bags, keys).select("*", F.explode(F.array(*[F.lit(p) for p in range(PARTS)])).alias("part"))
-    r, log_c = _array(GAMMA), _array([math.log(g) for g in GAMMA])
-    each = SAMPLES // PARTS
-    least = ready.groupBy(*keys, "part").agg(*[F.min(_sample(F.col("part") * each + i, r, log_c)).alias(f"s{i}") for i in range(each)])
-    low = F.array(*[F.col(f"s{i}").bitwiseAND(F.lit(0xFFFFFFFF)) for i in range(each)])
-    part = least.select(*keys, "part", F.when(F.col("s0").isNotNull(), low).alias("samples"))
-    whole = part.groupBy(*keys).agg(*[F.max(F.when(F.col("part") == p, F.col("samples"))).alias(f"p{p}") for p in range(PARTS)])
-    return whole.select(*keys, F.concat(*[F.col(f"p{p}") for p in range(PARTS)]).alias("signature"))
+    tables, each = _tables(bags.sparkSession), SAMPLES // PARTS
+    least = ready.groupBy(*keys, "bag", "part").agg(*[F.min(_sample(F.col("part") * each + i, tables)).alias(f"s{i}") for i in range(each)])
+    of = {"own": B, "edited": A}
+    part = least.groupBy(*keys, "part").agg(*[F.min(F.when(F.col("bag") != no, F.col(f"s{i}"))).alias(f"{c}{i}") for c, no in of.items() for i in range(each)])
+    low = {c: F.array(*[F.col(f"{c}{i}").bitwiseAND(F.lit(0xFFFFFFFF)) for i in range(each)]) for c in of}
+    part = part.select(*keys, "part", *[F.when(F.col(f"{c}0").isNotNull(), low[c]).alias(c) for c in of])
+    whole = part.groupBy(*keys).agg(*[F.max(F.when(F.col("part") == p, F.col(c))).alias(f"{c}{p}") for c in of for p in range(PARTS)])
+    return whole.select(*keys, *[F.concat(*[F.col(f"{c}{p}") for p in range(PARTS)]).alias(c) for c in of])
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -149,9 +170,7 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("t"), F.lit(1), n - cut), F.substring(F.col("next"), F.lit(1), cut))
     both = laid.select("range", "at", "ghost", "k", n.cast("bigint").alias("n_chars"), "t", edited.alias("e"))
-    texts = F.array(*[F.struct(F.lit(i).alias("which"), words(F.col(c)).alias("ws")) for i, c in enumerate("te")])
-    signed = signatures(both.select("range", "at", F.inline(texts)), ["range", "at", "which"])
-    pairs = signed.groupBy("range", "at").agg(*[F.max(F.when(F.col("which") == i, F.col("signature"))).alias(c) for i, c in enumerate(("own", "edited"))])
+    pairs = signatures(both.select("range", "at", words(F.col("t")).alias("ws"), words(F.col("e")).alias("edited")), ["range", "at"])
     facts = both.select("range", "at", "ghost", "k", "n_chars", F.sha2(F.col("e").cast("binary"), 256).alias("sha"))
     done = facts.join(pairs, ["range", "at"]).withColumn("after", F.lead("own").over(follow)).where("NOT ghost")
     return done.select(F.col("k").cast(docs.schema[key].dataType).alias(key), "n_chars", F.col("sha").alias("edited_sha256"),
