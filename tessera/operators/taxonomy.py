@@ -4,16 +4,17 @@
 
 The closure ``(node, ancestor, depth)`` is built by path doubling, in as many
 rounds as the depth has binary digits. List-to-list best matches never emit all item pairs of a
-record: the second list is first reduced to ``min depth per (record,
-ancestor)`` and the first list joins it on ``(record, ancestor)``.
+record: items are reduced to classes with the same ancestors, and the classes of
+both lists meet at ``min depth per (record, ancestor)``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.staging import hinted, stage
+from tessera.session import shuffle_partitions
 
 
 def closure(edges: DataFrame) -> DataFrame:
@@ -78,22 +79,62 @@ def pair_similarity(pairs: DataFrame, clo: DataFrame, keys: list[str], a: str, b
     return j.groupBy(*keys).agg((F.lit(1.0) / (F.lit(1) + F.min("__d"))).alias("sim"))
 
 
+def _classed(list1: DataFrame, list2: DataFrame, clo: DataFrame, rec: str, item: str) -> tuple[DataFrame, DataFrame]:
+    """Items and classes of the records of two lists, both laid out by record.
+
+    Items: ``rec``, ``__class``, ``item``, ``__in1``, ``__in2`` (the lists they stand in),
+    each once. Classes: ``rec``, ``__class``, the numbers of items that stand in
+    the first list alone, the second alone and both (``__n1``, ``__n2``, ``__n``),
+    and ``__d1``, ``__d2``, the class's distance to the nearest one of the other
+    list (null: none is connected).
+
+    Items meet their classes and go to their records once; what follows stays
+    there, with a row for each class of a record and ancestor of it. As rows
+    multiply there, the partitions are numbered, which keeps small ones apart.
+    """
+    classes, lists = ancestor_classes(clo)
+    both = (list1.select(rec, F.col(item).alias("node"), F.lit(True).alias("__in1"), F.lit(False).alias("__in2"))
+            .unionByName(list2.select(rec, F.col(item).alias("node"), F.lit(False).alias("__in1"), F.lit(True).alias("__in2"))))
+    laid = both.where(F.col(rec).isNotNull()).join(classes, "node").repartition(shuffle_partitions(clo.sparkSession), rec)
+    items = laid.groupBy(rec, F.col("class").alias("__class"), F.col("node").alias(item)).agg(F.max("__in1").alias("__in1"), F.max("__in2").alias("__in2"))
+    each = items.groupBy(rec, "__class").agg(F.count_if(~F.col("__in2")).alias("__n1"), F.count_if(~F.col("__in1")).alias("__n2"), F.count_if(F.col("__in1") & F.col("__in2")).alias("__n"))
+    ups = each.join(hinted(lists.withColumnRenamed("class", "__class")), "__class")
+    at = Window.partitionBy(rec, "ancestor")
+    near = ups.withColumns({"__m1": F.min(F.when(F.col("__n1") + F.col("__n") > 0, F.col("depth"))).over(at),
+                            "__m2": F.min(F.when(F.col("__n2") + F.col("__n") > 0, F.col("depth"))).over(at)})
+    return items, near.groupBy(rec, "__class", "__n1", "__n2", "__n").agg(F.min(F.col("depth") + F.col("__m2")).alias("__d1"), F.min(F.col("depth") + F.col("__m1")).alias("__d2"))
+
+
+def _similarity(depth: Column) -> Column:
+    return F.lit(1.0) / (F.lit(1) + depth)
+
+
 def best_match(list1: DataFrame, list2: DataFrame, clo: DataFrame, rec: str, item: str) -> DataFrame:
     """For each ``(rec, item)`` of list1: max similarity to any item of list2 of the same record."""
-    m2 = (list2.select(rec, F.col(item).alias("node")).join(clo, "node")
-          .groupBy(rec, "ancestor").agg(F.min("depth").alias("__d2")))
-    l1 = list1.select(rec, F.col(item).alias("node")).join(clo, "node")
-    j = l1.join(m2, [rec, "ancestor"])
-    return j.groupBy(rec, F.col("node").alias(item)).agg(
-        (F.lit(1.0) / (F.lit(1) + F.min(F.col("depth") + F.col("__d2")))).alias("best_sim"))
+    items, near = _classed(list1, list2, clo, rec, item)
+    j = items.where("__in1").join(near.select(rec, "__class", "__d1"), [rec, "__class"], "left")
+    depth = F.when(F.col("__in2"), F.lit(0)).otherwise(F.col("__d1"))
+    return j.where(depth.isNotNull()).select(rec, item, _similarity(depth).alias("best_sim"))
+
+
+def _scores(list1: DataFrame, list2: DataFrame, clo: DataFrame, rec: str, item: str) -> DataFrame:
+    """``rec``, ``__s12``, ``__s21``: mean over each list's items of their best similarity onto the other (null: none matched).
+
+    The items of a class that stand in one list alone have one best similarity; an item of both lists has 1.
+    """
+    near = _classed(list1, list2, clo, rec, item)[1]
+    mean = {}
+    for out, n, d in (("__s12", F.col("__n1"), F.col("__d1")), ("__s21", F.col("__n2"), F.col("__d2"))):
+        alone = F.when(d.isNotNull(), n).otherwise(F.lit(0))
+        mean[out] = F.try_divide(F.sum(F.col("__n") + alone * F.coalesce(_similarity(d), F.lit(0.0))), F.sum(F.col("__n") + alone))
+    return near.groupBy(rec).agg(*[m.alias(out) for out, m in mean.items()])
 
 
 def list_score(list1: DataFrame, list2: DataFrame, clo: DataFrame, rec: str, item: str) -> DataFrame:
     """Mean over list1 items of their best similarity onto list2 (unmatched items ignored)."""
-    return best_match(list1, list2, clo, rec, item).groupBy(rec).agg(F.avg("best_sim").alias("score"))
+    return _scores(list1, list2, clo, rec, item).where("__s12 IS NOT NULL").select(rec, F.col("__s12").alias("score"))
 
 
 def symmetric_score(list1: DataFrame, list2: DataFrame, clo: DataFrame, rec: str, item: str) -> DataFrame:
-    s12 = list_score(list1, list2, clo, rec, item).withColumnRenamed("score", "__s12")
-    s21 = list_score(list2, list1, clo, rec, item).withColumnRenamed("score", "__s21")
-    return s12.join(s21, rec).select(rec, ((F.col("__s12") + F.col("__s21")) / 2).alias("score"))
+    both = _scores(list1, list2, clo, rec, item).where("__s12 IS NOT NULL AND __s21 IS NOT NULL")
+    return both.select(rec, ((F.col("__s12") + F.col("__s21")) / 2).alias("score"))

@@ -22,7 +22,7 @@ def edges(t):
 def lists(t):
     o = t.orders.select(F.col("o_orderkey").alias("rec"), F.concat(F.lit("C:"), F.col("o_custkey").cast("string")).alias("item"))
     li = t.lineitem.select(F.col("l_orderkey").alias("rec"),
-                           F.concat(F.lit("S:"), F.col("l_suppkey").cast("string")).alias("item")).distinct()
+                           F.concat(F.lit("S:"), F.col("l_suppkey").cast("string")).alias("item"))
     return o, li
 
 
