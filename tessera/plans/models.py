@@ -27,6 +27,7 @@ from tessera.plans.registry import query, scratch_dir
 from tessera.plans.text import VTOK, _vocab, _vocab_sql
 
 DOC_FEATURES = ["n_chars", "n_digits", "n_non_word", "vowel_share", "upper_share"]
+_LINE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 LANG_MARKS = {"fr": "[éèêàçù]", "de": "[äöüß]", "es": "[ñáíóú¿¡]", "en": "[wkyh]"}
 
 
@@ -56,12 +57,17 @@ def lang_frame(t):
     return ML.assemble(f, [f"share_{c}" for c in LANG_MARKS]).checkpoint(eager=True)
 
 
-def reg_frame(t):
-    li = t.lineitem.select("l_orderkey", "l_linenumber", (F.col("l_extendedprice") / 100000.0).alias("y"),
-                           "l_quantity", "l_discount", "l_tax", "l_returnflag")
+def reg_frame(t, vector=False):
+    """Lines with their price ``y`` and three features, hash split 80/20, written once as fits read them in every pass.
+
+    ``vector``: ``y``, ``split`` and the features assembled, for trees, which
+    read the rows three times and then keep them, one object each, in memory.
+    """
+    li = t.lineitem.select("l_orderkey", "l_linenumber", (F.col("l_extendedprice") / 100000.0).alias("y"), *_LINE_FEATURES)
     u = portable_hash(F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")),
                       seed=42) % 1000000
-    return li.withColumn("split", F.when(u < 800000, "train").otherwise("test")).checkpoint(eager=True)
+    f = li.withColumn("split", F.when(u < 800000, "train").otherwise("test")).drop("l_orderkey", "l_linenumber")
+    return stage(ML.assemble(f, _LINE_FEATURES).drop(*_LINE_FEATURES) if vector else f, "reg-frame")
 
 
 def _train_test(f):
@@ -85,7 +91,6 @@ def q_ols(spark, t):
         .select(F.round("coefficient", 6).alias("coefficient"), F.round("intercept", 6).alias("intercept"))
 
 
-_LINE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 LASSO = 0.001
 
 
@@ -198,7 +203,7 @@ def q_tree_cls(spark, t):
 
 @query("model_tree_regressor")
 def q_tree_reg(spark, t):
-    f = ML.assemble(reg_frame(t), ["l_quantity", "l_discount", "l_tax"])
+    f = reg_frame(t, vector=True)
     m = DecisionTreeRegressor(featuresCol="features", labelCol="y", maxDepth=3).fit(f)
     return ML.tree_rules(spark, m)
 
@@ -213,7 +218,7 @@ def q_forest_cls(spark, t):
 
 @query("model_forest_regressor")
 def q_forest_reg(spark, t):
-    tr, te = _train_test(ML.assemble(reg_frame(t), ["l_quantity", "l_discount", "l_tax"]))
+    tr, te = _train_test(reg_frame(t, vector=True))
     m = RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=20, maxDepth=5, seed=7).fit(tr)
     return M.regression_metrics(m.transform(te), "y", "prediction")
 
@@ -236,7 +241,7 @@ def q_gbt_cls(spark, t):
 
 @query("model_boosted_regressor")
 def q_gbt_reg(spark, t):
-    tr, te = _train_test(ML.assemble(reg_frame(t), ["l_quantity", "l_discount", "l_tax"]))
+    tr, te = _train_test(reg_frame(t, vector=True))
     m = GBTRegressor(featuresCol="features", labelCol="y", maxDepth=3, maxIter=20, stepSize=0.1, seed=7).fit(tr)
     return M.regression_metrics(m.transform(te), "y", "prediction")
 
