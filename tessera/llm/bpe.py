@@ -60,7 +60,7 @@ class Automaton:
         self.arcs: dict[int, bool] = {}
         for k, (u, v) in enumerate(merges, 1):
             self._gadget(vocab[u], vocab[v], vocab[u + v], k)
-        self.rows: dict[bytes, tuple[int, tuple[int, ...]]] = {b"": (0, ())}
+        self.rows: dict[bytes, int] = {b"": 0}
         symbol = {c: i for i, c in enumerate(byte_alphabet())}
         self.ends, self.ending = {}, [-1]  # labels read from their ends; the label that a node spells
         for t, i in vocab.items():
@@ -112,20 +112,22 @@ class Automaton:
         self.arcs[key] = not q
         return not q
 
-    def step(self, word: bytes, last: int) -> tuple[int, tuple[int, ...]]:
-        """State and labels after ``word``, whose last symbol is ``last``, from those of its beginnings.
+    def step(self, word: bytes, last: int) -> int:
+        """The row of ``word``, whose last symbol is ``last``, from those of its beginnings.
 
         The labels that end here are read backwards; exactly one of them fits
-        the state where it starts.
+        the state where it starts. A row is one number, which a table of many
+        holds in a fraction of a tuple's memory: the state, where the last label
+        starts and that label.
         """
         ends, arcs, ending, rows, lo = self.ends.get, self.arcs.get, self.ending, self.rows, len(word) - 1
         node = ends(last)
         while True:
             if (t := ending[node]) >= 0:
-                q, labels = rows[word[:lo]]
+                q = rows[word[:lo]] >> 30
                 fits = arcs(q << 20 | t)
                 if self.allows(q, t) if fits is None else fits:
-                    return self.target.get(t, 0), (*labels, t)
+                    return self.target.get(t, 0) << 30 | lo << 20 | t
             lo -= 1
             node = ends(node << 9 | word[lo])
 
@@ -140,13 +142,19 @@ class Automaton:
             return self.encode_long(word)
         if len(rows) > TABLE_ROWS:
             rows.clear()
-            rows[b""] = (0, ())
+            rows[b""] = 0
         have = n - 1
         while word[:have] not in rows:
             have -= 1
         for hi in range(have + 1, n):
             rows[word[:hi]] = self.step(word[:hi], word[hi - 1])
-        return self.step(word, word[-1] | 256)[1]
+        row, out = self.step(word, word[-1] | 256), []
+        while True:
+            out.append(row & 0xFFFFF)
+            lo = row >> 20 & 0x3FF
+            if not lo:
+                return tuple(out[::-1])
+            row = rows[word[:lo]]
 
     def encode_long(self, word: bytes) -> tuple[int, ...]:
         """``encode`` with the states of one word's beginnings in a list: time and memory linear in its length."""
@@ -183,27 +191,26 @@ class Tokenizer:
         self.blank = regex.compile(r"\p{White_Space}+").sub
         self.marks = sorted({c[:2] for c in self.specials})
         self.separators = regex.compile(r"[\x1c-\x1f]").search
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}
 
     def forget(self) -> None:
         """Empty the caches: a worker that waits for other work holds the tables alone."""
         self.known.clear()
         self.automaton.arcs.clear()
         self.automaton.rows.clear()
-        self.automaton.rows[b""] = (0, ())
+        self.automaton.rows[b""] = 0
 
-    def word(self, w: str) -> tuple[bytes, str]:
+    def word(self, w: str) -> bytes:
         ids = self.automaton.encode(w.encode())
-        return pack(f"<{len(ids)}I", *ids), " ".join([self.labels[i] for i in ids])
+        return pack(f"<{len(ids)}I", *ids)
 
-    def chunk(self, c: str) -> tuple[bytes, str]:
+    def chunk(self, c: str) -> bytes:
         """A run of text without white space: its words one after another."""
         known = self.known
         if c.isalpha() or len(found := self.find(c)) == 1 and found[0] == c:
             out = self.word(c)
         else:
-            parts = [known.get(w) or self.chunk(w) for w in found]
-            out = b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
+            out = b"".join([known.get(w) or self.chunk(w) for w in found])
         if len(c) <= CACHED_CHARS:
             if len(known) >= WORD_CACHE:
                 known.clear()
@@ -216,19 +223,19 @@ class Tokenizer:
         low = text.lower()
         return low if "Σ" not in text else "".join([c.lower() for c in text])
 
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """Little-endian 32-bit ids of a text, and their labels joined by spaces."""
-        parts: list[tuple[bytes, str]] = []
+    def encode(self, text: str) -> bytes:
+        """Little-endian 32-bit ids of a text."""
+        parts: list[bytes] = []
         get, chunk = self.known.get, self.chunk
         for piece in self.cut(text) if any(m in text for m in self.marks) else [text]:
             if piece in self.specials:
-                parts.append((pack("<I", self.specials[piece]), piece))
+                parts.append(pack("<I", self.specials[piece]))
                 continue
             low = self.normalise(piece)
             # str.split() also cuts at U+001C to U+001F, which are no white space here.
             cuts = low.split() if not self.separators(low) else [low]
-            parts += [p for c in cuts if (p := get(c) or chunk(c))[0]]
-        return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
+            parts += [get(c) or chunk(c) for c in cuts]
+        return b"".join(parts)
 
     def decode(self, ids: bytes) -> str:
         """The arc labels of a sequence of ids, joined by spaces."""
@@ -260,10 +267,10 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
         try:
             for b in slices(batches, "text", 2 << 20):
                 got = [tok.encode(t or "") for t in b.column(1).to_pylist()]
-                cols = [b.column(0), pa.array([len(i) // 4 for i, _ in got], pa.int64()), pa.array([i for i, _ in got], pa.binary())]
+                cols = [b.column(0), pa.array([len(i) // 4 for i in got], pa.int64()), pa.array(got, pa.binary())]
                 names = [key, "n_tokens", "ids"]
                 if decoded:
-                    cols, names = [*cols, _strings([d for _, d in got])], [*names, "decoded"]
+                    cols, names = [*cols, _strings([tok.decode(i) for i in got])], [*names, "decoded"]
                 yield pa.RecordBatch.from_arrays(cols, names)
         finally:
             tok.forget()
