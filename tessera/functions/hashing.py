@@ -8,6 +8,8 @@ and it needs no shuffle or driver state: each row decides for itself.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +34,12 @@ def portable_hash(*parts, seed: int | str | None = None) -> Column:
     return _md5_prefix(parts, seed, 8)
 
 
+def portable_hash_of(*parts, seed: int | str | None = None) -> int:
+    """``portable_hash`` of plain values."""
+    text = ":".join(str(p) for p in (parts if seed is None else (*parts, seed)))
+    return int(hashlib.md5(text.encode()).hexdigest()[:8], 16)
+
+
 def wide_hash(*parts, seed: int | str | None = None) -> Column:
     """The same of 15 hex digits, in [0, 2^60): for draws of positions ``mod N``, even at any table size."""
     return _md5_prefix(parts, seed, 15)

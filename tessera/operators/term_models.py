@@ -11,14 +11,18 @@ driver, so vocabularies are never cut for its sake.
 
 from __future__ import annotations
 
+import zlib
+from contextlib import contextmanager
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pac
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel, TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import HASH_SPACE, portable_hash
+from tessera.functions.hashing import HASH_SPACE, portable_hash_of
 from tessera.functions.ordering import dense_index
 from tessera.functions.staging import stage
 from tessera.functions.subquery import attach_row
@@ -124,141 +128,293 @@ def margin(scores: DataFrame, id_col: str, label: str, positive) -> DataFrame:
 
 #: Rows of a block of documents, as counted; a task holds one block.
 LDA_BLOCK = 4_000_000
+#: Terms fall into so many buckets by hash; a shard is a run of buckets. Places of terms in blocks that a shard holds.
+LDA_BUCKETS, LDA_SHARD = 4096, 1_000_000
+#: Rows that the numbers of a step are computed for at a time.
+_PART = 1 << 18
+_OUT = "__shard int, __block bigint, docs boolean, value binary, whole binary"
 
 
 def _shares(prefix: str, k: int) -> list[str]:
     return [f"{prefix}{i}" for i in range(k)]
 
 
-def document_blocks(counts: DataFrame, id_col: str, block_rows: int = LDA_BLOCK) -> tuple[DataFrame, int]:
-    """``(__block, id, term, tf)`` with whole documents in each block, kept on the executors' disks, and the number of blocks.
+def _column(table: pa.Table, name: str) -> pa.Array:
+    return table.column(name).combine_chunks()
+
 
-    Rounds over the blocks read them where they are; only what a block knows of
-    its terms and documents is exchanged. Call ``unpersist`` after the last round.
+def _small(tf: np.ndarray) -> np.ndarray:
+    """``tf`` in the least unsigned type that holds it, or as numbers with a fraction."""
+    if tf.dtype.kind in "iu" and (not len(tf) or tf.min() >= 0):
+        return tf.astype(np.min_scalar_type(int(tf.max()) if len(tf) else 0))
+    return tf.astype(np.float64)
+
+
+def _packed(table: pa.Table, id_col: str, block: int) -> pa.RecordBatch:
+    """One block as a row of numbers: its documents, their lengths, and place of the term and tf of each count; its terms by bucket."""
+    ids, terms = _column(table, id_col).dictionary_encode(), _column(table, "term").dictionary_encode()
+    bucket = np.array([zlib.crc32(w.encode()) % LDA_BUCKETS for w in terms.dictionary.to_pylist()], np.uint16)
+    by_term = pac.sort_indices(terms.dictionary).to_numpy()
+    order = by_term[np.argsort(bucket[by_term], kind="stable")]
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    tf = _small(_column(table, "tf").to_numpy(zero_copy_only=False))
+    one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
+    raw = lambda a: pa.array([a.tobytes()], pa.binary())
+    cells = {"__block": pa.array([block], pa.int64()), "n_terms": pa.array([len(order)], pa.int64()), "ids": one(ids.dictionary),
+             "lengths": raw(np.bincount(ids.indices.to_numpy(), minlength=len(ids.dictionary)).astype(np.int32)),
+             "places": raw(place[terms.indices.to_numpy()]), "tf": raw(tf), "tf_type": pa.array([tf.dtype.str]),
+             "terms": one(terms.dictionary.take(pa.array(order))), "buckets": raw(bucket[order])}
+    return pa.RecordBatch.from_pydict(cells)
+
+
+class Blocks(NamedTuple):
+    """Documents as blocks of numbers, and the places of the blocks' terms among those of each shard; both on the executors' disks."""
+
+    rows: DataFrame
+    links: DataFrame
+    shards: int
+    block_parts: int
+    shard_parts: int
+    n_terms: int
+    id_col: str
+    id_type: str
+
+    def unpersist(self) -> None:
+        self.rows.unpersist()
+        self.links.unpersist()
+
+
+def _shard_of(bucket, shards: int):
+    return bucket * shards // LDA_BUCKETS
+
+
+@contextmanager
+def _many_rows_a_batch(spark):
+    """Spark measures a batch after each row that it sends to Python; while rows are short, their number (``maxRecordsPerBatch``) is limit enough."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(name, None)
+    spark.conf.set(name, str(2 ** 31 - 1))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was) if was else spark.conf.unset(name)
+
+
+def document_blocks(counts: DataFrame, id_col: str, block_rows: int = LDA_BLOCK) -> Blocks:
+    """Whole documents in blocks of about ``block_rows`` counts, as numbers; strings are read once, here.
+
+    A term falls in a shard by its hash and has a place among the shard's terms,
+    so that a block and a shard tell each other numbers alone. Call
+    ``unpersist`` after the last round.
     """
     rows = counts.select(id_col, "term", "tf").where(F.col(id_col).isNotNull() & F.col("term").isNotNull())
-    n = max(1, -(-rows.count() // block_rows), min(rows.select(id_col).distinct().count(), counts.sparkSession.sparkContext.defaultParallelism))
-    block = F.pmod(F.xxhash64(id_col, F.lit("block")), F.lit(n)).cast("int")
-    return rows.withColumn("__block", block).repartition(2 * n, "__block").persist(StorageLevel.DISK_ONLY), n
-
-
-def _column(table: pa.Table, name: str) -> pa.Array:
-    return table.column(name).combine_chunks()
+    id_type, spark = rows.schema[id_col].dataType.simpleString(), counts.sparkSession
+
+    def pack(batches):
+        part, made, held, n, few = TaskContext.get().partitionId() << 32, 0, [], 0, min(block_rows, 10_000)
+        for batch in (b.slice(a, few) for b in batches for a in range(0, len(b), few)):
+            ids = batch.column(0)
+            at = pac.index(ids, ids[-1]).as_py() if n + len(batch) >= block_rows else 0
+            if at or (n >= block_rows and ids[0] != held[-1].column(0)[-1]):  # all before this row are whole documents
+                yield _packed(pa.Table.from_batches([*held, batch.slice(0, at)]), id_col, part + made)
+                made, held, n, batch = made + 1, [], 0, batch.slice(at)
+            held.append(batch)
+            n += len(batch)
+        if held:
+            yield _packed(pa.Table.from_batches(held), id_col, part + made)
+
+    packed = rows.repartition(id_col).sortWithinPartitions(id_col).mapInArrow(
+        pack, f"__block bigint, n_terms bigint, ids array<{id_type}>, lengths binary, places binary, tf binary, tf_type string, terms array<string>, buckets binary")
+    cores = spark.sparkContext.defaultParallelism
+    blocks = packed.repartition(4 * cores, "__block").persist(StorageLevel.DISK_ONLY)
+    with _many_rows_a_batch(spark):
+        pairs = blocks.agg(F.sum("n_terms")).first()[0] or 0
+    shards = max(1, min(LDA_BUCKETS, max(-(-pairs // LDA_SHARD), min(2 * cores, pairs // 50_000))))
+    parts = min(4 * cores, 2 * shards)
+
+    def split(batches):
+        for batch in batches:
+            for block, terms, buckets in zip(batch.column("__block"), batch.column("terms"), batch.column("buckets")):
+                ends = np.searchsorted(_shard_of(np.frombuffer(buckets.as_py(), np.uint16).astype(np.int64), shards), np.arange(shards + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_pydict({"__shard": pa.array(np.arange(shards, dtype=np.int32)), "__block": pa.array(np.full(shards, block.as_py(), np.int64)),
+                                                  "terms": pa.ListArray.from_arrays(pa.array(ends), terms.values)})
+
+    def number(table: pa.Table) -> pa.Table:
+        """Places of each block's terms, and in the row of no block the terms themselves."""
+        lists = [t.values for t in table.column("terms")]
+        every = pac.unique(pa.chunked_array(lists, pa.string()))
+        every = every.take(pac.sort_indices(every))
+        at = [pac.index_in(t, value_set=every).to_numpy().astype(np.int32).tobytes() for t in lists]
+        return pa.table({"__shard": pa.array(np.full(len(lists) + 1, table.column("__shard")[0].as_py(), np.int32)),
+                         "__block": pa.concat_arrays([_column(table, "__block"), pa.nulls(1, pa.int64())]), "n_terms": pa.array([len(every)] * (len(lists) + 1), pa.int64()),
+                         "at": pa.array([*at, None], pa.binary()), "terms": pa.array([None] * len(lists) + [every.to_pylist()], pa.list_(pa.string()))})
+
+    links = (blocks.select("__block", "terms", "buckets").mapInArrow(split, "__shard int, __block bigint, terms array<string>")
+             .groupBy("__shard").applyInArrow(number, "__shard int, __block bigint, n_terms bigint, at binary, terms array<string>")
+             .repartition(parts, "__shard").persist(StorageLevel.DISK_ONLY))
+    n_terms = links.where("__block IS NULL").agg(F.sum("n_terms")).first()[0] or 0
+    return Blocks(blocks, links, shards, 4 * cores, parts, n_terms, id_col, id_type)
+
+
+def _numbers(value: bytes, k: int) -> np.ndarray:
+    return np.frombuffer(value, np.float64).reshape(k, -1)
+
+
+def _wire(rows: list[tuple]) -> pa.Table:
+    """Rows of ``_OUT``."""
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, [pa.int32(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()])],
+                    ["__shard", "__block", "docs", "value", "whole"])
 
 
 class _Block:
-    """Counts of one block as numbers: places of documents and terms, and what is known of each."""
-
-    def __init__(self, counts: pa.Table, state: pa.Table, id_col: str, k: int):
-        terms, ids = _column(counts, "term").dictionary_encode(), _column(counts, id_col).dictionary_encode()
-        self.terms, self.ids = terms.dictionary, ids.dictionary
-        self.t, self.d = terms.indices.to_numpy(), ids.indices.to_numpy()
-        self.tf, self.k = _column(counts, "tf").to_numpy().astype(np.float64), k
-        self.term_values, self.known = self._values(state.filter(pac.is_valid(state.column("__term"))), "__term", self.terms)
-        self.doc_values, _ = self._values(state.filter(pac.is_valid(state.column("__id"))), "__id", self.ids)
-
-    def _values(self, state: pa.Table, key: str, own: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        at = pac.index_in(_column(state, key), value_set=own).fill_null(-1).to_numpy()
-        out, known = np.zeros((len(own), self.k)), np.zeros(len(own), bool)
-        for i in range(self.k):
-            out[at[at >= 0], i] = state.column(f"v{i}").to_numpy()[at >= 0]
-        known[at[at >= 0]] = True
-        return out, known
-
-    def shares(self, mixes: np.ndarray, by_term: bool = True) -> tuple[np.ndarray, np.ndarray]:
-        """Occurrences dealt to topics, tf * p_k * t_k / sum over topics, summed by term and by document."""
-        terms, docs = np.zeros(self.term_values.shape), np.zeros(mixes.shape)
-        for a in range(0, len(self.t), 1 << 18):
-            t, d, tf = self.t[a:a + (1 << 18)], self.d[a:a + (1 << 18)], self.tf[a:a + (1 << 18)]
-            on = self.known[t]
-            t, d, tf = t[on], d[on], tf[on]
-            joint = [self.term_values[t, i] * mixes[d, i] for i in range(self.k)]
-            whole = sum(joint[1:], joint[0])
-            for i, j in enumerate(joint):
-                r = tf * j / whole
-                docs[:, i] += np.bincount(d, r, len(docs))
+    """Counts of one block, and what is known of its terms (``p``, k by terms) and documents (``x``, k by documents)."""
+
+    def __init__(self, row: pa.Table, state: pa.Table, k: int):
+        get = lambda c, t: np.frombuffer(row.column(c)[0].as_py(), t)
+        self.ends = np.concatenate([[0], np.cumsum(get("lengths", np.int32), dtype=np.int64)])
+        self.t, self.tf = get("places", np.int32), get("tf", np.dtype(row.column("tf_type")[0].as_py()))
+        told = sorted((s, v) for s, d, v in zip(*[state.column(c).to_pylist() for c in ("__shard", "docs", "value")]) if not d)
+        self.shards, cuts = [s for s, _ in told], [_numbers(v, k) for _, v in told]
+        self.p, self.cuts = np.concatenate(cuts, axis=1), np.cumsum([c.shape[1] for c in cuts])[:-1]
+        self.known = ~np.isnan(self.p[0])
+        self.p = np.where(self.known, self.p, 0.0)
+        mix = [v for d, v in zip(state.column("docs").to_pylist(), state.column("value")) if d]
+        self.x = _numbers(mix[0].as_py(), k) if mix else np.full((k, len(self.ends) - 1), 1.0 / k)
+
+    def shares(self, by_term: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Occurrences dealt to topics, tf * p_k * x_k / sum over topics, summed by term and by document; unknown terms count nowhere."""
+        terms, docs, gaps = np.zeros(self.p.shape), np.zeros(self.x.shape), not self.known.all()
+        for a in range(0, len(self.t), _PART):
+            b = min(a + _PART, len(self.t))
+            d0, d1 = np.searchsorted(self.ends, a, "right") - 1, np.searchsorted(self.ends, b, "left")
+            cuts = np.clip(self.ends[d0:d1 + 1], a, b) - a
+            own, t = np.diff(cuts), self.t[a:b].astype(np.intp)
+            p, x = [row.take(t) for row in self.p], [np.repeat(row[d0:d1], own) for row in self.x]
+            whole = p[0] * x[0]
+            for i in range(1, len(p)):
+                whole += p[i] * x[i]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                q = self.tf[a:b] / whole
+            if gaps:
+                q[~self.known[t]] = 0.0
+            for i in range(len(p)):
+                docs[i, d0:d1] += np.add.reduceat(q * p[i], cuts[:-1])
                 if by_term:
-                    terms[:, i] += np.bincount(t, r, len(terms))
-        return terms, docs
+                    terms[i] += np.bincount(t, q * x[i], terms.shape[1])
+        return terms * self.p, docs * self.x
+
+    def mixes(self, docs: np.ndarray, alpha: float) -> np.ndarray:
+        return (docs + alpha) / (docs.sum(axis=0) + len(docs) * alpha)
+
+
+def _sliced(links: pa.Table, values: np.ndarray | None) -> list[tuple]:
+    """What a shard tells each block: the values of the block's terms."""
+    at = [(s, b, np.frombuffer(a, np.int32)) for s, b, a in zip(*[links.column(c).to_pylist() for c in ("__shard", "__block", "at")]) if b is not None]
+    return [(s, b, False, np.ascontiguousarray(values[:, a]).tobytes(), None) for s, b, a in at]
 
 
-def _numbers(prefix: str, values: np.ndarray) -> dict:
-    return {f"{prefix}{i}": pa.array(values[:, i]) for i in range(values.shape[1])}
+def _with_links(own: Blocks, columns: list[str], rows: DataFrame, step, schema: str) -> DataFrame:
+    """``step(links, rows)`` of every shard."""
+    return own.links.select("__shard", *columns).groupBy("__shard").cogroup(rows.repartition(own.shard_parts, "__shard").groupBy("__shard")).applyInArrow(step, schema)
 
 
-def _over_blocks(blocks: DataFrame, n: int, state: DataFrame, step, schema: str) -> DataFrame:
-    """``step(counts, state)`` of every block; ``state`` is ``(__block, id, term, v0..)``, a row per document or term of a block."""
-    own = state.toDF("__at", "__id", "__term", *state.columns[3:])
-    return blocks.groupBy("__block").cogroup(own.repartition(2 * n, "__at").groupBy("__at")).applyInArrow(step, schema)
+def _over_blocks(own: Blocks, state: DataFrame, step, schema: str) -> DataFrame:
+    """``step(block, state)`` of every block."""
+    blocks = own.rows.select("__block", "ids", "lengths", "places", "tf", "tf_type")
+    return blocks.groupBy("__block").cogroup(state.repartition(own.block_parts, "__block").groupBy("__block")).applyInArrow(step, schema)
 
 
 def lda_fit(counts: DataFrame, id_col: str, k: int, rounds: int = 10, alpha: float = 0.1, eta: float = 0.01, seed: int = 1,
-            blocks: tuple[DataFrame, int] | None = None) -> DataFrame:
+            blocks: Blocks | None = None) -> DataFrame:
     """``(term, p0..)``: word weights of ``k`` topics, which sum to 1 in each topic.
 
     Expectation-maximisation with symmetric Dirichlet pseudo-counts ``alpha`` (mix
     of a document) and ``eta`` (words of a topic), from weights dealt by hash. A
-    round is one job over blocks of documents (``document_blocks``): a block gets
-    the weights of its terms and the mixes of its documents, and gives back one
-    sum per term and document. Counts themselves are not moved or written again.
+    round is one job over blocks of documents (``document_blocks``): shards tell a
+    block the weights of its terms, it tells them one sum per term, and the mixes
+    of its documents come back to it. Counts themselves are not moved or written again.
     """
     own = blocks or document_blocks(counts, id_col)
-    rows, n = own
-    id_type = rows.schema[id_col].dataType.simpleString()
-    schema = f"__block int, {id_col} {id_type}, term string, " + ", ".join(f"r{i} double" for i in range(k))
+    size, shards = own.n_terms, own.shards
+
+    def deal(links: pa.Table) -> pa.Table:
+        words = next(w for w in links.column("terms").to_pylist() if w is not None)
+        p = [[portable_hash_of(w, i, seed=seed) / HASH_SPACE + 0.5 for w in words] for i in range(k)]
+        return _wire([(links.column("__shard")[0].as_py(), None, False, np.array(p, np.float64).tobytes(), None)])
+
+    def tell(links: pa.Table, weights: pa.Table) -> pa.Table:
+        return _wire(_sliced(links, _numbers(weights.column("value")[0].as_py(), k)))
 
     def step(table: pa.Table, state: pa.Table) -> pa.Table:
-        b = _Block(table, state, id_col, k)
-        terms, docs = b.shares(b.doc_values)
-        block = pa.array(np.full(len(terms) + len(docs), table.column("__block")[0].as_py() if len(table) else 0, np.int32))
-        ids = pa.concat_arrays([pa.nulls(len(terms), b.ids.type), b.ids])
-        words = pa.concat_arrays([b.terms, pa.nulls(len(docs), b.terms.type)])
-        return pa.table({"__block": block, id_col: ids, "term": words, **_numbers("r", np.concatenate([terms, docs]))})
-
-    deal = [((portable_hash("term", F.lit(i), seed=seed) / F.lit(float(HASH_SPACE))) + F.lit(0.5)).alias(f"v{i}") for i in range(k)]
-    even = [F.lit(1.0 / k).alias(f"v{i}") for i in range(k)]
-    none = F.lit(None)
-    state = (rows.select("__block", "term").distinct().select("__block", none.cast(id_type).alias(id_col), "term", *deal)
-             .unionByName(rows.select("__block", id_col).distinct().select("__block", id_col, none.cast("string").alias("term"), *even)))
+        b, block = _Block(table, state, k), table.column("__block")[0].as_py()
+        terms, docs = b.shares()
+        whole = terms.sum(axis=1).tobytes()
+        out = [(s, block, False, np.ascontiguousarray(v).tobytes(), whole) for s, v in zip(b.shards, np.split(terms, b.cuts, axis=1))]
+        return _wire([*out, (block % shards, block, True, b.mixes(docs, alpha).tobytes(), None)])
+
+    def gather(links: pa.Table, sums: pa.Table) -> pa.Table:
+        at = {b: np.frombuffer(a, np.int32) for b, a in zip(links.column("__block").to_pylist(), links.column("at").to_pylist()) if b is not None}
+        total, whole, mixes = np.zeros((k, links.column("n_terms")[0].as_py())), np.zeros(k), []
+        where, is_docs = sums.column("__block").to_numpy(), sums.column("docs").to_pylist()
+        shard = links.column("__shard")[0].as_py()
+        for i in np.argsort(where, kind="stable"):
+            value = sums.column("value")[int(i)].as_py()
+            if is_docs[i]:
+                mixes.append((shard, where[i], True, value, None))
+            else:
+                total[:, at[where[i]]] += _numbers(value, k)
+                whole += np.frombuffer(sums.column("whole")[int(i)].as_py(), np.float64)
+        p = (total + eta) / (whole + eta * size)[:, None]
+        return _wire([(shard, None, False, p.tobytes(), None), *mixes])
+
+    def named(links: pa.Table, weights: pa.Table) -> pa.Table:
+        p = _numbers(weights.column("value")[0].as_py(), k)
+        words = next(w for w in links.column("terms").to_pylist() if w is not None)
+        return pa.table({"term": pa.array(words, pa.string()), **{f"p{i}": pa.array(p[i]) for i in range(k)}})
+
+    now = own.links.select("__shard", "terms").groupBy("__shard").applyInArrow(deal, _OUT)
     for _ in range(rounds):
-        out = _over_blocks(rows, n, state, step, schema)
-        sums = stage(out.groupBy(id_col, "term").agg(*[F.sum(f"r{i}").alias(f"r{i}") for i in range(k)], F.collect_list("__block").alias("__blocks")), "lda-sums")  # at most n blocks
-        total = sums.where("term IS NOT NULL").agg(*[F.sum(f"r{i}").alias(f"__s{i}") for i in range(k)], F.count(F.lit(1)).alias("__v"))
-        mixed: Column = sum([F.col(f"r{i}") for i in range(1, k)], F.col("r0")) + F.lit(k * alpha)
-        value = [F.when(F.col("term").isNotNull(), (F.col(f"r{i}") + F.lit(eta)) / (F.col(f"__s{i}") + F.lit(eta) * F.col("__v")))
-                 .otherwise((F.col(f"r{i}") + F.lit(alpha)) / mixed).alias(f"v{i}") for i in range(k)]
-        now = attach_row(sums, total).select(id_col, "term", "__blocks", *value)
-        state = now.select(F.explode("__blocks").alias("__block"), id_col, "term", *_shares("v", k))
-    weights = stage((now if rounds else state.distinct()).where("term IS NOT NULL").select("term", *[F.col(f"v{i}").alias(f"p{i}") for i in range(k)]).distinct(), "lda-weights")
+        told = _with_links(own, ["__block", "at"], now.where("NOT docs"), tell, _OUT)
+        sums = _over_blocks(own, told.unionByName(now.where("docs")), step, _OUT)
+        now = stage(_with_links(own, ["__block", "n_terms", "at"], sums, gather, _OUT), "lda-round")
+    weights = stage(_with_links(own, ["terms"], now.where("NOT docs"), named, "term string, " + ", ".join(f"p{i} double" for i in range(k))), "lda-weights")
     if not blocks:
-        rows.unpersist()
+        own.unpersist()
     return weights
 
 
 def lda_mix(counts: DataFrame, weights: DataFrame, id_col: str, k: int, rounds: int = 5, alpha: float = 0.1,
-            blocks: tuple[DataFrame, int] | None = None) -> DataFrame:
+            blocks: Blocks | None = None) -> DataFrame:
     """``(id, t0..)``: topic mix of documents under fixed word weights; words the topics do not know are ignored.
 
     Mixes of documents do not depend on each other, so all rounds of a block are one step.
     """
     own = blocks or document_blocks(counts, id_col)
-    rows, n = own
-    id_type = rows.schema[id_col].dataType.simpleString()
+
+    def tell(links: pa.Table, weights: pa.Table) -> pa.Table:
+        words = [w for w in links.column("terms").to_pylist() if w is not None]
+        if not words:
+            return _wire([])
+        at = pac.index_in(_column(weights, "term"), value_set=pa.array(words[0], pa.string())).fill_null(-1).to_numpy()
+        p = np.full((k, len(words[0])), np.nan)
+        for i in range(k):
+            p[i, at[at >= 0]] = weights.column(f"p{i}").to_numpy()[at >= 0]
+        return _wire(_sliced(links, p))
 
     def step(table: pa.Table, state: pa.Table) -> pa.Table:
-        b = _Block(table, state, id_col, k)
-        mixes = np.full((len(b.ids), k), 1.0 / k)
+        b = _Block(table, state, k)
         for _ in range(rounds):
-            docs = b.shares(mixes, by_term=False)[1] + alpha
-            mixes = docs / docs.sum(axis=1, keepdims=True)
-        some = np.bincount(b.d, b.known[b.t], len(mixes)) > 0
-        return pa.table({id_col: b.ids.filter(pa.array(some)), **_numbers("t", mixes[some])})
-
-    ask = rows.select("__block", "term").distinct().join(weights, "term")
-    state = ask.select("__block", F.lit(None).cast(id_type).alias(id_col), "term", *[F.col(f"p{i}").alias(f"v{i}") for i in range(k)])
-    mix = stage(_over_blocks(rows, n, state, step, f"{id_col} {id_type}, " + ", ".join(f"t{i} double" for i in range(k))), "lda-mix")
+            b.x = b.mixes(b.shares(by_term=False)[1], alpha)
+        some = np.add.reduceat(b.known[b.t], b.ends[:-1], dtype=np.int64) > 0
+        return pa.table({id_col: table.column("ids")[0].values.filter(pa.array(some)), **{f"t{i}": pa.array(b.x[i, some]) for i in range(k)}})
+
+    at = F.expr(f"CAST(pmod(crc32(term), {LDA_BUCKETS}) * {own.shards} DIV {LDA_BUCKETS} AS INT)")
+    asked = weights.where("term IS NOT NULL").select(at.alias("__shard"), "term", *_shares("p", k))
+    told = _with_links(own, ["__block", "at", "terms"], asked, tell, _OUT)
+    mix = stage(_over_blocks(own, told, step, f"{id_col} {own.id_type}, " + ", ".join(f"t{i} double" for i in range(k))), "lda-mix")
     if not blocks:
-        rows.unpersist()
+        own.unpersist()
     return mix
 
 

@@ -589,7 +589,7 @@ def q_topic_dist(spark, t):
     blocks = TM.document_blocks(counts, "doc_id")
     weights = TM.lda_fit(counts, "doc_id", TOPICS, LDA_ROUNDS, ALPHA, ETA, seed=1, blocks=blocks)
     mix = TM.lda_mix(counts, weights, "doc_id", TOPICS, MIX_ROUNDS, ALPHA, blocks=blocks)
-    blocks[0].unpersist()
+    blocks.unpersist()
     mix = mix.withColumn("mix", F.array(*[f"t{i}" for i in range(TOPICS)]))
     whole = F.round(F.aggregate("mix", F.lit(0.0), lambda a, x: a + x), 9).alias("whole")
     return mix.select("doc_id", whole, F.posexplode("mix").alias("topic", "share")).select("doc_id", "topic", F.round("share", 6).alias("share"), "whole")
