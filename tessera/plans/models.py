@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import portable_hash
-from tessera.functions.staging import stage
+from tessera.functions.staging import hinted, stage
 from tessera.functions.subquery import attach_row
 from tessera.operators import metrics as M
 from tessera.operators import models as ML
@@ -605,10 +605,10 @@ def q_topic_naming(spark, t):
     """Name each topic by the candidate (a language) whose documents contain its
     top words most often: mean document frequency of the words per candidate."""
     dt, _, weights = _topics(t)
-    words = TM.top_words(weights, TOPICS, 10)
+    words = stage(TM.top_words(weights, TOPICS, 10), "topic-words")
     docs = t.documents.select("doc_id", F.col("lang").alias("candidate"))
     n_docs = docs.groupBy("candidate").agg(F.count(F.lit(1)).alias("n_docs"))
-    held = dt.withColumnRenamed("token", "word").join(words.select("word").distinct(), "word", "left_semi")
+    held = dt.withColumnRenamed("token", "word").join(hinted(words.select("word").distinct()), "word", "left_semi")  # ten words a topic: counts stay where they are
     df_ = held.join(docs, "doc_id").groupBy("candidate", "word").agg(F.count(F.lit(1)).alias("df"))
     s = words.join(df_, "word").join(n_docs, "candidate").groupBy("topic", "candidate").agg(
         F.round(F.sum(F.col("df") / F.col("n_docs")) / 10, 9).alias("score"))

@@ -121,3 +121,28 @@ def test_a_large_vocabulary_is_hashed_and_not_sorted(spark):
         assert sorted(tuple(r) for r in out.collect()) == [(1, "a", 2), (2, "c", 4)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_naming_leaves_counts_where_they_are(spark, monkeypatch):
+    """The top words are worked out once and go to the counts, also where Spark would broadcast nothing by itself."""
+    from types import SimpleNamespace
+
+    from tessera.plans import models
+    docs = spark.createDataFrame([(d, "en" if d % 3 else "fr") for d in range(30)], "doc_id long, lang string")
+    dt = spark.createDataFrame([(d, f"w{(d + i) % 17}", 1) for d in range(30) for i in range(6)], "doc_id long, token string, n long")
+    weights = spark.createDataFrame([(f"w{i}", *[((i * 7 + j * 5) % 17 + 1) / 153 for j in range(models.TOPICS)]) for i in range(17)], "term string, " + ", ".join(f"p{j} double" for j in range(models.TOPICS)))
+    monkeypatch.setattr(models, "_topics", lambda t: (dt, None, weights))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = models.q_topic_naming(spark, SimpleNamespace(documents=docs))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {r.topic: (r["name"], r.score) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert "Window" not in plan and any("BroadcastHashJoin" in line and "LeftSemi" in line for line in plan.splitlines())
+    held = {(d, f"w{(d + i) % 17}") for d in range(30) for i in range(6)}
+    for j in range(models.TOPICS):
+        top = sorted(range(17), key=lambda i: (-round(((i * 7 + j * 5) % 17 + 1) / 153, 9), f"w{i}"))[:10]
+        scores = {lang: round(sum(sum((d, f"w{i}") in held for d in own) / len(own) for i in top) / 10, 9) for lang, own in (("en", [d for d in range(30) if d % 3]), ("fr", range(0, 30, 3)))}
+        assert got[j] == max(((n, s) for n, s in scores.items()), key=lambda x: (x[1], x[0]))
